@@ -48,6 +48,10 @@ def categories_df(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "cat_pos INT, name STRING, icon STRING, keywords ARRAY<STRING>")
 
 
+def icon(name: str) -> str:
+    return dict(CATEGORIES).get(name, DEFAULT_ICON)
+
+
 def category_names() -> list[str]:
     return [n for n, _ in CATEGORIES]
 

@@ -45,7 +45,11 @@ def hits_cte(name: str, flags: bool = False) -> str:
   GROUP BY ALL)"""
 
 
-BASE = f"WITH RECURSIVE {Q.newsletters_cte(PA)}, {SENT}, {hits_cte('hits')}"
+def base(p) -> str:
+    return f"WITH RECURSIVE {Q.newsletters_cte(p)}, {SENT}, {hits_cte('hits')}"
+
+
+BASE = base(PA)
 
 BULLETS = f"""bullets AS (
   SELECT digest_date, label, category, cat_pos,
@@ -106,26 +110,34 @@ def q_category_bullets(spark, sf_dir):
                                            "text", "time_sensitive")
 
 
-@query("exec_summary", f"""{BASE},
-scored AS (
+EXEC = f"""scored AS (
   SELECT s.*, coalesce(sc.score, 0) AS score FROM sent s
   LEFT JOIN (SELECT digest_date, label, message_id, sent_pos, sum(hits) AS score FROM hits GROUP BY ALL) sc
   USING (digest_date, label, message_id, sent_pos)),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY digest_date, label ORDER BY score DESC, list_pos, sent_pos) AS r
-  FROM scored QUALIFY r <= {X.EXEC_SENTENCES})
-SELECT {DD}, label, string_agg(sentence, ' ' ORDER BY r) AS executive_summary FROM ranked GROUP BY ALL""")
+  FROM scored QUALIFY r <= {X.EXEC_SENTENCES}),
+es AS (SELECT digest_date, label, string_agg(sentence, ' ' ORDER BY r) AS executive_summary
+       FROM ranked GROUP BY ALL)"""
+
+
+@query("exec_summary", f"""{BASE}, {EXEC}
+SELECT {DD}, label, executive_summary FROM es""")
 def q_exec_summary(spark, sf_dir):
     s, h = sent_hits(spark, sf_dir)
     return X.exec_summary(s, h)
 
 
-@query("domain_flags", f"""{BASE}, {hits_cte('fh', flags=True)}
-SELECT {DD}, label, CAST(flag_pos AS INTEGER) AS flag_pos, text FROM (
+FLAGS = f"""{hits_cte('fh', flags=True)},
+fl AS (
   SELECT digest_date, label, s.sentence AS text,
          row_number() OVER (PARTITION BY digest_date, label ORDER BY fh.hits DESC, s.list_pos, s.sent_pos) AS flag_pos
   FROM fh JOIN sent s USING (digest_date, label, message_id, sent_pos)
-  QUALIFY flag_pos <= {X.FLAGS_PER_DAY})""")
+  QUALIFY flag_pos <= {X.FLAGS_PER_DAY})"""
+
+
+@query("domain_flags", f"""{BASE}, {FLAGS}
+SELECT {DD}, label, CAST(flag_pos AS INTEGER) AS flag_pos, text FROM fl""")
 def q_domain_flags(spark, sf_dir):
     s = X.sentences(newsletters(spark, sf_dir, PA))
     return X.domain_flags(s, spark).withColumn("flag_pos", F.col("flag_pos").cast("int"))
