@@ -53,15 +53,16 @@ def decode_entities(c: Column) -> Column:
     return c
 
 
+# Collapses a run of equal consecutive lines (of a newline-joined text) to one.
+REPEATED_LINE = r"(?md)^(.*)(?:\n\1)+$"
+
+
 def clean_lines(c: Column) -> Column:
     """Split into lines, strip each, drop empty ones, drop a line equal to the
-    previous kept one, and join with a newline (W2 + T5)."""
+    previous kept one, and join with a newline (W2 + T5). The input appears once
+    in the expression, so nesting it (MIME walk) does not multiply the work."""
     lines = F.filter(F.transform(F.split(c, LINE_BREAK), ustrip), lambda x: x != "")
-    n = F.size(lines)
-    prev = F.concat(F.array(F.lit(None).cast("string")),
-                    F.slice(lines, F.lit(1), F.greatest(n - 1, F.lit(0))))
-    kept = F.zip_with(lines, prev, lambda a, b: F.when(b.isNull() | (a != b), a))
-    return F.array_join(kept, "\n")
+    return F.regexp_replace(F.array_join(lines, "\n"), REPEATED_LINE, "$1")
 
 
 def strip_markup(html: Column) -> Column:
@@ -79,8 +80,8 @@ def token_estimate(c: Column, chars_per_token: int = 4) -> Column:
 
 
 def b64url_encode(s: Column) -> Column:
-    """UTF-8 text -> padded base64url (used to derive MIME fixtures)."""
-    return F.translate(F.base64(F.encode(s, "UTF-8")), "+/", "-_")
+    """UTF-8 text -> padded, unwrapped base64url (used to derive MIME fixtures)."""
+    return F.translate(F.base64(F.encode(s, "UTF-8")), "+/\r\n", "-_")
 
 
 def b64url_decode(c: Column) -> Column:

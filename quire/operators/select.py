@@ -19,6 +19,13 @@ from quire.params import DEFAULT, Params
 DAY_KEYS = ["digest_date", "label"]
 
 
+def label_catalog(message_labels: DataFrame, p: Params = DEFAULT) -> DataFrame:
+    """Label names with message counts, sorted, and whether the configured label
+    exists (A4)."""
+    return (message_labels.groupBy("label").agg(F.count(F.lit(1)).alias("n_messages"))
+            .withColumn("is_target", F.col("label") == F.lit(p.label)).orderBy("label"))
+
+
 def day_filter(df: DataFrame, ts_col: str, day: _dt.date) -> DataFrame:
     """Half-open local day [day 00:00, next day 00:00) on a timestamp column.
 
