@@ -22,8 +22,8 @@ LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]"
 # Markup removed from HTML: comments, script/style/noscript with their content,
 # and every other tag (replaced by a line break so each text node is its own line).
 MARKUP = (
-    r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
-    r"|<noscript\b.*?</noscript\s*>|<[a-z/!?][^>]*>"
+    r"(?is)<(?:!--.*?-->|script\b.*?</script\s*>|style\b.*?</style\s*>"
+    r"|noscript\b.*?</noscript\s*>|[a-z/!?][^>]*>)"
 )
 # Named and numeric entities decoded after markup removal; "&amp;" is last so
 # that "&amp;lt;" yields "&lt;" as a single decoding pass would.

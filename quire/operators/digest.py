@@ -61,7 +61,7 @@ def extractive_digests(nl: DataFrame, spark: SparkSession, p: Params = DEFAULT)
     k = DAY_KEYS
     sent = X.sentences(nl)
     hits = X.categorize(sent, spark)
-    bullets = X.category_bullets(sent, hits)
+    bullets = X.category_bullets(hits)
     facts = (X.key_facts(sent).groupBy(*k, "message_id")
              .agg(F.array_sort(F.collect_list(F.struct("fact_pos", "fact"))).alias("f")))
     src = (nl.select(*k, "message_id", "list_pos", "sender",

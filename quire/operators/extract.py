@@ -45,13 +45,17 @@ def keyword_table(spark: SparkSession, flags: bool = False) -> DataFrame:
     return spark.createDataFrame(rows, "category STRING, cat_pos INT, keyword STRING")
 
 
+SENT_COLS = [*DAY_KEYS, "message_id", "list_pos", "sender", "sent_pos", "sentence"]
+
+
 def keyword_hits(sent: DataFrame, kw: DataFrame) -> DataFrame:
     """Multi-label keyword matching: one row per (sentence, category) with its hit
-    count. The keyword table is fixed configuration, so it is broadcast."""
-    toks = sent.select(*DAY_KEYS, "message_id", "sent_pos",
-                       F.explode(F.split(F.lower(F.col("sentence")), TOKEN_SPLIT)).alias("token"))
+    count. The keyword table is fixed configuration and is broadcast; only matched
+    tokens reach the shuffle, and they carry their sentence, so nothing has to be
+    joined back to the (large) sentence table."""
+    toks = sent.select(*SENT_COLS, F.explode(F.split(F.lower(F.col("sentence")), TOKEN_SPLIT)).alias("token"))
     return (toks.join(F.broadcast(kw), toks["token"] == kw["keyword"])
-                .groupBy(*DAY_KEYS, "message_id", "sent_pos", "category", "cat_pos")
+                .groupBy(*SENT_COLS, "category", "cat_pos")
                 .agg(F.count(F.lit(1)).alias("hits")))
 
 
@@ -83,24 +87,32 @@ def categorize(sent: DataFrame, spark: SparkSession) -> DataFrame:
     return keyword_hits(sent, keyword_table(spark))
 
 
-def category_bullets(sent: DataFrame, hits: DataFrame) -> DataFrame:
+def category_bullets(hits: DataFrame) -> DataFrame:
     """Top sentences per (day, label, category) by hits, then list order (X5), with
     their source and a time-sensitivity flag (X9). Top-k is planned map-side."""
-    h = hits.join(sent, [*DAY_KEYS, "message_id", "sent_pos"])
     w = Window.partitionBy(*DAY_KEYS, "category").orderBy(F.desc("hits"), "list_pos", "sent_pos")
-    top = h.withColumn("bullet_pos", F.row_number().over(w)).filter(F.col("bullet_pos") <= BULLETS_PER_CATEGORY)
+    top = hits.withColumn("bullet_pos", F.row_number().over(w)).filter(F.col("bullet_pos") <= BULLETS_PER_CATEGORY)
     return top.select(*DAY_KEYS, "category", "cat_pos", "bullet_pos",
                       F.format_string("%s (Source: %s)", F.col("sentence"), F.col("sender")).alias("text"),
                       F.col("sentence").rlike(TIME_SENSITIVE).alias("time_sensitive"))
 
 
 def exec_summary(sent: DataFrame, hits: DataFrame) -> DataFrame:
-    """Top sentences of the day by total keyword hits, ties by position."""
-    score = hits.groupBy(*DAY_KEYS, "message_id", "sent_pos").agg(F.sum("hits").alias("score"))
-    s = sent.join(score, [*DAY_KEYS, "message_id", "sent_pos"], "left") \
-        .withColumn("score", F.coalesce(F.col("score"), F.lit(0)).cast("bigint"))
-    w = Window.partitionBy(*DAY_KEYS).orderBy(F.desc("score"), "list_pos", "sent_pos")
-    top = s.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= EXEC_SENTENCES)
+    """Top sentences of the day by total keyword hits, ties by position.
+
+    Exact without joining every sentence to its score: the answer lies within the
+    best-scored sentences plus the earliest sentences of the day (zero score), each
+    cut to k per day map-side; the few candidates are then ranked once more."""
+    k = EXEC_SENTENCES
+    order = [F.desc("score"), "list_pos", "sent_pos"]
+    scored = hits.groupBy(*SENT_COLS).agg(F.sum("hits").cast("bigint").alias("score"))
+    w = Window.partitionBy(*DAY_KEYS).orderBy(*order)
+    best = scored.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= k).drop("r")
+    early = (sent.withColumn("score", F.lit(0).cast("bigint"))
+                 .withColumn("r", F.row_number().over(Window.partitionBy(*DAY_KEYS).orderBy("list_pos", "sent_pos")))
+                 .filter(F.col("r") <= k).drop("r"))
+    cand = (best.unionByName(early).groupBy(*SENT_COLS).agg(F.max("score").alias("score")))
+    top = cand.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= k)
     return (top.groupBy(*DAY_KEYS)
                .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("r", "sentence"))),
                                              lambda x: x["sentence"]), " ").alias("executive_summary")))
@@ -108,7 +120,7 @@ def exec_summary(sent: DataFrame, hits: DataFrame) -> DataFrame:
 
 def domain_flags(sent: DataFrame, spark: SparkSession) -> DataFrame:
     """Sentences touching the domain-flag keywords, best first."""
-    h = keyword_hits(sent, keyword_table(spark, flags=True)).join(sent, [*DAY_KEYS, "message_id", "sent_pos"])
+    h = keyword_hits(sent, keyword_table(spark, flags=True))
     w = Window.partitionBy(*DAY_KEYS).orderBy(F.desc("hits"), "list_pos", "sent_pos")
     return (h.withColumn("flag_pos", F.row_number().over(w)).filter(F.col("flag_pos") <= FLAGS_PER_DAY)
              .select(*DAY_KEYS, "flag_pos", F.col("sentence").alias("text")))
@@ -122,13 +134,12 @@ def active_categories(bullets: DataFrame) -> DataFrame:
                               lambda x: x["category"]).alias("active_categories")))
 
 
-def insight_merge(sent: DataFrame, hits: DataFrame) -> DataFrame:
+def insight_merge(hits: DataFrame) -> DataFrame:
     """Combine and deduplicate insights of a day across messages/chunks (G8):
     one row per (day, label, category, normalised text) with the first wording,
     the number of distinct sources and the first few sources alphabetically.
     Two-level: distinct (insight, source) first, so no group collects all rows."""
-    h = hits.join(sent, [*DAY_KEYS, "message_id", "sent_pos"]) \
-        .withColumn("norm", F.lower(F.regexp_replace(F.col("sentence"), r"[\t ]+", " ")))
+    h = hits.withColumn("norm", F.lower(F.regexp_replace(F.col("sentence"), r"[\t ]+", " ")))
     g = [*DAY_KEYS, "category", "norm"]
     first = h.groupBy(*g).agg(F.min_by(F.col("sentence"), F.struct("list_pos", "sent_pos")).alias("text"),
                               F.count(F.lit(1)).alias("n_mentions"))

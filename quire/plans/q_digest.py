@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from quire.functions import taxonomy as TX
 from quire.functions.text import strip_fence
 from quire.operators import digest as D
+from quire.operators import inference as I
 from quire.operators import layout as L
 from quire.operators import select as S
 from quire.params import DEFAULT
@@ -25,7 +26,7 @@ DD = "CAST(digest_date AS VARCHAR) AS digest_date"
 
 def digests(spark, sf_dir, p=P):
     """Selected newsletters -> extractive digest -> JSON answer -> parsed digest."""
-    nl = newsletters(spark, sf_dir, p)
+    nl = I.persist(newsletters(spark, sf_dir, p))   # bounded: <= max_messages per day and label
     ed = D.extractive_digests(nl, spark, p)
     resp = ed.select(*S.DAY_KEYS, D.digest_json(ed).alias("response"))
     return nl, D.parse_responses(resp)

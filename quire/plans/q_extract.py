@@ -105,7 +105,7 @@ def q_categorize(spark, sf_dir):
 SELECT {DD}, label, category, CAST(bullet_pos AS INTEGER) AS bullet_pos, text, time_sensitive FROM bullets""")
 def q_category_bullets(spark, sf_dir):
     s, h = sent_hits(spark, sf_dir)
-    return X.category_bullets(s, h).select("digest_date", "label", "category",
+    return X.category_bullets(h).select("digest_date", "label", "category",
                                            F.col("bullet_pos").cast("int").alias("bullet_pos"),
                                            "text", "time_sensitive")
 
@@ -149,7 +149,7 @@ SELECT {DD}, label, string_agg(category, ', ' ORDER BY cat_pos) AS active_catego
 FROM (SELECT DISTINCT digest_date, label, category, cat_pos FROM bullets) GROUP BY ALL""")
 def q_active_categories(spark, sf_dir):
     s, h = sent_hits(spark, sf_dir)
-    a = X.active_categories(X.category_bullets(s, h))
+    a = X.active_categories(X.category_bullets(h))
     return a.select("digest_date", "label", F.array_join("active_categories", ", ").alias("active_categories"),
                     F.size("active_categories").alias("n_active"))
 
@@ -169,5 +169,5 @@ SELECT {DD}, label, category, norm, text, n_mentions, n_sources, sources
 FROM first JOIN nsrc USING (digest_date, label, category, norm)""")
 def q_insight_merge(spark, sf_dir):
     s, h = sent_hits(spark, sf_dir)
-    return X.insight_merge(s, h).select("digest_date", "label", "category", "norm", "text",
+    return X.insight_merge(h).select("digest_date", "label", "category", "norm", "text",
                                         "n_mentions", "n_sources", "sources")
