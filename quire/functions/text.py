@@ -48,9 +48,11 @@ def first_line(c: Column) -> Column:
 
 
 def decode_entities(c: Column) -> Column:
+    """Decode the listed entities; text without '&' skips the replace chain."""
+    out = c
     for ent, ch in ENTITIES:
-        c = F.replace(c, F.lit(ent), F.lit(ch))
-    return c
+        out = F.replace(out, F.lit(ent), F.lit(ch))
+    return F.when(F.instr(c, "&") > 0, out).otherwise(c)
 
 
 # Collapses a run of equal consecutive lines (of a newline-joined text) to one.
@@ -79,14 +81,20 @@ def token_estimate(c: Column, chars_per_token: int = 4) -> Column:
     return F.floor(F.length(c) / F.lit(chars_per_token)).cast("bigint")
 
 
+def _swap(c: Column, pairs: list[tuple[str, str]]) -> Column:
+    for a, b in pairs:                     # plain replace beats translate() here
+        c = F.replace(c, F.lit(a), F.lit(b))
+    return c
+
+
 def b64url_encode(s: Column) -> Column:
     """UTF-8 text -> padded, unwrapped base64url (used to derive MIME fixtures)."""
-    return F.translate(F.base64(F.encode(s, "UTF-8")), "+/\r\n", "-_")
+    return _swap(F.base64(F.encode(s, "UTF-8")), [("\r\n", ""), ("+", "-"), ("/", "_")])
 
 
 def b64url_decode(c: Column) -> Column:
     """base64url -> BINARY, NULL on malformed input instead of failing the job."""
-    return F.try_to_binary(F.translate(c, "-_", "+/"), F.lit("base64"))
+    return F.try_to_binary(_swap(c, [("-", "+"), ("_", "/")]), F.lit("base64"))
 
 
 def utf8_lenient(b: Column) -> Column:

@@ -53,8 +53,9 @@ def chunk_assign(nl: DataFrame, p: Params = DEFAULT, keys: list[str] = DAY_KEYS)
     only (list_pos, message_id, tokens) of each day are folded, never bodies.
     """
     if p.max_messages is None:
-        raise ValueError("chunk packing folds one day at a time and needs the per-day message "
-                         "limit (max_messages); the reference always applies it before packing")
+        # days of unbounded size: exact distributed scan instead of a per-day fold
+        from quire.operators.packing import chunk_assign_scan
+        return chunk_assign_scan(nl, p, keys).withColumn("chunk_id", F.col("chunk_id").cast("int"))
     t = (token_estimate(F.col("body"), p.chars_per_token) + F.lit(p.message_overhead)).alias("t")
     items = F.array_sort(F.collect_list(F.struct(F.col("list_pos"), F.col("message_id"), t)))
     init = F.struct(F.lit(0).cast("bigint").alias("cur"), F.lit(0).alias("cid"),

@@ -112,3 +112,14 @@ FROM blocks""")
 def q_prompt_render(spark, sf_dir):
     return render_prompts(K.prompt_blocks(calls(spark, sf_dir, PC), PC)).select(
         "digest_date", "label", "chunk_id", "n_messages", "prompt")
+
+
+# Whole days, no per-day message limit: the exact distributed packer.
+PCA = PC.with_(max_messages=None)
+
+
+@query("chunk_assign_all", f"""
+WITH RECURSIVE {Q.newsletters_cte(PCA)}, {packed_sql(PCA)}
+SELECT {DD}, label, message_id, list_pos, chunk_id, CAST(t AS BIGINT) AS nl_tokens FROM pack""")
+def q_chunk_assign_all(spark, sf_dir):
+    return K.chunk_assign(newsletters(spark, sf_dir, PCA), PCA).withColumn("nl_tokens", F.col("nl_tokens").cast("bigint"))

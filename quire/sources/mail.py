@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.functions.text import decode_body, html_to_text
+from quire.functions.text import b64url_decode, decode_body, html_to_text
 from quire.params import DEFAULT, Params
 
 HEADER_T = T.ArrayType(T.StructType([T.StructField("name", T.StringType()),
@@ -173,22 +173,36 @@ def too_deep(msg: Column, p: Params = DEFAULT) -> Column:
 
 
 # --------------------------------------------------------------------------- records
+_COLS_CACHE: dict = {}
+
+
+def _decode_columns(p: Params) -> tuple:
+    """The decode expressions, built once per JVM and parameter set: building the
+    deep MIME expressions takes thousands of py4j calls, using them costs none."""
+    from pyspark import SparkContext
+    sc = SparkContext._active_spark_context
+    key = (id(sc._jsc) if sc is not None else None, p)
+    if key not in _COLS_CACHE:
+        msg = F.col("msg")
+        parts = mime_parts(msg, p)
+        bad_b64 = F.exists(parts, lambda x: (F.coalesce(x["data"], F.lit("")) != "") &
+                           F.isnull(b64url_decode(x["data"])))
+        _COLS_CACHE.clear()
+        _COLS_CACHE[key] = (
+            header(msg, "Subject").alias("subject"), header(msg, "From").alias("sender"),
+            parse_mail_date(F.nullif(header(msg, "Date"), F.lit(""))).alias("date"),
+            message_body(msg, p).alias("body"),
+            msg["_corrupt_record"].isNotNull().alias("_bad_json"), bad_b64.alias("_bad_b64"),
+            too_deep(msg, p).alias("_too_deep"))
+    return _COLS_CACHE[key]
+
+
 def decode_messages(raw: DataFrame, p: Params = DEFAULT) -> tuple[DataFrame, DataFrame]:
     """messages_raw -> (records, quarantine). Records carry subject, sender, ISO
     date and the chosen body; bad JSON, undecodable parts and too-deep trees go to
     quarantine(message_id, stage, error) instead of failing the job."""
     m = parse_message(raw, p)
-    msg = F.col("msg")
-    parts = mime_parts(msg, p)
-    bad_b64 = F.exists(parts, lambda x: (F.coalesce(x["data"], F.lit("")) != "") &
-                       F.isnull(F.try_to_binary(F.translate(x["data"], "-_", "+/"), F.lit("base64"))))
-    rec = m.select(
-        *[c for c in raw.columns if c != "raw"],
-        header(msg, "Subject").alias("subject"), header(msg, "From").alias("sender"),
-        parse_mail_date(F.nullif(header(msg, "Date"), F.lit(""))).alias("date"),
-        message_body(msg, p).alias("body"),
-        msg["_corrupt_record"].isNotNull().alias("_bad_json"), bad_b64.alias("_bad_b64"),
-        too_deep(msg, p).alias("_too_deep"))
+    rec = m.select(*[c for c in raw.columns if c != "raw"], *_decode_columns(p))
     q = rec.select("message_id", F.explode(F.array(
         F.when(F.col("_bad_json"), F.struct(F.lit("parse").alias("stage"), F.lit("malformed message JSON").alias("error"))),
         F.when(F.col("_bad_b64"), F.struct(F.lit("decode").alias("stage"), F.lit("malformed base64 body").alias("error"))),
