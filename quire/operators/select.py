@@ -31,10 +31,10 @@ def day_filter(df: DataFrame, ts_col: str, day: _dt.date) -> DataFrame:
 
     Written as a range on the raw column so Parquet can skip row groups.
     """
-    lo = F.lit(_dt.datetime.combine(day, _dt.time()))
-    hi = F.lit(_dt.datetime.combine(day + _dt.timedelta(days=1), _dt.time()))
+    t = df.schema[ts_col].dataType       # text literals: no driver time zone involved
+    lo = F.lit(f"{day.isoformat()} 00:00:00").cast(t)
+    hi = F.lit(f"{(day + _dt.timedelta(days=1)).isoformat()} 00:00:00").cast(t)
     ts = F.col(ts_col)
-    lo, hi = lo.cast(df.schema[ts_col].dataType), hi.cast(df.schema[ts_col].dataType)
     return df.filter((ts >= lo) & (ts < hi))
 
 

@@ -47,10 +47,10 @@ def ingest(spark: SparkSession, sf_dir: str, out: str, p: Params = DEFAULT) -> s
         msgs = _as_messages(df).withColumn("batch_id", F.lit(batch_id))
         (msgs.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("digest_date", "batch_id").parquet(messages_path))
-        days = [r[0] for r in msgs.select("digest_date").distinct().collect()]   # touched days only
-        if not days:
+        if msgs.isEmpty():
             return
-        allm = spark.read.parquet(messages_path).filter(F.col("digest_date").isin(days)).drop("batch_id")
+        touched = msgs.select("digest_date").distinct()          # semi-join: partition pruning, no driver list
+        allm = spark.read.parquet(messages_path).join(touched, "digest_date", "left_semi").drop("batch_id")
         keys = allm.select("message_id", "digest_date", "list_pos")
         kept, _ = S.newsletters(keys, labels, allm.select("message_id", "sender", "subject", "date", "body"), p)
         (S.daily_counts(kept).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
