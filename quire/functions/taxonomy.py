@@ -34,13 +34,15 @@ KEYWORDS = {
     "AI & ML": ["ai", "model", "models", "learning", "neural", "data", "algorithm", "intelligence"],
     "Funding & Deals": ["funding", "raised", "round", "deal", "deals", "investor", "acquisition", "$"],
     "Market Trends": ["market", "markets", "trend", "growth", "demand", "price", "prices", "percent"],
-    "Legal Tech": ["legal", "law", "court", "litigation", "attorney", "contract", "lawyer"],
+    "Legal Tech": ["legal", "law", "court", "litigation", "attorney", "contract", "lawyer", "license",
+                   "licensed", "copyright"],
     "Product Launches": ["launch", "launched", "release", "released", "product", "new", "version"],
     "Policy & Regulation": ["policy", "regulation", "rule", "rules", "government", "compliance", "act"],
     "Domain-Relevant": ["tort", "class", "medical", "record", "records", "health", "healthcare"],
 }
 # Our own domain-flag keywords.
-FLAG_KEYWORDS = ["legal", "litigation", "tort", "class", "medical", "health", "court"]
+FLAG_KEYWORDS = ["legal", "litigation", "tort", "class", "medical", "health", "court", "license",
+                 "licensed", "rights"]
 
 
 def categories_df(spark: SparkSession) -> DataFrame:
