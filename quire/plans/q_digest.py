@@ -29,7 +29,7 @@ def digests(spark, sf_dir, p=P):
     nl = I.persist(newsletters(spark, sf_dir, p))   # bounded: <= max_messages per day and label
     ed = D.extractive_digests(nl, spark, p)
     resp = ed.select(*S.DAY_KEYS, D.digest_json(ed).alias("response"))
-    return nl, D.parse_responses(resp)
+    return nl, I.persist(D.parse_responses(resp))    # one row per day and label, reused downstream
 
 
 def pages(spark, sf_dir, p=P):
