@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from quire.functions.text import token_estimate
 from quire.operators.prompts import MERGE_TEMPLATE, PARTIAL_SEP, long_date
 from quire.params import DEFAULT, Params
-from quire.session import ensure_checkpoint_dir
+from quire.session import ensure_checkpoint_dir, ship_package
 
 Model = Callable[[list[str]], list[str]]
 ModelFactory = Callable[[], Model]
@@ -54,6 +54,7 @@ def offline_model() -> Model:
 def infer(prompts: DataFrame, factory: ModelFactory = offline_model, batch_size: int = 8,
           partitions: int | None = None, prompt_col: str = "prompt") -> DataFrame:
     """prompts -> prompts + (prompt_hash, response, error), one model per partition."""
+    ship_package(prompts.sparkSession)
     df = prompts.withColumn("prompt_hash", F.sha2(F.col(prompt_col), 256))
     if partitions:
         df = df.repartition(partitions, "prompt_hash")

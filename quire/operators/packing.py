@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 
 from quire.functions.text import token_estimate
 from quire.params import DEFAULT, Params
-from quire.session import ensure_checkpoint_dir
+from quire.session import ensure_checkpoint_dir, ship_package
 
 
 def _persist(df: DataFrame) -> DataFrame:
@@ -47,6 +47,7 @@ def chunk_assign_scan(nl: DataFrame, p: Params = DEFAULT, keys: list[str] | None
     if p.message_overhead <= 0:
         raise ValueError("the distributed packer needs message_overhead > 0 (bounded chunk length)")
     spark = nl.sparkSession
+    ship_package(spark)
     D = p.max_input_tokens - p.prompt_overhead
     K = max(D // p.message_overhead + 1, 1)
     M = max(bucket, 2 * K)

@@ -33,6 +33,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -55,3 +56,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for an intermediate table, inside the shared checkpoint folder."""
     base = (spark.sparkContext.getCheckpointDir() or ensure_checkpoint_dir(spark)).rstrip("/")
     return f"{base}/{name}"
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``quire`` importable in executor Python workers (``mapInPandas`` and
+    ``applyInPandas`` functions refer to it): zip the package once per SparkContext
+    and register it with ``addPyFile``, which Spark distributes to every executor."""
+    import zipfile
+
+    import quire
+    sc = spark.sparkContext
+    key = id(sc._jsc)
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(quire.__file__))
+    root = os.path.dirname(pkg)
+    path = os.path.join(tempfile.mkdtemp(prefix="quire-pkg-"), "quire.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    _SHIPPED.add(key)
