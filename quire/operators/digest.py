@@ -94,6 +94,18 @@ def extractive_digests(nl: DataFrame, spark: SparkSession, p: Params = DEFAULT)
                     F.coalesce("active_categories", empty_array()).alias("active_categories"))
 
 
+NO_INPUT_SUMMARY = "No newsletters received today."
+
+
+def empty_digest() -> Column:
+    """The digest of a day without input (I6). Days without messages produce no row,
+    as in the reference's command line run; this is the library default."""
+    return F.struct(F.lit(NO_INPUT_SUMMARY).alias("executive_summary"), empty_categories().alias("categories"),
+                    F.array().cast(T.ArrayType(SOURCE_T)).alias("per_source"),
+                    empty_array().alias("domain_flags"), empty_array().alias("active_categories"),
+                    F.lit(None).cast("string").alias("parse_error"), F.lit(None).cast("string").alias("raw_response"))
+
+
 def digest_json(d: DataFrame) -> Column:
     """The digest as the JSON answer a model would give."""
     return F.to_json(F.struct(*[F.col(c) for c in

@@ -113,8 +113,9 @@ def merge_partials(partials: DataFrame, keys: list[str], factory: ModelFactory =
     """
     from quire.operators.chunking import chunk_assign   # greedy packing, reused
 
-    level = partials.select(*keys, F.col("chunk_id").alias("part"), "response")
-    done = level.filter(F.col("part") == 0).select(*keys, "response")
+    err = F.col("error") if "error" in partials.columns else F.lit(None).cast("string")
+    level = partials.select(*keys, F.col("chunk_id").alias("part"), "response", err.alias("error"))
+    done = level.filter(F.col("part") == 0).select(*keys, "response", "error")
     level = level.filter(F.col("part") != 0)
     for depth in range(max_levels):
         # the last level merges whatever is left in one call per day, as the reference does
@@ -130,12 +131,12 @@ def merge_partials(partials: DataFrame, keys: list[str], factory: ModelFactory =
                     .withColumn("prompt", F.format_string(MERGE_TEMPLATE, long_date(F.col("digest_date")),
                                                           F.col("__m")))
                     .drop("__m"))
-        answered = persist(infer(prompts, factory).select(*keys, F.col("grp").alias("part"), "response"))
+        answered = persist(infer(prompts, factory).select(*keys, F.col("grp").alias("part"), "response", "error"))
         n_left = answered.groupBy(*keys).count().filter(F.col("count") > 1).limit(1).count()
         level = answered
         if n_left == 0:
             break
-    return done.unionByName(level.select(*keys, "response"))
+    return done.unionByName(level.select(*keys, "response", "error"))
 
 
 def prompt_tokens(prompt_col: str = "prompt", p: Params = DEFAULT):

@@ -19,6 +19,15 @@ from quire.params import DEFAULT, Params
 DAY_KEYS = ["digest_date", "label"]
 
 
+def with_list_pos(listing: DataFrame) -> DataFrame:
+    """List order when the source gives none (S4): newest first, then message id.
+    A struct sorts like the pair and needs no per-day window (no one-task day)."""
+    if "list_pos" in listing.columns:
+        return listing
+    return listing.withColumn("list_pos", F.struct((-F.unix_micros(F.col("received_ts"))).alias("age"),
+                                                  F.col("message_id").alias("id")))
+
+
 def label_catalog(message_labels: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """Label names with message counts, sorted, and whether the configured label
     exists (A4)."""

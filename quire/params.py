@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as _dt
 from dataclasses import dataclass, replace
 
 
@@ -26,3 +27,13 @@ class Params:
 
 
 DEFAULT = Params()
+
+
+def target_day(date: str | None = None, today: bool = False,
+               now: _dt.datetime | None = None) -> _dt.date:
+    """The day to brief (C3): an explicit YYYY-MM-DD date, else today if asked,
+    else yesterday. A malformed date raises ValueError (validated on the driver)."""
+    if date is not None:
+        return _dt.datetime.strptime(date, "%Y-%m-%d").date()
+    now = now or _dt.datetime.now()
+    return now.date() if today else (now - _dt.timedelta(days=1)).date()

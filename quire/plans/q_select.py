@@ -14,6 +14,7 @@ from quire.plans.registry import query
 from quire.sources import catalog as C
 
 P = DEFAULT
+DD = "CAST(digest_date AS VARCHAR) AS digest_date"
 TARGET_DAY = _dt.date(2024, 1, 3)
 
 
@@ -117,3 +118,12 @@ SELECT CAST(digest_date AS VARCHAR) AS digest_date, label, list_pos, message_id,
 def q_newsletter_records(spark, sf_dir):
     return newsletters(spark, sf_dir).select(
         "digest_date", "label", "list_pos", "message_id", "subject", "sender", "date", "body")
+
+
+@query("message_previews", f"""
+WITH {Q.newsletters_cte(P)}
+SELECT {DD}, label, list_pos, message_id, substring(sender, 1, 50) AS sender_preview,
+       substring(subject, 1, 60) AS subject_preview FROM nl""")
+def q_message_previews(spark, sf_dir):
+    from quire.sinks.stats import message_previews
+    return message_previews(newsletters(spark, sf_dir))

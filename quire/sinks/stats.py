@@ -7,7 +7,17 @@ from pyspark.sql import functions as F
 
 from quire.operators.select import DAY_KEYS
 
+# Preview lengths of the run log.
 PREVIEW = 100
+SENDER_PREVIEW = 50
+SUBJECT_PREVIEW = 60
+
+
+def message_previews(nl: DataFrame) -> DataFrame:
+    """Per selected message: sender and subject previews as the run log shows them."""
+    return nl.select(*DAY_KEYS, "list_pos", "message_id",
+                     F.substring("sender", 1, SENDER_PREVIEW).alias("sender_preview"),
+                     F.substring("subject", 1, SUBJECT_PREVIEW).alias("subject_preview"))
 
 
 def run_stats(fetched: DataFrame, counts: DataFrame, digests: DataFrame) -> DataFrame:
