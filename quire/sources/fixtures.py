@@ -66,13 +66,17 @@ def _mid(mime: str, data: Column | None, parts: list[Column] | None) -> Column:
 
 
 def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents")
+    d0 = table(spark, sf_dir, "documents")
     doc = F.col("doc_id")
     text = F.coalesce(F.col("text"), F.lit(""))
-    subj = first_line(F.col("text"))
-    b_text = F.when(F.pmod(doc, F.lit(MOD_BAD)) == BAD_B64, F.concat(b64url_encode(text), F.lit("A"))) \
-        .otherwise(b64url_encode(text))
-    b_html = b64url_encode(html_of(text, subj))
+    subj0 = first_line(F.col("text"))
+    enc = b64url_encode(text)
+    # encode once per row in its own projection; the JSON below refers to it several times
+    d = d0.select("doc_id", "source", subj0.alias("subj"),
+                  F.when(F.pmod(doc, F.lit(MOD_BAD)) == BAD_B64, F.concat(enc, F.lit("A"))).otherwise(enc)
+                  .alias("b_text"),
+                  b64url_encode(html_of(text, subj0)).alias("b_html"))
+    subj, b_text, b_html = F.col("subj"), F.col("b_text"), F.col("b_html")
     shape = F.pmod(doc, F.lit(N_SHAPES))
     root_mime = (F.when(shape == 0, "text/plain").when(shape == 1, "text/html")
                   .when(shape == 2, "multipart/alternative").otherwise("multipart/mixed"))
