@@ -93,3 +93,25 @@ def test_blocks_per_page_bounded(spark):
     _, d = digests(spark, SF_SMALL, DEFAULT.with_(max_messages=1000))
     b = L.digest_blocks(d).filter("child_pos = 0").groupBy("digest_date", "label").count()
     assert b.agg(F.max("count")).collect()[0][0] <= DEFAULT.block_limit
+
+
+def test_line_cleanup_equals_python_on_random_text(spark):
+    """clean_lines == Python's splitlines/strip/drop-empty/drop-repeat on random text
+    built from every line-break and white-space class, and ustrip == str.strip."""
+    import random
+    rnd = random.Random(7)
+    chars = ["a", "b", " ", "\n", "\r", "\r\n", "\t", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x1f",
+             "\x85", " ", " ", " ", "\xa0", "　", "x", "é"]
+    rows = [("".join(rnd.choice(chars) for _ in range(rnd.randint(0, 40))),) for _ in range(20000)]
+    df = spark.createDataFrame(rows, "text string")
+
+    def py(s):
+        out = []
+        for line in (x.strip() for x in s.splitlines()):
+            if line and (not out or out[-1] != line):
+                out.append(line)
+        return "\n".join(out)
+
+    got = df.select("text", T.clean_lines(F.col("text")).alias("c"), T.ustrip(F.col("text")).alias("s")).collect()
+    assert all(r["c"] == py(r["text"]) for r in got)
+    assert all(r["s"] == r["text"].strip() for r in got)
