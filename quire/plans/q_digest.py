@@ -43,9 +43,6 @@ def icon_case(x: str) -> str:
     return f"(CASE {x} {whens} ELSE {Q.lit(TX.DEFAULT_ICON)} END)"
 
 
-WHITELIST = "[" + ", ".join(Q.lit(n) for n in TX.category_names()) + "]"
-
-
 def page_ctes(p) -> str:
     from quire.operators.digest import URL
     from quire.operators.extract import FACT, FACTS_PER_SOURCE, LEAD_SENTENCES

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import functions as F
-
 from quire.operators import chunking as K
 from quire.operators import digest as D
 from quire.operators import inference as I

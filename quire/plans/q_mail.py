@@ -17,7 +17,6 @@ from quire.sources import catalog as C
 from quire.sources import fixtures as FX
 from quire.sources import mail as M
 
-DD = "CAST(digest_date AS VARCHAR) AS digest_date"
 HTML_SQL = ("'<html><head><title>' || subj || '</title></head><body><p>' || replace(text, chr(10), '</p><p>') "
             "|| '</p></body></html>'")
 DOCS = f"""docs0 AS (
