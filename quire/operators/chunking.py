@@ -31,17 +31,25 @@ def with_blocks(nl: DataFrame, keys: list[str]) -> DataFrame:
                                                  F.col("date"), F.col("body"))))
 
 
+def digits_1_to_n(n: Column) -> Column:
+    """Total number of decimal digits of 1, 2, ..., n (closed form, no numbering)."""
+    return sum((F.greatest(n - F.lit(10 ** (d - 1)) + 1, F.lit(0)) for d in range(1, 19)), F.lit(0))
+
+
 def daily_tokens(nl: DataFrame, p: Params = DEFAULT, keys: list[str] = DAY_KEYS) -> DataFrame:
     """Estimate of the whole day's prompt block + overhead (G3), without building it:
-    sum of block lengths plus the separators, then one integer division."""
-    b = with_blocks(nl, keys)
-    return (b.groupBy(*keys)
-             .agg(F.count(F.lit(1)).alias("n_messages"),
-                  F.sum(F.length("block")).alias("__chars"))
-             .select(*keys, "n_messages",
-                     (F.floor((F.col("__chars") + F.lit(len(BLOCK_SEP)) * (F.col("n_messages") - 1))
-                              / F.lit(p.chars_per_token)) + F.lit(p.prompt_overhead))
-                     .cast("bigint").alias("total_tokens")))
+    block lengths without their running number, plus the digits of 1..n, plus the
+    separators, then one integer division. A plain aggregate (combined map-side): no
+    per-day numbering, so a day of any size never lands in one task."""
+    unnumbered = F.length(message_block(F.lit(0), F.col("sender"), F.col("subject"), F.col("date"),
+                                        F.col("body"))) - 1
+    n = F.col("n_messages")
+    return (nl.groupBy(*keys)
+              .agg(F.count(F.lit(1)).alias("n_messages"), F.sum(unnumbered).alias("__chars"))
+              .select(*keys, "n_messages",
+                      (F.floor((F.col("__chars") + digits_1_to_n(n) + F.lit(len(BLOCK_SEP)) * (n - 1))
+                               / F.lit(p.chars_per_token)) + F.lit(p.prompt_overhead))
+                      .cast("bigint").alias("total_tokens")))
 
 
 def chunk_assign(nl: DataFrame, p: Params = DEFAULT, keys: list[str] = DAY_KEYS) -> DataFrame:
