@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import functions as F
+
+from quire.functions.taxonomy import category_bullets_text
 from quire.operators import chunking as K
 from quire.operators import digest as D
 from quire.operators import inference as I
 from quire.operators import select as S
-from quire.operators.prompts import render_prompts
+from quire.operators.prompts import EXTRACT_TEMPLATE, render_prompts
 from quire.params import DEFAULT
 from quire.plans import sql as Q
-from quire.plans.q_chunks import PC, calls
+from quire.plans.q_chunks import PC, calls, calls_sql
 from quire.plans.q_digest import digests
 from quire.plans.q_extract import EXEC, base
 from quire.plans.registry import query
@@ -31,14 +34,32 @@ def scratch(spark, name):
     return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-@query("infer")
+# The offline model is deterministic: it names how many messages (or, in a merge,
+# partial answers) its prompt holds, so the model path has an exact SQL oracle.
+OFFLINE = "'Offline briefing covering ' || CAST({n} AS VARCHAR) || ' item(s).'"
+PROMPT_SQL = (f"printf({Q.lit(EXTRACT_TEMPLATE)}, strftime(digest_date, '%B %d, %Y'), n_messages, "
+              f"{Q.lit(category_bullets_text())}, block)")
+
+
+@query("infer", f"""
+WITH RECURSIVE {Q.newsletters_cte(PC)}, {calls_sql(PC)}
+SELECT {DD}, label, chunk_id, sha256({PROMPT_SQL}) AS prompt_hash,
+       {OFFLINE.format(n='n_messages')} AS executive_summary, CAST(NULL AS VARCHAR) AS error
+FROM blocks""")
 def q_infer(spark, sf_dir):
     """Every prompt answered by the (offline) model, in parallel per partition."""
     r = I.infer(prompts(spark, sf_dir), I.offline_model, partitions=8)
-    return r.select("digest_date", "label", "chunk_id", "prompt_hash", "response", "error")
+    return r.select("digest_date", "label", "chunk_id", "prompt_hash",
+                    F.get_json_object("response", "$.executive_summary").alias("executive_summary"), "error")
 
 
-@query("chunk_merge")
+@query("chunk_merge", f"""
+WITH RECURSIVE {Q.newsletters_cte(PC)}, {calls_sql(PC)}
+SELECT {DD}, label,
+       CASE WHEN max(chunk_id) = 0 THEN {OFFLINE.format(n='max(n_messages)')}
+            ELSE {OFFLINE.format(n='count(*)')} END AS executive_summary,
+       CAST(NULL AS VARCHAR) AS parse_error
+FROM blocks GROUP BY digest_date, label""")
 def q_chunk_merge(spark, sf_dir):
     """Partial answers of chunked days merged (budget-checked, level by level)."""
     r = I.persist(I.infer(prompts(spark, sf_dir), I.offline_model))
