@@ -163,12 +163,13 @@ def mime_parts(msg: Column, p: Params = DEFAULT) -> Column:
 
 
 def too_deep(msg: Column, p: Params = DEFAULT) -> Column:
-    """True if some multipart subtree goes below ``mime_depth`` (kept as JSON text)."""
+    """True if the body walk would enter a subtree below ``mime_depth`` (kept as JSON
+    text): only the root and multipart nodes are entered."""
     def walk(n: Column, depth: int) -> Column:
         if depth == p.mime_depth:
             return n["parts"].isNotNull()
         kids = F.coalesce(n["parts"], F.array().cast(T.ArrayType(node_type(depth + 1, p.mime_depth))))
-        return F.exists(kids, lambda c: walk(c, depth + 1))
+        return F.exists(kids, lambda c: F.startswith(_mime(c), F.lit("multipart/")) & walk(c, depth + 1))
     return F.coalesce(walk(msg["payload"], 0), F.lit(False))
 
 
@@ -185,8 +186,9 @@ def _decode_columns(p: Params) -> tuple:
     if key not in _COLS_CACHE:
         msg = F.col("msg")
         parts = mime_parts(msg, p)
-        bad_b64 = F.exists(parts, lambda x: (F.coalesce(x["data"], F.lit("")) != "") &
-                           F.isnull(b64url_decode(x["data"])))
+        # only text bodies are ever decoded; a broken attachment is not an error
+        bad_b64 = F.exists(parts, lambda x: x["mime"].isin(HTML, PLAIN) &
+                           (F.coalesce(x["data"], F.lit("")) != "") & F.isnull(b64url_decode(x["data"])))
         _COLS_CACHE.clear()
         _COLS_CACHE[key] = (
             header(msg, "Subject").alias("subject"), header(msg, "From").alias("sender"),

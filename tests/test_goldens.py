@@ -224,3 +224,22 @@ def test_categories_icons_and_details(spark):
     d2 = _digest_df(spark, 0, {"A": [], "B": []})
     t2 = [r["text"] for r in L.digest_blocks(d2).orderBy("block_pos").collect()]
     assert L.H_CATEGORIES in t2                                       # heading even if every list is empty
+
+
+def test_quarantine_reasons(spark):
+    deep = leaf("text/plain", "too deep")
+    for _ in range(10):
+        deep = leaf("multipart/mixed", parts=[deep])
+    fwd = leaf("text/plain", "x")
+    for _ in range(10):
+        fwd = leaf("message/rfc822", parts=[fwd])
+    cases = [
+        leaf("multipart/mixed", parts=[leaf("application/pdf", data="%%%"), leaf("text/plain", "ok body")]),
+        leaf("multipart/mixed", parts=[leaf("text/plain", data="a")]),          # lone char: undecodable
+        deep,                                                                   # walk goes below depth 8
+        leaf("multipart/mixed", parts=[fwd, leaf("text/plain", "fine")]),      # deep but never entered
+    ]
+    got, q = bodies(spark, cases)
+    stages = sorted((r["message_id"], r["stage"]) for r in q)
+    assert got[0] == "ok body" and got[3] == "fine"
+    assert stages == [(1, "decode"), (2, "mime")]
