@@ -28,14 +28,22 @@ MARKUP = (
     r"(?is)<(?:!--.*?-->|script\b.*?</script\s*>|style\b.*?</style\s*>"
     r"|noscript\b.*?</noscript\s*>|[a-z/!?][^>]*>)"
 )
-# Named and numeric entities decoded after markup removal; "&amp;" is last so
-# that "&amp;lt;" yields "&lt;" as a single decoding pass would.
+# Named character references decoded after markup removal (HTML standard values);
+# numeric references (&#NNN; and &#xHH;) are decoded too, in the same single pass.
 ENTITIES = [
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-    ("&nbsp;", "\xa0"), ("&middot;", "\xb7"), ("&copy;", "\xa9"), ("&reg;", "\xae"),
-    ("&mdash;", "—"), ("&ndash;", "–"), ("&hellip;", "…"),
+    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", "\xa0"),
+    ("&middot;", "\xb7"), ("&copy;", "\xa9"), ("&reg;", "\xae"), ("&trade;", "\u2122"),
+    ("&mdash;", "\u2014"), ("&ndash;", "\u2013"), ("&hellip;", "\u2026"), ("&bull;", "\u2022"),
+    ("&lsquo;", "\u2018"), ("&rsquo;", "\u2019"), ("&ldquo;", "\u201c"), ("&rdquo;", "\u201d"),
+    ("&laquo;", "\xab"), ("&raquo;", "\xbb"), ("&euro;", "\u20ac"), ("&pound;", "\xa3"),
+    ("&yen;", "\xa5"), ("&cent;", "\xa2"), ("&deg;", "\xb0"), ("&times;", "\xd7"),
+    ("&divide;", "\xf7"), ("&shy;", "\xad"), ("&zwnj;", "\u200c"), ("&zwj;", "\u200d"),
+    ("&ensp;", "\u2002"), ("&emsp;", "\u2003"), ("&thinsp;", "\u2009"),
     ("&amp;", "&"),
 ]
+# Entity references at the start of a piece that follows an "&".
+NAMED_REF = r"^([A-Za-z][A-Za-z0-9]{1,31});"
+NUMERIC_REF = r"^#(?:[xX]([0-9A-Fa-f]{1,6})|([0-9]{1,7}));"
 # Code fence that may wrap a model's JSON answer.
 FENCE = "```"
 # ---------------------------------------------------------------------------
@@ -51,11 +59,24 @@ def first_line(c: Column) -> Column:
 
 
 def decode_entities(c: Column) -> Column:
-    """Decode the listed entities; text without '&' skips the replace chain."""
-    out = c
-    for ent, ch in ENTITIES:
-        out = F.replace(out, F.lit(ent), F.lit(ch))
-    return F.when(F.instr(c, "&") > 0, out).otherwise(c)
+    """Decode character references in one left-to-right pass, as an HTML parser
+    does ("&amp;lt;" -> "&lt;", "&#38;lt;" -> "&lt;"): split on "&", decode the
+    reference a piece starts with, keep unknown or unterminated ones as text.
+    Invalid code points give U+FFFD. Text without "&" is returned as is."""
+    named = F.create_map(*[x for ent, ch in ENTITIES for x in (F.lit(ent[1:-1]), F.lit(ch))])
+
+    def piece(x, i):
+        ch = F.try_element_at(named, F.regexp_extract(x, NAMED_REF, 1))
+        hx, dc = F.regexp_extract(x, NUMERIC_REF, 1), F.regexp_extract(x, NUMERIC_REF, 2)
+        code = F.when(hx != "", F.conv(hx, 16, 10).cast("long")).when(dc != "", dc.cast("long"))
+        ok = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        num = F.when(ok, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "utf-32")).otherwise(F.lit("\ufffd"))
+        return (F.when(i == 0, x)
+                 .when(ch.isNotNull(), F.concat(ch, F.regexp_replace(x, NAMED_REF, "")))
+                 .when(code.isNotNull(), F.concat(num, F.regexp_replace(x, NUMERIC_REF, "")))
+                 .otherwise(F.concat(F.lit("&"), x)))
+
+    return F.when(F.instr(c, "&") > 0, F.array_join(F.transform(F.split(c, "&"), piece), "")).otherwise(c)
 
 
 # Collapses a run of equal consecutive lines (of a newline-joined text) to one.

@@ -6,7 +6,7 @@ They restate the same semantics independently in another engine's dialect
 
 from __future__ import annotations
 
-from quire.functions.text import ENTITIES, LINE_BREAK, MARKUP, WHITESPACE
+from quire.functions.text import ENTITIES, LINE_BREAK, MARKUP, NAMED_REF, NUMERIC_REF, WHITESPACE
 from quire.params import DEFAULT, Params
 from quire.sources import catalog
 
@@ -27,9 +27,19 @@ def first_line(x: str) -> str:
 
 
 def decode_entities(x: str) -> str:
-    for ent, ch in ENTITIES:
-        x = f"replace({x}, {lit(ent)}, chr({ord(ch)}))"
-    return x
+    """Single pass over the pieces after each '&' (DuckDB lists are 1-based)."""
+    names = " ".join(f"WHEN {lit(e[1:-1])} THEN chr({ord(c)})" for e, c in ENTITIES)
+    nm = f"regexp_extract(p, {lit(NAMED_REF)}, 1)"
+    hx, dc = f"regexp_extract(p, {lit(NUMERIC_REF)}, 1)", f"regexp_extract(p, {lit(NUMERIC_REF)}, 2)"
+    code = f"(CASE WHEN {hx} <> '' THEN CAST('0x' || {hx} AS BIGINT) WHEN {dc} <> '' THEN CAST({dc} AS BIGINT) END)"
+    num = (f"(CASE WHEN {code} BETWEEN 1 AND 55295 OR {code} BETWEEN 57344 AND 1114111 "
+           f"THEN chr(CAST({code} AS INTEGER)) ELSE chr(65533) END)")
+    body = (f"CASE WHEN i = 1 THEN p WHEN (CASE {nm} {names} END) IS NOT NULL "
+            f"THEN (CASE {nm} {names} END) || regexp_replace(p, {lit(NAMED_REF)}, '') "
+            f"WHEN {code} IS NOT NULL THEN {num} || regexp_replace(p, {lit(NUMERIC_REF)}, '') "
+            f"ELSE '&' || p END")
+    return (f"(CASE WHEN strpos({x}, '&') > 0 THEN "
+            f"array_to_string(list_transform(string_split({x}, '&'), lambda p, i: {body}), '') ELSE {x} END)")
 
 
 def strip_markup(x: str) -> str:
