@@ -18,7 +18,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.functions.text import token_estimate
 from quire.operators.prompts import MERGE_TEMPLATE, PARTIAL_SEP, long_date
 from quire.params import DEFAULT, Params
 from quire.session import ensure_checkpoint_dir, ship_package
@@ -137,7 +136,3 @@ def merge_partials(partials: DataFrame, keys: list[str], factory: ModelFactory =
         if n_left == 0:
             break
     return done.unionByName(level.select(*keys, "response", "error"))
-
-
-def prompt_tokens(prompt_col: str = "prompt", p: Params = DEFAULT):
-    return token_estimate(F.col(prompt_col), p.chars_per_token)

@@ -246,3 +246,17 @@ def test_quarantine_reasons(spark):
     stages = sorted((r["message_id"], r["stage"]) for r in q)
     assert got[0] == "ok body" and got[3] == "fine"
     assert stages == [(1, "decode"), (2, "mime")]
+
+
+def test_list_order_taxonomy_and_empty_day(spark):
+    import datetime as dt
+    from quire.functions.taxonomy import categories_df
+    rows = [("d", "L", 1, dt.datetime(2024, 1, 1, 9)), ("d", "L", 2, dt.datetime(2024, 1, 1, 10)),
+            ("d", "L", 3, dt.datetime(2024, 1, 1, 10))]
+    df = spark.createDataFrame(rows, "digest_date string, label string, message_id long, received_ts timestamp")
+    top = S.daily_topk(S.with_list_pos(df), DEFAULT.with_(max_messages=2))
+    assert sorted(r.message_id for r in top.collect()) == [2, 3]            # newest first, then id
+    cats = categories_df(spark).orderBy("cat_pos").collect()
+    assert [c.name for c in cats][0] == "AI & ML" and len(cats) == 7
+    e = spark.range(1).select(D.empty_digest().alias("d")).collect()[0].d
+    assert e.executive_summary == D.NO_INPUT_SUMMARY and e.per_source == []
