@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quire.operators import chunking as K
@@ -32,7 +32,9 @@ def run_day(listing: DataFrame, labels: DataFrame, bodies: DataFrame, day: _dt.d
     lab = S.label_filter(listing, labels, [p.label] if p.label else None)
     fetched = S.daily_topk(lab, p).groupBy(*S.DAY_KEYS).agg(F.count(F.lit(1)).alias("fetched"))
     kept, failed = S.newsletters(listing, labels, bodies, p, [p.label] if p.label else None)
-    nl = I.persist(kept)
+    seen = Observation("selection")          # in-flight counts, gathered by the job itself (B3)
+    nl = I.persist(kept.observe(seen, F.count(F.lit(1)).alias("newsletters"),
+                                F.sum(F.length("body")).alias("body_chars")))
     counts = S.daily_counts(nl)
     prompts = render_prompts(K.prompt_blocks(K.assign_calls(nl, p), p))
     answers = I.persist(I.infer_new(prompts, done, factory))
@@ -46,4 +48,4 @@ def run_day(listing: DataFrame, labels: DataFrame, bodies: DataFrame, day: _dt.d
         else:
             write_pages(pages, blocks, out)
     return {"newsletters": nl, "answers": answers, "digests": digests, "pages": pages, "blocks": blocks,
-            "quarantine": failed, "stats": run_stats(fetched, counts, digests)}
+            "quarantine": failed, "stats": run_stats(fetched, counts, digests), "observed": seen}

@@ -27,6 +27,7 @@ def test_run_day_end_to_end(spark):
     p = DEFAULT.with_(max_input_tokens=8000)          # some days take the chunked route
     r = run_day(*args, out=out, p=p)
     pages = r["pages"].collect()
+    assert r["observed"].get["newsletters"] == r["newsletters"].count()
     assert pages and all(x.status == "Generated" for x in pages)
     assert {x.label for x in pages} == {DEFAULT.label}
     first = sorted(spark.read.parquet(f"{out}/digest_pages").collect())
