@@ -48,6 +48,30 @@ def message_type(p: Params = DEFAULT) -> T.StructType:
                          T.StructField("_corrupt_record", T.StringType())])
 
 
+RAW_SCHEMA = T.StructType([T.StructField("message_id", T.StringType()), T.StructField("digest_date", T.DateType()),
+                           T.StructField("list_pos", T.LongType()), T.StructField("raw", T.StringType())])
+
+
+def read_raw(spark, path: str, fmt: str = "jsonl") -> DataFrame:
+    """Scan stored messages (A1) into ``messages_raw``.
+
+    * ``parquet``: a table with ``RAW_SCHEMA`` (explicit schema, no inference).
+    * ``jsonl``: one full-format message object per line, as the mail service returns
+      it. Lines are read as text, so a malformed one is kept (and quarantined when
+      decoded), not dropped by a JSON reader. The day is the local date of
+      ``internalDate`` (epoch ms); list order is newest first, then id.
+    """
+    if fmt == "parquet":
+        return spark.read.schema(RAW_SCHEMA).parquet(path)
+    if fmt != "jsonl":
+        raise ValueError(f"unknown format {fmt!r}")
+    lines = spark.read.text(path).select(F.col("value").alias("raw"))
+    ms = F.get_json_object("raw", "$.internalDate").try_cast("long")
+    ts = F.timestamp_millis(ms)
+    return lines.select(F.get_json_object("raw", "$.id").alias("message_id"), F.to_date(ts).alias("digest_date"),
+                        (-ms).alias("list_pos"), "raw")
+
+
 def parse_message(raw: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """Add ``msg`` (the parsed object; NULL fields + ``_corrupt_record`` on bad JSON)."""
     j = F.from_json(F.col("raw"), message_type(p),
