@@ -53,7 +53,17 @@ def rows(pdf: pd.DataFrame) -> list[tuple]:
     return sorted(out, key=repr)
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "boolean": "BOOLEAN",
+                 "double": "DOUBLE", "float": "FLOAT", "smallint": "SMALLINT", "tinyint": "TINYINT",
+                 "date": "DATE"}
+
+
 def compare(spark_df, con, sql: str) -> tuple[bool, str]:
+    st = {f.name: f.dataType.simpleString() for f in spark_df.schema.fields}
+    dt = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    bad = [(c, st[c], dt.get(c)) for c in st if SPARK_TO_DUCK.get(st[c], st[c]) != dt.get(c)]
+    if bad:
+        return False, f"column types differ: {bad}"
     s = spark_df.toPandas()
     o = con.execute(sql).df()
     if sorted(s.columns) != sorted(o.columns):
