@@ -16,6 +16,8 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # checkpoint files of intermediate results are removed once no longer referenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # rows are long texts (bodies up to 15,000 chars, prompts up to ~450 KB): keep
     # scan splits and post-shuffle partitions near 128 MB, and Arrow batches to the
     # model small enough that one batch of prompts stays far below executor memory

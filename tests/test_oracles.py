@@ -31,3 +31,4 @@ def test_entry(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert {"digest_date", "label", "title", "status"} <= set(df.columns)
+    assert E.entry(spark).schema == df.schema                  # stable schema across calls
