@@ -52,11 +52,16 @@ def offline_model() -> Model:
 
 def infer(prompts: DataFrame, factory: ModelFactory = offline_model, batch_size: int = 8,
           partitions: int | None = None, prompt_col: str = "prompt") -> DataFrame:
-    """prompts -> prompts + (prompt_hash, response, error), one model per partition."""
+    """prompts -> prompts + (prompt_hash, response, error), one model per partition.
+
+    Model calls, not bytes, dominate this stage, and a few thousand prompts would
+    otherwise sit in the few partitions AQE coalesces them into; so prompts are spread
+    by hash over ``partitions`` (default: the cluster's default parallelism)."""
     ship_package(prompts.sparkSession)
     df = prompts.withColumn("prompt_hash", F.sha2(F.col(prompt_col), 256))
-    if partitions:
-        df = df.repartition(partitions, "prompt_hash")
+    n = partitions or prompts.sparkSession.sparkContext.defaultParallelism
+    if n and n > 1:
+        df = df.repartition(n, "prompt_hash")
     schema = T.StructType(df.schema.fields + [T.StructField("response", T.StringType()),
                                               T.StructField("error", T.StringType())])
 
