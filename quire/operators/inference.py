@@ -122,13 +122,16 @@ def merge_partials(partials: DataFrame, keys: list[str], factory: ModelFactory =
     done = level.filter(F.col("part") == 0).select(*keys, "response", "error")
     level = level.filter(F.col("part") != 0)
     for depth in range(max_levels):
-        # the last level merges whatever is left in one call per day, as the reference does
-        budget = p.max_input_tokens if depth < max_levels - 1 else 10 ** 15
-        items = level.select(*keys, F.col("part").alias("list_pos"), F.col("part").alias("message_id"),
-                             F.col("response").alias("body"))
-        groups = chunk_assign(items, p.with_(message_overhead=0, max_input_tokens=budget), keys)
-        g = level.join(groups.select(*keys, F.col("message_id").alias("part"), F.col("chunk_id").alias("grp")),
-                       [*keys, "part"])
+        if depth < max_levels - 1:
+            # pack partial answers into merge calls within the budget (each counts >= 1 token)
+            items = level.select(*keys, F.col("part").alias("list_pos"), F.col("part").alias("message_id"),
+                                 F.col("response").alias("body"))
+            groups = chunk_assign(items, p.with_(message_overhead=1), keys)
+            g = level.join(groups.select(*keys, F.col("message_id").alias("part"),
+                                         F.col("chunk_id").alias("grp")), [*keys, "part"])
+        else:
+            # the last level merges whatever is left in one call per day, as the reference does
+            g = level.withColumn("grp", F.lit(1))
         merged_text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("part", "response"))),
                                                lambda x: F.coalesce(x["response"], F.lit(""))), PARTIAL_SEP)
         prompts = (g.groupBy(*keys, "grp").agg(merged_text.alias("__m"))

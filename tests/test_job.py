@@ -35,3 +35,12 @@ def test_run_day_end_to_end(spark):
     assert sorted(spark.read.parquet(f"{out}/digest_pages").collect()) == first
     one = run_day(*args, day=dt.date(2024, 1, 2), p=p)["pages"].collect()
     assert [str(x.digest_date) for x in one] == ["2024-01-02"]
+
+
+def test_run_day_without_message_limit(spark):
+    args = (C.message_keys(spark, SF_SMALL), C.message_labels(spark, SF_SMALL), C.bodies(spark, SF_SMALL))
+    p = DEFAULT.with_(max_input_tokens=6000, max_messages=None)   # whole days, distributed packing
+    r = run_day(*args, p=p)
+    pages = r["pages"].collect()
+    assert pages and all(x.status == "Generated" for x in pages)
+    assert r["digests"].count() == len(pages)
