@@ -93,8 +93,48 @@ def clean_lines(c: Column) -> Column:
     return F.regexp_replace(F.array_join(lines, "\n"), REPEATED_LINE, "$1")
 
 
+# Long, malformed mail can make the markup regex quadratic: a lazy content branch
+# (script/style/noscript/comment) rescans to the end of the text for every opening
+# that has no closing tag after it, and any "<x" with no ">" after it rescans too.
+# Two exact rewrites keep it linear (used above DEFUSE_ABOVE characters only):
+# * no match can start or end after the last ">", so that remainder is left as is;
+# * before it, an opening after the last closing tag of its kind can only match as a
+#   plain tag; rewriting it (below) keeps that match and its output, and makes the
+#   content branch fail at once. Fixed rewrites: (closing, opening, rewritten opening).
+CONTENT_ELEMENTS = [
+    (r"</script\s*>", r"(?i)<script", "<scrip\x00t"),
+    (r"</style\s*>", r"(?i)<style", "<styl\x00e"),
+    (r"</noscript\s*>", r"(?i)<noscript", "<noscrip\x00t"),
+    (r"-->", r"<!--", "<!-\x00-"),
+]
+DEFUSE_ABOVE = 200_000
+
+
+def _split_last(v: Column, pattern: str) -> tuple[Column, Column]:
+    """(text up to and including the last match of ``pattern``, the rest): one greedy pass."""
+    return (F.regexp_extract(v, f"(?s)^(.*{pattern})?", 1),
+            F.regexp_extract(v, f"(?s)^(?:.*{pattern})?(.*)$", 1))
+
+
+def _markup_linear(html: Column) -> Column:
+    def defuse(x: Column, close: str, opening: str, repl: str) -> Column:
+        def bound(v):
+            head, tail = _split_last(v, "(?i:" + close + ")")
+            return F.concat(head, F.regexp_replace(tail, opening, repl))
+        return F.get(F.transform(F.array(x), bound), 0)        # binds x once
+
+    def on_body(v):
+        body, rest = _split_last(v, ">")
+        for close, opening, repl in CONTENT_ELEMENTS:
+            body = defuse(body, close, opening, repl)
+        return F.concat(F.regexp_replace(body, MARKUP, "\n"), rest)
+    return F.get(F.transform(F.array(html), on_body), 0)
+
+
 def strip_markup(html: Column) -> Column:
-    return decode_entities(F.regexp_replace(html, MARKUP, "\n"))
+    marked = F.when(F.length(html) > DEFUSE_ABOVE, _markup_linear(html)) \
+        .otherwise(F.regexp_replace(html, MARKUP, "\n"))
+    return decode_entities(marked)
 
 
 def html_to_text(html: Column) -> Column:

@@ -115,3 +115,26 @@ def test_line_cleanup_equals_python_on_random_text(spark):
     got = df.select("text", T.clean_lines(F.col("text")).alias("c"), T.ustrip(F.col("text")).alias("s")).collect()
     assert all(r["c"] == py(r["text"]) for r in got)
     assert all(r["s"] == r["text"].strip() for r in got)
+
+
+def test_linear_markup_path_is_exact(spark):
+    """The long-text markup path (split at the last '>', defused unclosed openings)
+    equals the plain regex on random tag soups, unterminated tags included."""
+    import random
+    rnd = random.Random(11)
+    toks = ["<script>", "</script>", "<SCRIPT a=1>", "</script >", "<style>", "</style>", "<noscript>",
+            "</noscript>", "<!--", "-->", "<p>", "</p>", "text", " ", "\n", "<b>", "a>b", "<!x>", "<scripts>",
+            "<", ">", "<a", "-", "!"]
+    rows = [("".join(rnd.choice(toks) for _ in range(rnd.randint(0, 60))),) for _ in range(10000)]
+    df = spark.createDataFrame(rows, "h string")
+    plain = F.regexp_replace(F.col("h"), T.MARKUP, "\n")
+    assert df.filter(plain != T._markup_linear(F.col("h"))).count() == 0
+
+
+def test_unclosed_openings_stay_linear(spark):
+    import time
+    body = "<p>" + "x" * 1_000_000 + "</p>" + ("<script>" + "y" * 200) * 5000
+    df = spark.createDataFrame([(body,)], "h string")
+    t = time.time()
+    n = df.select(F.length(T.html_to_text(F.col("h")))).collect()[0][0]
+    assert n > 1_000_000 and time.time() - t < 60          # quadratic regex: minutes
