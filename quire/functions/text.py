@@ -49,6 +49,12 @@ FENCE = "```"
 # ---------------------------------------------------------------------------
 
 
+def let(x: Column, body) -> Column:
+    """``body(x)`` with ``x`` evaluated once, even inside lambdas, where Spark does not
+    eliminate common subexpressions (a one-element ``transform`` binds it)."""
+    return F.get(F.transform(F.array(x), body), 0)
+
+
 def ustrip(c: Column) -> Column:
     """Python ``str.strip()``: remove Unicode white space at both ends."""
     return F.trim(c, F.lit(WHITESPACE))
@@ -76,7 +82,8 @@ def decode_entities(c: Column) -> Column:
                  .when(code.isNotNull(), F.concat(num, F.regexp_replace(x, NUMERIC_REF, "")))
                  .otherwise(F.concat(F.lit("&"), x)))
 
-    return F.when(F.instr(c, "&") > 0, F.array_join(F.transform(F.split(c, "&"), piece), "")).otherwise(c)
+    return let(c, lambda v: F.when(F.instr(v, "&") > 0, F.array_join(F.transform(F.split(v, "&"), piece), ""))
+               .otherwise(v))
 
 
 # Collapses a run of equal consecutive lines (of a newline-joined text) to one. The
@@ -132,8 +139,8 @@ def _markup_linear(html: Column) -> Column:
 
 
 def strip_markup(html: Column) -> Column:
-    marked = F.when(F.length(html) > DEFUSE_ABOVE, _markup_linear(html)) \
-        .otherwise(F.regexp_replace(html, MARKUP, "\n"))
+    marked = let(html, lambda v: F.when(F.length(v) > DEFUSE_ABOVE, _markup_linear(v))
+                 .otherwise(F.regexp_replace(v, MARKUP, "\n")))
     return decode_entities(marked)
 
 
