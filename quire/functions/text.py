@@ -78,6 +78,7 @@ def decode_entities(c: Column) -> Column:
         ok = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
         num = F.when(ok, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "utf-32")).otherwise(F.lit("\ufffd"))
         return (F.when(i == 0, x)
+                 .when(~x.rlike("^[A-Za-z#]"), F.concat(F.lit("&"), x))      # cannot start a reference
                  .when(ch.isNotNull(), F.concat(ch, F.regexp_replace(x, NAMED_REF, "")))
                  .when(code.isNotNull(), F.concat(num, F.regexp_replace(x, NUMERIC_REF, "")))
                  .otherwise(F.concat(F.lit("&"), x)))
