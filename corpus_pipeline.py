@@ -9,22 +9,47 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import packing, simhash
+from quire.llm import decontam, packing, pii, quality, simhash
 from quire.llm.common import materialise, table
 from quire.llm.tokens import vocabulary_path
 
 
+PII_KEY = "corpus"         # a run on real data passes its own
+
+
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the compression classifier rejects go. It is learnt from the labels
+    of the documents that reach it."""
+    return quality.keep_good(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays."""
     return simhash.keep_one_of_each(docs)
 
 
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold benchmark passages go."""
+    return decontam.keep_clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal numbers, dates, addresses and secrets get pseudonyms."""
+    return pii.pseudonymise(docs, PII_KEY, counts=False).select(docs.columns)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of packed sequences."""
     return packing.pack_documents(docs, vocabulary_path())
 
 
-STAGES = [("near_duplicates", near_duplicates), ("packing", pack)]
+STAGES = [
+    ("quality", quality_filter),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontaminate),
+    ("pseudonyms", pseudonymise),
+    ("packing", pack),
+]
 
 # Fingerprints and token ids are beyond SQL; the stages are tested against brute force.
 ORACLE_SQL = None

@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import packing, sharding, simhash, tokenstore, warc
-from quire.llm.common import prepare, table
+from quire.llm import decontam, langid, packing, pii, quality, robust, sharding, simhash, tokenstore, warc
+from quire.llm.common import held_out, prepare, table
 from quire.llm.tokens import vocabulary_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +75,67 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
                                       sharding.with_own_subtree(tree, SHARDS))
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard",
                          F.col("slot").cast("long"), "grown_shard")
+
+
+@query("op2_quality")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.with_scores(docs, model).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@query("op3_language")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document."""
+    docs = table(spark, sf_dir, "documents")
+    net = langid.train(docs)
+    return langid.with_language(docs.select("doc_id", "text"), net).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+PII_KEY = "corpus"         # a run on real data passes its own
+
+
+@query("op4_pseudonyms")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text with its personal numbers pseudonymised, and their counts."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymise(docs, PII_KEY).select(
+        "doc_id", "text", *[F.col("pii_counts")[k].cast("long").alias(f"n_{k}") for k in pii.KINDS])
+
+
+@query("op6_decontamination", oracle=r"""
+WITH letters AS (SELECT 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' AS up, 'abcdefghijklmnopqrstuvwxyz' AS low),
+d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), up, low),
+             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents, letters),
+i AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), up, low),
+             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark, letters),
+iw AS (SELECT item_id, w, least(13, len(w)) AS n, unnest(range(0, len(w) - least(13, len(w)) + 1)) AS s
+       FROM i WHERE len(w) > 0),
+ig AS (SELECT DISTINCT item_id, n, array_to_string(w[s + 1:s + n], ' ') AS g FROM iw),
+sizes AS (SELECT DISTINCT n FROM ig),
+dw AS (SELECT doc_id, w, n, unnest(range(0, len(w) - n + 1)) AS p FROM d, sizes WHERE len(w) >= n),
+m AS (SELECT DISTINCT doc_id, p, n, item_id
+      FROM (SELECT doc_id, p, n, array_to_string(w[p + 1:p + n], ' ') AS g FROM dw) JOIN ig USING (n, g)),
+hit AS (SELECT doc_id, count(DISTINCT q) AS n_hit
+        FROM (SELECT doc_id, unnest(range(p, p + n)) AS q FROM m) GROUP BY 1),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(v, ',' ORDER BY v) AS ids
+          FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS v FROM m) GROUP BY 1)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       (coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w)) AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)""")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark phrases in every document."""
+    found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items",
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+@query("op9_quality_rules")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of every document, the base rules, and the outliers' verdict."""
+    return robust.judge(table(spark, sf_dir, "documents"), ["doc_id"]).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
