@@ -15,7 +15,7 @@ in itself, without walking in cycles:
     phone    7 to 15 digits                800 areas x 800 exchanges x 10,000 lines (+1),
                                            else digits but the first two
     ip       four numbers up to 255        65,536 x 65,536
-    date     a day of the calendar         the 146,097 days of a 400-year cycle
+    date     a day from 1420 to 2619       the 146,097 days of its 400-year cycle
     email    shape                         letters and digits, each within its class
     secret   shape                         letters and digits, each within its class
 
@@ -59,6 +59,7 @@ HINT = r"[0-9@]|AKIA|(?i:password|passwd|secret|token|api[_-]?key)\s{0,3}[=:]"
 SECRET_HEAD = r"^((?i:password|passwd|secret|token|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?|AKIA)"
 
 CYCLE_START = "1820-01-01"   # days are permuted within 400 years from here
+DAYS = ("1420-01-01", "2619-12-31")   # three whole cycles; a date beyond is left alone
 CYCLE = 146_097              # days of 400 Gregorian years: 189 * 773
 IBAN_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -214,8 +215,9 @@ def day_of(m: Column) -> Column:
         return F.try_to_date(F.concat_ws("-", y, mo, d), "yyyy-MM-dd")
     first, second, year = F.substring(m, 1, 2), F.substring(m, 4, 2), F.substring(m, 7, 4)
     iso = three(F.substring(m, 1, 4), F.substring(m, 6, 2), F.substring(m, 9, 2))
-    return F.when(m.rlike("^[0-9]{4}"), iso).otherwise(
+    day = F.when(m.rlike("^[0-9]{4}"), iso).otherwise(
         F.coalesce(three(year, second, first), three(year, first, second)))
+    return let(day, lambda d: F.when(d.between(*[F.to_date(F.lit(x)) for x in DAYS]), d))
 
 
 def date(m: Column, key: str) -> Column:
