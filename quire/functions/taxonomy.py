@@ -1,15 +1,18 @@
 """The category taxonomy as data (U2): names, display icons and match keywords.
 
-Small and fixed by configuration, never derived from the data, so it is safe to
-broadcast and to render into prompt literals.
+A taxonomy is a parameter of every operator that uses one (``DEFAULT`` unless given).
+It is configuration, never derived from the data, so it is rendered into plans and prompts
+as literals.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 
-# Category names (in display order) and their icons, as the
-# reference shows them; the last one is the domain-flag category.
+# Category names (in display order) and their icons; the last one is the
+# domain-flag category, whose name is ours.
 CATEGORIES = [
     ("AI & ML", "🤖"),
     ("Funding & Deals", "💰"),
@@ -45,19 +48,30 @@ FLAG_KEYWORDS = ["legal", "litigation", "tort", "class", "medical", "health", "c
                  "licensed", "rights"]
 
 
-def categories_df(spark: SparkSession) -> DataFrame:
-    rows = [(i, name, icon, KEYWORDS.get(name, [])) for i, (name, icon) in enumerate(CATEGORIES, 1)]
-    return spark.createDataFrame(rows, "cat_pos INT, name STRING, icon STRING, keywords ARRAY<STRING>")
+@dataclass(frozen=True)
+class Taxonomy:
+    categories: tuple[tuple[str, str], ...]              # (name, icon), in display order
+    keywords: tuple[tuple[str, tuple[str, ...]], ...]    # (name, match words)
+    flag_keywords: tuple[str, ...] = ()
+    domain_category: str = DOMAIN_CATEGORY
+    default_icon: str = DEFAULT_ICON
+
+    def names(self) -> list[str]:
+        return [n for n, _ in self.categories]
 
+    def icon(self, name: str) -> str:
+        return dict(self.categories).get(name, self.default_icon)
 
-def icon(name: str) -> str:
-    return dict(CATEGORIES).get(name, DEFAULT_ICON)
+    def words(self, name: str) -> list[str]:
+        return list(dict(self.keywords).get(name, ()))
 
+    def bullets_text(self) -> str:
+        """Bulleted category list for the prompt."""
+        return "\n   ".join(f"- {n}" for n in self.names())
 
-def category_names() -> list[str]:
-    return [n for n, _ in CATEGORIES]
+    def table(self, spark: SparkSession) -> DataFrame:
+        rows = [(i, n, icon, self.words(n)) for i, (n, icon) in enumerate(self.categories, 1)]
+        return spark.createDataFrame(rows, "cat_pos INT, name STRING, icon STRING, keywords ARRAY<STRING>")
 
 
-def category_bullets_text() -> str:
-    """Bulleted category list for the prompt."""
-    return "\n   ".join(f"- {n}" for n, _ in CATEGORIES)
+DEFAULT = Taxonomy(tuple(CATEGORIES), tuple((n, tuple(k)) for n, k in KEYWORDS.items()), tuple(FLAG_KEYWORDS))

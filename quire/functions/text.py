@@ -6,6 +6,9 @@ run in whole-stage code generation next to the scan; no Python UDF is involved.
 
 from __future__ import annotations
 
+import html.entities
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,28 +25,20 @@ LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]"
 # Runs of line-boundary characters: splitting on them yields the same non-empty
 # lines (empty lines are dropped anyway) and is cheaper than the alternation.
 LINE_BREAKS = r"[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]+"
-# Markup removed from HTML: comments, script/style/noscript with their content,
-# and every other tag (replaced by a line break so each text node is its own line).
+# Markup removed from HTML: comments, script/style/noscript with their content, and every
+# other tag (replaced by a line break so each text node is its own line). What is not
+# closed runs to the end of the text, as in a parser; so every branch that starts to match
+# ends with a match, and the search is linear however broken the markup is. Quoted
+# attribute values may hold ">".
 MARKUP = (
-    r"(?is)<(?:!--.*?-->|script\b.*?</script\s*>|style\b.*?</style\s*>"
-    r"|noscript\b.*?</noscript\s*>|[a-z/!?][^>]*>)"
+    r"(?is)<(?:!--.*?(?:-->|\z)|script\b.*?(?:</script\s*>|\z)|style\b.*?(?:</style\s*>|\z)"
+    r"|noscript\b.*?(?:</noscript\s*>|\z)"
+    r"|[a-z/!?](?:[^>\"'<]++|\"[^\"<]*+\"|'[^'<]*+')*+>|[a-z/!?][^>]*+(?:>|\z))"
 )
-# Named character references decoded after markup removal (HTML standard values);
-# numeric references (&#NNN; and &#xHH;) are decoded too, in the same single pass.
-ENTITIES = [
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", "\xa0"),
-    ("&middot;", "\xb7"), ("&copy;", "\xa9"), ("&reg;", "\xae"), ("&trade;", "\u2122"),
-    ("&mdash;", "\u2014"), ("&ndash;", "\u2013"), ("&hellip;", "\u2026"), ("&bull;", "\u2022"),
-    ("&lsquo;", "\u2018"), ("&rsquo;", "\u2019"), ("&ldquo;", "\u201c"), ("&rdquo;", "\u201d"),
-    ("&laquo;", "\xab"), ("&raquo;", "\xbb"), ("&euro;", "\u20ac"), ("&pound;", "\xa3"),
-    ("&yen;", "\xa5"), ("&cent;", "\xa2"), ("&deg;", "\xb0"), ("&times;", "\xd7"),
-    ("&divide;", "\xf7"), ("&shy;", "\xad"), ("&zwnj;", "\u200c"), ("&zwj;", "\u200d"),
-    ("&ensp;", "\u2002"), ("&emsp;", "\u2003"), ("&thinsp;", "\u2009"),
-    ("&amp;", "&"),
-]
-# Entity references at the start of a piece that follows an "&".
+# Character references at the start of a piece that follows an "&": the standard's names
+# with their semicolon, and numbers of any length.
 NAMED_REF = r"^([A-Za-z][A-Za-z0-9]{1,31});"
-NUMERIC_REF = r"^#(?:[xX]([0-9A-Fa-f]{1,6})|([0-9]{1,7}));"
+NUMERIC_REF = r"^#(?:[xX]0*+([0-9A-Fa-f]{1,6})|0*+([0-9]{1,7})|[xX]([0-9A-Fa-f]++)|([0-9]++));"
 # Code fence that may wrap a model's JSON answer.
 FENCE = "```"
 # ---------------------------------------------------------------------------
@@ -64,12 +59,18 @@ def first_line(c: Column) -> Column:
     return F.substring_index(F.coalesce(c, F.lit("")), "\n", 1)
 
 
+def entity_table() -> Column:
+    """name -> characters for every named reference of the standard, as one literal."""
+    names = {k[:-1]: v for k, v in html.entities.html5.items() if k.endswith(";")}
+    return F.from_json(F.lit(json.dumps(names)), "map<string,string>")
+
+
 def decode_entities(c: Column) -> Column:
     """Decode character references in one left-to-right pass, as an HTML parser
     does ("&amp;lt;" -> "&lt;", "&#38;lt;" -> "&lt;"): split on "&", decode the
     reference a piece starts with, keep unknown or unterminated ones as text.
     Invalid code points give U+FFFD. Text without "&" is returned as is."""
-    named = F.create_map(*[x for ent, ch in ENTITIES for x in (F.lit(ent[1:-1]), F.lit(ch))])
+    named = entity_table()
 
     def piece(x, i):
         ch = F.try_element_at(named, F.regexp_extract(x, NAMED_REF, 1))
@@ -80,7 +81,7 @@ def decode_entities(c: Column) -> Column:
         return (F.when(i == 0, x)
                  .when(~x.rlike("^[A-Za-z#]"), F.concat(F.lit("&"), x))      # cannot start a reference
                  .when(ch.isNotNull(), F.concat(ch, F.regexp_replace(x, NAMED_REF, "")))
-                 .when(code.isNotNull(), F.concat(num, F.regexp_replace(x, NUMERIC_REF, "")))
+                 .when(x.rlike(NUMERIC_REF), F.concat(num, F.regexp_replace(x, NUMERIC_REF, "")))
                  .otherwise(F.concat(F.lit("&"), x)))
 
     return let(c, lambda v: F.when(F.instr(v, "&") > 0, F.array_join(F.transform(F.split(v, "&"), piece), ""))
@@ -101,58 +102,18 @@ def clean_lines(c: Column) -> Column:
     return F.regexp_replace(F.array_join(lines, "\n"), REPEATED_LINE, "$1")
 
 
-# Long, malformed mail can make the markup regex quadratic: a lazy content branch
-# (script/style/noscript/comment) rescans to the end of the text for every opening
-# that has no closing tag after it, and any "<x" with no ">" after it rescans too.
-# Two exact rewrites keep it linear (used above DEFUSE_ABOVE characters only):
-# * no match can start or end after the last ">", so that remainder is left as is;
-# * before it, an opening after the last closing tag of its kind can only match as a
-#   plain tag; rewriting it (below) keeps that match and its output, and makes the
-#   content branch fail at once. Fixed rewrites: (closing, opening, rewritten opening).
-CONTENT_ELEMENTS = [
-    (r"</script\s*>", r"(?i)<script", "<scrip\x00t"),
-    (r"</style\s*>", r"(?i)<style", "<styl\x00e"),
-    (r"</noscript\s*>", r"(?i)<noscript", "<noscrip\x00t"),
-    (r"-->", r"<!--", "<!-\x00-"),
-]
-DEFUSE_ABOVE = 200_000
-
-
-def _split_last(v: Column, pattern: str) -> tuple[Column, Column]:
-    """(text up to and including the last match of ``pattern``, the rest): one greedy pass."""
-    return (F.regexp_extract(v, f"(?s)^(.*{pattern})?", 1),
-            F.regexp_extract(v, f"(?s)^(?:.*{pattern})?(.*)$", 1))
-
+def strip_markup(html_text: Column) -> Column:
+    return decode_entities(F.regexp_replace(html_text, MARKUP, "\n"))
 
-def _markup_linear(html: Column) -> Column:
-    def defuse(x: Column, close: str, opening: str, repl: str) -> Column:
-        def bound(v):
-            head, tail = _split_last(v, "(?i:" + close + ")")
-            return F.concat(head, F.regexp_replace(tail, opening, repl))
-        return F.get(F.transform(F.array(x), bound), 0)        # binds x once
 
-    def on_body(v):
-        body, rest = _split_last(v, ">")
-        for close, opening, repl in CONTENT_ELEMENTS:
-            body = defuse(body, close, opening, repl)
-        return F.concat(F.regexp_replace(body, MARKUP, "\n"), rest)
-    return F.get(F.transform(F.array(html), on_body), 0)
-
-
-def strip_markup(html: Column) -> Column:
-    marked = let(html, lambda v: F.when(F.length(v) > DEFUSE_ABOVE, _markup_linear(v))
-                 .otherwise(F.regexp_replace(v, MARKUP, "\n")))
-    return decode_entities(marked)
-
-
-def html_to_text(html: Column) -> Column:
+def html_to_text(html_text: Column) -> Column:
     """HTML -> clean text (T3-T5): every text node on its own line, no repeats."""
-    return clean_lines(strip_markup(html))
+    return clean_lines(strip_markup(html_text))
 
 
 def token_estimate(c: Column, chars_per_token: int = 4) -> Column:
-    """``len(text) // 4`` as BIGINT."""
-    return F.floor(F.length(c) / F.lit(chars_per_token)).cast("bigint")
+    """``len(text) // 4`` as BIGINT; no text counts nothing."""
+    return F.floor(F.coalesce(F.length(c), F.lit(0)) / F.lit(chars_per_token)).cast("bigint")
 
 
 def _swap(c: Column, pairs: list[tuple[str, str]]) -> Column:
@@ -180,12 +141,6 @@ def decode_body(data: Column) -> Column:
     return utf8_lenient(b64url_decode(data))
 
 
-def header_lookup(headers: Column, name: str) -> Column:
-    """First header whose name equals ``name`` ignoring case, else ''."""
-    hit = F.filter(headers, lambda h: F.lower(h["name"]) == F.lit(name.lower()))
-    return F.coalesce(F.get(hit, 0)["value"], F.lit(""))
-
-
 def strip_fence(text: Column) -> Column:
     """Remove a Markdown code fence around a JSON answer.
 

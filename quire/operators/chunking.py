@@ -12,11 +12,17 @@ from pyspark.sql import functions as F
 from quire.functions.text import token_estimate
 from quire.operators.select import DAY_KEYS
 from quire.params import DEFAULT, Params
+from quire.session import ensure_checkpoint_dir
 
 # Message block layout inside a prompt, and the block separator.
 BLOCK_SEP = "\n\n"
 
 
+def persist(df: DataFrame) -> DataFrame:
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def message_block(n: Column, sender: Column, subject: Column, date: Column, body: Column) -> Column:
     """One numbered message block; a missing date prints as ``None``."""
     return F.format_string("=== NEWSLETTER %d ===\nFrom: %s\nSubject: %s\nDate: %s\n---\n%s\n",
@@ -93,12 +99,14 @@ def route_days(nl: DataFrame, p: Params = DEFAULT, keys: list[str] = DAY_KEYS) -
 
 def assign_calls(nl: DataFrame, p: Params = DEFAULT, keys: list[str] = DAY_KEYS) -> DataFrame:
     """Each message with the model call it belongs to: chunk 0 for single-call days,
-    the packed chunk (1, 2, ...) for chunked days. Both routes in one plan."""
+    the packed chunk (1, 2, ...) for chunked days. The route is joined to the narrow list
+    of chunks, so bodies meet nothing but their own message's chunk. The messages are
+    written once: three parts of the plan read them."""
+    nl = persist(nl)
     route = route_days(nl, p, keys).select(*keys, "mode")
-    chunks = chunk_assign(nl, p, keys).select(*keys, "message_id", "chunk_id")
-    return (nl.join(route, keys).join(chunks, [*keys, "message_id"])
-              .withColumn("chunk_id", F.when(F.col("mode") == "single", F.lit(0))
-                          .otherwise(F.col("chunk_id"))))
+    chunks = (chunk_assign(nl, p, keys).select(*keys, "message_id", "chunk_id").join(route, keys)
+              .withColumn("chunk_id", F.when(F.col("mode") == "single", F.lit(0)).otherwise(F.col("chunk_id"))))
+    return nl.join(chunks, [*keys, "message_id"])
 
 
 def prompt_blocks(calls: DataFrame, p: Params = DEFAULT, keys: list[str] = DAY_KEYS) -> DataFrame:

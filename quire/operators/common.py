@@ -7,21 +7,24 @@ from pyspark.sql import functions as F
 
 from quire.session import ensure_checkpoint_dir
 
-# Rows a side may hold to be broadcast; beyond it the join shuffles.
-BROADCAST_MAX_ROWS = 2_000_000
+# Bytes a side may hold to be broadcast; beyond it the join shuffles.
+BROADCAST_MAX_BYTES = 64 << 20
+ROW_OVERHEAD = 64              # bytes a row costs besides its values
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Materialise a (supposedly small) derived side and broadcast it only if its
-    row count is within ``max_rows``; otherwise return it for a shuffle join.
+def bounded_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Materialise a (supposedly small) derived side and broadcast it only if its bytes
+    are within ``max_bytes``; otherwise return it for a shuffle join.
 
     The side is written to the shared checkpoint folder (reliable checkpoint), so
-    the count does not recompute it and executor loss does not lose it.
+    measuring it does not recompute it and executor loss does not lose it.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    small = df.checkpoint(eager=True)
-    n = small.count()
-    return F.broadcast(small) if n <= max_rows else small
+    side = df.checkpoint(eager=True)
+    row = sum((F.coalesce(F.octet_length(F.to_json(F.struct(F.col(c)))), F.lit(0)) for c in side.columns),
+              F.lit(ROW_OVERHEAD)).cast("long")
+    size = side.agg(F.sum(row)).first()[0] or 0
+    return F.broadcast(side) if size <= max_bytes else side
 
 
 def top_k(df: DataFrame, keys: list[str], order: list[Column], k: int,

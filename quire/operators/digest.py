@@ -9,7 +9,7 @@ A digest is one row per (digest_date, label):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,7 +23,9 @@ from quire.params import DEFAULT, Params
 # Fallback digest text (its "Failed" prefix drives the status),
 # page title format and property defaults.
 FALLBACK_SUMMARY = "Failed to parse newsletter digest. Check logs."
-PARSE_ERROR = "invalid JSON"
+NO_ANSWER = "invalid JSON: empty answer"
+NO_OBJECT = "invalid JSON: no object at the start"
+NOT_ONE_OBJECT = "invalid JSON: malformed, or text after the object"
 TITLE_FORMAT = TX.TITLE_ICON + " Newsletter Digest — %s"
 UNKNOWN_SOURCE = "Unknown"
 URL = r"https?://[^\s<>\"')]+"
@@ -40,7 +42,6 @@ ANSWER_T = T.StructType([
     T.StructField("active_categories", T.ArrayType(T.StringType())),
     T.StructField("_parse_error", T.StringType()),
 ])
-PARSE_T = T.StructType(ANSWER_T.fields + [T.StructField("_corrupt_record", T.StringType())])
 
 
 def empty_array(t: str = "string") -> Column:
@@ -52,27 +53,23 @@ def empty_categories() -> Column:
 
 
 # --------------------------------------------------------------------------- assembly
-def extractive_digests(nl: DataFrame, spark: SparkSession, p: Params = DEFAULT) -> DataFrame:
+def extractive_digests(nl: DataFrame, p: Params = DEFAULT, tx: TX.Taxonomy = TX.DEFAULT) -> DataFrame:
     """Build each day's digest from its selected newsletters with the extractive
     analogues. Needs bounded days (``max_messages``): per_source has one entry per
-    message of the day."""
+    message of the day. Links are those of the message's markup where it came with them
+    (``links``), else the addresses in its text."""
     if p.max_messages is None:
         raise ValueError("digest assembly needs a per-day message limit (max_messages)")
     k = DAY_KEYS
     sent = X.sentences(nl)
-    hits = X.categorize(sent, spark)
-    bullets = X.category_bullets(hits)
-    facts = (X.key_facts(sent).groupBy(*k, "message_id")
-             .agg(F.array_sort(F.collect_list(F.struct("fact_pos", "fact"))).alias("f")))
-    src = (nl.select(*k, "message_id", "list_pos", "sender",
-                     F.array_distinct(F.regexp_extract_all(F.col("body"), F.lit(URL), 0)).alias("links"))
-             .join(X.lead_summary(sent), [*k, "message_id"], "left")
-             .join(facts, [*k, "message_id"], "left"))
-    entry = F.struct(F.col("sender").alias("source"), F.coalesce("summary", F.lit("")).alias("summary"),
-                     F.coalesce(F.transform("f", lambda x: x["fact"]), empty_array()).alias("key_facts"),
-                     F.col("links"))
-    per_source = (src.groupBy(*k)
-                  .agg(F.transform(F.array_sort(F.collect_list(F.struct("list_pos", "message_id", entry.alias("e")))),
+    bullets = X.category_bullets(X.categorize(sent, tx))
+    in_text = F.array_distinct(F.regexp_extract_all(F.col("body"), F.lit(URL), 0))
+    links = F.coalesce(F.col("links"), in_text) if "links" in nl.columns else in_text
+    entry = F.struct(F.col("sender").alias("source"),
+                     F.array_join(F.slice(X.sentence_list(F.col("body")), 1, X.LEAD_SENTENCES), " ").alias("summary"),
+                     X.fact_list(F.col("body")).alias("key_facts"), links.alias("links"))
+    per_source = (nl.select(*k, "list_pos", "message_id", entry.alias("e")).groupBy(*k)
+                  .agg(F.transform(F.array_sort(F.collect_list(F.struct("list_pos", "message_id", "e"))),
                                    lambda x: x["e"]).alias("per_source")))
     per_cat = (bullets.groupBy(*k, "category", "cat_pos")
                .agg(F.transform(F.array_sort(F.collect_list(F.struct("bullet_pos", "text"))),
@@ -82,10 +79,10 @@ def extractive_digests(nl: DataFrame, spark: SparkSession, p: Params = DEFAULT)
             .select(*k, F.map_from_entries(F.transform("c", lambda x: F.struct(x["category"], x["items"])))
                     .alias("categories"),
                     F.transform("c", lambda x: x["category"]).alias("active_categories")))
-    flags = (X.domain_flags(sent, spark).groupBy(*k)
+    flags = (X.domain_flags(sent, tx).groupBy(*k)
              .agg(F.transform(F.array_sort(F.collect_list(F.struct("flag_pos", "text"))),
                               lambda x: x["text"]).alias("domain_flags")))
-    es = X.exec_summary(sent, hits)
+    es = X.exec_summary(sent, tx)
     d = per_source.join(es, k, "left").join(cats, k, "left").join(flags, k, "left")
     return d.select(*k, "executive_summary",
                     F.coalesce("categories", empty_categories()).alias("categories"),
@@ -94,6 +91,7 @@ def extractive_digests(nl: DataFrame, spark: SparkSession, p: Params = DEFAULT)
                     F.coalesce("active_categories", empty_array()).alias("active_categories"))
 
 
+# Fixed value: the summary of a day without input.
 NO_INPUT_SUMMARY = "No newsletters received today."
 
 
@@ -117,14 +115,16 @@ def digest_json(d: DataFrame) -> Column:
 def parse_answer(text: Column, error: Column | None = None) -> Column:
     """Model answer text -> digest struct; malformed JSON (or a failed call) gives
     the fallback digest with the error and the first 2000 chars of the raw text."""
-    cleaned = strip_fence(text)
-    j = F.from_json(cleaned, PARSE_T, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
-    bad = j.isNull() | j["_corrupt_record"].isNotNull() | (F.coalesce(ustrip(cleaned), F.lit("")) == "")
+    cleaned = ustrip(F.coalesce(strip_fence(text), F.lit("")))
+    strict = {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}
+    # one JSON value and nothing else: read as the only element of an array
+    alone = F.size(F.from_json(F.concat(F.lit("["), cleaned, F.lit("]")), "array<string>", strict)) == 1
+    j = F.from_json(cleaned, ANSWER_T, strict)       # a field of a wrong type is null, the rest stays
+    why = (F.when(cleaned == "", NO_ANSWER).when(~F.startswith(cleaned, F.lit("{")), NO_OBJECT)
+            .when(~F.coalesce(alone, F.lit(False)) | j.isNull(), NOT_ONE_OBJECT))
     if error is not None:
-        bad = bad | error.isNotNull()
-        why = F.coalesce(error, F.lit(PARSE_ERROR))
-    else:
-        why = F.lit(PARSE_ERROR)
+        why = F.coalesce(error, why)
+    bad = why.isNotNull()
     ok = F.struct(j["executive_summary"].alias("executive_summary"),
                   F.coalesce(j["categories"], empty_categories()).alias("categories"),
                   F.coalesce(j["per_source"], F.array().cast(T.ArrayType(SOURCE_T))).alias("per_source"),
@@ -141,9 +141,15 @@ def parse_answer(text: Column, error: Column | None = None) -> Column:
 
 
 def parse_responses(resp: DataFrame, keys: list[str] = DAY_KEYS) -> DataFrame:
-    """(keys, response[, error]) -> digests."""
+    """(keys, response[, error, warning]) -> digests. A warning (parts of the day that
+    failed) is kept beside a good digest, whose status then is Partial."""
     err = F.col("error") if "error" in resp.columns else None
-    return resp.select(*keys, parse_answer(F.col("response"), err).alias("d")).select(*keys, "d.*")
+    d = resp.select(*keys, *[c for c in ("warning",) if c in resp.columns],
+                    parse_answer(F.col("response"), err).alias("d"))
+    if "warning" in resp.columns:
+        both = F.concat_ws("; ", F.col("d.parse_error"), F.col("warning"))
+        d = d.withColumn("d", F.col("d").withField("parse_error", F.nullif(both, F.lit(""))))
+    return d.select(*keys, "d.*")
 
 
 # --------------------------------------------------------------------------- page properties
@@ -156,9 +162,9 @@ def status(executive_summary: Column, parse_error: Column) -> Column:
              .otherwise(F.lit("Generated")))
 
 
-def whitelist(active: Column) -> Column:
+def whitelist(active: Column, tx: TX.Taxonomy = TX.DEFAULT) -> Column:
     """Keep known category names, in order, duplicates kept."""
-    allowed = F.array(*[F.lit(n) for n in TX.category_names()])
+    allowed = F.array(*[F.lit(n) for n in tx.names()])
     return F.filter(F.coalesce(active, empty_array()), lambda c: F.array_contains(allowed, c))
 
 
@@ -169,21 +175,22 @@ def source_list(per_source: Column, p: Params = DEFAULT) -> Column:
     return F.substring(F.array_join(names, ", "), 1, p.text_limit)
 
 
-def icon_of(category: Column) -> Column:
+def icon_of(category: Column, tx: TX.Taxonomy = TX.DEFAULT) -> Column:
     """Category -> icon, default icon when unknown (J3). The taxonomy is a fixed
     literal map, so this is a lookup inside the projection, not a join."""
-    m = F.create_map(*[x for n, i in TX.CATEGORIES for x in (F.lit(n), F.lit(i))])
-    return F.coalesce(F.try_element_at(m, category), F.lit(TX.DEFAULT_ICON))
+    m = F.create_map(*[x for n, i in tx.categories for x in (F.lit(n), F.lit(i))])
+    return F.coalesce(F.try_element_at(m, category), F.lit(tx.default_icon))
 
 
-def digest_pages(digests: DataFrame, counts: DataFrame, p: Params = DEFAULT) -> DataFrame:
+def digest_pages(digests: DataFrame, counts: DataFrame, p: Params = DEFAULT,
+                 tx: TX.Taxonomy = TX.DEFAULT) -> DataFrame:
     """One page-property row per (digest_date, label) (I8)."""
     d = digests.join(counts, DAY_KEYS)
     return d.select(
         *DAY_KEYS,
         F.format_string(TITLE_FORMAT, long_date(F.col("digest_date"))).alias("title"),
         F.col("newsletter_count").cast("bigint").alias("newsletter_count"),
-        whitelist(F.col("active_categories")).alias("categories"),
+        whitelist(F.col("active_categories"), tx).alias("categories"),
         status(F.col("executive_summary"), F.col("parse_error")).alias("status"),
         source_list(F.col("per_source"), p).alias("sources"),
     )

@@ -2,13 +2,13 @@
 
 They honour the *shape* of the requested briefing (per-source summaries, facts,
 links, categorised bullets, executive summary, domain flags) so the pipeline runs
-and can be tested offline. All of it is joins, explodes, aggregates and
-windows; the keyword taxonomy is a fixed, tiny table and is broadcast.
+and can be tested offline. What belongs to one message or sentence is computed inside its
+row; only what ranks or merges within a day is shuffled.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions import taxonomy as TX
@@ -22,57 +22,56 @@ FACT = r"[0-9$%\"]"
 TIME_SENSITIVE = r"(?i)(deadline|today|tomorrow|this week|register|apply by|due )"
 LINK = r"href=\"([^\"]+)\""
 LEAD_SENTENCES = 3
-FACTS_PER_SOURCE = 3
 BULLETS_PER_CATEGORY = 5
 EXEC_SENTENCES = 4
-FLAGS_PER_DAY = 5
-SOURCES_PER_INSIGHT = 3
+
+
+def sentence_list(body: Column) -> Column:
+    return F.filter(F.transform(F.regexp_extract_all(body, F.lit(SENTENCE), 0), ustrip), lambda s: s != "")
 
 
 def sentences(nl: DataFrame) -> DataFrame:
     """(keys, message_id, list_pos, sender, sent_pos, sentence), sent_pos from 1."""
-    arr = F.filter(F.transform(F.regexp_extract_all(F.col("body"), F.lit(SENTENCE), 0), ustrip),
-                   lambda s: s != "")
-    return (nl.select(*DAY_KEYS, "message_id", "list_pos", "sender", F.posexplode(arr).alias("p", "sentence"))
+    return (nl.select(*DAY_KEYS, "message_id", "list_pos", "sender",
+                      F.posexplode(sentence_list(F.col("body"))).alias("p", "sentence"))
               .withColumn("sent_pos", (F.col("p") + 1).cast("int")).drop("p"))
 
 
-def keyword_table(spark: SparkSession, flags: bool = False) -> DataFrame:
-    if flags:
-        rows = [("flag", 0, k) for k in TX.FLAG_KEYWORDS]
-    else:
-        rows = [(name, i, k) for i, (name, _) in enumerate(TX.CATEGORIES, 1) for k in TX.KEYWORDS[name]]
-    return spark.createDataFrame(rows, "category STRING, cat_pos INT, keyword STRING")
+SENT_COLS = [*DAY_KEYS, "message_id", "list_pos", "sender", "sent_pos", "sentence"]
 
 
-SENT_COLS = [*DAY_KEYS, "message_id", "list_pos", "sender", "sent_pos", "sentence"]
+def tokens(sentence: Column) -> Column:
+    return F.split(F.lower(sentence), TOKEN_SPLIT)
+
 
+def hits_of(toks: Column, words: list[str]) -> Column:
+    return F.size(F.filter(toks, lambda t: t.isin(words))).cast("bigint")
 
-def keyword_hits(sent: DataFrame, kw: DataFrame) -> DataFrame:
-    """Multi-label keyword matching: one row per (sentence, category) with its hit
-    count. The keyword table is fixed configuration and is broadcast; only matched
-    tokens reach the shuffle, and they carry their sentence, so nothing has to be
-    joined back to the (large) sentence table."""
-    toks = sent.select(*SENT_COLS, F.explode(F.split(F.lower(F.col("sentence")), TOKEN_SPLIT)).alias("token"))
-    return (toks.join(F.broadcast(kw), toks["token"] == kw["keyword"])
-                .groupBy(*SENT_COLS, "category", "cat_pos")
-                .agg(F.count(F.lit(1)).alias("hits")))
 
+def keyword_hits(sent: DataFrame, groups: list[tuple[str, int, list[str]]]) -> DataFrame:
+    """Multi-label keyword matching: one row per (sentence, category) with its hit count.
+    The words are configuration and become literals; a sentence is counted inside its
+    row, so nothing is shuffled."""
+    found = F.filter(F.array(*[F.struct(F.lit(name).alias("category"), F.lit(pos).alias("cat_pos"),
+                                        hits_of(F.col("__toks"), words).alias("hits"))
+                               for name, pos, words in groups]), lambda x: x["hits"] > 0)
+    return sent.withColumn("__toks", tokens(F.col("sentence"))).select(*SENT_COLS, F.inline(found))
 
-def lead_summary(sent: DataFrame) -> DataFrame:
+
+def lead_summary(nl: DataFrame) -> DataFrame:
     """First sentences of each message as its summary."""
-    lead = sent.filter(F.col("sent_pos") <= LEAD_SENTENCES)
-    return (lead.groupBy(*DAY_KEYS, "message_id")
-                .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("sent_pos", "sentence"))),
-                                              lambda x: x["sentence"]), " ").alias("summary")))
+    lead = F.slice(sentence_list(F.col("body")), 1, LEAD_SENTENCES)
+    return nl.select(*DAY_KEYS, "message_id", F.array_join(lead, " ").alias("summary")).filter("summary <> ''")
+
+
+def fact_list(body: Column) -> Column:
+    return F.filter(sentence_list(body), lambda s: s.rlike(FACT))
 
 
-def key_facts(sent: DataFrame) -> DataFrame:
+def key_facts(nl: DataFrame) -> DataFrame:
     """Sentences carrying numbers, currency, percentages or quotes."""
-    f = sent.filter(F.col("sentence").rlike(FACT))
-    w = Window.partitionBy(*DAY_KEYS, "message_id").orderBy("sent_pos")
-    return (f.withColumn("fact_pos", F.row_number().over(w)).filter(F.col("fact_pos") <= FACTS_PER_SOURCE)
-             .select(*DAY_KEYS, "message_id", "fact_pos", F.col("sentence").alias("fact")))
+    return (nl.select(*DAY_KEYS, "message_id", F.posexplode(fact_list(F.col("body"))).alias("p", "fact"))
+              .select(*DAY_KEYS, "message_id", (F.col("p") + 1).alias("fact_pos"), "fact"))
 
 
 def extract_links(df: DataFrame, id_col: str, html_col: str) -> DataFrame:
@@ -82,9 +81,13 @@ def extract_links(df: DataFrame, id_col: str, html_col: str) -> DataFrame:
               .select(id_col, (F.col("p") + 1).cast("int").alias("link_pos"), "link"))
 
 
-def categorize(sent: DataFrame, spark: SparkSession) -> DataFrame:
+def category_words(tx: TX.Taxonomy) -> list[tuple[str, int, list[str]]]:
+    return [(n, i, tx.words(n)) for i, n in enumerate(tx.names(), 1)]
+
+
+def categorize(sent: DataFrame, tx: TX.Taxonomy = TX.DEFAULT) -> DataFrame:
     """Sentence -> categories by keyword hits."""
-    return keyword_hits(sent, keyword_table(spark))
+    return keyword_hits(sent, category_words(tx))
 
 
 def category_bullets(hits: DataFrame) -> DataFrame:
@@ -97,33 +100,24 @@ def category_bullets(hits: DataFrame) -> DataFrame:
                       F.col("sentence").rlike(TIME_SENSITIVE).alias("time_sensitive"))
 
 
-def exec_summary(sent: DataFrame, hits: DataFrame) -> DataFrame:
-    """Top sentences of the day by total keyword hits, ties by position.
-
-    Exact without joining every sentence to its score: the answer lies within the
-    best-scored sentences plus the earliest sentences of the day (zero score), each
-    cut to k per day map-side; the few candidates are then ranked once more."""
-    k = EXEC_SENTENCES
-    order = [F.desc("score"), "list_pos", "sent_pos"]
-    scored = hits.groupBy(*SENT_COLS).agg(F.sum("hits").cast("bigint").alias("score"))
-    w = Window.partitionBy(*DAY_KEYS).orderBy(*order)
-    best = scored.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= k).drop("r")
-    early = (sent.withColumn("score", F.lit(0).cast("bigint"))
-                 .withColumn("r", F.row_number().over(Window.partitionBy(*DAY_KEYS).orderBy("list_pos", "sent_pos")))
-                 .filter(F.col("r") <= k).drop("r"))
-    cand = (best.unionByName(early).groupBy(*SENT_COLS).agg(F.max("score").alias("score")))
-    top = cand.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= k)
+def exec_summary(sent: DataFrame, tx: TX.Taxonomy = TX.DEFAULT) -> DataFrame:
+    """Top sentences of the day by total keyword hits, ties by position (X6). A sentence's
+    score comes from its own row; each day is cut to its best map-side."""
+    toks = F.col("__toks")
+    score = sum((hits_of(toks, words) for _, _, words in category_words(tx)), F.lit(0).cast("bigint"))
+    scored = sent.withColumn("__toks", tokens(F.col("sentence"))).withColumn("score", score).drop("__toks")
+    w = Window.partitionBy(*DAY_KEYS).orderBy(F.desc("score"), "list_pos", "sent_pos")
+    top = scored.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= EXEC_SENTENCES)
     return (top.groupBy(*DAY_KEYS)
                .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("r", "sentence"))),
                                              lambda x: x["sentence"]), " ").alias("executive_summary")))
 
 
-def domain_flags(sent: DataFrame, spark: SparkSession) -> DataFrame:
-    """Sentences touching the domain-flag keywords, best first."""
-    h = keyword_hits(sent, keyword_table(spark, flags=True))
+def domain_flags(sent: DataFrame, tx: TX.Taxonomy = TX.DEFAULT) -> DataFrame:
+    """All sentences touching the domain-flag keywords, best first."""
+    h = keyword_hits(sent, [("flag", 0, list(tx.flag_keywords))])
     w = Window.partitionBy(*DAY_KEYS).orderBy(F.desc("hits"), "list_pos", "sent_pos")
-    return (h.withColumn("flag_pos", F.row_number().over(w)).filter(F.col("flag_pos") <= FLAGS_PER_DAY)
-             .select(*DAY_KEYS, "flag_pos", F.col("sentence").alias("text")))
+    return h.select(*DAY_KEYS, F.row_number().over(w).alias("flag_pos"), F.col("sentence").alias("text"))
 
 
 def active_categories(bullets: DataFrame) -> DataFrame:
@@ -135,18 +129,15 @@ def active_categories(bullets: DataFrame) -> DataFrame:
 
 
 def insight_merge(hits: DataFrame) -> DataFrame:
-    """Combine and deduplicate insights of a day across messages/chunks (G8):
-    one row per (day, label, category, normalised text) with the first wording,
-    the number of distinct sources and the first few sources alphabetically.
-    Two-level: distinct (insight, source) first, so no group collects all rows."""
-    h = hits.withColumn("norm", F.lower(F.regexp_replace(F.col("sentence"), r"[\t ]+", " ")))
+    """Combine and deduplicate insights of a day across messages/chunks (G8): one row per
+    (day, label, category, normalised text) with the first wording, how often it comes, and
+    its sources in alphabetical order. One row a source first, combined map-side, so no
+    group gathers all mentions."""
     g = [*DAY_KEYS, "category", "norm"]
-    first = h.groupBy(*g).agg(F.min_by(F.col("sentence"), F.struct("list_pos", "sent_pos")).alias("text"),
-                              F.count(F.lit(1)).alias("n_mentions"))
-    per_src = h.groupBy(*g, "sender").agg(F.lit(1).alias("_"))
-    w = Window.partitionBy(*g).orderBy("sender")
-    nsrc = per_src.groupBy(*g).agg(F.count(F.lit(1)).alias("n_sources"))
-    top = (per_src.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= SOURCES_PER_INSIGHT)
-                  .groupBy(*g).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("r", "sender"))),
-                                                            lambda x: x["sender"]), ", ").alias("sources")))
-    return first.join(nsrc, g).join(top, g)
+    said = F.struct("list_pos", "sent_pos", F.col("sentence").alias("text"))
+    per_source = (hits.withColumn("norm", F.lower(F.regexp_replace(F.col("sentence"), r"[\t ]+", " ")))
+                  .groupBy(*g, "sender").agg(F.min(said).alias("first"), F.count(F.lit(1)).alias("n")))
+    return per_source.groupBy(*g).agg(
+        F.min("first")["text"].alias("text"), F.sum("n").alias("n_mentions"),
+        F.count(F.lit(1)).alias("n_sources"),
+        F.array_join(F.array_sort(F.collect_list("sender")), ", ").alias("sources"))

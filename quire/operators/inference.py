@@ -1,16 +1,14 @@
 """Batch model inference.
 
-The model is a plug-in: a zero-argument factory returning ``fn(list[str]) ->
-list[str]``. It is built once per partition inside ``mapInPandas`` (clients do not
-serialise), and prompts go to it in small batches. A failed call becomes an
-``error`` value on its rows instead of failing the job; task retries make calls
+The model is a plug-in: a factory that gets the output token limit and returns
+``fn(list[str]) -> list[str]``. It is built once per partition inside ``mapInPandas``
+(clients do not serialise), and prompts go to it in small batches. A failed call becomes
+an ``error`` value on its row instead of failing the job; task retries make calls
 at-least-once, so callers persist responses (keyed by prompt hash) before use.
 """
 
 from __future__ import annotations
 
-import json
-import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -23,34 +21,42 @@ from quire.params import DEFAULT, Params
 from quire.session import ensure_checkpoint_dir, ship_package
 
 Model = Callable[[list[str]], list[str]]
-ModelFactory = Callable[[], Model]
-
-_COUNT = re.compile(r"=== NEWSLETTER (\d+) ===")
-_FROM = re.compile(r"^From: (.*)$", re.M)
-
-
-def offline_model() -> Model:
-    """Deterministic stand-in for a hosted model: answers every prompt with a
-    well-formed digest naming the sources it saw. For offline runs and tests."""
-    def run(prompts: list[str]) -> list[str]:
-        out = []
-        for p in prompts:
-            n = len(_COUNT.findall(p))
-            srcs = _FROM.findall(p)
-            if n == 0:     # a merge prompt: count the partial answers instead
-                n = p.count('"executive_summary"')
-            out.append(json.dumps({
-                "executive_summary": f"Offline briefing covering {n} item(s).",
-                "categories": {},
-                "per_source": [{"source": s, "summary": "", "key_facts": [], "links": []} for s in srcs],
-                "domain_flags": [],
-                "active_categories": [],
-            }))
-        return out
-    return run
-
-
-def infer(prompts: DataFrame, factory: ModelFactory = offline_model, batch_size: int = 8,
+ModelFactory = Callable[[int], Model]          # called with the output token limit
+
+ANSWER_COLS = ["prompt_hash", "response", "error"]
+NO_FIT = "partial answers do not fit a merge prompt within the token budget"
+
+
+def ask(model: Model, prompts: list[str], batch_size: int) -> tuple[list[str | None], list[str | None]]:
+    """(answers, errors) of the prompts, in batches; a batch that fails is asked again
+    prompt by prompt, so that one bad prompt costs no other its answer."""
+    def call(chunk: list[str]) -> list[str]:
+        got = model(chunk)
+        if len(got) != len(chunk):
+            raise ValueError(f"model returned {len(got)} answers for {len(chunk)} prompts")
+        return got
+
+    answers: list[str | None] = []
+    errors: list[str | None] = []
+    for i in range(0, len(prompts), batch_size):
+        chunk = prompts[i:i + batch_size]
+        try:
+            answers += call(chunk)
+            errors += [None] * len(chunk)
+        except Exception as e:  # noqa: BLE001 - recorded per row, the job goes on
+            for one in chunk:
+                try:
+                    if len(chunk) == 1:
+                        raise e
+                    answers += call([one])
+                    errors.append(None)
+                except Exception as alone:  # noqa: BLE001
+                    answers.append(None)
+                    errors.append(f"{type(alone).__name__}: {alone}")
+    return answers, errors
+
+
+def infer(prompts: DataFrame, factory: ModelFactory, p: Params = DEFAULT, batch_size: int = 8,
           partitions: int | None = None, prompt_col: str = "prompt") -> DataFrame:
     """prompts -> prompts + (prompt_hash, response, error), one model per partition.
 
@@ -64,24 +70,12 @@ def infer(prompts: DataFrame, factory: ModelFactory = offline_model, batch_size:
         df = df.repartition(n, "prompt_hash")
     schema = T.StructType(df.schema.fields + [T.StructField("response", T.StringType()),
                                               T.StructField("error", T.StringType())])
+    limit = p.output_tokens
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = factory()
+        model = factory(limit)
         for pdf in batches:
-            texts = pdf[prompt_col].tolist()
-            resp: list[str | None] = []
-            err: list[str | None] = []
-            for i in range(0, len(texts), batch_size):
-                chunk = texts[i:i + batch_size]
-                try:
-                    got = model(chunk)
-                    if len(got) != len(chunk):
-                        raise ValueError(f"model returned {len(got)} answers for {len(chunk)} prompts")
-                    resp += got
-                    err += [None] * len(chunk)
-                except Exception as e:  # noqa: BLE001 - recorded per row, the job goes on
-                    resp += [None] * len(chunk)
-                    err += [f"{type(e).__name__}: {e}"[:500]] * len(chunk)
+            resp, err = ask(model, pdf[prompt_col].tolist(), batch_size)
             yield pdf.assign(response=resp, error=err)
 
     return df.mapInPandas(run, schema)
@@ -94,53 +88,91 @@ def persist(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def infer_new(prompts: DataFrame, done: DataFrame | None, factory: ModelFactory = offline_model,
+def stored_answers(done: DataFrame) -> DataFrame:
+    """One good answer per prompt hash: failed calls do not count as done."""
+    return (done.filter(F.col("error").isNull() & F.col("response").isNotNull())
+                .groupBy("prompt_hash").agg(F.min("response").alias("response")))
+
+
+def infer_new(prompts: DataFrame, done: DataFrame | None, factory: ModelFactory, p: Params = DEFAULT,
               **kw) -> DataFrame:
-    """Only prompts whose hash has no stored response go to the model."""
+    """Only prompts without a good stored answer go to the model; ``fresh`` tells
+    which rows are new calls."""
     if done is None:
-        return infer(prompts, factory, **kw)
+        return infer(prompts, factory, p, **kw).withColumn("fresh", F.lit(True))
+    good = stored_answers(done)
     h = prompts.withColumn("prompt_hash", F.sha2(F.col("prompt"), 256))
-    todo = h.join(done.select("prompt_hash"), "prompt_hash", "left_anti").drop("prompt_hash")
-    old = h.join(done.select("prompt_hash", "response", "error"), "prompt_hash")
-    new = infer(todo, factory, **kw)
+    todo = h.join(good.select("prompt_hash"), "prompt_hash", "left_anti").drop("prompt_hash")
+    new = infer(todo, factory, p, **kw).withColumn("fresh", F.lit(True))
+    old = h.join(good, "prompt_hash").withColumns({"error": F.lit(None).cast("string"), "fresh": F.lit(False)})
     return new.unionByName(old.select(*new.columns))
 
 
-def merge_partials(partials: DataFrame, keys: list[str], factory: ModelFactory = offline_model,
-                   p: Params = DEFAULT, max_levels: int = 8) -> DataFrame:
-    """Reduce each day's partial answers to one.
+def fresh_answers(answered: DataFrame) -> DataFrame:
+    """The rows of the answer store that a run adds: one per new call."""
+    return answered.filter("fresh").select(*ANSWER_COLS)
+
+
+def merge_partials(partials: DataFrame, keys: list[str], factory: ModelFactory, p: Params = DEFAULT,
+                   done: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Reduce each day's partial answers to one (G7/I4): (final answers, new calls).
 
     Single-call days (one partial with chunk_id 0) pass through. Chunked days are
     merged by the model; unlike the reference the merge prompt is budget-checked:
-    partials are packed greedily into merge calls within the budget, and the merge
-    repeats level by level until each day has one answer.
+    partials are packed greedily into merge calls within the budget, level by level,
+    until each day has one answer. A failed call never disappears: a day that still has
+    an answer gets the reasons as ``warning``, one without gets them as ``error``. So
+    does a day whose answers are too long for a merge to bring them closer together.
+    Stored answers (``done``) serve merge prompts too.
     """
     from quire.operators.chunking import chunk_assign   # greedy packing, reused
 
-    err = F.col("error") if "error" in partials.columns else F.lit(None).cast("string")
-    level = partials.select(*keys, F.col("chunk_id").alias("part"), "response", err.alias("error"))
-    done = level.filter(F.col("part") == 0).select(*keys, "response", "error")
-    level = level.filter(F.col("part") != 0)
-    for depth in range(max_levels):
-        if depth < max_levels - 1:
-            # pack partial answers into merge calls within the budget (each counts >= 1 token)
-            items = level.select(*keys, F.col("part").alias("list_pos"), F.col("part").alias("message_id"),
-                                 F.col("response").alias("body"))
-            groups = chunk_assign(items, p.with_(message_overhead=1), keys)
-            g = level.join(groups.select(*keys, F.col("message_id").alias("part"),
-                                         F.col("chunk_id").alias("grp")), [*keys, "part"])
-        else:
-            # the last level merges whatever is left in one call per day, as the reference does
-            g = level.withColumn("grp", F.lit(1))
+    level = partials.select(*keys, F.col("chunk_id").alias("part"), "response", "error")
+    single = level.filter(F.col("part") == 0).select(*keys, "response", "error",
+                                                     F.lit(None).cast("string").alias("warning"))
+    level = persist(level.filter(F.col("part") != 0))
+    failures = level.filter(F.col("error").isNotNull()).select(*keys, "error")
+    level = level.filter(F.col("error").isNull()).drop("error")
+    finished: list[DataFrame] = []
+    calls: list[DataFrame] = []
+    while True:
+        # each partial answer counts at least one token, so chunks of answers are bounded
+        items = level.select(*keys, F.col("part").alias("list_pos"), F.col("part").alias("message_id"),
+                             F.col("response").alias("body"))
+        groups = chunk_assign(items, p.with_(message_overhead=1), keys)
+        g = level.join(groups.select(*keys, F.col("message_id").alias("part"), F.col("chunk_id").alias("grp")),
+                       [*keys, "part"])
+        sizes = g.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_parts"), F.max("grp").alias("n_groups"))
+        stuck = persist(sizes.filter((F.col("n_groups") == F.col("n_parts")) & (F.col("n_parts") > 1)).select(*keys))
+        g = g.join(stuck, keys, "left_anti")
+        failures = failures.unionByName(stuck.withColumn("error", F.lit(NO_FIT)))
         merged_text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("part", "response"))),
-                                               lambda x: F.coalesce(x["response"], F.lit(""))), PARTIAL_SEP)
+                                               lambda x: x["response"]), PARTIAL_SEP)
         prompts = (g.groupBy(*keys, "grp").agg(merged_text.alias("__m"))
                     .withColumn("prompt", F.format_string(MERGE_TEMPLATE, long_date(F.col("digest_date")),
                                                           F.col("__m")))
                     .drop("__m"))
-        answered = persist(infer(prompts, factory).select(*keys, F.col("grp").alias("part"), "response", "error"))
-        n_left = answered.groupBy(*keys).count().filter(F.col("count") > 1).limit(1).count()
-        level = answered
-        if n_left == 0:
+        answered = persist(infer_new(prompts, done, factory, p).select(*keys, F.col("grp").alias("part"),
+                                                                       *ANSWER_COLS, "fresh"))
+        calls.append(fresh_answers(answered))
+        failures = failures.unionByName(answered.filter(F.col("error").isNotNull()).select(*keys, "error"))
+        good = answered.filter(F.col("error").isNull()).select(*keys, "part", "response")
+        groups_left = answered.groupBy(*keys).agg(F.max("part").alias("n"))
+        finished.append(good.join(groups_left.filter("n = 1").select(*keys), keys, "left_semi").drop("part"))
+        level = good.join(groups_left.filter("n > 1").select(*keys), keys, "left_semi")
+        if not level.limit(1).count():
             break
-    return done.unionByName(level.select(*keys, "response", "error"))
+        level = persist(level)
+    merged = finished[0]
+    for df in finished[1:]:
+        merged = merged.unionByName(df)
+    why = failures.groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_set("error")), "; ").alias("reasons"),
+                                      F.count(F.lit(1)).alias("n"))
+    chunked = merged.join(why, keys, "full_outer").select(
+        *keys, "response", F.when(F.col("response").isNull(), F.col("reasons")).alias("error"),
+        F.when(F.col("response").isNotNull() & F.col("reasons").isNotNull(),
+               F.format_string("%d part(s) of the day failed: %s", F.col("n"), F.col("reasons"))).alias("warning"))
+    new = calls[0]
+    for df in calls[1:]:
+        new = new.unionByName(df)
+    return single.unionByName(chunked), new

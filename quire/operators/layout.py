@@ -21,7 +21,6 @@ from quire.params import DEFAULT, Params
 
 # Section headings and default texts.
 H_SUMMARY = "Executive Summary"
-H_FLAGS = f"{TX.icon(TX.DOMAIN_CATEGORY)} {TX.DOMAIN_CATEGORY}"
 H_CATEGORIES = "Categorized Insights"
 H_SOURCES = "Source Details"
 NO_SUMMARY = "No summary available."
@@ -52,14 +51,19 @@ def _empty_blocks() -> Column:
     return F.array().cast(f"array<struct<type:string,level:int,icon:string,text:string,children:array<{CHILD_T}>>>")
 
 
-def page_blocks(es: Column, flags: Column, categories: Column, per_source: Column) -> Column:
+def flags_heading(tx: TX.Taxonomy = TX.DEFAULT) -> str:
+    return f"{tx.icon(tx.domain_category)} {tx.domain_category}"
+
+
+def page_blocks(es: Column, flags: Column, categories: Column, per_source: Column,
+                tx: TX.Taxonomy = TX.DEFAULT) -> Column:
     """All top-level blocks of a page, in order."""
     summary = F.array(_heading(H_SUMMARY),
                       _block("callout", F.coalesce(es, F.lit(NO_SUMMARY)), icon=TX.SUMMARY_ICON),
                       _block("divider"))
     flags = F.coalesce(flags, empty_array())
     flag_sec = F.when(F.size(flags) > 0, F.concat(
-        F.array(_heading(H_FLAGS)),
+        F.array(_heading(flags_heading(tx))),
         F.transform(flags, lambda f: _block("callout", f, icon=TX.FLAG_ICON)),
         F.array(_block("divider")))).otherwise(_empty_blocks())
     cats = F.coalesce(categories, empty_categories())
@@ -67,7 +71,7 @@ def page_blocks(es: Column, flags: Column, categories: Column, per_source: Colum
     def one_category(e):
         items = F.coalesce(e["value"], empty_array())
         return F.when(F.size(items) > 0, F.concat(
-            F.array(_heading(F.concat(icon_of(e["key"]), F.lit(" "), e["key"]), level=3)),
+            F.array(_heading(F.concat(icon_of(e["key"], tx), F.lit(" "), e["key"]), level=3)),
             F.transform(items, lambda v: _block("bullet", v)))).otherwise(_empty_blocks())
 
     cat_sec = F.when(F.cardinality(cats) > 0, F.concat(
@@ -102,10 +106,11 @@ def cap_blocks(blocks: Column, p: Params = DEFAULT) -> Column:
         .otherwise(blocks)
 
 
-def digest_blocks(digests: DataFrame, p: Params = DEFAULT, keys: list[str] = DAY_KEYS) -> DataFrame:
+def digest_blocks(digests: DataFrame, p: Params = DEFAULT, keys: list[str] = DAY_KEYS,
+                  tx: TX.Taxonomy = TX.DEFAULT) -> DataFrame:
     """Flatten each page to one row per block and toggle child, in one generator."""
     blocks = cap_blocks(page_blocks(F.col("executive_summary"), F.col("domain_flags"),
-                                    F.col("categories"), F.col("per_source")), p)
+                                    F.col("categories"), F.col("per_source"), tx), p)
 
     def row(pos, child_pos, b):
         return F.struct(pos.cast("int").alias("block_pos"), child_pos.cast("int").alias("child_pos"),

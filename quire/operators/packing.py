@@ -55,23 +55,31 @@ def chunk_assign_scan(nl: DataFrame, p: Params = DEFAULT, keys: list[str] | None
     t = (token_estimate(F.col("body"), p.chars_per_token) + F.lit(p.message_overhead)).cast("long")
     items = nl.select(*[F.col(k) for k in keys], "list_pos", "message_id", t.alias("t"))
     key_fields = [items.schema[k] for k in keys]
+    pos_t, id_t = items.schema["list_pos"].dataType, items.schema["message_id"].dataType
+    nested = isinstance(pos_t, T.StructType)         # sorted as it is, carried through Python as JSON
 
     # 1. rank and prefix within each partition segment, then segment offsets -------------
+    items = _persist(items)              # range partitioning samples its input: do not join the bodies twice
     x = (items.repartitionByRange(parts, *keys, "list_pos").sortWithinPartitions(*keys, "list_pos")
               .withColumn("pid", F.spark_partition_id()))
+    if nested:
+        x = x.withColumn("list_pos", F.to_json("list_pos"))
+    carried = x.schema["list_pos"]
     scan_t = T.StructType(x.schema.fields + [T.StructField("lr", T.LongType()), T.StructField("lp", T.LongType())])
 
     def local_scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        run: dict = {}
+        last: tuple | None = None                     # key, rows and tokens so far of the batch before's last day
         for pdf in batches:
-            kt = list(zip(*[pdf[k] for k in keys])) if len(pdf) else []
-            lr = np.empty(len(pdf), dtype=np.int64)
-            lp = np.empty(len(pdf), dtype=np.int64)
-            for i, (k, tok) in enumerate(zip(kt, pdf["t"].to_numpy())):
-                c, s = run.get(k, (0, 0))
-                c, s = c + 1, s + int(tok)
-                run[k] = (c, s)
-                lr[i], lp[i] = c, s
+            if not len(pdf):
+                continue
+            day = pdf.groupby(keys, sort=False, dropna=False)
+            lr = day.cumcount().to_numpy() + 1
+            lp = day["t"].cumsum().to_numpy()
+            if last is not None:
+                same = np.logical_and.reduce([(pdf[k] == v) | (pdf[k].isna() & pd.isna(v))
+                                              for k, v in zip(keys, last[0])])
+                lr, lp = lr + last[1] * same, lp + last[2] * same
+            last = (tuple(pdf[k].iloc[-1] for k in keys), int(lr[-1]), int(lp[-1]))
             yield pdf.assign(lr=lr, lp=lp)
 
     local = _persist(x.mapInPandas(local_scan, scan_t))
@@ -88,8 +96,7 @@ def chunk_assign_scan(nl: DataFrame, p: Params = DEFAULT, keys: list[str] | None
     own = ranked.withColumn("own", F.lit(True))
     halo = ranked.filter(F.col("b") > 0).withColumn("b", F.col("b") - 1).withColumn("own", F.lit(False))
     step_t = T.StructType(key_fields + [
-        T.StructField("list_pos", T.LongType()), T.StructField("message_id", T.LongType()),
-        T.StructField("t", T.LongType()), T.StructField("r", T.LongType()), T.StructField("b", T.LongType()),
+        carried, T.StructField("message_id", id_t), T.StructField("t", T.LongType()), T.StructField("r", T.LongType()), T.StructField("b", T.LongType()),
         T.StructField("nxt", T.LongType()), T.StructField("ex", T.LongType()), T.StructField("cnt", T.LongType())])
 
     def bucket_step(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -157,8 +164,7 @@ def chunk_assign_scan(nl: DataFrame, p: Params = DEFAULT, keys: list[str] | None
 
     # 4. walk each bucket's chain from its entry ------------------------------------------
     walk_in = stepped.join(entry.withColumnRenamed("node", "b"), [*keys, "b"])
-    out_t = T.StructType(key_fields + [T.StructField("message_id", T.LongType()),
-                                       T.StructField("list_pos", T.LongType()),
+    out_t = T.StructType(key_fields + [T.StructField("message_id", id_t), carried,
                                        T.StructField("chunk_id", T.LongType()),
                                        T.StructField("nl_tokens", T.LongType())])
 
@@ -177,4 +183,5 @@ def chunk_assign_scan(nl: DataFrame, p: Params = DEFAULT, keys: list[str] | None
                              "list_pos": pdf["list_pos"].to_numpy(), "chunk_id": cid,
                              "nl_tokens": pdf["t"].to_numpy()})
 
-    return walk_in.groupBy(*keys, "b").applyInPandas(bucket_walk, out_t)
+    out = walk_in.groupBy(*keys, "b").applyInPandas(bucket_walk, out_t)
+    return out.withColumn("list_pos", F.from_json("list_pos", pos_t)) if nested else out

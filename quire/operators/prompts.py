@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.functions.taxonomy import category_bullets_text
+from quire.functions import taxonomy as TX
 
 EXTRACT_TEMPLATE = (
     "You are an analyst writing a daily briefing from newsletters.\n"
@@ -27,8 +27,8 @@ def long_date(d: Column) -> Column:
     return F.date_format(d, "MMMM dd, yyyy")
 
 
-def render_prompts(blocks: DataFrame) -> DataFrame:
+def render_prompts(blocks: DataFrame, tx: TX.Taxonomy = TX.DEFAULT) -> DataFrame:
     """(digest_date, label, chunk_id, n_messages, est_tokens, block) -> + prompt."""
     return blocks.withColumn(
         "prompt", F.format_string(EXTRACT_TEMPLATE, long_date(F.col("digest_date")),
-                                  F.col("n_messages"), F.lit(category_bullets_text()), F.col("block")))
+                                  F.col("n_messages"), F.lit(tx.bullets_text()), F.col("block")))

@@ -66,14 +66,15 @@ def daily_topk(listing: DataFrame, p: Params = DEFAULT) -> DataFrame:
 
 
 def fetch_bodies(keys: DataFrame, bodies: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Join listed ids to their bodies (A2/J1). Returns (fetched, failed): a listed
-    id without a body row is a failed fetch and goes to quarantine (C9)."""
+    """Join listed ids to their bodies (A2/J1). Returns (fetched, failed): a listed id
+    without a body row is a failed fetch and goes to quarantine with its day and label
+    (C9). Bodies that carry their day are joined on it too, so a partitioned body table
+    is read for the listed days only."""
+    on = ["message_id", "digest_date"] if "digest_date" in bodies.columns else ["message_id"]
     small = bounded_broadcast(keys)
-    b = bodies.join(small.select("message_id"), "message_id", "left_semi")
-    joined = small.join(b, "message_id", "left")
-    ok = joined.filter(F.col("body").isNotNull())
-    failed = joined.filter(F.col("body").isNull()).select(
-        "message_id", F.lit("fetch").alias("stage"),
+    ok = bodies.filter(F.col("body").isNotNull()).join(small, on)
+    failed = keys.join(ok.select(*on), on, "left_anti").select(
+        *[c for c in DAY_KEYS if c in keys.columns], "message_id", F.lit("fetch").alias("stage"),
         F.lit("message body not found").alias("error"))
     return ok, failed
 
@@ -111,12 +112,23 @@ def daily_counts(df: DataFrame, keys: list[str] = DAY_KEYS) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("newsletter_count"))
 
 
+def selection(listing: DataFrame, message_labels: DataFrame, bodies: DataFrame,
+              p: Params = DEFAULT, labels: list[str] | None = None) -> dict[str, DataFrame]:
+    """The whole selection: ``found`` (listed, within the limit), ``fetched`` (with a
+    usable body), ``kept`` (without repeated subjects) and ``failed``."""
+    top = daily_topk(label_filter(listing, message_labels, labels), p)
+    ok, failed = fetch_bodies(top, bodies)
+    fetched = cap_body(drop_tiny(ok, p), p)
+    return {"found": top, "fetched": fetched, "kept": dedup_subject(fetched), "failed": failed}
+
+
 def newsletters(listing: DataFrame, message_labels: DataFrame, bodies: DataFrame,
                 p: Params = DEFAULT, labels: list[str] | None = None
                 ) -> tuple[DataFrame, DataFrame]:
-    """The whole selection: (newsletters, quarantine)."""
-    keyed = label_filter(listing, message_labels, labels)
-    top = daily_topk(keyed, p)
-    fetched, failed = fetch_bodies(top, bodies)
-    kept = dedup_subject(cap_body(drop_tiny(fetched, p), p))
-    return kept, failed
+    """(newsletters, failed fetches)."""
+    s = selection(listing, message_labels, bodies, p, labels)
+    return s["kept"], s["failed"]
+
+
+def count_days(df: DataFrame, name: str) -> DataFrame:
+    return df.groupBy(*DAY_KEYS).agg(F.count(F.lit(1)).alias(name))

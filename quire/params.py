@@ -20,7 +20,6 @@ class Params:
     output_tokens: int = 4096          # model output limit per call
     block_limit: int = 100             # top-level blocks per page
     text_limit: int = 2000             # characters per text item on a page
-    mime_depth: int = 8                # MIME levels unrolled; deeper nodes are quarantined
 
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)

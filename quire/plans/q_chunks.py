@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quire.functions.taxonomy import category_bullets_text
+from quire.functions import taxonomy as TX
 from quire.operators import chunking as K
 from quire.operators.prompts import EXTRACT_TEMPLATE, render_prompts
 from quire.params import DEFAULT
@@ -107,7 +107,7 @@ def q_prompt_blocks(spark, sf_dir):
 WITH RECURSIVE {Q.newsletters_cte(P)}, {calls_sql(PC)}
 SELECT {DD}, label, chunk_id, n_messages,
        printf({Q.lit(EXTRACT_TEMPLATE)}, strftime(digest_date, '%B %d, %Y'), n_messages,
-              {Q.lit(category_bullets_text())}, block) AS prompt
+              {Q.lit(TX.DEFAULT.bullets_text())}, block) AS prompt
 FROM blocks""")
 def q_prompt_render(spark, sf_dir):
     return render_prompts(K.prompt_blocks(calls(spark, sf_dir, PC), PC)).select(
@@ -120,6 +120,14 @@ PCA = PC.with_(max_messages=None)
 
 @query("chunk_assign_all", f"""
 WITH RECURSIVE {Q.newsletters_cte(PCA)}, {packed_sql(PCA)}
-SELECT {DD}, label, message_id, list_pos, chunk_id, CAST(t AS BIGINT) AS nl_tokens FROM pack""")
+SELECT {DD}, label, 'm' || CAST(message_id AS VARCHAR) AS message_id, -list_pos AS age, chunk_id,
+       CAST(t AS BIGINT) AS nl_tokens FROM pack""")
 def q_chunk_assign_all(spark, sf_dir):
-    return K.chunk_assign(newsletters(spark, sf_dir, PCA), PCA).withColumn("nl_tokens", F.col("nl_tokens").cast("bigint"))
+    """Days of any size, with the ids and list order that stored mail has: text, and a
+    (time, id) pair."""
+    nl = newsletters(spark, sf_dir, PCA)
+    ident = F.concat(F.lit("m"), F.col("message_id").cast("string"))
+    nl = nl.withColumn("list_pos", F.struct(F.col("list_pos").alias("age"), ident.alias("id"))).withColumn(
+        "message_id", ident)
+    return K.chunk_assign(nl, PCA).select("digest_date", "label", "message_id", (-F.col("list_pos.age")).alias("age"),
+                                          "chunk_id", F.col("nl_tokens").cast("bigint").alias("nl_tokens"))

@@ -11,7 +11,7 @@ from quire.operators import inference as I
 from quire.operators import layout as L
 from quire.operators import select as S
 from quire.operators.digest import URL
-from quire.operators.extract import FACT, FACTS_PER_SOURCE, LEAD_SENTENCES
+from quire.operators.extract import FACT, LEAD_SENTENCES
 from quire.params import DEFAULT
 from quire.plans import sql as Q
 from quire.plans.q_extract import BULLETS, EXEC, FLAGS, base
@@ -21,16 +21,15 @@ from quire.sinks.stats import run_stats
 from quire.sources import catalog as C
 
 P = DEFAULT
-# The block-cap query lets every message of a day onto the page so that pages
-# exceed the block limit; the bound keeps the per-day digest finite.
-PB = DEFAULT.with_(max_messages=1000)
+# The block-cap query has a lower limit, so that many pages exceed it.
+PB = DEFAULT.with_(max_messages=1000, block_limit=25)
 DD = "CAST(digest_date AS VARCHAR) AS digest_date"
 
 
 def digests(spark, sf_dir, p=P):
     """Selected newsletters -> extractive digest -> JSON answer -> parsed digest."""
     nl = I.persist(newsletters(spark, sf_dir, p))   # bounded: <= max_messages per day and label
-    ed = D.extractive_digests(nl, spark, p)
+    ed = D.extractive_digests(nl, p)
     resp = ed.select(*S.DAY_KEYS, D.digest_json(ed).alias("response"))
     return nl, I.persist(D.parse_responses(resp))    # one row per day and label, reused downstream
 
@@ -53,8 +52,7 @@ lead AS (SELECT digest_date, label, message_id, string_agg(sentence, ' ' ORDER B
          FROM sent WHERE sent_pos <= {LEAD_SENTENCES} GROUP BY ALL),
 facts AS (SELECT digest_date, label, message_id, fact_pos, fact FROM (
             SELECT *, row_number() OVER (PARTITION BY digest_date, label, message_id ORDER BY sent_pos) AS fact_pos,
-                   sentence AS fact FROM sent WHERE regexp_matches(sentence, {Q.lit(FACT)}))
-          WHERE fact_pos <= {FACTS_PER_SOURCE}),
+                   sentence AS fact FROM sent WHERE regexp_matches(sentence, {Q.lit(FACT)}))),
 links AS (SELECT digest_date, label, message_id, link,
                  row_number() OVER (PARTITION BY digest_date, label, message_id ORDER BY min(i)) AS link_pos
           FROM (SELECT digest_date, label, message_id, unnest(l) AS link, generate_subscripts(l, 1) AS i
@@ -83,7 +81,7 @@ tops AS (
   UNION ALL SELECT d.digest_date, d.label, 1, 1, 0, 'callout', NULL, {Q.lit(TX.SUMMARY_ICON)},
          coalesce(es.executive_summary, {Q.lit(L.NO_SUMMARY)}), NULL FROM days d LEFT JOIN es USING (digest_date, label)
   UNION ALL SELECT digest_date, label, 1, 2, 0, 'divider', NULL, NULL, NULL, NULL FROM days
-  UNION ALL SELECT digest_date, label, 2, 0, 0, 'heading', 2, NULL, {Q.lit(L.H_FLAGS)}, NULL FROM {fd}
+  UNION ALL SELECT digest_date, label, 2, 0, 0, 'heading', 2, NULL, {Q.lit(L.flags_heading())}, NULL FROM {fd}
   UNION ALL SELECT digest_date, label, 2, 1, flag_pos, 'callout', NULL, {Q.lit(TX.FLAG_ICON)}, text, NULL FROM fl
   UNION ALL SELECT digest_date, label, 2, 2, 0, 'divider', NULL, NULL, NULL, NULL FROM {fd}
   UNION ALL SELECT digest_date, label, 3, 0, 0, 'heading', 2, NULL, {Q.lit(L.H_CATEGORIES)}, NULL FROM {bd}
@@ -188,25 +186,31 @@ def q_category_icons(spark, sf_dir):
 
 
 @query("run_stats", f"""{page_ctes(P)},
-fetched AS (SELECT digest_date, label, count(*) AS fetched FROM top GROUP BY ALL),
+found AS (SELECT digest_date, label, count(*) AS found FROM top GROUP BY ALL),
+fetched AS (SELECT digest_date, label, count(*) AS fetched FROM big GROUP BY ALL),
 nflags AS (SELECT digest_date, label, count(*) AS n_flags FROM fl GROUP BY ALL)
-SELECT {DD}, label, CAST(f.fetched AS BIGINT) AS fetched, CAST(d.newsletter_count AS BIGINT) AS unique_count,
+SELECT {DD}, label, CAST(found AS BIGINT) AS found, CAST(coalesce(fetched, 0) AS BIGINT) AS fetched,
+       CAST(coalesce(d.newsletter_count, 0) AS BIGINT) AS unique_count,
        coalesce(a.active_categories, 'None') AS categories, CAST(coalesce(n.n_flags, 0) AS INTEGER) AS n_flags,
        substring(coalesce(es.executive_summary, ''), 1, 100) AS summary_preview
-FROM days d JOIN fetched f USING (digest_date, label) LEFT JOIN active a USING (digest_date, label)
+FROM found LEFT JOIN fetched USING (digest_date, label) LEFT JOIN days d USING (digest_date, label)
+LEFT JOIN active a USING (digest_date, label)
 LEFT JOIN nflags n USING (digest_date, label) LEFT JOIN es USING (digest_date, label)""")
 def q_run_stats(spark, sf_dir):
-    keyed = S.label_filter(C.message_keys(spark, sf_dir), C.message_labels(spark, sf_dir))
-    fetched = S.daily_topk(keyed, P).groupBy(*S.DAY_KEYS).agg(F.count(F.lit(1)).alias("fetched"))
+    sel = S.selection(C.message_keys(spark, sf_dir), C.message_labels(spark, sf_dir), C.bodies(spark, sf_dir), P)
     nl, d = digests(spark, sf_dir)
-    return run_stats(fetched, S.daily_counts(nl), d)
+    return run_stats(S.count_days(sel["found"], "found"), S.count_days(sel["fetched"], "fetched"),
+                     S.daily_counts(nl), d)
 
 
 # --------------------------------------------------------------------------- parsing queries
 # Model-answer shapes derived from the events table: every event becomes one
-# answer, its variant chosen by event_id (valid, fenced, fenced without closing,
-# truncated, fence without newline, model-reported parse error, empty summary).
-N_VARIANTS = 7
+# answer, its variant chosen by event_id.
+#   0 valid, 1 fenced, 2 fenced without closing, 3 cut, 4 fence without newline,
+#   5 model-reported parse error, 6 empty summary, 7 text after the object, 8 single
+#   quotes, 9 a list where text belongs, 10 text instead of an object
+N_VARIANTS = 11
+GOOD, LOST = (0, 1, 2, 5, 6, 9), (3, 7, 8)
 
 
 def answers(spark, sf_dir):
@@ -221,26 +225,32 @@ def answers(spark, sf_dir):
             .when(v == 3, core)
             .when(v == 4, F.concat(F.lit("```"), core, F.lit("}")))
             .when(v == 5, F.concat(core, F.lit(', "_parse_error": "model could not read one newsletter"}')))
-            .otherwise(F.format_string('{"executive_summary": "", "per_source": [{"summary": "%s"}]}',
-                                       F.col("event_type"))))
+            .when(v == 6, F.format_string('{"executive_summary": "", "per_source": [{"summary": "%s"}]}',
+                                          F.col("event_type")))
+            .when(v == 7, F.concat(core, F.lit("} Hope this helps!")))
+            .when(v == 8, F.concat(F.replace(core, F.lit('"'), F.lit("'")), F.lit("}")))
+            .when(v == 9, F.concat(core, F.lit(', "domain_flags": "none"}')))
+            .otherwise(F.col("event_type")))
     return e.select("event_id", txt.alias("response"))
 
 
 ANSWERS_SQL = f"""ans AS (
-  SELECT event_id, CASE event_id % {N_VARIANTS}
+  SELECT event_id, event_id % {N_VARIANTS} AS v, CASE event_id % {N_VARIANTS}
       WHEN 0 THEN core || '}}'
       WHEN 1 THEN '```json' || chr(10) || core || '}}' || chr(10) || '```'
       WHEN 2 THEN '```' || chr(10) || core || '}}'
       WHEN 3 THEN core
       WHEN 4 THEN '```' || core || '}}'
       WHEN 5 THEN core || ', "_parse_error": "model could not read one newsletter"}}'
-      ELSE '{{"executive_summary": "", "per_source": [{{"summary": "' || event_type || '"}}]}}' END AS response
+      WHEN 6 THEN '{{"executive_summary": "", "per_source": [{{"summary": "' || event_type || '"}}]}}'
+      WHEN 7 THEN core || '}} Hope this helps!'
+      WHEN 8 THEN replace(core, '"', chr(39)) || '}}'
+      WHEN 9 THEN core || ', "domain_flags": "none"}}'
+      ELSE event_type END AS response
   FROM (SELECT event_id, event_type,
                '{{"executive_summary": "' || event_type || ' ' || CAST(user_id AS VARCHAR) || '", "categories": {{"'
                || event_type || '": ["u=' || CAST(user_id AS VARCHAR) || '"]}}, "active_categories": ["' || event_type || '", "'
                || {Q.lit(TX.CATEGORIES[0][0])} || '"]' AS core FROM events))"""
-# Valid answers are variants 0, 1, 2, 5 and 6; 3 is cut, 4 has no newline after the fence.
-OK_SQL = f"(event_id % {N_VARIANTS}) IN (0, 1, 2, 5, 6)"
 
 
 @query("strip_fence", f"""WITH {ANSWERS_SQL}
@@ -255,38 +265,46 @@ def q_strip_fence(spark, sf_dir):
     return answers(spark, sf_dir).select("event_id", strip_fence(F.col("response")).alias("cleaned"))
 
 
-@query("json_parse", """
-SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events""")
+def parsed_answers(spark, sf_dir):
+    return answers(spark, sf_dir).select("event_id", "response", D.parse_answer(F.col("response")).alias("d"))
+
+
+@query("json_parse", f"""WITH {ANSWERS_SQL}
+SELECT event_id, CASE WHEN v IN {GOOD} AND v <> 6 THEN trim(split_part(response, '"', 8)) END AS first_category,
+       CASE WHEN v IN {GOOD} AND v <> 6 THEN trim(split_part(response, '"', 10)) END AS first_insight,
+       CAST(CASE WHEN v = 6 THEN 1 ELSE 0 END AS INTEGER) AS n_sources,
+       CASE WHEN v = 6 THEN split_part(response, '"', 10) END AS source_summary
+FROM ans""")
 def q_json_parse(spark, sf_dir):
-    e = C.events(spark, sf_dir)
-    j = F.from_json(F.col("props"), "k BIGINT", {"mode": "PERMISSIVE"})
-    return e.select("event_id", j["k"].alias("k"))
+    """Answers read into the digest: ordered categories and their lists, sources."""
+    d = F.col("d")
+    return parsed_answers(spark, sf_dir).select(
+        "event_id", F.get(F.map_keys(d["categories"]), 0).alias("first_category"),
+        F.get(F.get(F.map_values(d["categories"]), 0), 0).alias("first_insight"),
+        F.size(d["per_source"]).alias("n_sources"), F.get(d["per_source"], 0)["summary"].alias("source_summary"))
 
 
 @query("parse_fallback", f"""WITH {ANSWERS_SQL}
 SELECT event_id,
-       CASE WHEN {OK_SQL} THEN NULLIF(split_part(split_part(response, '"executive_summary": "', 2), '"', 1), '')
+       CASE WHEN v IN {GOOD} THEN NULLIF(split_part(split_part(response, '"executive_summary": "', 2), '"', 1), '')
             ELSE {Q.lit(D.FALLBACK_SUMMARY)} END AS executive_summary,
-       CASE WHEN {OK_SQL} THEN (CASE WHEN event_id % {N_VARIANTS} = 5 THEN 'model could not read one newsletter' END)
-            ELSE {Q.lit(D.PARSE_ERROR)} END AS parse_error,
-       CASE WHEN {OK_SQL} THEN NULL ELSE substring(response, 1, 2000) END AS raw_response
+       CASE WHEN v = 5 THEN 'model could not read one newsletter' WHEN v IN {GOOD} THEN NULL
+            WHEN v IN {LOST} THEN {Q.lit(D.NOT_ONE_OBJECT)} WHEN v = 4 THEN {Q.lit(D.NO_ANSWER)}
+            ELSE {Q.lit(D.NO_OBJECT)} END AS parse_error,
+       CASE WHEN v NOT IN {GOOD} THEN substring(response, 1, 2000) END AS raw_response
 FROM ans""")
 def q_parse_fallback(spark, sf_dir):
-    a = answers(spark, sf_dir)
-    d = a.select("event_id", D.parse_answer(F.col("response")).alias("d"))
-    return d.select("event_id", F.nullif(F.col("d.executive_summary"), F.lit("")).alias("executive_summary"),
-                    "d.parse_error", "d.raw_response")
+    return parsed_answers(spark, sf_dir).select(
+        "event_id", F.nullif(F.col("d.executive_summary"), F.lit("")).alias("executive_summary"),
+        "d.parse_error", "d.raw_response")
 
 
 @query("digest_status", f"""WITH {ANSWERS_SQL}
-SELECT event_id, CASE WHEN NOT {OK_SQL} THEN 'Failed'
-                      WHEN event_id % {N_VARIANTS} = 6 THEN 'Failed'
-                      WHEN event_id % {N_VARIANTS} = 5 THEN 'Partial'
+SELECT event_id, CASE WHEN v NOT IN {GOOD} OR v = 6 THEN 'Failed' WHEN v = 5 THEN 'Partial'
                       ELSE 'Generated' END AS status,
-       CAST(CASE WHEN (event_id % {N_VARIANTS}) IN (0, 1, 2, 5) THEN 1 ELSE 0 END AS INTEGER) AS n_categories
+       CAST(CASE WHEN v IN {GOOD} AND v <> 6 THEN 1 ELSE 0 END AS INTEGER) AS n_categories
 FROM ans""")
 def q_digest_status(spark, sf_dir):
-    a = answers(spark, sf_dir)
-    d = a.select("event_id", D.parse_answer(F.col("response")).alias("d"))
+    d = parsed_answers(spark, sf_dir)
     return d.select("event_id", D.status(F.col("d.executive_summary"), F.col("d.parse_error")).alias("status"),
                     F.size(D.whitelist(F.col("d.active_categories"))).cast("int").alias("n_categories"))

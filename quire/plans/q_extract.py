@@ -12,9 +12,9 @@ from quire.plans.q_select import newsletters
 from quire.plans.registry import query
 from quire.sources import catalog as C
 
-# Extraction runs on every selected message (no per-day limit) so it covers the
-# whole table; the page pipeline applies the reference's 30-message limit.
-PA = DEFAULT.with_(max_messages=None)
+# Extraction runs on every selected message (no per-day limit) and on whole texts; the
+# page pipeline applies the reference's limits.
+PA = DEFAULT.with_(max_messages=None, body_cap=1 << 30)
 DD = "CAST(digest_date AS VARCHAR) AS digest_date"
 
 
@@ -63,25 +63,23 @@ BULLETS = f"""bullets AS (
 
 def sent_hits(spark, sf_dir):
     s = X.sentences(newsletters(spark, sf_dir, PA))
-    return s, X.categorize(s, spark)
+    return s, X.categorize(s)
 
 
 @query("lead_summary", f"""{BASE}
 SELECT {DD}, label, message_id, string_agg(sentence, ' ' ORDER BY sent_pos) AS summary
 FROM sent WHERE sent_pos <= {X.LEAD_SENTENCES} GROUP BY ALL""")
 def q_lead_summary(spark, sf_dir):
-    return X.lead_summary(X.sentences(newsletters(spark, sf_dir, PA)))
+    return X.lead_summary(newsletters(spark, sf_dir, PA))
 
 
 @query("key_facts", f"""{BASE}
 SELECT {DD}, label, message_id, fact_pos, fact FROM (
   SELECT *, CAST(row_number() OVER (PARTITION BY digest_date, label, message_id ORDER BY sent_pos) AS INTEGER) AS fact_pos,
          sentence AS fact
-  FROM sent WHERE regexp_matches(sentence, {Q.lit(X.FACT)}))
-WHERE fact_pos <= {X.FACTS_PER_SOURCE}""")
+  FROM sent WHERE regexp_matches(sentence, {Q.lit(X.FACT)}))""")
 def q_key_facts(spark, sf_dir):
-    return X.key_facts(X.sentences(newsletters(spark, sf_dir, PA))) \
-        .withColumn("fact_pos", F.col("fact_pos").cast("int"))
+    return X.key_facts(newsletters(spark, sf_dir, PA))
 
 
 @query("extract_links", f"""
@@ -124,23 +122,21 @@ es AS (SELECT digest_date, label, string_agg(sentence, ' ' ORDER BY r) AS execut
 @query("exec_summary", f"""{BASE}, {EXEC}
 SELECT {DD}, label, executive_summary FROM es""")
 def q_exec_summary(spark, sf_dir):
-    s, h = sent_hits(spark, sf_dir)
-    return X.exec_summary(s, h)
+    return X.exec_summary(X.sentences(newsletters(spark, sf_dir, PA)))
 
 
 FLAGS = f"""{hits_cte('fh', flags=True)},
 fl AS (
   SELECT digest_date, label, s.sentence AS text,
          row_number() OVER (PARTITION BY digest_date, label ORDER BY fh.hits DESC, s.list_pos, s.sent_pos) AS flag_pos
-  FROM fh JOIN sent s USING (digest_date, label, message_id, sent_pos)
-  QUALIFY flag_pos <= {X.FLAGS_PER_DAY})"""
+  FROM fh JOIN sent s USING (digest_date, label, message_id, sent_pos))"""
 
 
 @query("domain_flags", f"""{BASE}, {FLAGS}
 SELECT {DD}, label, CAST(flag_pos AS INTEGER) AS flag_pos, text FROM fl""")
 def q_domain_flags(spark, sf_dir):
     s = X.sentences(newsletters(spark, sf_dir, PA))
-    return X.domain_flags(s, spark).withColumn("flag_pos", F.col("flag_pos").cast("int"))
+    return X.domain_flags(s).withColumn("flag_pos", F.col("flag_pos").cast("int"))
 
 
 @query("active_categories", f"""{BASE}, {BULLETS}
@@ -162,9 +158,7 @@ first AS (SELECT digest_date, label, category, norm, first(sentence ORDER BY lis
                  count(*) AS n_mentions FROM h GROUP BY ALL),
 src AS (SELECT DISTINCT digest_date, label, category, norm, sender FROM h),
 nsrc AS (SELECT digest_date, label, category, norm, count(*) AS n_sources,
-                string_agg(sender, ', ' ORDER BY sender) FILTER (WHERE r <= {X.SOURCES_PER_INSIGHT}) AS sources
-         FROM (SELECT *, row_number() OVER (PARTITION BY digest_date, label, category, norm ORDER BY sender) AS r
-               FROM src) GROUP BY ALL)
+                string_agg(sender, ', ' ORDER BY sender) AS sources FROM src GROUP BY ALL)
 SELECT {DD}, label, category, norm, text, n_mentions, n_sources, sources
 FROM first JOIN nsrc USING (digest_date, label, category, norm)""")
 def q_insight_merge(spark, sf_dir):

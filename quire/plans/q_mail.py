@@ -8,11 +8,14 @@ base64url, UTF-8, the MIME walk, HTML cleanup and header/date handling.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from quire.operators import select as S
 from quire.plans import sql as Q
 from quire.plans.registry import query
+from quire.session import scratch_path
 from quire.sources import catalog as C
 from quire.sources import fixtures as FX
 from quire.sources import mail as M
@@ -22,7 +25,8 @@ HTML_SQL = ("'<html><head><title>' || subj || '</title></head><body><p>' || repl
 DOCS = f"""docs0 AS (
   SELECT doc_id, coalesce(text, '') AS text, coalesce(source, '') AS source, {Q.first_line('text')} AS subj,
          doc_id % {FX.N_SHAPES} AS shape, doc_id % 8 AS form,
-         doc_id % {FX.MOD_BAD} = {FX.BAD_B64} AS bad_b64, doc_id % {FX.MOD_BAD} = {FX.BAD_JSON} AS bad_json
+         doc_id % {FX.MOD_BAD} = {FX.BAD_B64} AS bad_b64, doc_id % {FX.MOD_BAD} = {FX.BAD_JSON} AS bad_json,
+         doc_id % {FX.MOD_BAD} IN {FX.DEEP} AS deep, doc_id // {FX.MOD_BAD} % {FX.LEVELS} + {FX.LEAST_LEVELS} AS levels
   FROM documents),
 docs1 AS (SELECT *, {HTML_SQL} AS html FROM docs0),
 docs2 AS (SELECT *, {Q.lines_list(Q.strip_markup('html'))} AS l FROM docs1),
@@ -56,9 +60,13 @@ PARTS = f"""parts AS (
   UNION ALL SELECT doc_id, '002', 1, 2, 'application/pdf', 'brief.pdf', {b64len('subj')}, strlen(subj), subj
             FROM docs WHERE NOT bad_json AND shape = 3
   UNION ALL SELECT doc_id, '000', 1, 0, 'multipart/related', NULL, NULL, NULL, NULL
-            FROM docs WHERE NOT bad_json AND shape = 4
+            FROM docs WHERE NOT bad_json AND shape = 4 AND NOT deep
   UNION ALL SELECT doc_id, '000.000', 2, 0, 'text/plain', NULL, {b64len('text')}, strlen(text), text
-            FROM docs WHERE NOT bad_json AND shape = 4
+            FROM docs WHERE NOT bad_json AND shape = 4 AND NOT deep
+  UNION ALL SELECT doc_id, repeat('000.', k - 1) || '000', k, 0, 'multipart/mixed', NULL, NULL, NULL, NULL
+            FROM (SELECT doc_id, unnest(range(1, levels + 1)) AS k FROM docs WHERE deep)
+  UNION ALL SELECT doc_id, repeat('000.', levels) || '000', levels + 1, 0, 'text/html', NULL, {b64len('html')},
+                   strlen(html), html FROM docs WHERE deep
   UNION ALL SELECT doc_id, '001', 1, 1, 'text/plain', NULL, {b64len(Q.lit(FX.FOOTER))}, strlen({Q.lit(FX.FOOTER)}),
                    {Q.lit(FX.FOOTER)} FROM docs WHERE NOT bad_json AND shape = 4
   UNION ALL SELECT doc_id, '000', 1, 0, 'message/rfc822', NULL, NULL, NULL, NULL
@@ -76,15 +84,22 @@ def parsed(spark, sf_dir):
 
 
 def part_rows(spark, sf_dir):
-    m = parsed(spark, sf_dir).filter(F.col("msg._corrupt_record").isNull())
+    m = parsed(spark, sf_dir).filter(F.col("msg").isNotNull())
     return m.select("message_id", F.inline(M.mime_parts(F.col("msg"))))
 
 
+BROKEN = f"doc_id % {FX.MOD_BAD} = {FX.BAD_JSON}"
+
+
 @query("scan_messages", f"""
-SELECT doc_id AS message_id, CAST({Q.day_of('doc_id')} AS VARCHAR) AS digest_date, doc_id AS list_pos
+SELECT CASE WHEN NOT {BROKEN} THEN CAST(doc_id AS VARCHAR) END AS message_id,
+       CASE WHEN NOT {BROKEN} THEN CAST({Q.day_of('doc_id')} AS VARCHAR) END AS digest_date, {BROKEN} AS broken
 FROM documents""")
 def q_scan_messages(spark, sf_dir):
-    return FX.raw_messages(spark, sf_dir).select("message_id", "digest_date", "list_pos")
+    """Stored mail, one message object a line, scanned back whole; a cut line stays a row."""
+    path = scratch_path(spark, f"mail-{uuid.uuid4().hex[:12]}")
+    FX.stored_mail(spark, sf_dir).write.text(path)
+    return M.read_raw(spark, path).select("message_id", "digest_date", (~F.col("raw").endswith("}")).alias("broken"))
 
 
 @query("parse_message", f"""WITH {DOCS}
@@ -95,28 +110,26 @@ SELECT doc_id AS message_id,
        CAST(CASE shape WHEN 0 THEN 0 WHEN 1 THEN 0 WHEN 3 THEN 3 ELSE 2 END AS INTEGER) AS n_parts
 FROM docs WHERE NOT bad_json""")
 def q_parse_message(spark, sf_dir):
-    m = parsed(spark, sf_dir).filter(F.col("msg._corrupt_record").isNull())
-    return m.select("message_id", F.col("msg.payload.mimeType").alias("mime"),
-                    F.size(F.coalesce("msg.payload.headers", F.array())).cast("int").alias("n_headers"),
-                    F.coalesce(F.size("msg.payload.parts"), F.lit(0)).cast("int").alias("n_parts"))
+    m = parsed(spark, sf_dir).filter(F.col("msg").isNotNull())
+    return m.select("message_id", "msg.mime", F.size("msg.headers").alias("n_headers"), "msg.n_parts")
 
 
 @query("header_lookup", f"""WITH {DOCS}
 SELECT doc_id AS message_id, subj AS subject, source AS sender FROM docs WHERE NOT bad_json""")
 def q_header_lookup(spark, sf_dir):
-    m = parsed(spark, sf_dir).filter(F.col("msg._corrupt_record").isNull())
+    m = parsed(spark, sf_dir).filter(F.col("msg").isNotNull())
     return m.select("message_id", M.header(F.col("msg"), "subject").alias("subject"),
                     M.header(F.col("msg"), "FROM").alias("sender"))
 
 
 @query("parse_mail_date", f"""WITH {DOCS},
-t AS (SELECT doc_id, form, bad_json,
+t AS (SELECT doc_id, form, bad_json, bad_b64,
              strftime(CAST({Q.day_of('doc_id')} AS TIMESTAMP) + INTERVAL 8 HOUR + to_minutes(CAST(doc_id % 60 AS BIGINT))
                       + to_seconds(CAST((doc_id * 7) % 60 AS BIGINT)), '%Y-%m-%dT%H:%M:%S') AS iso FROM docs)
 SELECT doc_id AS message_id,
        CASE form WHEN 0 THEN iso || '+00:00' WHEN 1 THEN iso || '-05:00' WHEN 2 THEN iso || '+00:00'
                  WHEN 3 THEN iso || '+00:00' WHEN 4 THEN iso WHEN 5 THEN iso || '+01:00' END AS date
-FROM t WHERE NOT bad_json""")
+FROM t WHERE NOT bad_json AND NOT bad_b64""")
 def q_parse_mail_date(spark, sf_dir):
     good, _ = decoded(spark, sf_dir)
     return good.select("message_id", "date")
@@ -148,13 +161,14 @@ def q_utf8_lenient(spark, sf_dir):
 
 @query("mime_body", f"""WITH {DOCS}
 SELECT doc_id AS message_id,
-       CASE shape WHEN 0 THEN (CASE WHEN bad_b64 THEN '' ELSE text END)
+       CASE shape WHEN 0 THEN text
                   WHEN 1 THEN htext
                   WHEN 2 THEN (CASE WHEN htext <> '' THEN htext ELSE text END)
                   WHEN 3 THEN (CASE WHEN htext <> '' THEN htext ELSE text END)
-                  WHEN 4 THEN (CASE WHEN text <> '' THEN text ELSE {Q.lit(FX.FOOTER)} END)
+                  WHEN 4 THEN (CASE WHEN deep AND htext <> '' THEN htext WHEN NOT deep AND text <> '' THEN text
+                                    ELSE {Q.lit(FX.FOOTER)} END)
                   ELSE text END AS body
-FROM docs WHERE NOT bad_json""")
+FROM docs WHERE NOT bad_json AND NOT bad_b64""")
 def q_mime_body(spark, sf_dir):
     good, _ = decoded(spark, sf_dir)
     return good.select("message_id", "body")
@@ -169,15 +183,16 @@ def q_quarantine(spark, sf_dir):
 
 
 @query("fetch_bodies", f"""WITH {Q.MESSAGE_LABELS}
-SELECT ml.message_id, ml.label, (d.doc_id % {FX.MOD_BAD} <> {FX.BAD_JSON}) AS fetched
+SELECT CAST({Q.day_of('d.doc_id')} AS VARCHAR) AS digest_date, ml.message_id, ml.label,
+       (d.doc_id % {FX.MOD_BAD} NOT IN ({FX.BAD_JSON}, {FX.BAD_B64})) AS fetched
 FROM ml JOIN documents d ON d.doc_id = ml.message_id""")
 def q_fetch_bodies(spark, sf_dir):
     good, _ = decoded(spark, sf_dir)
     keyed = S.label_filter(C.message_keys(spark, sf_dir), C.message_labels(spark, sf_dir))
-    ok, failed = S.fetch_bodies(keyed, good.select("message_id", "body"))
-    return (ok.select("message_id", "label", F.lit(True).alias("fetched"))
-              .unionByName(keyed.join(failed, "message_id").select("message_id", "label",
-                                                                  F.lit(False).alias("fetched"))))
+    ok, failed = S.fetch_bodies(keyed, good.select("message_id", "digest_date", "body"))
+    cols = [*S.DAY_KEYS, "message_id"]
+    return (ok.select(*cols, F.lit(True).alias("fetched"))
+              .unionByName(failed.select(*cols, F.lit(False).alias("fetched"))))
 
 
 @query("label_catalog", f"""WITH {Q.MESSAGE_LABELS}

@@ -15,6 +15,7 @@ from quire.sinks.stats import message_previews
 from quire.sources import catalog as C
 
 P = DEFAULT
+PK = DEFAULT.with_(max_messages=5)     # the fixture's days are small; this limit cuts most of them
 DD = "CAST(digest_date AS VARCHAR) AS digest_date"
 TARGET_DAY = _dt.date(2024, 1, 3)
 
@@ -89,10 +90,10 @@ def q_label_filter(spark, sf_dir):
 @query("daily_topk", f"""
 WITH {Q.MESSAGES}, {Q.MESSAGE_LABELS}
 SELECT CAST(m.digest_date AS VARCHAR) AS digest_date, ml.label, m.message_id, m.list_pos FROM msg m JOIN ml USING (message_id)
-QUALIFY row_number() OVER (PARTITION BY m.digest_date, ml.label ORDER BY m.list_pos) <= {P.max_messages}""")
+QUALIFY row_number() OVER (PARTITION BY m.digest_date, ml.label ORDER BY m.list_pos) <= {PK.max_messages}""")
 def q_daily_topk(spark, sf_dir):
     keyed = S.label_filter(C.message_keys(spark, sf_dir), C.message_labels(spark, sf_dir))
-    return S.daily_topk(keyed, P).select("digest_date", "label", "message_id", "list_pos")
+    return S.daily_topk(keyed, PK).select("digest_date", "label", "message_id", "list_pos")
 
 
 @query("dedup_subject", f"""

@@ -1,16 +1,23 @@
 """DuckDB SQL fragments for the oracle queries.
 
-They restate the same semantics independently in another engine's dialect
-(RE2 regexes, 1-based list lambdas), so a match is evidence, not tautology.
+They restate the same semantics in another engine's dialect (RE2 regexes, 1-based list
+lambdas) and share no pattern with the engine, so a match is evidence, not tautology.
 """
 
 from __future__ import annotations
 
-from quire.functions.text import ENTITIES, LINE_BREAK, MARKUP, NAMED_REF, NUMERIC_REF, WHITESPACE
+import html.entities
+
 from quire.params import DEFAULT, Params
 from quire.sources import catalog
 
-WS = "||".join(f"chr({ord(c)})" for c in WHITESPACE)
+# White space as Unicode and Python have it, by code point.
+SPACES = [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F,
+          0x205F, 0x3000]
+WS = "||".join(f"chr({c})" for c in SPACES)
+LINE_END = r"[\x0A-\x0D\x1C-\x1E\x{85}\x{2028}\x{2029}]"
+TAGS = "(?is)" + "|".join([r"<!--.*?(?:-->|\z)", *(rf"<{e}\b.*?(?:</{e}\s*>|\z)" for e in ("script", "style", "noscript")),
+                          r"""<[a-z/!?](?:[^<>"']|"[^<"]*"|'[^<']*')*>""", r"<[a-z/!?][^>]*(?:>|\z)"])
 NL = "chr(10)"
 
 
@@ -26,29 +33,35 @@ def first_line(x: str) -> str:
     return f"split_part(coalesce({x}, ''), {NL}, 1)"
 
 
+def entity_map() -> str:
+    rows = ((k[:-1], v) for k, v in html.entities.html5.items() if k.endswith(";"))
+    return "MAP {" + ", ".join(f"{lit(k)}: {'||'.join(f'chr({ord(c)})' for c in v)}" for k, v in rows) + "}"
+
+
 def decode_entities(x: str) -> str:
     """Single pass over the pieces after each '&' (DuckDB lists are 1-based)."""
-    names = " ".join(f"WHEN {lit(e[1:-1])} THEN chr({ord(c)})" for e, c in ENTITIES)
-    nm = f"regexp_extract(p, {lit(NAMED_REF)}, 1)"
-    hx, dc = f"regexp_extract(p, {lit(NUMERIC_REF)}, 1)", f"regexp_extract(p, {lit(NUMERIC_REF)}, 2)"
-    code = f"(CASE WHEN {hx} <> '' THEN CAST('0x' || {hx} AS BIGINT) WHEN {dc} <> '' THEN CAST({dc} AS BIGINT) END)"
-    num = (f"(CASE WHEN {code} BETWEEN 1 AND 55295 OR {code} BETWEEN 57344 AND 1114111 "
-           f"THEN chr(CAST({code} AS INTEGER)) ELSE chr(65533) END)")
-    body = (f"CASE WHEN i = 1 THEN p WHEN (CASE {nm} {names} END) IS NOT NULL "
-            f"THEN (CASE {nm} {names} END) || regexp_replace(p, {lit(NAMED_REF)}, '') "
-            f"WHEN {code} IS NOT NULL THEN {num} || regexp_replace(p, {lit(NUMERIC_REF)}, '') "
-            f"ELSE '&' || p END")
+    ref, hexa, deca = "'^([A-Za-z][A-Za-z0-9]+);'", "'^#[xX]([0-9A-Fa-f]+);'", "'^#([0-9]+);'"
+    name = f"({entity_map()})[regexp_extract(p, {ref}, 1)]"
+    digits = (f"(CASE WHEN regexp_matches(p, {hexa}) THEN ltrim(regexp_extract(p, {hexa}, 1), '0') "
+              f"ELSE ltrim(regexp_extract(p, {deca}, 1), '0') END)")
+    code = (f"(CASE WHEN length({digits}) BETWEEN 1 AND 7 THEN "
+            f"CAST((CASE WHEN regexp_matches(p, {hexa}) THEN '0x' ELSE '' END) || {digits} AS BIGINT) ELSE 0 END)")
+    char = (f"(CASE WHEN {code} BETWEEN 1 AND 55295 OR {code} BETWEEN 57344 AND 1114111 "
+            f"THEN chr(CAST({code} AS INTEGER)) ELSE chr(65533) END)")
+    body = (f"CASE WHEN i = 1 THEN p WHEN {name} IS NOT NULL THEN {name} || regexp_replace(p, {ref}, '') "
+            f"WHEN regexp_matches(p, {hexa}) THEN {char} || regexp_replace(p, {hexa}, '') "
+            f"WHEN regexp_matches(p, {deca}) THEN {char} || regexp_replace(p, {deca}, '') ELSE '&' || p END")
     return (f"(CASE WHEN strpos({x}, '&') > 0 THEN "
             f"array_to_string(list_transform(string_split({x}, '&'), lambda p, i: {body}), '') ELSE {x} END)")
 
 
 def strip_markup(x: str) -> str:
-    return decode_entities(f"regexp_replace({x}, {lit(MARKUP)}, {NL}, 'g')")
+    return decode_entities(f"regexp_replace({x}, {lit(TAGS)}, {NL}, 'g')")
 
 
 def lines_list(x: str) -> str:
     """Stripped, non-empty lines of ``x`` as a list."""
-    return (f"list_filter(list_transform(string_split_regex({x}, {lit(LINE_BREAK)}), "
+    return (f"list_filter(list_transform(string_split_regex({x}, {lit(LINE_END)}), "
             f"lambda s: {ustrip('s')}), lambda s: s <> '')")
 
 
@@ -63,7 +76,7 @@ def tokens(x: str, p: Params = DEFAULT) -> str:
 
 
 def day_of(doc_id: str) -> str:
-    return f"(DATE '{catalog.FIRST_DAY.isoformat()}' + CAST({doc_id} % {catalog.N_DAYS} AS INTEGER))"
+    return f"(DATE '{catalog.FIRST_DAY.isoformat()}' + CAST({doc_id} // {catalog.DOCS_PER_DAY} AS INTEGER))"
 
 
 MESSAGES = f"""msg AS (

@@ -20,14 +20,16 @@ def message_previews(nl: DataFrame) -> DataFrame:
                      F.substring("subject", 1, SUBJECT_PREVIEW).alias("subject_preview"))
 
 
-def run_stats(fetched: DataFrame, counts: DataFrame, digests: DataFrame) -> DataFrame:
-    """(digest_date, label, fetched, unique_count, categories, n_flags, summary_preview)."""
-    d = counts.join(fetched, DAY_KEYS).join(digests, DAY_KEYS, "left")
+def run_stats(found: DataFrame, fetched: DataFrame, counts: DataFrame, digests: DataFrame) -> DataFrame:
+    """(digest_date, label, found, fetched, unique_count, categories, n_flags,
+    summary_preview): messages listed, messages with a usable body, and those left once
+    repeated subjects are gone."""
+    d = (found.join(fetched, DAY_KEYS, "left").join(counts, DAY_KEYS, "left").join(digests, DAY_KEYS, "left"))
     cats = F.array_join(F.coalesce(F.col("active_categories"), F.array().cast("array<string>")), ", ")
     return d.select(
         *DAY_KEYS,
-        F.col("fetched").cast("bigint").alias("fetched"),
-        F.col("newsletter_count").cast("bigint").alias("unique_count"),
+        *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(n)
+          for c, n in (("found", "found"), ("fetched", "fetched"), ("newsletter_count", "unique_count"))],
         F.when(cats == "", F.lit("None")).otherwise(cats).alias("categories"),
         F.coalesce(F.size("domain_flags"), F.lit(0)).cast("int").alias("n_flags"),
         F.substring(F.coalesce(F.col("executive_summary"), F.lit("")), 1, PREVIEW).alias("summary_preview"),

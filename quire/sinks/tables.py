@@ -1,27 +1,48 @@
-"""Sinks (B1, B2): digests as JSON, pages and blocks as Parquet tables.
+"""Sinks (B1, B2, B3, C9): digests as JSON; pages, blocks, statistics, quarantine and
+model answers as Parquet tables.
 
-All writes are partitioned by ``digest_date`` with dynamic partition overwrite:
-re-running a day replaces exactly that day's files (idempotent re-runs), other
-days are untouched.
+A run publishes some days of some labels, so tables are partitioned by ``digest_date``
+and ``label`` with dynamic partition overwrite: re-running a day of a label replaces
+exactly its files; other days and other labels are untouched. A day that a later run
+finds empty keeps its page: nothing is published for an empty day.
+
+Model answers are only ever added: one row per call, keyed by the prompt's hash.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+
+PARTITION = ["digest_date", "label"]
 
 
-def _overwrite_days(df: DataFrame, path: str, fmt: str) -> None:
+def overwrite_days(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy("digest_date").format(fmt).save(path))
+       .partitionBy(*PARTITION).format(fmt).save(path))
 
 
 def write_digests_json(digests: DataFrame, path: str) -> None:
     """Dry-run output: one JSON object per (day, label). Compact UTF-8, not the
     reference's indented ASCII-escaped file: same values, other bytes."""
-    _overwrite_days(digests, path, "json")
+    overwrite_days(digests, path, "json")
 
 
 def write_pages(pages: DataFrame, blocks: DataFrame, base: str) -> None:
     """Publish: ``digest_pages`` (one row per day and label) and ``digest_blocks``."""
-    _overwrite_days(pages, f"{base}/digest_pages", "parquet")
-    _overwrite_days(blocks, f"{base}/digest_blocks", "parquet")
+    overwrite_days(pages, f"{base}/digest_pages")
+    overwrite_days(blocks, f"{base}/digest_blocks")
+
+
+def add_answers(answers: DataFrame, base: str) -> None:
+    answers.write.mode("append").parquet(f"{base}/answers")
+
+
+def read_answers(spark: SparkSession, base: str) -> DataFrame | None:
+    """The answers stored by earlier runs, None before the first."""
+    try:
+        return spark.read.schema("prompt_hash string, response string, error string").parquet(f"{base}/answers")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None

@@ -7,7 +7,6 @@ plain projections (no sampling, no filtering): every document is one message.
 * ``message_labels`` labels    -> (message_id, label)
 * ``pages``          pages     -> (page_id, url, html)
 * ``events``         events    -> (event_id, ts, user_id, event_type, value, props)
-* ``conversations``  conversations, ordered by turn
 """
 
 from __future__ import annotations
@@ -21,7 +20,7 @@ from quire.functions.text import first_line
 
 # Fixed values of the fixture mapping (shared with the SQL oracle).
 FIRST_DAY = _dt.date(2024, 1, 1)
-N_DAYS = 5
+DOCS_PER_DAY = 60      # a day holds so many documents; days grow with the table
 LABEL_OF_QUALITY = "Newsletter"   # labels.quality = 1
 LABEL_OF_TOXIC = "Flagged"        # labels.toxic = 1
 DATE_SUFFIX = "T08:00:00+00:00"    # fixture messages are all sent at 08:00 UTC
@@ -32,7 +31,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def day_of(doc_id: Column) -> Column:
-    return F.date_add(F.lit(FIRST_DAY), F.pmod(doc_id, F.lit(N_DAYS)).cast("int"))
+    return F.date_add(F.lit(FIRST_DAY), F.floor(doc_id / DOCS_PER_DAY).cast("int"))
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,7 +50,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the bulk fetch returns per message id: headers' values and the body."""
-    return messages(spark, sf_dir).select("message_id", "sender", "subject", "date", "body")
+    return messages(spark, sf_dir).select("message_id", "digest_date", "sender", "subject", "date", "body")
 
 
 def message_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,6 +79,3 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events")
 
-
-def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "conversations")

@@ -11,6 +11,8 @@ shape = doc_id % 6
   3  multipart/mixed [text/plain, multipart/alternative [text/plain, text/html], application/pdf]
   4  multipart/mixed [multipart/related [text/plain], text/plain footer]
   5  multipart/mixed [message/rfc822 [text/html], text/plain]
+and, of shape 4, doc_id % 60 in DEEP: multipart/mixed [multipart/mixed [... [text/html]], text/plain footer],
+  the HTML inside 2 to 12 nested multiparts (2 + doc_id div 60 mod 11)
 date form = doc_id % 8 (see DATE_FORMS); doc_id % 7 == 0 adds a second, lower-case
 "subject" header; doc_id % 60 == 6 has a malformed base64 body; doc_id % 60 == 18
 has truncated JSON.
@@ -27,6 +29,8 @@ from quire.sources.catalog import day_of, table
 FOOTER = "You are receiving this newsletter because you subscribed to it."
 N_SHAPES = 6
 BAD_B64, BAD_JSON, MOD_BAD = 6, 18, 60
+DEEP = (10, 22, 34, 46)
+LEVELS, LEAST_LEVELS = 11, 2
 # Date header forms: (spark pattern, zone text); index = doc_id % 8, 6 = garbage, 7 = absent.
 DATE_FORMS = [
     ("EEE, dd MMM yyyy HH:mm:ss", " +0000"),
@@ -110,6 +114,30 @@ def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     payload = F.struct(root_mime.alias("mimeType"), headers.alias("headers"),
                        F.struct(root_data.alias("data")).alias("body"), parts.alias("parts"))
     js = F.to_json(F.struct(doc.cast("string").alias("id"), payload.alias("payload")))
+    levels = (F.pmod(F.floor(doc / MOD_BAD), F.lit(LEVELS)) + LEAST_LEVELS).cast("int")
+
+    def node(mime: str, data: Column) -> Column:
+        return F.concat(F.lit(f'{{"mimeType":"{mime}","body":{{"data":"'), data, F.lit('"}}'))
+
+    deep = F.concat(
+        F.lit('{"id":"'), doc.cast("string"), F.lit('","payload":{"mimeType":"multipart/mixed","headers":'),
+        F.to_json(headers), F.lit(',"parts":['), F.repeat(F.lit('{"mimeType":"multipart/mixed","parts":['), levels),
+        node("text/html", b_html), F.repeat(F.lit("]}"), levels), F.lit(","),
+        node("text/plain", b64url_encode(F.lit(FOOTER))), F.lit("]}}"))
+    js = F.when(F.pmod(doc, F.lit(MOD_BAD)).isin(*DEEP), deep).otherwise(js)
     js = F.when(F.pmod(doc, F.lit(MOD_BAD)) == BAD_JSON, F.substring(js, 1, 40)).otherwise(js)
     return d.select(doc.alias("message_id"), day_of(doc).alias("digest_date"), doc.alias("list_pos"),
                     js.alias("raw"))
+
+
+def stamp(age: Column) -> Column:
+    """What a stored message begins with: its time, here from its place in the listing."""
+    return F.concat(F.lit('{"internalDate":"'), (-age).cast("string"), F.lit('",'))
+
+
+def stored_mail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``raw_messages`` as a mail export has them: one object a line, with its time. Every
+    five messages share a millisecond, so that list order needs the id too."""
+    ms = F.unix_millis(F.to_timestamp("digest_date")) + F.floor(F.pmod(F.col("message_id"), F.lit(100)) / 5)
+    return raw_messages(spark, sf_dir).select(
+        F.concat(stamp(-ms), F.expr("substr(raw, 2)")).alias("value"))

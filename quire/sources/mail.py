@@ -2,26 +2,28 @@
 
 ``messages_raw(message_id, digest_date, list_pos, raw)``: ``raw`` is the mail
 service's full-format JSON object ``{id, payload{mimeType, headers[], body{data},
-parts[]}}``. ``parts`` is recursive; it is parsed with a schema unrolled to
-``Params.mime_depth`` levels (deeper subtrees stay JSON text and are quarantined).
+parts[]}}``. ``parts`` is recursive to any depth, which no schema can say, so one Arrow
+function parses each message once and lists the nodes of its tree; everything after that
+(base64, UTF-8, HTML cleanup, headers, dates) is column expressions on that list.
 
-Everything is row-local: one message is one row, the MIME tree is walked with
-higher-order functions inside that row, so decoding never shuffles.
+Everything is row-local: one message is one row, so decoding never shuffles.
 """
 
 from __future__ import annotations
 
+import json
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.functions.text import b64url_decode, decode_body, html_to_text
+from quire.functions.text import b64url_decode, html_to_text, utf8_lenient
 from quire.params import DEFAULT, Params
+from quire.session import ship_package
 
 HEADER_T = T.ArrayType(T.StructType([T.StructField("name", T.StringType()),
                                      T.StructField("value", T.StringType())]))
-BODY_T = T.StructType([T.StructField("data", T.StringType())])
-
 # The two body types that are read, and month names of mail dates.
 HTML, PLAIN = "text/html", "text/plain"
 MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
@@ -31,21 +33,15 @@ ZONES = {"UT": "+0000", "UTC": "+0000", "GMT": "+0000", "Z": "+0000",
          "MST": "-0700", "MDT": "-0600", "PST": "-0800", "PDT": "-0700"}
 
 
-def node_type(depth: int, max_depth: int) -> T.StructType:
-    fields = [T.StructField("mimeType", T.StringType()), T.StructField("filename", T.StringType()),
-              T.StructField("body", BODY_T)]
-    if depth < max_depth:
-        fields.append(T.StructField("parts", T.ArrayType(node_type(depth + 1, max_depth))))
-    else:
-        fields.append(T.StructField("parts", T.StringType()))   # deeper subtree kept as JSON text
-    return T.StructType(fields)
-
-
-def message_type(p: Params = DEFAULT) -> T.StructType:
-    payload = node_type(0, p.mime_depth)
-    payload = T.StructType(payload.fields + [T.StructField("headers", HEADER_T)])
-    return T.StructType([T.StructField("id", T.StringType()), T.StructField("payload", payload),
-                         T.StructField("_corrupt_record", T.StringType())])
+NODE_T = pa.struct([("path", pa.string()), ("depth", pa.int32()), ("pos", pa.int32()), ("mime", pa.string()),
+                    ("filename", pa.string()), ("data", pa.string())])
+MESSAGE_T = pa.struct([
+    ("mime", pa.string()), ("n_parts", pa.int32()),
+    ("headers", pa.list_(pa.struct([("name", pa.string()), ("value", pa.string())]))),
+    ("nodes", pa.list_(NODE_T)), ("order", pa.list_(pa.int32()))])
+MESSAGE_SCHEMA = ("mime string, n_parts int, headers array<struct<name: string, value: string>>, "
+                  "nodes array<struct<path: string, depth: int, pos: int, mime: string, filename: string, "
+                  "data: string>>, order array<int>")
 
 
 RAW_SCHEMA = T.StructType([T.StructField("message_id", T.StringType()), T.StructField("digest_date", T.DateType()),
@@ -59,7 +55,8 @@ def read_raw(spark, path: str, fmt: str = "jsonl") -> DataFrame:
     * ``jsonl``: one full-format message object per line, as the mail service returns
       it. Lines are read as text, so a malformed one is kept (and quarantined when
       decoded), not dropped by a JSON reader. The day is the local date of
-      ``internalDate`` (epoch ms); list order is newest first, then id.
+      ``internalDate`` (epoch ms); list order is newest first, then id: a struct, which
+      sorts like the pair.
     """
     if fmt == "parquet":
         return spark.read.schema(RAW_SCHEMA).parquet(path)
@@ -68,21 +65,85 @@ def read_raw(spark, path: str, fmt: str = "jsonl") -> DataFrame:
     lines = spark.read.text(path).select(F.col("value").alias("raw"))
     ms = F.get_json_object("raw", "$.internalDate").try_cast("long")
     ts = F.timestamp_millis(ms)
-    return lines.select(F.get_json_object("raw", "$.id").alias("message_id"), F.to_date(ts).alias("digest_date"),
-                        (-ms).alias("list_pos"), "raw")
-
-
-def parse_message(raw: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    """Add ``msg`` (the parsed object; NULL fields + ``_corrupt_record`` on bad JSON)."""
-    j = F.from_json(F.col("raw"), message_type(p),
-                    {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
-    return raw.withColumn("msg", j)
+    ident = F.get_json_object("raw", "$.id")
+    return lines.select(ident.alias("message_id"), F.to_date(ts).alias("digest_date"),
+                        F.struct((-ms).alias("age"), ident.alias("id")).alias("list_pos"), "raw")
+
+
+def _text(x) -> str | None:
+    return x if isinstance(x, str) else None
+
+
+def message_tree(raw: str | None) -> dict | None:
+    """A message's headers, the nodes that the body walk looks at (the root, its children
+    and the children of multipart nodes below it, in order; ``path`` sorts), and the order
+    in which nodes are tried for the body. None where ``raw`` is not a message's JSON.
+
+    The order restates the walk: a direct text body of the root is all there is; else the
+    last HTML child comes first, then, for as long as nothing has been found, what the
+    multipart children after it hold, and last the last plain child. The tree is walked
+    with a stack of its own, so its depth is limited by the JSON parser alone."""
+    try:
+        payload = json.loads(raw)["payload"]
+        nodes, of = [], {}
+        stack = [(payload, "", 0, 0)]
+        while stack:
+            n, path, depth, pos = stack.pop()
+            data = _text((n.get("body") or {}).get("data"))
+            mime = _text(n.get("mimeType")) or ""
+            of[path] = len(nodes)
+            nodes.append({"path": path, "depth": depth, "pos": pos, "mime": mime,
+                          "filename": _text(n.get("filename")), "data": data})
+            if not path or mime.startswith("multipart/"):
+                below = [(c, f"{path}.{i:03d}" if path else f"{i:03d}", depth + 1, i)
+                         for i, c in enumerate(n.get("parts") or [])]
+                stack += reversed(below)
+        children: dict[str, list[int]] = {}
+        for i, n in enumerate(nodes[1:], 1):
+            children.setdefault(n["path"].rpartition(".")[0], []).append(i)
+        headers = [{"name": _text(h.get("name")), "value": _text(h.get("value"))}
+                   for h in payload.get("headers") or []]
+        return {"mime": nodes[0]["mime"], "n_parts": len(payload.get("parts") or []), "headers": headers,
+                "nodes": nodes, "order": body_order(nodes, children)}
+    except (ValueError, TypeError, KeyError, AttributeError, RecursionError):
+        return None
+
+
+def body_order(nodes: list[dict], children: dict[str, list[int]]) -> list[int]:
+    root = nodes[0]
+    if root["data"] and root["mime"] in (HTML, PLAIN):
+        return [0]
+    out: list[int] = []
+    todo: list[tuple[str, int]] = [("node", 0)]
+    while todo:
+        what, i = todo.pop()
+        if what == "leaf":
+            out.append(i)
+            continue
+        kids = children.get(nodes[i]["path"], [])
+        html = [k for k in kids if nodes[k]["mime"] == HTML and nodes[k]["data"]]
+        plain = [k for k in kids if nodes[k]["mime"] == PLAIN and nodes[k]["data"]]
+        after = [k for k in kids if nodes[k]["mime"].startswith("multipart/") and (not html or k > html[-1])]
+        todo += reversed([("leaf", k) for k in html[-1:]] + [("node", k) for k in after]
+                         + [("leaf", k) for k in plain[-1:]])
+    return out
+
+
+def parse_message(raw: DataFrame) -> DataFrame:
+    """Add ``msg``: the message's tree, NULL on malformed JSON."""
+    ship_package(raw.sparkSession)
+
+    @F.arrow_udf(MESSAGE_SCHEMA)
+    def parse(texts: pa.Array) -> pa.Array:
+        return pa.array([message_tree(t.as_py()) for t in texts], MESSAGE_T)
+
+    return raw.withColumn("msg", parse("raw"))
 
 
 # --------------------------------------------------------------------------- headers and dates
 def header(msg: Column, name: str) -> Column:
     """First header named ``name`` (case-insensitive), '' if none."""
-    hs = F.coalesce(msg["payload"]["headers"], F.array().cast(HEADER_T))
+    hs = F.coalesce(msg["headers"], F.array().cast(HEADER_T))
     hit = F.filter(hs, lambda h: F.lower(F.coalesce(h["name"], F.lit(""))) == F.lit(name.lower()))
     return F.coalesce(F.get(hit, 0)["value"], F.lit(""))
 
@@ -111,129 +172,55 @@ def parse_mail_date(s: Column) -> Column:
 
 
 # --------------------------------------------------------------------------- MIME
-def _mime(n: Column) -> Column:
-    return F.coalesce(n["mimeType"], F.lit(""))
-
-
-def _data(n: Column) -> Column:
-    return F.coalesce(n["body"]["data"], F.lit(""))
-
-
-def nonempty(x: Column) -> Column:
-    """``x`` unless it is '' (then NULL), with ``x`` appearing once in the plan
-    (``nullif`` is rewritten to ``if(x = '', null, x)``, which copies ``x``)."""
-    return F.get(F.filter(F.array(x), lambda v: v != ""), 0)
-
-
-def node_body(n: Column, depth: int, max_depth: int) -> Column:
-    """Body chosen for a node (T8), NULL when there is none: a direct text/html or
-    text/plain body ends the walk; else scan the direct children: HTML overwrites,
-    plain overwrites, a multipart child fills the HTML slot only while it is
-    empty; the result is the HTML slot, else the plain one. Each recursive call
-    appears once, so the expression grows linearly with ``max_depth``."""
-    mime, data = _mime(n), _data(n)
-    is_direct = (data != "") & mime.isin(HTML, PLAIN)
-    direct = F.when(mime == HTML, html_to_text(decode_body(data))).otherwise(decode_body(data))
-    if depth >= max_depth:
-        return F.when(is_direct, nonempty(direct))
-    init = F.struct(F.lit("").alias("h"), F.lit("").alias("p"))
+def mime_parts(msg: Column) -> Column:
+    """One entry per node the body walk looks at, root first."""
+    return msg["nodes"]
 
-    def step(acc, c):
-        cm, cd = _mime(c), _data(c)
-        nested = F.when(F.startswith(cm, F.lit("multipart/")) & (acc["h"] == ""),
-                        node_body(c, depth + 1, max_depth))
-        h = (F.when((cm == HTML) & (cd != ""), F.coalesce(html_to_text(decode_body(cd)), F.lit("")))
-              .otherwise(F.coalesce(nested, acc["h"])))
-        p = F.when((cm == PLAIN) & (cd != ""), F.coalesce(decode_body(cd), F.lit(""))).otherwise(acc["p"])
-        return F.struct(h.alias("h"), p.alias("p"))
 
-    kids = F.coalesce(n["parts"], F.array().cast(T.ArrayType(node_type(depth + 1, max_depth))))
-    chosen = F.aggregate(kids, init, step, lambda acc: F.coalesce(nonempty(acc["h"]), nonempty(acc["p"])))
-    return F.when(is_direct, nonempty(direct)).otherwise(chosen)
+LINK = r"(?i)<a\b[^>]*?\bhref\s*=\s*[\"']?(https?://[^\s\"'<>]+)"
 
 
-def message_body(msg: Column, p: Params = DEFAULT) -> Column:
-    return F.coalesce(node_body(msg["payload"], 0, p.mime_depth), F.lit(""))
+def chosen_body(msg: Column) -> Column:
+    """(body, links, undecodable) of a message (T8): the first node in body order whose decoded,
+    cleaned text is not empty; later nodes are not even decoded. Links are taken from its
+    markup before that is removed; a plain part has none (null). A part whose base64 is
+    broken counts as empty, and ``undecodable`` tells that one was met on the way."""
+    def step(acc: Column, i: Column) -> Column:
+        node = F.get(msg["nodes"], i)
+        raw = b64url_decode(node["data"])
 
+        def text(parts: Column) -> Column:
+            return F.when(node["mime"] == HTML, html_to_text(parts)).otherwise(parts)
 
-def _row(n: Column, path: Column, depth: int, pos: Column) -> Column:
-    return F.struct(path.alias("path"), F.lit(depth).alias("depth"), pos.cast("int").alias("pos"),
-                    _mime(n).alias("mime"), n["filename"].alias("filename"), n["body"]["data"].alias("data"))
+        def tried(data: Column) -> Column:
+            def read(parts: Column) -> Column:
+                links = F.when(node["mime"] == HTML, F.array_distinct(F.regexp_extract_all(parts, F.lit(LINK), 1)))
+                return F.struct(F.coalesce(text(parts), F.lit("")).alias("body"), links.alias("links"),
+                                (acc["undecodable"] | data.isNull()).alias("undecodable"))
+            return F.get(F.transform(F.array(utf8_lenient(data)), read), 0)
+        return F.when(acc["body"] != "", acc).otherwise(F.get(F.transform(F.array(raw), tried), 0))
 
-
-ROWS_T = "array<struct<path:string,depth:int,pos:int,mime:string,filename:string,data:string>>"
-
-
-def _visited(n: Column, path: Column, depth: int, max_depth: int) -> Column:
-    """Children the body walk looks at: all children of the root, and children of
-    multipart nodes below it (attachments and message/rfc822 are not entered)."""
-    if depth >= max_depth:
-        return F.array().cast(ROWS_T)
-    kids = F.coalesce(n["parts"], F.array().cast(T.ArrayType(node_type(depth + 1, max_depth))))
-
-    def one(c, i):
-        cp = F.concat(path, F.when(path == "", F.lit("")).otherwise(F.lit(".")), F.lpad(i.cast("string"), 3, "0"))
-        below = F.when(F.startswith(_mime(c), F.lit("multipart/")), _visited(c, cp, depth + 1, max_depth)) \
-            .otherwise(F.array().cast(ROWS_T))
-        return F.concat(F.array(_row(c, cp, depth + 1, i)), below)
-
-    return F.flatten(F.transform(kids, one))
-
-
-def mime_parts(msg: Column, p: Params = DEFAULT) -> Column:
-    """One entry per visited MIME node, root first; ``path`` is zero-padded so it sorts."""
-    root = msg["payload"]
-    return F.concat(F.array(_row(root, F.lit(""), 0, F.lit(0))), _visited(root, F.lit(""), 0, p.mime_depth))
-
-
-def too_deep(msg: Column, p: Params = DEFAULT) -> Column:
-    """True if the body walk would enter a subtree below ``mime_depth`` (kept as JSON
-    text): only the root and multipart nodes are entered."""
-    def walk(n: Column, depth: int) -> Column:
-        if depth == p.mime_depth:
-            return n["parts"].isNotNull()
-        kids = F.coalesce(n["parts"], F.array().cast(T.ArrayType(node_type(depth + 1, p.mime_depth))))
-        return F.exists(kids, lambda c: F.startswith(_mime(c), F.lit("multipart/")) & walk(c, depth + 1))
-    return F.coalesce(walk(msg["payload"], 0), F.lit(False))
+    start = F.struct(F.lit("").alias("body"), F.lit(None).cast("array<string>").alias("links"),
+                     F.lit(False).alias("undecodable"))
+    return F.aggregate(F.coalesce(msg["order"], F.array().cast("array<int>")), start, step)
 
 
 # --------------------------------------------------------------------------- records
-_COLS_CACHE: dict = {}
-
-
-def _decode_columns(p: Params) -> tuple:
-    """The decode expressions, built once per JVM and parameter set: building the
-    deep MIME expressions takes thousands of py4j calls, using them costs none."""
-    from pyspark import SparkContext
-    sc = SparkContext._active_spark_context
-    key = (id(sc._jsc) if sc is not None else None, p)
-    if key not in _COLS_CACHE:
-        msg = F.col("msg")
-        parts = mime_parts(msg, p)
-        # only text bodies are ever decoded; a broken attachment is not an error
-        bad_b64 = F.exists(parts, lambda x: x["mime"].isin(HTML, PLAIN) &
-                           (F.coalesce(x["data"], F.lit("")) != "") & F.isnull(b64url_decode(x["data"])))
-        _COLS_CACHE.clear()
-        _COLS_CACHE[key] = (
-            header(msg, "Subject").alias("subject"), header(msg, "From").alias("sender"),
-            parse_mail_date(F.nullif(header(msg, "Date"), F.lit(""))).alias("date"),
-            message_body(msg, p).alias("body"),
-            msg["_corrupt_record"].isNotNull().alias("_bad_json"), bad_b64.alias("_bad_b64"),
-            too_deep(msg, p).alias("_too_deep"))
-    return _COLS_CACHE[key]
-
-
 def decode_messages(raw: DataFrame, p: Params = DEFAULT) -> tuple[DataFrame, DataFrame]:
-    """messages_raw -> (records, quarantine). Records carry subject, sender, ISO
-    date and the chosen body; bad JSON, undecodable parts and too-deep trees go to
-    quarantine(message_id, stage, error) instead of failing the job."""
-    m = parse_message(raw, p)
-    rec = m.select(*[c for c in raw.columns if c != "raw"], *_decode_columns(p))
-    q = rec.select("message_id", F.explode(F.array(
-        F.when(F.col("_bad_json"), F.struct(F.lit("parse").alias("stage"), F.lit("malformed message JSON").alias("error"))),
-        F.when(F.col("_bad_b64"), F.struct(F.lit("decode").alias("stage"), F.lit("malformed base64 body").alias("error"))),
-        F.when(F.col("_too_deep"), F.struct(F.lit("mime").alias("stage"),
-                                            F.lit(f"MIME tree deeper than {p.mime_depth}").alias("error"))),
-    )).alias("q")).filter(F.col("q").isNotNull()).select("message_id", "q.stage", "q.error")
-    good = rec.filter(~F.col("_bad_json")).drop("_bad_json", "_bad_b64", "_too_deep")
-    return good, q
+    """messages_raw -> (records, quarantine). Records carry subject, sender, ISO date and
+    the chosen body. Quarantine(message_id, stage, error) holds malformed JSON, and
+    messages left without a body because a part of theirs could not be decoded; neither
+    is a record."""
+    msg = F.col("msg")
+    rec = parse_message(raw).select(
+        *[c for c in raw.columns if c != "raw"], msg.isNull().alias("_bad_json"), chosen_body(msg).alias("_chosen"),
+        header(msg, "Subject").alias("subject"), header(msg, "From").alias("sender"),
+        parse_mail_date(F.nullif(header(msg, "Date"), F.lit(""))).alias("date"))
+    lost = F.col("_chosen.undecodable") & (F.col("_chosen.body") == "")
+    reason = (F.when(F.col("_bad_json"), F.struct(F.lit("parse").alias("stage"), F.lit("malformed message JSON").alias("error")))
+               .when(lost, F.struct(F.lit("decode").alias("stage"), F.lit("malformed base64 body").alias("error"))))
+    rec = rec.withColumn("_reason", reason).withColumns(
+        {"body": F.col("_chosen.body"), "links": F.col("_chosen.links")})
+    bad = rec.filter(F.col("_reason").isNotNull()).select("message_id", "_reason.stage", "_reason.error")
+    good = rec.filter(F.col("_reason").isNull()).drop("_bad_json", "_chosen", "_reason")
+    return good, bad

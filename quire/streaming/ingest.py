@@ -2,33 +2,52 @@
 
 R1: new message files are picked up by ``readStream`` (``trigger(availableNow)``,
 checkpointed). Each micro-batch appends its messages to a table partitioned by
-(digest_date, batch_id), then recomputes only the days it touched and overwrites
-just those day partitions (dynamic partition overwrite). Re-running a batch after
-a failure rewrites the same partitions, so the sink is idempotent.
+(digest_date, batch_id); the days it touched are then selected and published again, and
+overwrite just their (day, label) partitions. The touched days are a literal filter (a
+batch's days are few; beyond ``MAX_DAYS`` a range bounds them), so only their partitions
+are read, however long the history is. Re-running a batch after a failure rewrites the
+same partitions, so the sink is idempotent.
 
-R2: streaming double-send removal with a watermark: ``dropDuplicatesWithinWatermark``
-on (digest_date, subject key). The survivor is not guaranteed to be the first in
-list order, so the batch dedup stays the authority for page content.
+R2: streaming double-send removal with a watermark: ``dropDuplicatesWithinWatermark`` on
+(digest_date, label, subject key). The survivor is not guaranteed to be the first in list
+order, so the batch dedup stays the authority for page content.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions.text import first_line
 from quire.operators import select as S
-from quire.params import DEFAULT, Params
+from quire.params import Params
+from quire.sinks.tables import overwrite_days
 from quire.sources import catalog as C
 from quire.sources.fixtures import sent_at
 
 
+MAX_DAYS = 1000
+
+
 def _documents_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = C.table(spark, sf_dir, "documents").schema
     return (spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet")
             .parquet(sf_dir.rstrip("/")))
 
 
+def _in_batches(spark: SparkSession, sf_dir: str, out: str, batches: int) -> DataFrame:
+    """The documents as a stream of ``batches`` file batches (for showing re-publication):
+    the table is split by id into folders, one of which is read per trigger."""
+    docs = C.table(spark, sf_dir, "documents")
+    path = f"{out}/incoming"
+    (docs.withColumn("arrival", F.pmod("doc_id", F.lit(batches))).coalesce(1)
+         .write.partitionBy("arrival").parquet(path))
+    return (spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1)
+            .option("recursiveFileLookup", "true").parquet(path))
+
+
 def _as_messages(docs: DataFrame) -> DataFrame:
     doc = F.col("doc_id")
     return docs.select(doc.alias("message_id"), C.day_of(doc).alias("digest_date"), doc.alias("list_pos"),
@@ -38,9 +57,20 @@ def _as_messages(docs: DataFrame) -> DataFrame:
                        F.concat(C.day_of(doc).cast("string"), F.lit(C.DATE_SUFFIX)).alias("date"))
 
 
-def ingest(spark: SparkSession, sf_dir: str, out: str, p: Params = DEFAULT) -> str:
-    """Run R1 until the input is drained; returns the path of the counts table."""
-    messages_path, counts_path = f"{out}/messages", f"{out}/daily_counts"
+def touched_days(msgs: DataFrame) -> Column:
+    """A literal condition on ``digest_date`` that holds for the days of a batch."""
+    days = [r[0] for r in msgs.select("digest_date").distinct().limit(MAX_DAYS + 1).collect()]
+    if len(days) <= MAX_DAYS:
+        return F.col("digest_date").isin(days)
+    low, high = msgs.agg(F.min("digest_date"), F.max("digest_date")).first()
+    return F.col("digest_date").between(low, high)
+
+
+def ingest(spark: SparkSession, sf_dir: str, out: str, p: Params,
+           publish: Callable[[DataFrame], DataFrame], batches: int = 1) -> str:
+    """Run R1 until the input is drained; ``publish`` turns selected newsletters into
+    pages. Returns the path of the pages table."""
+    messages_path, pages_path = f"{out}/messages", f"{out}/digest_pages"
     labels = C.message_labels(spark, sf_dir)
 
     def batch(df: DataFrame, batch_id: int) -> None:
@@ -49,27 +79,27 @@ def ingest(spark: SparkSession, sf_dir: str, out: str, p: Params = DEFAULT) -> s
              .partitionBy("digest_date", "batch_id").parquet(messages_path))
         if msgs.isEmpty():
             return
-        touched = msgs.select("digest_date").distinct()          # semi-join: partition pruning, no driver list
-        allm = spark.read.parquet(messages_path).join(touched, "digest_date", "left_semi").drop("batch_id")
-        keys = allm.select("message_id", "digest_date", "list_pos")
-        kept, _ = S.newsletters(keys, labels, allm.select("message_id", "sender", "subject", "date", "body"), p)
-        (S.daily_counts(kept).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("digest_date").parquet(counts_path))
-
-    q = (_documents_stream(spark, sf_dir).writeStream.foreachBatch(batch)
+        day = spark.read.schema(msgs.schema).parquet(messages_path).filter(touched_days(msgs)).drop("batch_id")
+        kept, _ = S.newsletters(day.select("message_id", "digest_date", "list_pos"), labels,
+                                day.drop("list_pos"), p)
+        overwrite_days(publish(kept), pages_path)
+
+    stream = _documents_stream(spark, sf_dir) if batches == 1 else _in_batches(spark, sf_dir, out, batches)
+    q = (stream.writeStream.foreachBatch(batch)
          .option("checkpointLocation", f"{out}/_checkpoint_ingest").trigger(availableNow=True).start())
     q.awaitTermination()
-    return counts_path
+    return pages_path
 
 
 def dedup_stream(spark: SparkSession, sf_dir: str, out: str, watermark: str = "1 day") -> str:
     """Run R2 until drained; returns the path of the deduplicated output."""
     m = _as_messages(_documents_stream(spark, sf_dir)).withColumn(
         "ts", sent_at(F.col("message_id")).cast("timestamp"))   # watermarks need TIMESTAMP, not _NTZ
-    d = (m.withColumn("key", S.subject_key(F.col("subject")))
+    d = (m.join(C.message_labels(spark, sf_dir), "message_id")
+          .withColumn("key", S.subject_key(F.col("subject")))
           .withWatermark("ts", watermark)
-          .dropDuplicatesWithinWatermark(["digest_date", "key"])
-          .select("digest_date", "key", "message_id", "ts"))
+          .dropDuplicatesWithinWatermark(["digest_date", "label", "key"])
+          .select("digest_date", "label", "key", "message_id", "ts"))
     path = f"{out}/dedup"
     q = (d.writeStream.format("parquet").option("path", path)
           .option("checkpointLocation", f"{out}/_checkpoint_dedup").outputMode("append")

@@ -87,7 +87,7 @@ def test_headers_and_dates(spark):
     df = spark.createDataFrame(
         [(1, [("SUBJECT", "first"), ("subject", "second")]), (2, [("From", "x")]), (3, [])],
         "id int, h array<struct<name:string,value:string>>")
-    msg = F.struct(F.struct(F.col("h").alias("headers")).alias("payload"))
+    msg = F.struct(F.col("h").alias("headers"))
     got = {r["id"]: r["s"] for r in df.select("id", M.header(msg, "Subject").alias("s")).collect()}
     assert got == {1: "first", 2: "", 3: ""}
     cases = {
@@ -186,6 +186,10 @@ def test_json_and_status(spark):
         (good[:-5], "Failed", []),                       # truncated
         ('{"executive_summary": "fine", "_parse_error": "x"}', "Partial", []),
         ('{"executive_summary": ""}', "Failed", []),
+        (good + " Hope this helps!", "Failed", []),      # text after the object
+        (good.replace('"', "'"), "Failed", []),          # single quotes
+        (good[:-1] + ', "domain_flags": 7}', "Generated", ["Zed", "AI & ML"]),   # one field of a wrong type
+        ("not JSON", "Failed", []), (None, "Failed", []),
     ]
     df = spark.createDataFrame([(i, c[0]) for i, c in enumerate(cases)], "i int, response string")
     d = df.select("i", D.parse_answer(F.col("response")).alias("d"))
@@ -230,8 +234,8 @@ def test_categories_icons_and_details(spark):
 
 
 def test_quarantine_reasons(spark):
-    deep = leaf("text/plain", "too deep")
-    for _ in range(10):
+    deep = leaf("text/html", "<p>deep</p>")
+    for _ in range(60):
         deep = leaf("multipart/mixed", parts=[deep])
     fwd = leaf("text/plain", "x")
     for _ in range(10):
@@ -239,24 +243,115 @@ def test_quarantine_reasons(spark):
     cases = [
         leaf("multipart/mixed", parts=[leaf("application/pdf", data="%%%"), leaf("text/plain", "ok body")]),
         leaf("multipart/mixed", parts=[leaf("text/plain", data="a")]),          # lone char: undecodable
-        deep,                                                                   # walk goes below depth 8
-        leaf("multipart/mixed", parts=[fwd, leaf("text/plain", "fine")]),      # deep but never entered
+        leaf("multipart/mixed", parts=[deep, leaf("text/plain", "footer")]),    # any depth is read
+        leaf("multipart/mixed", parts=[fwd, leaf("text/plain", "fine")]),      # never entered
+        leaf("multipart/mixed", parts=[leaf("text/html", data="a"), leaf("text/plain", "other part")]),
     ]
     got, q = bodies(spark, cases)
     stages = sorted((r["message_id"], r["stage"]) for r in q)
-    assert got[0] == "ok body" and got[3] == "fine"
-    assert stages == [(1, "decode"), (2, "mime")]
+    assert got == ["ok body", None, "deep", "fine", "other part"]
+    assert stages == [(1, "decode")]
+
+
+def walk(n):
+    """The body walk as plainly as it can be said (an independent version of body_order)."""
+    def text(x):
+        raw = base64.urlsafe_b64decode(x["body"]["data"]).decode()
+        if x["mimeType"] == "text/html":
+            raw = raw.replace("<p>", "").replace("</p>", "").strip()
+        return raw
+    if n["body"].get("data") and n["mimeType"] in ("text/html", "text/plain"):
+        return text(n)
+    html, plain = "", ""
+    for c in n.get("parts", []):
+        if c["mimeType"] == "text/html" and c["body"].get("data"):
+            html = text(c)
+        elif c["mimeType"] == "text/plain" and c["body"].get("data"):
+            plain = text(c)
+        elif c["mimeType"].startswith("multipart/") and not html:
+            html = walk(c) or html
+    return html or plain
+
+
+def test_body_walk_on_random_trees(spark):
+    import random
+    rnd = random.Random(4)
+
+    def tree(depth):
+        kind = rnd.choice(["multipart/mixed", "multipart/alternative", "text/html", "text/plain", "image/png",
+                           "message/rfc822"] if depth else ["multipart/mixed"])
+        if kind.startswith("text/"):
+            body = rnd.choice(["", " ", f"t{rnd.randint(0, 999)}"])
+            return leaf(kind, f"<p>{body}</p>" if kind == "text/html" else body)
+        if kind == "image/png" or depth > 5:
+            return leaf(kind, "zz" if kind == "image/png" else None)
+        return leaf(kind, parts=[tree(depth + 1) for _ in range(rnd.randint(0, 4))])
+    trees = [tree(0) for _ in range(400)]
+    got, q = bodies(spark, trees)
+    assert got == [walk(t) for t in trees] and not q
+
+
+def test_links_come_from_markup(spark):
+    page = '<p>see <a class="x" href="https://a.example/1?q=2">one</a> <A HREF=\'http://b.example/\'>two</A> <a href="#top">x</a></p>'
+    rows = [(1, json.dumps({"id": "1", "payload": leaf("text/html", page)})),
+            (2, json.dumps({"id": "2", "payload": leaf("text/plain", "plain https://c.example/ text")}))]
+    good, _ = M.decode_messages(spark.createDataFrame(rows, "message_id long, raw string"))
+    assert {r["message_id"]: r["links"] for r in good.collect()} == {
+        1: ["https://a.example/1?q=2", "http://b.example/"], 2: None}
+
+
+class Reader(__import__("html.parser", fromlist=["HTMLParser"]).HTMLParser):
+    """Text nodes by the standard library's parser, without scripts and the like."""
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.nodes, self.inside = [], None
+
+    def handle_starttag(self, tag, attrs):
+        self.nodes.append("\n")
+        if tag in ("script", "style", "noscript") and not self.inside:
+            self.inside = tag
+
+    def handle_endtag(self, tag):
+        self.nodes.append("\n")
+        if tag == self.inside:
+            self.inside = None
+
+    def handle_comment(self, data):
+        self.nodes.append("\n")
+
+    def handle_data(self, data):
+        if not self.inside:
+            self.nodes.append(data)
+
+
+def test_html_against_a_parser(spark):
+    cases = [
+        '<img alt="a > b" src="x"><p>t</p>', "<a title='1>2' href=\"y\">link</a> rest", "caf&eacute; &rarr; &uuml;ber &hearts;",
+        "<p>one</p><script>if (a < b) { x = '</p>'; }", "<style>p{}</style>text<style>q{", "<p>a<br/>b<hr>c</p>",
+        "x &#0000000065; &#x000041; &amp;amp;", "<div><noscript><img src=1></noscript>kept</div>", "<p>5 < 6 and 7 > 6</p>",
+        "<!-- c1 --><p>p</p><!-- c2 > --><p>q</p>", "<P CLASS=x>Upper</P><SCRIPT>no</SCRIPT >yes",
+    ]
+    df = spark.createDataFrame([(c,) for c in cases], "v string")
+    got = {r["v"]: r["t"] for r in df.select("v", T.html_to_text(F.col("v")).alias("t")).collect()}
+    for c in cases:
+        reader = Reader()
+        reader.feed(c)
+        reader.close()
+        lines = [x.strip() for x in "".join(reader.nodes).splitlines()]
+        lines = [x for i, x in enumerate(y for y in lines if y)]
+        want = [x for i, x in enumerate(lines) if i == 0 or x != lines[i - 1]]
+        assert got[c].split("\n") == want, c
 
 
 def test_list_order_taxonomy_and_empty_day(spark):
     import datetime as dt
-    from quire.functions.taxonomy import categories_df
+    from quire.functions.taxonomy import DEFAULT as TAXONOMY
     rows = [("d", "L", 1, dt.datetime(2024, 1, 1, 9)), ("d", "L", 2, dt.datetime(2024, 1, 1, 10)),
             ("d", "L", 3, dt.datetime(2024, 1, 1, 10))]
     df = spark.createDataFrame(rows, "digest_date string, label string, message_id long, received_ts timestamp")
     top = S.daily_topk(S.with_list_pos(df), DEFAULT.with_(max_messages=2))
     assert sorted(r.message_id for r in top.collect()) == [2, 3]            # newest first, then id
-    cats = categories_df(spark).orderBy("cat_pos").collect()
+    cats = TAXONOMY.table(spark).orderBy("cat_pos").collect()
     assert [c.name for c in cats][0] == "AI & ML" and len(cats) == 7
     e = spark.range(1).select(D.empty_digest().alias("d")).collect()[0].d
     assert e.executive_summary == D.NO_INPUT_SUMMARY and e.per_source == []

@@ -1,6 +1,7 @@
 """Model plumbing: failures become rows, known prompts are skipped, the merge is
 budget-checked and ends with one answer per day; streaming re-runs are no-ops."""
 
+import os
 import uuid
 
 from pyspark.sql import functions as F
@@ -9,6 +10,8 @@ from conftest import SF_SMALL
 from quire.operators import digest as D
 from quire.operators import inference as I
 from quire.params import DEFAULT
+from quire.plans.offline import offline_model
+from quire.plans.q_infer import publish_extractive
 from quire.plans.q_select import newsletters
 from quire.session import scratch_path
 from quire.streaming import ingest as R
@@ -20,48 +23,126 @@ def _prompts(spark, n=6):
         .withColumn("digest_date", F.to_date("digest_date"))
 
 
+def _asked(spark, name):
+    """A counter of model calls that survives worker processes: a file per call."""
+    import tempfile
+    folder = tempfile.mkdtemp(prefix=f"calls-{name}-")
+
+    def factory(limit):
+        def run(batch):
+            import os
+            import uuid
+            for _ in batch:
+                open(os.path.join(folder, uuid.uuid4().hex), "w").close()
+            return offline_model(limit)(batch)
+        return run
+    return factory, lambda: len(os.listdir(folder))
+
+
 def test_model_failure_is_a_row(spark):
-    def factory():
+    def factory(limit):
         def run(batch):
-            raise RuntimeError("service unavailable")
+            raise RuntimeError("service unavailable" + "!" * 600)
         return run
     rdf = I.infer(_prompts(spark), factory)
     r = rdf.collect()
-    assert len(r) == 6 and all(x.response is None and "service unavailable" in x.error for x in r)
+    assert len(r) == 6 and all(x.response is None and x.error.endswith("!" * 600) for x in r)
     d = D.parse_responses(rdf.select("digest_date", "label", "response", "error"))
     s = d.select(D.status(F.col("executive_summary"), F.col("parse_error")).alias("s")).distinct().collect()
     assert [x.s for x in s] == ["Failed"]
 
 
-def test_known_prompts_are_skipped(spark):
-    def factory():
+def test_one_bad_prompt_costs_no_other(spark):
+    def factory(limit):
+        assert limit == DEFAULT.output_tokens
+        def run(batch):
+            if any(p == "prompt 3" for p in batch):
+                raise RuntimeError("bad prompt")
+            return ["ok"] * len(batch)
+        return run
+    r = {x.chunk_id: (x.response, x.error) for x in I.infer(_prompts(spark), factory, partitions=1).collect()}
+    assert r == {i: ("ok", None) if i != 3 else (None, "RuntimeError: bad prompt") for i in range(6)}
+
+
+def test_known_prompts_are_skipped_and_failed_ones_retried(spark):
+    def factory(limit):
         def run(batch):
             return ["NEW"] * len(batch)
         return run
     p = _prompts(spark)
-    done = p.filter("chunk_id < 4").withColumn("prompt_hash", F.sha2("prompt", 256)) \
-        .withColumn("response", F.lit("OLD")).withColumn("error", F.lit(None).cast("string"))
-    got = {r.chunk_id: r.response for r in I.infer_new(p, done, factory).collect()}
-    assert got == {0: "OLD", 1: "OLD", 2: "OLD", 3: "OLD", 4: "NEW", 5: "NEW"}
+    done = p.filter("chunk_id < 5").withColumn("prompt_hash", F.sha2("prompt", 256)).select(
+        "prompt_hash", F.when(F.col("chunk_id") < 4, F.lit("OLD")).alias("response"),
+        F.when(F.col("chunk_id") == 4, F.lit("failed")).alias("error"))
+    got = sorted((r.chunk_id, r.response, r.fresh) for r in I.infer_new(p, done.unionAll(done), factory).collect())
+    assert got == [(i, "OLD", False) for i in range(4)] + [(4, "NEW", True), (5, "NEW", True)]
+
+
+PART_T = "digest_date string, label string, chunk_id int, response string, error string"
+
+
+def _merge(spark, rows, budget, factory=offline_model, done=None):
+    parts = spark.createDataFrame(rows, PART_T).withColumn("digest_date", F.to_date("digest_date"))
+    out, calls = I.merge_partials(parts, ["digest_date", "label"], factory, DEFAULT.with_(max_input_tokens=budget), done)
+    return {str(r.digest_date): r for r in out.collect()}, calls
 
 
 def test_merge_is_budget_checked(spark):
-    long = "x" * 24000                       # 6,000 tokens per partial answer
-    rows = [("2024-01-01", "L", c, long) for c in range(1, 6)] + [("2024-01-02", "L", 0, '{"executive_summary": "s"}')]
-    parts = spark.createDataFrame(rows, "digest_date string, label string, chunk_id int, response string") \
-        .withColumn("digest_date", F.to_date("digest_date"))
-    out = I.merge_partials(parts, ["digest_date", "label"], I.offline_model, DEFAULT.with_(max_input_tokens=8000))
-    got = {str(r.digest_date): r.response for r in out.collect()}
-    assert len(got) == 2 and got["2024-01-02"] == '{"executive_summary": "s"}'
-    assert "Offline briefing" in got["2024-01-01"]
+    long = "x" * 12000                       # 3,000 tokens per partial answer: two fit a merge
+    rows = [("2024-01-01", "L", c, long, None) for c in range(1, 20)] + \
+        [("2024-01-02", "L", 0, '{"executive_summary": "s"}', None)]
+    factory, n_calls = _asked(spark, "merge")
+    got, calls = _merge(spark, rows, 8500, factory)
+    assert len(got) == 2 and got["2024-01-02"].response == '{"executive_summary": "s"}'
+    assert "Offline briefing" in got["2024-01-01"].response and got["2024-01-01"].warning is None
+    first = n_calls()
+    assert first == 10 + 1 and calls.count() == first        # 19 answers in pairs, then all short answers at once
+    again, calls = _merge(spark, rows, 8500, factory, calls)
+    assert n_calls() == first and calls.count() == 0         # merge answers are stored too
+    assert again["2024-01-01"].response == got["2024-01-01"].response
+
+
+def test_failed_parts_do_not_vanish(spark):
+    good = '{"executive_summary": "s"}'
+    rows = [("2024-01-01", "L", 1, good, None), ("2024-01-01", "L", 2, None, "E: no"), ("2024-01-01", "L", 3, good, None),
+            ("2024-01-02", "L", 1, None, "E: a"), ("2024-01-02", "L", 2, None, "E: b"),
+            ("2024-01-03", "L", 0, None, "E: single")]
+    got, _ = _merge(spark, rows, 8000)
+    assert got["2024-01-01"].warning == "1 part(s) of the day failed: E: no" and got["2024-01-01"].error is None
+    assert "2 item" in got["2024-01-01"].response
+    assert got["2024-01-02"].response is None and got["2024-01-02"].error == "E: a; E: b"
+    assert got["2024-01-03"].error == "E: single"
+    parts = spark.createDataFrame([(k, "L", r.response, r.error, r.warning) for k, r in got.items()],
+                                  "digest_date string, label string, response string, error string, warning string")
+    d = D.parse_responses(parts).select("digest_date", "parse_error", D.status(
+        F.col("executive_summary"), F.col("parse_error")).alias("s")).collect()
+    assert {r.digest_date: r.s for r in d} == {"2024-01-01": "Partial", "2024-01-02": "Failed", "2024-01-03": "Failed"}
+
+
+def test_answers_that_never_fit_fail_their_day(spark):
+    long = "x" * 40000                       # 10,000 tokens: no two fit, so no merge can shrink the day
+    rows = [("2024-01-01", "L", c, long, None) for c in (1, 2, 3)] + [("2024-01-02", "L", 1, "{}", None)]
+    got, _ = _merge(spark, rows, 8000)
+    assert got["2024-01-01"].response is None and got["2024-01-01"].error == I.NO_FIT
+    assert got["2024-01-02"].error is None
 
 
 def test_stream_rerun_is_noop(spark):
     out = scratch_path(spark, f"t-stream-{uuid.uuid4().hex[:8]}")
-    path = R.ingest(spark, SF_SMALL, out)
-    first = sorted(spark.read.parquet(path).collect())
-    R.ingest(spark, SF_SMALL, out)                     # same checkpoint: nothing new
-    assert sorted(spark.read.parquet(path).collect()) == first
+    path = R.ingest(spark, SF_SMALL, out, DEFAULT, publish_extractive)
+    first = sorted(map(repr, spark.read.parquet(path).collect()))
+    R.ingest(spark, SF_SMALL, out, DEFAULT, publish_extractive)        # same checkpoint: nothing new
+    assert sorted(map(repr, spark.read.parquet(path).collect())) == first
     batch = newsletters(spark, SF_SMALL).groupBy("digest_date", "label").count().collect()
-    assert sorted((r.digest_date, r.label, r["count"]) for r in batch) == \
-        sorted((r.digest_date, r.label, r.newsletter_count) for r in first)
+    assert sorted((r.digest_date, r.label, r["count"]) for r in batch) == sorted(
+        (r.digest_date, r.label, r.newsletter_count) for r in spark.read.parquet(path).collect())
+
+
+def test_touched_days_prune_partitions(spark):
+    import datetime as dt
+    out = scratch_path(spark, f"t-prune-{uuid.uuid4().hex[:8]}")
+    df = spark.createDataFrame([(i, dt.date(2024, 1, 1 + i % 9)) for i in range(50)], "message_id long, digest_date date")
+    df.write.partitionBy("digest_date").parquet(out)
+    some = df.filter("message_id in (1, 2)")
+    read = spark.read.parquet(out).filter(R.touched_days(some))
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: []" not in plan and read.select("digest_date").distinct().count() == 2

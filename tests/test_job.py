@@ -1,13 +1,21 @@
 """End to end: the daily job with the offline model, idempotent sinks."""
 
 import datetime as dt
+import os
+import tempfile
 import uuid
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
+from quire.functions import taxonomy as TX
+from quire.operators import digest as D
+from quire.operators import layout as L
+from quire.operators import select as S
 from quire.params import DEFAULT, target_day
-from quire.plans.job import run_day
+from quire.plans.job import on_day, run_day
+from quire.plans.offline import offline_model
 from quire.session import scratch_path
 from quire.sources import catalog as C
 
@@ -21,26 +29,90 @@ def test_target_day():
         target_day("2025-02-30")
 
 
+def tables(spark, sf=SF_SMALL):
+    return C.message_keys(spark, sf), C.message_labels(spark, sf), C.bodies(spark, sf)
+
+
+def rows(spark, path):
+    return sorted(map(repr, spark.read.parquet(path).collect()))
+
+
 def test_run_day_end_to_end(spark):
     out = scratch_path(spark, f"t-job-{uuid.uuid4().hex[:8]}")
-    args = (C.message_keys(spark, SF_SMALL), C.message_labels(spark, SF_SMALL), C.bodies(spark, SF_SMALL))
+    args = tables(spark)
     p = DEFAULT.with_(max_input_tokens=8000)          # some days take the chunked route
-    r = run_day(*args, out=out, p=p)
+    calls = tempfile.mkdtemp(prefix="calls-")
+
+    def counted(limit):
+        def run(batch):
+            for _ in batch:
+                open(os.path.join(calls, uuid.uuid4().hex), "w").close()
+            return offline_model(limit)(batch)
+        return run
+    r = run_day(*args, counted, out=out, p=p)
     pages = r["pages"].collect()
     assert r["observed"].get["newsletters"] == r["newsletters"].count()
     assert pages and all(x.status == "Generated" for x in pages)
     assert {x.label for x in pages} == {DEFAULT.label}
-    first = sorted(spark.read.parquet(f"{out}/digest_pages").collect())
-    run_day(*args, out=out, p=p, done=r["answers"])   # re-run: same tables, no new model calls
-    assert sorted(spark.read.parquet(f"{out}/digest_pages").collect()) == first
-    one = run_day(*args, day=dt.date(2024, 1, 2), p=p)["pages"].collect()
-    assert [str(x.digest_date) for x in one] == ["2024-01-02"]
+    first, n = rows(spark, f"{out}/digest_pages"), len(os.listdir(calls))
+    assert n == spark.read.parquet(f"{out}/answers").count() > len(pages)
+    run_day(*args, counted, out=out, p=p)             # re-run: same tables, no model call, merges included
+    assert rows(spark, f"{out}/digest_pages") == first and len(os.listdir(calls)) == n
+    day = dt.date(2024, 1, 2)
+    one = run_day(*args, offline_model, day=day, p=p)["pages"].collect()
+    assert [x.digest_date for x in one] == [day]
+    # another label goes to the same tables and leaves these pages alone
+    run_day(*args, counted, out=out, p=p.with_(label=C.LABEL_OF_TOXIC))
+    now = spark.read.parquet(f"{out}/digest_pages")
+    assert sorted(map(repr, now.filter(F.col("label") == DEFAULT.label).collect())) == first
+    assert now.filter(F.col("label") == C.LABEL_OF_TOXIC).count() > 0
+    stats = spark.read.parquet(f"{out}/run_stats").filter(F.col("label") == DEFAULT.label).collect()
+    assert all(x.found >= x.fetched >= x.unique_count for x in stats) and len(stats) >= len(pages)
+
+
+def test_one_day_reads_one_partition(spark):
+    listing, labels, bodies = tables(spark)
+    path = scratch_path(spark, f"t-bodies-{uuid.uuid4().hex[:8]}")
+    bodies.write.partitionBy("digest_date").parquet(path)
+    day = dt.date(2024, 1, 2)
+    stored = on_day(spark.read.parquet(path), day)
+    kept, failed = S.newsletters(on_day(listing, day), labels, stored)
+    assert "PartitionFilters: [isnotnull(digest_date" in kept._jdf.queryExecution().executedPlan().toString()
+    assert kept.count() > 0 and failed.count() == 0
+
+
+def test_failed_fetches_keep_day_and_label(spark):
+    listing, labels, bodies = tables(spark)
+    gone = labels.groupBy("message_id").count().filter("count = 2").limit(1).collect()[0].message_id
+    sel = S.selection(listing, labels, bodies.filter(F.col("message_id") != gone), DEFAULT.with_(max_messages=None))
+    lost = sel["failed"].collect()
+    assert sorted(x.label for x in lost) == sorted([C.LABEL_OF_QUALITY, C.LABEL_OF_TOXIC])
+    assert {x.message_id for x in lost} == {gone}
+
+
+def test_dry_run_writes_digests_only(spark):
+    out = scratch_path(spark, f"t-dry-{uuid.uuid4().hex[:8]}")
+    r = run_day(*tables(spark), offline_model, out=out, dry_run=True)
+    assert spark.read.json(f"{out}/digests").count() == r["digests"].count()
+    assert not os.path.exists(out.removeprefix("file:") + "/digest_pages")
+
+
+def test_own_taxonomy(spark):
+    own = TX.Taxonomy((("Alpha", "A"), ("Focus", "F")), (("Alpha", ("the",)), ("Focus", ("of",))), ("and",), "Focus", "?")
+    seen = []
+
+    r = run_day(*tables(spark), offline_model, tx=own)
+    nl = r["newsletters"]
+    d = D.extractive_digests(nl, tx=own)
+    assert {c for x in d.collect() for c in x.active_categories} <= {"Alpha", "Focus"}
+    b = L.digest_blocks(D.parse_responses(d.select(*S.DAY_KEYS, D.digest_json(d).alias("response"))), tx=own)
+    seen = {x.text for x in b.filter("type = 'heading'").collect()}
+    assert "A Alpha" in seen and "F Focus" in seen and not seen & {"🤖 AI & ML"}
 
 
 def test_run_day_without_message_limit(spark):
-    args = (C.message_keys(spark, SF_SMALL), C.message_labels(spark, SF_SMALL), C.bodies(spark, SF_SMALL))
     p = DEFAULT.with_(max_input_tokens=6000, max_messages=None)   # whole days, distributed packing
-    r = run_day(*args, p=p)
+    r = run_day(*tables(spark), offline_model, p=p)
     pages = r["pages"].collect()
     assert pages and all(x.status == "Generated" for x in pages)
     assert r["digests"].count() == len(pages)

@@ -25,7 +25,7 @@ def python_newsletters(limit=30):
     days = {}
     for doc_id, label in lab:
         if doc_id in text:
-            days.setdefault((doc_id % 5, label), []).append(doc_id)
+            days.setdefault((doc_id // C.DOCS_PER_DAY, label), []).append(doc_id)
     for key, ids in days.items():
         ids = sorted(ids)[:limit]                              # limit first
         kept, seen = [], set()
@@ -117,24 +117,13 @@ def test_line_cleanup_equals_python_on_random_text(spark):
     assert all(r["s"] == r["text"].strip() for r in got)
 
 
-def test_linear_markup_path_is_exact(spark):
-    """The long-text markup path (split at the last '>', defused unclosed openings)
-    equals the plain regex on random tag soups, unterminated tags included."""
-    import random
-    rnd = random.Random(11)
-    toks = ["<script>", "</script>", "<SCRIPT a=1>", "</script >", "<style>", "</style>", "<noscript>",
-            "</noscript>", "<!--", "-->", "<p>", "</p>", "text", " ", "\n", "<b>", "a>b", "<!x>", "<scripts>",
-            "<", ">", "<a", "-", "!"]
-    rows = [("".join(rnd.choice(toks) for _ in range(rnd.randint(0, 60))),) for _ in range(10000)]
-    df = spark.createDataFrame(rows, "h string")
-    plain = F.regexp_replace(F.col("h"), T.MARKUP, "\n")
-    assert df.filter(plain != T._markup_linear(F.col("h"))).count() == 0
-
-
-def test_unclosed_openings_stay_linear(spark):
+def test_markup_search_is_linear(spark):
+    """Broken markup of every kind, repeated: quadratic search would take minutes."""
     import time
-    body = "<p>" + "x" * 1_000_000 + "</p>" + ("<script>" + "y" * 200) * 5000
-    df = spark.createDataFrame([(body,)], "h string")
+    n = 40_000
+    bodies = ["<p>" + "x" * 1_000_000 + "</p>" + "<script>" * n, "<a " * n, '<a "' * n, "<!--" * n, "<style>a" * n + "</styl",
+              "<a href='" * n, "<" * n, "&" * n, "&#1" * n, "</" * n, '<a x="' + "y>" * n]
+    df = spark.createDataFrame([(b,) for b in bodies], "h string").repartition(4)
     t = time.time()
-    n = df.select(F.length(T.html_to_text(F.col("h")))).collect()[0][0]
-    assert n > 1_000_000 and time.time() - t < 60          # quadratic regex: minutes
+    got = df.select(F.length(T.html_to_text(F.col("h"))).alias("n")).collect()
+    assert len(got) == len(bodies) and time.time() - t < 90
