@@ -27,6 +27,17 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Rows of a table that may be broadcast; it is written and counted first.
+BROADCAST_ROWS = 1_000_000
+
+
+def small_side(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder, and marked for broadcast if its rows are few
+    enough; else Spark joins it by a shuffle."""
+    stored = materialise(df, name)
+    return F.broadcast(stored) if stored.count() <= BROADCAST_ROWS else stored
+
+
 def prepare(spark: SparkSession) -> None:
     """Called by operators that run Python on executors."""
     ship_package(spark)
