@@ -169,22 +169,6 @@ def q_source_list(spark, sf_dir):
     return d.select(*S.DAY_KEYS, D.source_list(F.col("per_source"), P).alias("sources"))
 
 
-@query("category_whitelist", f"""{page_ctes(P)}
-SELECT {DD}, label, coalesce(active_categories, '') AS categories
-FROM days LEFT JOIN active USING (digest_date, label)""")
-def q_category_whitelist(spark, sf_dir):
-    _, d = digests(spark, sf_dir)
-    return d.select(*S.DAY_KEYS, F.array_join(D.whitelist(F.col("active_categories")), ", ").alias("categories"))
-
-
-@query("category_icons", f"""{page_ctes(P)}
-SELECT DISTINCT {DD}, label, category, {icon_case('category')} AS icon FROM bullets""")
-def q_category_icons(spark, sf_dir):
-    _, d = digests(spark, sf_dir)
-    return d.select(*S.DAY_KEYS, F.explode(F.map_keys("categories")).alias("category")) \
-        .withColumn("icon", D.icon_of(F.col("category")))
-
-
 @query("run_stats", f"""{page_ctes(P)},
 found AS (SELECT digest_date, label, count(*) AS found FROM top GROUP BY ALL),
 fetched AS (SELECT digest_date, label, count(*) AS fetched FROM big GROUP BY ALL),
@@ -308,3 +292,27 @@ def q_digest_status(spark, sf_dir):
     d = parsed_answers(spark, sf_dir)
     return d.select("event_id", D.status(F.col("d.executive_summary"), F.col("d.parse_error")).alias("status"),
                     F.size(D.whitelist(F.col("d.active_categories"))).cast("int").alias("n_categories"))
+
+
+@query("category_whitelist", f"""WITH {ANSWERS_SQL}
+SELECT event_id, CASE WHEN v IN {GOOD} AND v <> 6 THEN {Q.lit(TX.CATEGORIES[0][0])} ELSE '' END AS categories
+FROM ans""")
+def q_category_whitelist(spark, sf_dir):
+    """Of the categories that answers name, the known ones in order; the others go."""
+    return parsed_answers(spark, sf_dir).select(
+        "event_id", F.array_join(D.whitelist(F.col("d.active_categories")), ", ").alias("categories"))
+
+
+@query("category_icons", f"""{page_ctes(P)}, {ANSWERS_SQL}
+SELECT DISTINCT {DD}, label, category, {icon_case('category')} AS icon FROM bullets
+UNION ALL
+SELECT DISTINCT CAST(NULL AS VARCHAR), 'answers', split_part(response, '"', 8), {Q.lit(TX.DEFAULT_ICON)}
+FROM ans WHERE v IN {GOOD} AND v <> 6""")
+def q_category_icons(spark, sf_dir):
+    """Icons of the pages' categories, and the default one of those no taxonomy knows."""
+    _, d = digests(spark, sf_dir)
+    known = d.select(*S.DAY_KEYS, F.explode(F.map_keys("categories")).alias("category"))
+    other = parsed_answers(spark, sf_dir).select(
+        F.lit(None).cast("date").alias("digest_date"), F.lit("answers").alias("label"),
+        F.explode(F.map_keys("d.categories")).alias("category")).distinct()
+    return known.unionByName(other).withColumn("icon", D.icon_of(F.col("category")))

@@ -1,58 +1,74 @@
-"""Write PLANS.md: per query, the physical operators that matter at scale
-(exchanges, join strategies, window limits, aggregates, Python stages) and what
-reaches the Parquet scans. python tests/plan_summary.py [sf_dir]"""
+"""Write PLANS.md: per query, what its executions (those that write intermediate tables
+while the query is built, and its own) did as they ran: exchanges, joins, windows,
+aggregates, Python stages, and what reached the Parquet scans. Read from Spark's event log.
+python tests/plan_summary.py [sf_dir] [names...]"""
 
+import json
 import os
 import re
 import sys
+import tempfile
+import time
+from collections import Counter
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
 
 import __spark_entry__ as E  # noqa: E402
 from quire.session import build_session  # noqa: E402
 
-KINDS = ["Exchange", "BroadcastExchange", "BroadcastHashJoin", "SortMergeJoin", "ShuffledHashJoin",
-         "BroadcastNestedLoopJoin", "CartesianProduct", "WindowGroupLimit", "Window", "HashAggregate",
-         "SortAggregate", "ObjectHashAggregate", "Generate", "MapInPandas", "FlatMapGroupsInPandas",
-         "ArrowEvalPython", "BatchEvalPython"]
-
-
-def summarize(plan: str) -> tuple[dict, list[str]]:
-    head = plan.split("\n\n")[0]
-    counts = {}
-    for k in KINDS:
-        n = len(re.findall(rf"(?<![A-Za-z]){k} \(\d+\)", head))
-        if n:
-            counts[k] = n
-    scans = []
-    for m in re.finditer(r"\(\d+\) Scan parquet.*?\n(.*?)(?=\n\(\d+\)|\Z)", plan, re.S):
-        body = m.group(1)
-        loc = re.search(r"Location: .*?\[(.*?)\]", body)
-        rs = re.search(r"ReadSchema: (.*)", body)
-        pf = re.search(r"PushedFilters: (.*)", body)
-        name = os.path.basename(loc.group(1)) if loc else "?"
-        scans.append(f"{name}: {rs.group(1) if rs else ''}" + (f"; pushed {pf.group(1)}" if pf and pf.group(1) != "[]" else ""))
-    return counts, scans
+KINDS = re.compile(r"Exchange|Join|Cartesian|Window|Aggregate|Generate|Python|Pandas|Arrow")
+
+
+def walk(node: dict, seen: Counter, scans: set) -> None:
+    name = re.sub(r" \(\d+\)$", "", node["nodeName"]).strip()
+    if KINDS.search(name):
+        seen[name] += 1
+    if name.startswith("Scan parquet"):
+        meta = node.get("metadata", {})
+        table = os.path.basename(meta.get("Location", "?").rstrip("]").split(",")[0])
+        if table.endswith(".parquet"):
+            pushed = meta.get("PushedFilters", "[]")
+            parts = meta.get("PartitionFilters", "[]")
+            scans.add(f"{table}: {meta.get('ReadSchema', '')}" + (f"; pushed {pushed}" if pushed != "[]" else "")
+                      + (f"; partitions {parts}" if parts != "[]" else ""))
+    for child in node["children"]:
+        walk(child, seen, scans)
 
 
 def main() -> None:
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    spark = build_session("local[8]", 16)
+    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    logs = tempfile.mkdtemp(prefix="quire-events-")
+    spark = build_session("local[8]", 16, extra={"spark.eventLog.enabled": "true", "spark.eventLog.dir": f"file://{logs}",
+                                                 "spark.eventLog.compress": "false", "spark.eventLog.rolling.enabled": "false"})
+    queries = {n: f for n, f in sorted(E.queries().items()) if not sys.argv[2:] or n in sys.argv[2:]}
+    spans = []
+    for name, fn in queries.items():
+        began = time.time() * 1000
+        fn(spark, sf).write.format("noop").mode("overwrite").save()
+        spans.append((name, began, time.time() * 1000))
+        time.sleep(0.05)
+    spark.stop()
+    plans: dict[int, dict] = {}
+    starts: dict[int, int] = {}
+    for file in os.listdir(logs):
+        for line in open(os.path.join(logs, file), errors="replace"):
+            e = json.loads(line)
+            if "sparkPlanInfo" in e:
+                plans[e["executionId"]] = e["sparkPlanInfo"]
+                starts.setdefault(e["executionId"], e.get("time", 0))
     out = ["# Physical plans (generated by tests/plan_summary.py)", "",
-           f"Input: `{sf}`. Counts are operators in the formatted plan before adaptive re-planning.", ""]
-    for n, fn in sorted(E.queries().items()):
-        if n in ("sink_json", "stream_ingest", "stream_dedup", "infer", "chunk_merge"):
-            continue   # these write or call the model while building; see their modules
-        df = fn(spark, sf)
-        plan = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
-        counts, scans = summarize(plan)
-        out.append(f"## {n}")
-        out.append("")
-        out.append("* operators: " + (", ".join(f"{k} x{v}" for k, v in counts.items()) or "scan/project only"))
-        for s in sorted(set(scans)):
-            out.append(f"* scan {s}")
-        out.append("")
-    with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md"), "w") as f:
+           f"Input: `{sf}`. Operators of all executions of a query as they ran, after adaptive planning.", ""]
+    for name, began, ended in spans:
+        mine = [k for k, t in starts.items() if began <= t <= ended]
+        seen: Counter = Counter()
+        scans: set = set()
+        for k in mine:
+            walk(plans[k], seen, scans)
+        out += [f"## {name}", "", f"* executions: {len(mine)}; operators: "
+                + (", ".join(f"{k} x{v}" for k, v in sorted(seen.items())) or "scan/project only"),
+                *[f"* scan {s}" for s in sorted(scans)], ""]
+    with open(os.path.join(ROOT, "PLANS.md"), "w") as f:
         f.write("\n".join(out))
 
 
