@@ -10,19 +10,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions.text import token_estimate
+from quire.operators.common import persist
 from quire.operators.select import DAY_KEYS
 from quire.params import DEFAULT, Params
-from quire.session import ensure_checkpoint_dir
 
 # Message block layout inside a prompt, and the block separator.
 BLOCK_SEP = "\n\n"
 
 
-def persist(df: DataFrame) -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def message_block(n: Column, sender: Column, subject: Column, date: Column, body: Column) -> Column:
     """One numbered message block; a missing date prints as ``None``."""
     return F.format_string("=== NEWSLETTER %d ===\nFrom: %s\nSubject: %s\nDate: %s\n---\n%s\n",

@@ -27,6 +27,12 @@ def bounded_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> Da
     return F.broadcast(side) if size <= max_bytes else side
 
 
+def persist(df: DataFrame) -> DataFrame:
+    """Cut lineage by a reliable checkpoint in the shared folder."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def top_k(df: DataFrame, keys: list[str], order: list[Column], k: int,
           salt_col: str | None = None, salt_buckets: int = 64) -> DataFrame:
     """First ``k`` rows per ``keys`` by ``order`` (row_number <= k).

@@ -16,9 +16,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quire.operators.common import persist
 from quire.operators.prompts import MERGE_TEMPLATE, PARTIAL_SEP, long_date
 from quire.params import DEFAULT, Params
-from quire.session import ensure_checkpoint_dir, ship_package
+from quire.session import ship_package
 
 Model = Callable[[list[str]], list[str]]
 ModelFactory = Callable[[int], Model]          # called with the output token limit
@@ -81,13 +82,6 @@ def infer(prompts: DataFrame, factory: ModelFactory, p: Params = DEFAULT, batch_
     return df.mapInPandas(run, schema)
 
 
-def persist(df: DataFrame) -> DataFrame:
-    """Cut lineage after paid calls: a reliable checkpoint in the shared folder, so
-    retries or re-evaluation never repeat the model calls."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def stored_answers(done: DataFrame) -> DataFrame:
     """One good answer per prompt hash: failed calls do not count as done."""
     return (done.filter(F.col("error").isNull() & F.col("response").isNotNull())

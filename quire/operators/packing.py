@@ -30,13 +30,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quire.functions.text import token_estimate
+from quire.operators.common import persist
 from quire.params import DEFAULT, Params
-from quire.session import ensure_checkpoint_dir, ship_package
-
-
-def _persist(df: DataFrame) -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+from quire.session import ship_package
 
 
 def chunk_assign_scan(nl: DataFrame, p: Params = DEFAULT, keys: list[str] | None = None,
@@ -59,7 +55,7 @@ def chunk_assign_scan(nl: DataFrame, p: Params = DEFAULT, keys: list[str] | None
     nested = isinstance(pos_t, T.StructType)         # sorted as it is, carried through Python as JSON
 
     # 1. rank and prefix within each partition segment, then segment offsets -------------
-    items = _persist(items)              # range partitioning samples its input: do not join the bodies twice
+    items = persist(items)              # range partitioning samples its input: do not join the bodies twice
     x = (items.repartitionByRange(parts, *keys, "list_pos").sortWithinPartitions(*keys, "list_pos")
               .withColumn("pid", F.spark_partition_id()))
     if nested:
@@ -82,7 +78,7 @@ def chunk_assign_scan(nl: DataFrame, p: Params = DEFAULT, keys: list[str] | None
             last = (tuple(pdf[k].iloc[-1] for k in keys), int(lr[-1]), int(lp[-1]))
             yield pdf.assign(lr=lr, lp=lp)
 
-    local = _persist(x.mapInPandas(local_scan, scan_t))
+    local = persist(x.mapInPandas(local_scan, scan_t))
     seg = local.groupBy(*keys, "pid").agg(F.max("lr").alias("n"), F.max("lp").alias("s"))
     w = Window.partitionBy(*keys).orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
     off = seg.select(*keys, "pid", F.coalesce(F.sum("n").over(w), F.lit(0)).alias("roff"),
@@ -127,7 +123,7 @@ def chunk_assign_scan(nl: DataFrame, p: Params = DEFAULT, keys: list[str] | None
                              "message_id": o["message_id"].to_numpy(), "t": o["t"].to_numpy(),
                              "r": r[:n_own], "b": b, "nxt": nxt[:n_own], "ex": ex, "cnt": cnt})
 
-    stepped = _persist(own.unionByName(halo).groupBy(*keys, "b").applyInPandas(bucket_step, step_t))
+    stepped = persist(own.unionByName(halo).groupBy(*keys, "b").applyInPandas(bucket_step, step_t))
 
     # 3. transfer functions per bucket, composed by an up-sweep / down-sweep tree ---------
     fn = (stepped.filter(F.col("r") - F.col("b") * M - 1 < K)
@@ -136,7 +132,7 @@ def chunk_assign_scan(nl: DataFrame, p: Params = DEFAULT, keys: list[str] | None
                  .select(*keys, F.col("b").alias("node"),
                          F.transform("z", lambda s: s["ex"]).alias("ex"),
                          F.transform("z", lambda s: s["cnt"]).alias("cnt")))
-    levels = [_persist(fn)]
+    levels = [persist(fn)]
     n_buckets = levels[0].groupBy(*keys).count().agg(F.max("count")).collect()[0][0] or 1
     while n_buckets > 1:
         cur = levels[-1]
@@ -147,7 +143,7 @@ def chunk_assign_scan(nl: DataFrame, p: Params = DEFAULT, keys: list[str] | None
             F.transform(left["ex"], lambda e: F.get(right["ex"], e.cast("int"))))
         cnt = F.when(F.size("c") == 1, left["cnt"]).otherwise(
             F.transform(left["ex"], lambda e, i: F.get(left["cnt"], i) + F.get(right["cnt"], e.cast("int"))))
-        levels.append(_persist(g.select(*keys, F.col("parent").alias("node"), ex.alias("ex"), cnt.alias("cnt"))))
+        levels.append(persist(g.select(*keys, F.col("parent").alias("node"), ex.alias("ex"), cnt.alias("cnt"))))
         n_buckets = (n_buckets + 1) // 2
     # entry offset and number of earlier chunk starts, from the root down
     entry = levels[-1].select(*keys, "node", F.lit(0).cast("long").alias("e"), F.lit(0).cast("long").alias("co"))
@@ -160,7 +156,7 @@ def chunk_assign_scan(nl: DataFrame, p: Params = DEFAULT, keys: list[str] | None
             F.struct(F.col("lnode").alias("node"), F.col("e").alias("e"), F.col("co").alias("co")),
             F.struct((F.col("lnode") + 1).alias("node"), F.get("lex", F.col("e").cast("int")).alias("e"),
                      (F.col("co") + F.get("lcnt", F.col("e").cast("int"))).alias("co")))
-        entry = _persist(j.select(*keys, F.inline(kids)).join(lvl.select(*keys, "node"), [*keys, "node"]))
+        entry = persist(j.select(*keys, F.inline(kids)).join(lvl.select(*keys, "node"), [*keys, "node"]))
 
     # 4. walk each bucket's chain from its entry ------------------------------------------
     walk_in = stepped.join(entry.withColumnRenamed("node", "b"), [*keys, "b"])

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.text import ustrip
-from quire.operators.common import bounded_broadcast, top_k
+from quire.operators.common import bounded_broadcast, persist, top_k
 from quire.params import DEFAULT, Params
 
 DAY_KEYS = ["digest_date", "label"]
@@ -115,11 +115,15 @@ def daily_counts(df: DataFrame, keys: list[str] = DAY_KEYS) -> DataFrame:
 def selection(listing: DataFrame, message_labels: DataFrame, bodies: DataFrame,
               p: Params = DEFAULT, labels: list[str] | None = None) -> dict[str, DataFrame]:
     """The whole selection: ``found`` (listed, within the limit), ``fetched`` (with a
-    usable body), ``kept`` (without repeated subjects) and ``failed``."""
+    usable body), ``kept`` (without repeated subjects) and ``failed``. The fetched messages
+    are written once: their bodies are neither scanned again nor sorted, as repeated
+    subjects are found among (day, label, id, position, subject) alone."""
     top = daily_topk(label_filter(listing, message_labels, labels), p)
     ok, failed = fetch_bodies(top, bodies)
-    fetched = cap_body(drop_tiny(ok, p), p)
-    return {"found": top, "fetched": fetched, "kept": dedup_subject(fetched), "failed": failed}
+    fetched = persist(cap_body(drop_tiny(ok, p), p))
+    first = dedup_subject(fetched.select(*DAY_KEYS, "message_id", "list_pos", "subject"))
+    same = [fetched[c].eqNullSafe(first[c]) for c in (*DAY_KEYS, "message_id")]
+    return {"found": top, "fetched": fetched, "kept": fetched.join(first, same, "left_semi"), "failed": failed}
 
 
 def newsletters(listing: DataFrame, message_labels: DataFrame, bodies: DataFrame,

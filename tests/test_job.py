@@ -76,9 +76,10 @@ def test_one_day_reads_one_partition(spark):
     bodies.write.partitionBy("digest_date").parquet(path)
     day = dt.date(2024, 1, 2)
     stored = on_day(spark.read.parquet(path), day)
-    kept, failed = S.newsletters(on_day(listing, day), labels, stored)
-    assert "PartitionFilters: [isnotnull(digest_date" in kept._jdf.queryExecution().executedPlan().toString()
-    assert kept.count() > 0 and failed.count() == 0
+    keys = S.label_filter(on_day(listing, day), labels)
+    ok, failed = S.fetch_bodies(keys, stored)
+    assert "PartitionFilters: [isnotnull(digest_date" in ok._jdf.queryExecution().executedPlan().toString()
+    assert ok.count() > 0 and failed.count() == 0
 
 
 def test_failed_fetches_keep_day_and_label(spark):
