@@ -43,6 +43,7 @@ SHINGLE = 3
 SEED = 42
 DISTANCE = 3
 BUCKET_BYTES = 4 << 20
+TASK_FINGERPRINTS = 20_000
 CHUNK = 4096             # fingerprints expanded at once
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -187,7 +188,9 @@ def ball_links(fps: DataFrame, n_rows: int) -> DataFrame:
             a, b = forest(a, b)
         return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
 
-    return (fps.select("fp").mapInArrow(emit, "bucket long, words binary, codes binary")
+    # each fingerprint becomes thousands of bytes: many tasks, however few bytes come in
+    spread = fps.select("fp").repartition(max(1, math.ceil(n_rows / TASK_FINGERPRINTS)))
+    return (spread.mapInArrow(emit, "bucket long, words binary, codes binary")
             .groupBy("bucket").applyInPandas(collide, "a long, b long"))
 
 
