@@ -137,7 +137,8 @@ def parse_message(raw: DataFrame) -> DataFrame:
     def parse(texts: pa.Array) -> pa.Array:
         return pa.array([message_tree(t.as_py()) for t in texts], MESSAGE_T)
 
-    return raw.withColumn("msg", parse("raw"))
+    # not deterministic to the optimiser: a filter on what comes of it would parse again
+    return raw.withColumn("msg", parse.asNondeterministic()("raw"))
 
 
 # --------------------------------------------------------------------------- headers and dates
