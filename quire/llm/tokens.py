@@ -10,10 +10,12 @@ ids that one ``encode(text, add_special_tokens=False)`` gives.
 from __future__ import annotations
 
 import os
+from array import array
 
 import numpy as np
 
 CACHE_WORDS = 1_000_000    # words kept by one Python worker; rarer ones are encoded each time
+SHORT = 8                  # characters of a piece without a blank that is kept, too
 
 # Fixed value: the byte-level vocabulary's published pre-tokenization pattern.
 PIECE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -46,7 +48,9 @@ class WordCachedTokenizer:
         self.kind = np.uint16 if self.tok.get_vocab_size() <= 1 << 16 else np.uint32
         self.pieces = regex.compile(PIECE).findall
         self.letters = byte_letters()
+        self.code = "H" if self.kind is np.uint16 else "I"
         self.known: dict[str, bytes] = {}
+        self.short: dict[str, bytes] = {}
 
     def encode_plain(self, text: str) -> np.ndarray:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
@@ -61,11 +65,19 @@ class WordCachedTokenizer:
         return text.replace("\n", " \n").split(" ")
 
     def _word(self, word: str) -> bytes:
-        text = word if word[0] == "\n" else " " + word
-        tokenize = self.tok.model.tokenize
-        ids = [t.id for p in self.pieces(text)
-               for t in tokenize(p.encode().decode("latin-1").translate(self.letters))]
-        return np.array(ids, dtype=self.kind).tobytes()
+        """Ids of a word as it stands in a text: after its line feed, or after a blank. Its
+        pieces are often known already, as words of their own or as punctuation."""
+        out = b""
+        for p in self.pieces(word if word[0] == "\n" else " " + word):
+            spaced = p[0] == " "
+            ids = self.known.get(p[1:]) if spaced else self.short.get(p)
+            if ids is None:
+                ids = array(self.code, [t.id for t in self.tok.model.tokenize(
+                    p.encode().decode("latin-1").translate(self.letters))]).tobytes()
+                if not spaced and len(p) <= SHORT and len(self.short) < self.cache_words:
+                    self.short[p] = ids
+            out += ids
+        return out
 
     def encode_many(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of each text as uint32; a null text is the empty text."""
