@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.functions.text import b64url_decode, html_to_text, utf8_lenient
+from quire.functions.text import b64url_decode, html_to_text, let, utf8_lenient
 from quire.params import DEFAULT, Params
 from quire.session import ship_package
 
@@ -213,15 +213,18 @@ def decode_messages(raw: DataFrame, p: Params = DEFAULT) -> tuple[DataFrame, Dat
     messages left without a body because a part of theirs could not be decoded; neither
     is a record."""
     msg = F.col("msg")
+
+    def outcome(c: Column) -> Column:
+        lost = c["undecodable"] & (c["body"] == "")
+        stage = F.when(msg.isNull(), "parse").when(lost, "decode")
+        return F.struct(stage.alias("_stage"), c["body"].alias("body"), c["links"].alias("links"))
+
+    # a generator, so that no filter on the outcome is moved below it and decodes again
     rec = parse_message(raw).select(
-        *[c for c in raw.columns if c != "raw"], msg.isNull().alias("_bad_json"), chosen_body(msg).alias("_chosen"),
+        *[c for c in raw.columns if c != "raw"],
         header(msg, "Subject").alias("subject"), header(msg, "From").alias("sender"),
-        parse_mail_date(F.nullif(header(msg, "Date"), F.lit(""))).alias("date"))
-    lost = F.col("_chosen.undecodable") & (F.col("_chosen.body") == "")
-    reason = (F.when(F.col("_bad_json"), F.struct(F.lit("parse").alias("stage"), F.lit("malformed message JSON").alias("error")))
-               .when(lost, F.struct(F.lit("decode").alias("stage"), F.lit("malformed base64 body").alias("error"))))
-    rec = rec.withColumn("_reason", reason).withColumns(
-        {"body": F.col("_chosen.body"), "links": F.col("_chosen.links")})
-    bad = rec.filter(F.col("_reason").isNotNull()).select("message_id", "_reason.stage", "_reason.error")
-    good = rec.filter(F.col("_reason").isNull()).drop("_bad_json", "_chosen", "_reason")
-    return good, bad
+        parse_mail_date(F.nullif(header(msg, "Date"), F.lit(""))).alias("date"),
+        F.inline(F.array(let(chosen_body(msg), outcome))))
+    why = F.when(F.col("_stage") == "parse", "malformed message JSON").otherwise("malformed base64 body")
+    bad = rec.filter(F.col("_stage").isNotNull()).select("message_id", F.col("_stage").alias("stage"), why.alias("error"))
+    return rec.filter(F.col("_stage").isNull()).drop("_stage"), bad
