@@ -9,8 +9,8 @@ of one half to the other, modulo its bound; so every domain of a * b values is p
 in itself, without walking in cycles:
 
     kind     validated by                  permuted domain
-    card     length, Luhn digit            digits but the first and the check digit
-    iban     length, remainder modulo 97   digits of the account; check digits follow
+    card     groups, length, Luhn digit    digits but the first and the check digit
+    iban     country's length, modulo 97   digits of the account; check digits follow
     ssn      area, group, serial ranges    898 areas x 99 groups x 9999 serials
     phone    7 to 15 digits                800 areas x 800 exchanges x 10,000 lines (+1),
                                            else digits but the first two
@@ -20,7 +20,8 @@ in itself, without walking in cycles:
     secret   shape                         letters and digits, each within its class
 
 The last two permute a string's halves in turn: each letter or digit is shifted in its
-own class by a keyed hash of the other half. Whatever fails validation stays as it is.
+own class by a keyed hash of the other half. A match that fails validation is searched
+again from each of its groups on; what fails there too stays as it is.
 
 The key is a parameter; it is part of the query plan, so plans and logs of a run with a
 real key must be protected like the key.
@@ -45,14 +46,22 @@ ROUNDS = 8
 EMAIL = r"(?<![\w.%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 SECRET = (r"(?<!\w)AKIA[0-9A-Z]{16}(?!\w)"
           r"|(?<!\w)(?i:password|passwd|secret|token|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?[A-Za-z0-9/+_-]{6,}+")
-IBAN = r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)"
+# Grouped numbers are taken as whole runs of groups, whatever follows the number itself;
+# ``resolved`` finds the numbers in a run. A group that begins a date, an address or a
+# number of another shape is not part of the run.
+NO_DATE = r"(?![/-]\d\d?[/-]\d\d?(?!\d))"
+NO_HEAD = r"(?![/.-]\d|@)"
+IBAN = (r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}"
+        rf"(?:[ -][A-Z0-9]{{4}}{NO_DATE}(?![\w.%+-]{{0,64}}+@))*"
+        rf"(?:[ -]\d{{6}}[ -]\d{{4,5}}| ?[A-Z0-9]{{1,3}}{NO_HEAD})?(?!\w)")
 IP = r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d)"
 DATE = r"(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})(?![\w/-]|\.\d)"
 SSN = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
 PHONE = (r"(?<![\w+])\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\w)"
          r"|(?<![\w+])(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}(?![\w-])"
-         r"|(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\w)")
-CARD = (r"(?<![\w-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){2,3}[ -]\d{1,4}|\d{4}[ -]\d{6}[ -]\d{5})(?![\w-])")
+         r"|(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?:[ -]\d{4})*(?!\w)")
+CARD = (rf"(?<![\w-])(?:\d{{13,19}}|\d{{4}}(?:[ -]\d{{4}}{NO_DATE}){{2,}}"
+        rf"(?:[ -]\d{{6}}[ -]\d{{4,5}}|[ -]\d{{1,3}}{NO_HEAD})?|\d{{4}}[ -]\d{{6}}[ -]\d{{4,5}})(?![\w-])")
 SHAPES = dict(zip(KINDS, (EMAIL, SECRET, IBAN, IP, DATE, SSN, PHONE, CARD)))
 PATTERN = "|".join(f"(?:{p})" for p in SHAPES.values())
 HINT = r"[0-9@]|AKIA|(?i:password|passwd|secret|token|api[_-]?key)\s{0,3}[=:]"
@@ -61,6 +70,17 @@ SECRET_HEAD = r"^((?i:password|passwd|secret|token|api[_-]?key)\s{0,3}[=:]\s{0,3
 CYCLE_START = "1820-01-01"   # days are permuted within 400 years from here
 DAYS = ("1420-01-01", "2619-12-31")   # three whole cycles; a date beyond is left alone
 CYCLE = 146_097              # days of 400 Gregorian years: 189 * 773
+# What a card's groups may be, and the issuers whose cards have 16 digits and no more.
+CARD_GROUPS = r"^(?:\d{13,19}|\d{4}(?:[ -]\d{4}){2}[ -]\d{1,4}(?:[ -]\d{1,3})?|\d{4}[ -]\d{6}[ -]\d{4,5})$"
+SIXTEEN = r"^(?:4|5[1-5]|2[2-7])"
+MOST_GROUPS = 9            # an IBAN of 34 characters
+# Characters of an IBAN by country; others have 15 to 34.
+IBAN_LENGTHS = {n: c.split() for n, c in {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC",
+    32: "LC", 33: "RU"}.items()}
 IBAN_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -141,8 +161,8 @@ def card(m: Column, key: str) -> Column:
 
 
 def card_valid(m: Column) -> Column:
-    return let(digits_of(m), lambda d: F.length(d).between(13, 19) & (luhn_sum(d, 1) % 10 == 0)
-               & (F.substring(d, 1, 1) != "0"))
+    return m.rlike(CARD_GROUPS) & let(digits_of(m), lambda d: F.length(d).between(13, 19)
+                                      & (luhn_sum(d, 1) % 10 == 0) & (F.substring(d, 1, 1) != "0"))
 
 
 def iban_plain(m: Column) -> Column:
@@ -150,8 +170,11 @@ def iban_plain(m: Column) -> Column:
 
 
 def iban_valid(m: Column) -> Column:
-    return let(iban_plain(m), lambda s: F.length(s).between(15, 34) & (mod97(
-        F.concat(F.substring(s, F.lit(5), F.length(s)), F.substring(s, 1, 4))) == 1))
+    """A known country's length, groups parted by blanks, and the remainder."""
+    legal = F.create_map(*[F.lit(x) for n, names in IBAN_LENGTHS.items() for c in names for x in (c, n)])
+    return ~m.contains("-") & let(iban_plain(m), lambda s: F.length(s).between(15, 34)
+                                  & (F.length(s) == F.coalesce(legal[F.substring(s, 1, 2)], F.length(s)))
+                                  & (mod97(F.concat(F.substring(s, F.lit(5), F.length(s)), F.substring(s, 1, 4))) == 1))
 
 
 def iban(m: Column, key: str) -> Column:
@@ -295,6 +318,51 @@ def replaced(m: Column, kind: Column, key: str) -> Column:
     return out.otherwise(m)
 
 
+def resolved(m: Column, key: str) -> Column:
+    """A match as a struct (new, kinds). One that is no number as a whole, or holds a card
+    of 16 digits and more, is taken apart: from each group on, the longest row of groups
+    that is valid is replaced, and the search goes on behind it."""
+    def whole(kind: Column) -> Column:
+        return F.struct(replaced(m, kind, key).alias("new"),
+                        F.when(kind.isNull(), F.array().cast("array<string>")).otherwise(F.array(kind)).alias("kinds"))
+
+    def apart(groups: Column) -> Column:
+        def one(state: Column, i: Column) -> Column:
+            def at(n: Column) -> Column:
+                row = F.regexp_replace(F.array_join(F.slice(groups, i, n), ""), "[ -]$", "")
+                return let(row, lambda r: F.struct(n.alias("n"), r.alias("row"), kind_of(r).alias("kind")))
+            most = F.least(F.lit(MOST_GROUPS), F.size(groups) - i + 1)
+            valid = F.filter(F.transform(F.sequence(most, F.lit(1), F.lit(-1)), at), lambda c: c["kind"].isNotNull())
+
+            def take(c: Column) -> Column:
+                best = F.coalesce(F.get(F.filter(c, lambda v: sixteen(v["row"], v["kind"], "=")), 0), F.get(c, 0))
+                return let(best, lambda b: F.when(b.isNull(), F.struct(
+                    F.lit(0).alias("skip"), F.concat(state["new"], F.element_at(groups, i)).alias("new"),
+                    state["kinds"].alias("kinds"))).otherwise(F.struct(
+                        (b["n"] - 1).alias("skip"),
+                        F.concat(state["new"], replaced(b["row"], b["kind"], key), F.regexp_extract(
+                            F.element_at(groups, (i + b["n"] - 1).cast("int")), "[ -]?$", 0)).alias("new"),
+                        F.concat(state["kinds"], F.array(b["kind"])).alias("kinds"))))
+            return F.when(state["skip"] > 0, F.struct(
+                (state["skip"] - 1).alias("skip"), state["new"].alias("new"), state["kinds"].alias("kinds"))
+            ).otherwise(let(valid, take))
+
+        start = F.struct(F.lit(0).alias("skip"), F.lit("").alias("new"), F.array().cast("array<string>").alias("kinds"))
+        return F.aggregate(F.sequence(F.lit(1), F.size(groups)), start, one,
+                           lambda s: F.struct(s["new"].alias("new"), s["kinds"].alias("kinds")))
+
+    return let(kind_of(m), lambda kind: F.when(
+        (kind.isNull() | sixteen(m, kind, ">")) & m.rlike("[ -]"),
+        let(F.split(m, "(?<=[ -])"), apart)).otherwise(whole(kind)))
+
+
+def sixteen(m: Column, kind: Column, than: str) -> Column:
+    """A grouped card of an issuer of 16 digits that has as many, or more."""
+    n = F.length(digits_of(m))
+    return F.coalesce((kind == "card") & m.rlike(SIXTEEN) & m.rlike("[ -]"), F.lit(False)) & (
+        n == 16 if than == "=" else n > 16)
+
+
 def pseudonymise(docs: DataFrame, key: str, counts: bool = True) -> DataFrame:
     """``docs`` with the text pseudonymised and, with ``counts``, a map from each kind to
     how often it was replaced. Texts without a digit, an at sign or a secret's name are
@@ -302,14 +370,14 @@ def pseudonymise(docs: DataFrame, key: str, counts: bool = True) -> DataFrame:
     text = F.col("text")
     found = F.when(text.rlike(HINT), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)))
     rows = docs.withColumn("__pii_found", found)
-    named = F.transform("__pii_found", lambda m: let(kind_of(m), lambda k: F.struct(
-        k.alias("kind"), replaced(m, k, key).alias("new"))))
+    named = F.transform("__pii_found", lambda m: resolved(m, key))
     rows = rows.withColumn("__pii_new", F.when(F.size("__pii_found") > 0, named))
     parts = F.split(text, PATTERN)
     joined = F.array_join(F.zip_with(parts, F.col("__pii_new")["new"],
                                      lambda p, n: F.concat(p, F.coalesce(n, F.lit("")))), "")
     rows = rows.withColumn("text", F.when(F.col("__pii_new").isNull(), text).otherwise(joined))
     if counts:
+        rows = rows.withColumn("__pii_kinds", F.flatten(F.col("__pii_new")["kinds"]))
         rows = rows.withColumn("pii_counts", F.create_map(*[x for k in KINDS for x in (F.lit(k), F.coalesce(
-            F.size(F.filter("__pii_new", lambda s: s["kind"] == k)), F.lit(0)))]))
-    return rows.drop("__pii_found", "__pii_new")
+            F.size(F.filter("__pii_kinds", lambda s: s == k)), F.lit(0)))]))
+    return rows.drop("__pii_found", "__pii_new", "__pii_kinds")

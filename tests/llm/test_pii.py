@@ -189,3 +189,35 @@ def test_pseudonyms_stay_valid_and_linked():
     assert mod97("WEST12345698765432" + "GB82") == 1
     new = plain("GB82WEST12345698765432")[1]
     assert mod97(new[4:] + new[:4]) == 1
+
+
+CARD, IBAN = "4111 1111 1111 1111", "ES91 2100 0418 4502 0005 1332"
+# (text, what of it is a number, its kind), written out by hand
+RUNS = [
+    (f"{CARD} 123", [(CARD, "card")]), ("4111-1111-1111-1111 12/27", [("4111-1111-1111-1111", "card")]),
+    (f"{CARD} 2027", [(CARD, "card")]), (f"{CARD} 2027 123", [(CARD, "card")]), (f"2024 {CARD}", [(CARD, "card")]),
+    (f"{CARD} 5500 0000 0000 0004 99", [(CARD, "card"), ("5500 0000 0000 0004", "card")]),
+    ("3782 822463 10005 1234", [("3782 822463 10005", "card")]),
+    ("1234 5678 9012 3782 822463 10005", [("3782 822463 10005", "card")]),
+    (f"{CARD} 123-45-6789", [(CARD, "card"), ("123-45-6789", "ssn")]),
+    (f"{CARD} 2024/03/05", [(CARD, "card"), ("2024/03/05", "date")]),
+    (f"{IBAN} EUR", [(IBAN, "iban")]), ("ES9121000418450200051332 EUR", [("ES9121000418450200051332", "iban")]),
+    (f"{IBAN} 500", [(IBAN, "iban")]), (f"{IBAN} PAID", [(IBAN, "iban")]), (f"{IBAN} {CARD}", [(IBAN, "iban"), (CARD, "card")]),
+    (f"{IBAN} {IBAN} EUR", [(IBAN, "iban")] * 2), ("BE68 5390 0754 7034 EUR", [("BE68 5390 0754 7034", "iban")]),
+    (f"{IBAN} 123-45-6789", [(IBAN, "iban"), ("123-45-6789", "ssn")]),
+    (f"+44 20 7946 0958 {CARD}", [("+44 20 7946 0958", "phone"), (CARD, "card")]),
+    ("1234 5678 9012 3456 7890", []), ("1234 " * 30_000, []), ("AB12 " + "CDEF " * 5_000, []),
+]
+
+
+def test_numbers_before_other_groups(spark):
+    """Each number has the pseudonym it has alone, and the rest of the text stays."""
+    df = spark.createDataFrame(list(enumerate(t for t, _ in RUNS)), "doc_id long, text string")
+    for r in pii.pseudonymise(df, KEY).collect():
+        text, numbers = RUNS[r["doc_id"]]
+        for value, kind in numbers:
+            assert plain(value)[0] == kind
+            text = text.replace(value, plain(value)[1])
+        assert r["text"] == text, RUNS[r["doc_id"]][0][:80]
+        assert sum(r["pii_counts"].values()) == len(numbers)
+        assert all(r["pii_counts"][k] == [x for _, x in numbers].count(k) for k in pii.KINDS)
