@@ -55,7 +55,9 @@ IBAN = (r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}"
         rf"(?:[ -][A-Z0-9]{{4}}{NO_DATE}(?![\w.%+-]{{0,64}}+@))*"
         rf"(?:[ -]\d{{6}}[ -]\d{{4,5}}| ?[A-Z0-9]{{1,3}}{NO_HEAD})?(?!\w)")
 IP = r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d)"
-DATE = r"(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})(?![\w/-]|\.\d)"
+# an ISO date may be the head of a timestamp
+DATE = (r"(?<![\w./-])(?:\d{4}-\d{1,2}-\d{1,2}(?=T\d)|(?:\d{4}-\d{1,2}-\d{1,2}|\d{4}/\d{1,2}/\d{1,2}"
+        r"|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}/\d{1,2}/\d{4})(?![\w/-]|\.\d))")
 SSN = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
 PHONE = (r"(?<![\w+])\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\w)"
          r"|(?<![\w+])(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}(?![\w-])"
@@ -232,14 +234,15 @@ def ip(m: Column, key: str) -> Column:
 
 
 def day_of(m: Column) -> Column:
-    """The date, where it is one; two-digit fields before the year are day and month, or
-    month and day where only that is a date."""
+    """The date, where it is one; the fields before a year are day and month, or month and
+    day where only that is a date."""
     def three(y: Column, mo: Column, d: Column) -> Column:
-        return F.try_to_date(F.concat_ws("-", y, mo, d), "yyyy-MM-dd")
-    first, second, year = F.substring(m, 1, 2), F.substring(m, 4, 2), F.substring(m, 7, 4)
-    iso = three(F.substring(m, 1, 4), F.substring(m, 6, 2), F.substring(m, 9, 2))
-    day = F.when(m.rlike("^[0-9]{4}"), iso).otherwise(
-        F.coalesce(three(year, second, first), three(year, first, second)))
+        return F.try_to_date(F.concat_ws("-", y, F.lpad(mo, 2, "0"), F.lpad(d, 2, "0")), "yyyy-MM-dd")
+
+    def run(f: Column) -> Column:
+        a, b, c = (F.get(f, i) for i in range(3))
+        return F.when(m.rlike("^[0-9]{4}"), three(a, b, c)).otherwise(F.coalesce(three(c, b, a), three(c, a, b)))
+    day = let(F.split(m, "[./-]"), run)
     return let(day, lambda d: F.when(d.between(*[F.to_date(F.lit(x)) for x in DAYS]), d))
 
 
@@ -252,9 +255,12 @@ def date(m: Column, key: str) -> Column:
             since - place + p["x"] * 773 + p["y"]).cast("int")))
 
         def write(n: Column) -> Column:
-            y, mo, d = (F.date_format(n, f) for f in ("yyyy", "MM", "dd"))
-            iso, sep = F.substring(m, 5, 1), F.substring(m, 3, 1)
-            return F.when(m.rlike("^[0-9]{4}"), F.concat(y, iso, mo, iso, d)).otherwise(F.concat(d, sep, mo, sep, y))
+            # where a field has one digit, fields are written without leading zeros
+            short = m.rlike(r"(?<![0-9])[0-9](?![0-9])")
+            y, mo, d = F.date_format(n, "yyyy"), *(F.when(short, F.date_format(n, f)).otherwise(
+                F.date_format(n, f * 2)) for f in "Md")
+            sep = F.regexp_extract(m, "[./-]", 0)
+            return F.when(m.rlike("^[0-9]{4}"), F.concat(y, sep, mo, sep, d)).otherwise(F.concat(d, sep, mo, sep, y))
         return let(new, write)
     return let(day_of(m), run)
 

@@ -221,3 +221,19 @@ def test_numbers_before_other_groups(spark):
         assert r["text"] == text, RUNS[r["doc_id"]][0][:80]
         assert sum(r["pii_counts"].values()) == len(numbers)
         assert all(r["pii_counts"][k] == [x for _, x in numbers].count(k) for k in pii.KINDS)
+
+
+def test_date_forms(spark):
+    """Equal dates have equal pseudonyms in every form, timestamps included."""
+    texts = ["2024-03-05T10:00:00Z", "at 2024-03-05T10:00:00.123+01:00, x", "2024-03-05", "05.03.2024", "2024/03/05",
+             "5.3.2024", "5/3/2024", "2024-3-5", "2024-03-05Tx", "2024-03-05-06", "31/2/1990", "12/31/1999", "3/31/1999"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {texts[r["doc_id"]]: (r["text"], r["pii_counts"]["date"]) for r in pii.pseudonymise(df, KEY).collect()}
+    at = dt.date.fromisoformat(plain("2024-03-05")[1])
+    iso, other = str(at), dt.date.fromisoformat(plain("1999-03-31")[1])
+    assert iso != "2024-03-05"
+    want = [iso + "T10:00:00Z", f"at {iso}T10:00:00.123+01:00, x", iso, at.strftime("%d.%m.%Y"), at.strftime("%Y/%m/%d"),
+            f"{at.day}.{at.month}.{at.year}", f"{at.day}/{at.month}/{at.year}", f"{at.year}-{at.month}-{at.day}"]
+    assert [got[t][0] for t in texts[:8]] == want and all(got[t][1] == 1 for t in texts[:8])
+    assert all(got[t] == (t, 0) for t in texts[8:11])
+    assert got["3/31/1999"] == (f"{other.day}/{other.month}/{other.year}", 1)
