@@ -21,10 +21,13 @@ def bounded_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> Da
     """
     ensure_checkpoint_dir(df.sparkSession)
     side = df.checkpoint(eager=True)
-    row = sum((F.coalesce(F.octet_length(F.to_json(F.struct(F.col(c)))), F.lit(0)) for c in side.columns),
-              F.lit(ROW_OVERHEAD)).cast("long")
-    size = side.agg(F.sum(row)).first()[0] or 0
-    return F.broadcast(side) if size <= max_bytes else side
+    return F.broadcast(side) if row_bytes(side) <= max_bytes else side
+
+
+def row_bytes(df: DataFrame) -> int:
+    """The bytes of a stored table's rows."""
+    row = F.coalesce(F.octet_length(F.to_json(F.struct(*df.columns))), F.lit(0)) + ROW_OVERHEAD
+    return df.agg(F.sum(row.cast("long"))).first()[0] or 0
 
 
 def persist(df: DataFrame) -> DataFrame:
