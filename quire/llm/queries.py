@@ -8,8 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import decontam, langid, packing, pii, quality, robust, sharding, simhash, tokenstore, warc
+from quire.llm import (decontam, langid, merkle, packing, pii, quality, robust, sharding, simhash, tokenstore,
+                       toxicity, trie, warc)
 from quire.llm.common import held_out, prepare, table
+from quire.llm.oracles import merkle_sql, trie_sql
 from quire.llm.tokens import vocabulary_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -139,3 +141,25 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics of every document, the base rules, and the outliers' verdict."""
     return robust.judge(table(spark, sf_dir, "documents"), ["doc_id"]).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query("op11_toxicity")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.with_toxicity(docs, model, passages=False).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@query("op12_merkle", oracle=merkle_sql())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, proof and verification of every document."""
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
+@query("op13_trie", oracle=trie_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the trie over all rebuilt conversations, with the totals of their subtrees."""
+    return trie.prefix_trie(table(spark, sf_dir, "conversations")).select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
