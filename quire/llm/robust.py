@@ -7,11 +7,16 @@ and scatter is found, and vectors far from it in Mahalanobis distance are reject
 
 The estimate has three starts, of medians and of drawn-in rows, and improves by concentration
 steps: the ``SUBSET`` share of rows nearest to the present estimate gives the next centre
-and covariance, until no determinant falls; the start of the smallest counts. Quantiles and moments are group aggregates that are combined before any
-shuffle, so a source with a third of all rows costs no more than others; one small row a
-group is joined back, by broadcast while the groups are at most ``BROADCAST_ROWS``. Cholesky factors and distances are plain column expressions. A
-least spread for each coordinate keeps constant statistics from making a scatter
-singular; the median of the distances sets the scale, as is usual.
+and covariance, until no determinant falls; the start of the smallest counts. Quantiles and
+moments are group aggregates that are combined before any shuffle, so a source with a third of
+all rows costs no more than others; one small row a group is joined back, by broadcast while
+they have few bytes. Covariances are inverted by sweeps over arrays. A least spread for
+each coordinate keeps constant statistics from making a scatter singular.
+
+The cutoff is a group's own: the cube root makes squared distances nearly symmetric, and what
+lies over the upper quartile of its group by more than ``FENCE`` interquartile ranges (the usual
+outer fence) is rejected. The quartiles are those of rows within twice that fence as drawn from
+the median and the lower quartile, so nearly half of a group's rows may be junk.
 
 A group of fewer than ``LEAST_ROWS`` usable rows has the estimate of all usable rows of its
 language, or of all; where even those are too few, nothing is rejected by distance.
@@ -29,6 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm.common import let, materialise, small_side
+from quire.operators.common import BROADCAST_MAX_BYTES, row_bytes
 
 SPACE = r"[\x20\x09-\x0D]+"
 NOT_SPACE = r"[^\x20\x09-\x0D]"
@@ -36,12 +42,11 @@ SYMBOLS = r"[#*$%&|<>]"
 
 LEAST_WORDS = 50
 SUBSET = 0.5
-STEPS = 50                 # at most; the steps end before, when no determinant falls
 FALL = 1e-4                # of the logarithm of a determinant; less is no fall
 LEAST_ROWS = 60
 ACCURACY = 2000
-MEDIAN_OF_CHI2 = 4.351     # of five degrees of freedom
-CUTOFF = 140.0             # squared distance: clean text stays below 100, junk starts above 200
+FENCE = 3.0                # interquartile ranges over the upper quartile: the outer fence
+LEAST_RANGE = 0.491        # interquartile range of the cube root of a chi-square of five degrees
 COORDINATES = ("x0", "x1", "x2", "x3", "x4")
 LEAST_SPREAD = (0.06, 0.25, 0.5, 0.5, 0.3)
 
@@ -132,64 +137,79 @@ def groups_of(rows: DataFrame) -> DataFrame:
     return found.select("source_key", "grp", counted.alias("counted"))
 
 
+N = range(len(COORDINATES))
+PAIRS = list(combinations_with_replacement(N, 2))
+
+
 def moments(rows: DataFrame) -> DataFrame:
-    """Centre, Cholesky factor and logarithm of the determinant of each group's covariance,
-    one row a group and start."""
-    pairs = list(combinations_with_replacement(range(len(COORDINATES)), 2))
-    got = rows.groupBy("grp", "start").agg(
+    """Means and mean products of each group's rows, by start."""
+    return rows.groupBy("grp", "start").agg(
         *[F.avg(c).alias(f"m{i}") for i, c in enumerate(COORDINATES)],
-        *[F.avg(F.col(COORDINATES[i]) * F.col(COORDINATES[j])).alias(f"s{i}{j}") for i, j in pairs])
-    for j in range(len(COORDINATES)):
-        floor = F.lit(LEAST_SPREAD[j] ** 2)
-        left = F.greatest(F.col(f"s{j}{j}") - F.col(f"m{j}") * F.col(f"m{j}"), F.lit(0.0)) + floor
-        for k in range(j):
-            left = left - F.col(f"l{j}{k}") * F.col(f"l{j}{k}")
-        got = got.withColumn(f"l{j}{j}", F.sqrt(F.greatest(left, floor * 0.01)))
-        below = {}
-        for i in range(j + 1, len(COORDINATES)):
-            c = F.col(f"s{j}{i}") - F.col(f"m{j}") * F.col(f"m{i}")
-            for k in range(j):
-                c = c - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
-            below[f"l{i}{j}"] = c / F.col(f"l{j}{j}")
-        got = got.withColumns(below) if below else got
-    det = sum((2 * F.log(f"l{j}{j}") for j in range(1, len(COORDINATES))), 2 * F.log("l00"))
-    return got.withColumn("log_det", det).drop(*[f"s{i}{j}" for i, j in pairs])
+        *[F.avg(F.col(COORDINATES[i]) * F.col(COORDINATES[j])).alias(f"s{i}{j}") for i, j in PAIRS])
+
+
+def solved(got: DataFrame) -> DataFrame:
+    """Centres, inverse covariances (``p``) and logarithms of the determinants from stored
+    moments. One sweep a coordinate turns the matrix, an array, into its inverse; the pivots'
+    product is the determinant."""
+    n = len(N)
+
+    def covariance(i: int, j: int) -> Column:
+        c = F.col(f"s{min(i, j)}{max(i, j)}") - F.col(f"m{i}") * F.col(f"m{j}")
+        return F.greatest(c, F.lit(0.0)) + LEAST_SPREAD[i] ** 2 if i == j else c
+
+    floors = F.array(*[F.lit(x * x / 100) for x in LEAST_SPREAD])
+
+    def sweep(state: Column, k: Column) -> Column:
+        def at(i: Column, j: Column) -> Column:
+            return F.get(state["a"], (i * n + j).cast("int"))
+        pivot = F.greatest(at(k, k), F.get(floors, k))
+
+        def new(t: Column) -> Column:
+            i, j = F.floor(t / n), t % n
+            return F.when((i == k) & (j == k), 1 / pivot).when(i == k, at(k, j) / pivot).when(
+                j == k, -at(i, k) / pivot).otherwise(at(i, j) - at(i, k) * at(k, j) / pivot)
+        return F.struct(F.transform(F.sequence(F.lit(0), F.lit(n * n - 1)), new).alias("a"),
+                        (state["log_det"] + F.log(pivot)).alias("log_det"))
+
+    start = F.struct(F.array(*[covariance(i, j) for i in N for j in N]).alias("a"), F.lit(0.0).alias("log_det"))
+    swept = got.withColumn("__swept", F.aggregate(F.array(*[F.lit(k) for k in N]), start, sweep))
+    return swept.select("grp", "start", *[f"m{i}" for i in N],
+                        *[F.get("__swept.a", F.lit(i * n + j)).alias(f"p{i}{j}") for i, j in PAIRS],
+                        F.col("__swept.log_det").alias("log_det"))
+
+
+ESTIMATE = [*[f"m{i}" for i in N], *[f"p{i}{j}" for i, j in PAIRS]]
 
 
 def distances(rows: DataFrame, estimate: DataFrame) -> DataFrame:
     """``rows`` with the squared Mahalanobis distance ``d2`` to their group's estimate, or to
     that of each start."""
     got = rows.join(estimate, "grp", "left")
-    for i, c in enumerate(COORDINATES):
-        y = F.col(c) - F.col(f"m{i}")
-        for k in range(i):
-            y = y - F.col(f"l{i}{k}") * F.col(f"__y{k}")
-        got = got.withColumn(f"__y{i}", y / F.col(f"l{i}{i}"))
-    ys = [f"__y{i}" for i in range(len(COORDINATES))]
-    d2 = sum((F.col(y) * F.col(y) for y in ys[1:]), F.col(ys[0]) * F.col(ys[0]))
-    return got.withColumn("d2", d2).drop(*ys, *[c for c in estimate.columns if c not in ("grp", "start", "scale")])
+    y = [F.col(c) - F.col(f"m{i}") for i, c in enumerate(COORDINATES)]
+    parts = [F.col(f"p{i}{j}") * y[i] * y[j] * (1.0 if i == j else 2.0) for i, j in PAIRS]
+    return got.withColumn("d2", F.greatest(sum(parts[1:], parts[0]), F.lit(0.0))).drop(*ESTIMATE, "log_det", "falls")
 
 
-def quantile(column: str, share: float) -> Column:
+def quantile(column: str | Column, share: float) -> Column:
     return F.percentile_approx(column, share, F.lit(ACCURACY))
 
 
-def nearest(rows: DataFrame) -> DataFrame:
-    """The ``SUBSET`` share of each group and start with the smallest ``d2``."""
-    cut = rows.groupBy("grp", "start").agg(quantile("d2", SUBSET).alias("__cut"))
-    return rows.join(small_side(cut, "robust-cut"), ["grp", "start"]).where(F.col("d2") <= F.col("__cut")).drop("__cut")
+def stored(df: DataFrame, name: str) -> tuple[DataFrame, bool]:
+    """``df`` written, and whether its bytes are few enough to broadcast what has its rows."""
+    df = materialise(df, name)
+    return df, row_bytes(df) <= BROADCAST_MAX_BYTES
 
 
 def starts(rows: DataFrame) -> DataFrame:
     """Estimates to start from, three a group: medians with median deviations, and the moments
     of rows standardised by them and drawn in, on a sphere (signs) or by hyperbolic tangents."""
-    n = range(len(COORDINATES))
     centre = small_side(rows.groupBy("grp").agg(
         *[quantile(c, 0.5).alias(f"c{i}") for i, c in enumerate(COORDINATES)]), "robust-centre")
     off = rows.join(centre, "grp").select("grp", *[F.abs(F.col(c) - F.col(f"c{i}")).alias(f"a{i}")
                                                     for i, c in enumerate(COORDINATES)])
     spread = off.groupBy("grp").agg(*[F.greatest(1.4826 * quantile(f"a{i}", 0.5), F.lit(LEAST_SPREAD[i])).alias(f"a{i}")
-                                      for i in n])
+                                      for i in N])
     first = small_side(centre.join(spread, "grp"), "robust-start")
     z = [(F.col(c) - F.col(f"c{i}")) / F.col(f"a{i}") for i, c in enumerate(COORDINATES)]
     length = F.sqrt(sum((x * x for x in z[1:]), z[0] * z[0]))
@@ -200,36 +220,61 @@ def starts(rows: DataFrame) -> DataFrame:
 
     kinds = F.array(drawn("signs", lambda x: F.when(length > 0, x / length).otherwise(F.lit(0.0))),
                     drawn("tanh", F.tanh))
-    moved = moments(rows.join(first, "grp").select("grp", F.inline(kinds))).drop("log_det")
-    plain = first.select("grp", F.lit("medians").alias("start"), *[F.col(f"c{i}").alias(f"m{i}") for i in n], *[
-        (F.col(f"a{i}") if i == j else F.lit(0.0)).alias(f"l{i}{j}") for j in n for i in n if i >= j])
-    return moved.unionByName(plain)
+    moved = solved(materialise(moments(rows.join(first, "grp").select("grp", F.inline(kinds))), "robust-drawn"))
+    plain = first.select("grp", F.lit("medians").alias("start"), *[F.col(f"c{i}").alias(f"m{i}") for i in N], *[
+        (1 / (F.col(f"a{i}") * F.col(f"a{i}")) if i == j else F.lit(0.0)).alias(f"p{i}{j}") for i, j in PAIRS])
+    return moved.drop("log_det").unionByName(plain)
+
+
+def concentrated(rows: DataFrame, estimate: DataFrame, small: bool) -> DataFrame:
+    """Moments of the ``SUBSET`` share of each group and start nearest to ``estimate``."""
+    def hint(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if small else df
+    far = distances(rows, hint(estimate)).where("start is not null")
+    cut = far.groupBy("grp", "start").agg(quantile("d2", SUBSET).alias("__cut"))
+    return moments(far.join(hint(cut), ["grp", "start"]).where(F.col("d2") <= F.col("__cut")))
 
 
 def robust_estimate(rows: DataFrame) -> DataFrame:
-    """One row a group: centre, factor and ``scale`` of the minimum-covariance-determinant
-    estimate. ``rows`` has grp and the coordinates, without nulls. Each start takes
-    concentration steps until its determinant falls no more; the smallest one counts."""
+    """One row a group: centre, inverse covariance, and ``fence2``, the squared distance beyond
+    which rows are outliers. ``rows`` has grp and the coordinates, without nulls. Each start takes concentration steps until
+    its determinant falls by less than ``FALL``, which it does: the least spreads bound it from
+    below. The start of the smallest determinant counts; of equal ones the first by name."""
     keys = ["grp", "start"]
-    estimate = small_side(starts(rows), "robust-starts")
-    best = None
-    for step in range(STEPS):
-        got = moments(nearest(distances(rows, estimate).where("start is not null")))
+    estimate, small = stored(starts(rows), "robust-starts")
+    best, step = None, 0
+    while True:
+        got = solved(materialise(concentrated(rows, estimate, small), f"robust-moments{step}"))
         if best is None:
-            best = estimate = small_side(got, f"robust-step{step}")
-            continue
-        before = best.select(*keys, F.col("log_det").alias("__before"))
-        estimate = small_side(got.join(before, keys).where(F.col("log_det") < F.col("__before") - FALL)
-                              .drop("__before"), f"robust-step{step}")
+            best = materialise(got.withColumn("falls", F.lit(True)), f"robust-step{step}")
+        else:
+            before = best.select(*keys, F.struct(*ESTIMATE, "log_det").alias("__old"))
+            new = got.select(*keys, F.struct(*ESTIMATE, "log_det").alias("__new"))
+            falls = F.coalesce(F.col("__new.log_det") < F.col("__old.log_det") - FALL, F.lit(False))
+            both = before.join(new, keys, "left").withColumn("falls", falls)
+            best = materialise(both.select(*keys, "falls", F.when(F.col("falls"), F.col("__new"))
+                                           .otherwise(F.col("__old")).alias("__best"))
+                               .select(*keys, "falls", "__best.*"), f"robust-step{step}")
+        estimate, step = best.where("falls"), step + 1
         if estimate.isEmpty():
             break
-        best = small_side(best.join(estimate, keys, "left_anti").unionByName(estimate), f"robust-best{step}")
-    columns = [c for c in best.columns if c not in keys]
-    # equal determinants: the first start by name
-    least = best.groupBy("grp").agg(F.min_by(F.struct(*columns), F.struct("log_det", "start")).alias("__least"))
-    least = small_side(least.select("grp", "__least.*").drop("log_det"), "robust-least")
-    scale = distances(rows, least).groupBy("grp").agg((quantile("d2", 0.5) / MEDIAN_OF_CHI2).alias("scale"))
-    return least.join(scale, "grp")
+    least = best.groupBy("grp").agg(F.min_by(F.struct(*ESTIMATE), F.struct("log_det", "start")).alias("__least"))
+    least, small = stored(least.select("grp", "__least.*"), "robust-least")
+    def hint(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if small else df
+    far = distances(rows, hint(least)).select("grp", F.cbrt("d2").alias("d"))
+    middle = quartiles(far, 0.25, 0.5)
+    lower_half = F.greatest(F.col("high") - F.col("low"), F.lit(LEAST_RANGE / 2))
+    gates = middle.select("grp", (F.col("high") + 4 * FENCE * lower_half + lower_half).alias("gate"))
+    inside = quartiles(far.join(hint(gates), "grp").where(F.col("d") <= F.col("gate")), 0.25, 0.75)
+    fence = F.col("high") + FENCE * F.greatest(F.col("high") - F.col("low"), F.lit(LEAST_RANGE))
+    return least.join(inside.select("grp", (fence * fence * fence).alias("fence2")), "grp")
+
+
+def quartiles(rows: DataFrame, low: float, high: float) -> DataFrame:
+    """Two quantiles of ``d`` in each group."""
+    got = rows.groupBy("grp").agg(F.percentile_approx("d", [low, high], F.lit(ACCURACY)).alias("q"))
+    return got.select("grp", F.get("q", F.lit(0)).alias("low"), F.get("q", F.lit(1)).alias("high"))
 
 
 def judge(docs: DataFrame, keep: list[str]) -> DataFrame:
@@ -244,8 +289,7 @@ def judge(docs: DataFrame, keep: list[str]) -> DataFrame:
                          "robust-vectors")
     estimate = small_side(robust_estimate(usable), "robust-estimate")
     found = distances(rows, estimate)
-    far = F.col("d2") / F.greatest(F.col("scale"), F.lit(1.0))
-    return (found.withColumn("distance2", F.when(~F.col("base_failed"), far))
-            .withColumn("kept", ~F.col("base_failed") & (F.coalesce("distance2", F.lit(0.0)) <= CUTOFF))
+    return (found.withColumn("distance2", F.when(~F.col("base_failed"), F.col("d2")))
+            .withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("d2") <= F.col("fence2"), F.lit(True)))
             .select(*keep, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                    "base_failed", "distance2", "kept"))
+                    "base_failed", "distance2", "fence2", "kept"))

@@ -3,6 +3,7 @@
 import numpy as np
 
 from quire.llm import robust
+from test_rules import plain_estimate
 
 
 def words(rng, n, junk=False):
@@ -42,14 +43,18 @@ def test_smallest_determinant_of_the_starts(spark):
     rows = spark.createDataFrame([("g", *map(float, v)) for v in x], "grp string, " + ", ".join(
         f"{c} double" for c in robust.COORDINATES))
     est = robust.robust_estimate(rows).collect()
-    assert len(est) == 1 and est[0]["scale"] > 0
-    got = sum(2 * np.log(est[0][f"l{j}{j}"]) for j in range(5))
-    floor = np.diag(np.array(robust.LEAST_SPREAD) ** 2)
-    spread = np.maximum(1.4826 * np.median(np.abs(x - np.median(x, 0)), 0), robust.LEAST_SPREAD)
-    d2 = (((x - np.median(x, 0)) / spread) ** 2).sum(1)
-    for _ in range(100):
-        near = x[d2 <= np.sort(d2)[199]]
-        cov = np.cov(near.T, bias=True) + floor
-        off = x - near.mean(0)
-        d2 = np.einsum("ij,ij->i", off @ np.linalg.inv(cov), off)
-    assert got <= np.linalg.slogdet(cov)[1] + 1e-3
+    assert len(est) == 1 and est[0]["fence2"] > 0
+    inverse = np.array([[est[0][f"p{min(i, j)}{max(i, j)}"] for j in range(5)] for i in range(5)])
+    assert -np.linalg.slogdet(inverse)[1] <= plain_estimate(x)[0] + 1e-2
+
+
+def test_sweeps_invert(spark):
+    """Inverse and determinant of one covariance against numpy."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(300, 5)) @ rng.normal(size=(5, 5)) * 2 + 3
+    rows = spark.createDataFrame([("g", "s", *map(float, v)) for v in x], "grp string, start string, " + ", ".join(
+        f"{c} double" for c in robust.COORDINATES))
+    got = robust.solved(robust.moments(rows)).first()
+    cov = np.cov(x.T, bias=True) + np.diag(np.array(robust.LEAST_SPREAD) ** 2)
+    inverse = np.array([[got[f"p{min(i, j)}{max(i, j)}"] for j in range(5)] for i in range(5)])
+    assert np.allclose(inverse @ cov, np.eye(5), atol=1e-6) and abs(got["log_det"] - np.linalg.slogdet(cov)[1]) < 1e-6

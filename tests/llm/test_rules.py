@@ -122,34 +122,66 @@ def test_statistics(spark, sf, edge_docs, empty_docs):
         assert tuple(r[n] for n in NAMES) == plain_statistics(texts[r["doc_id"]])
 
 
-def plain_distances(x):
-    """The same estimate in numpy, with exact quantiles."""
+def low(v, q):
+    return np.sort(v, axis=0)[max(0, int(np.ceil(q * len(v))) - 1)]
+
+
+def plain_estimate(x):
+    """(log determinant, squared distances, squared fence) in numpy with exact quantiles: the best
+    of all starts, every one carried on until its determinant falls no more."""
     floor = np.array(robust.LEAST_SPREAD)
-    low = lambda v, q: np.sort(v, axis=0)[max(0, int(np.ceil(q * len(v))) - 1)]
     centre = low(x, 0.5)
     spread = np.maximum(1.4826 * low(np.abs(x - centre), 0.5), floor)
-    d2 = (((x - centre) / spread) ** 2).sum(1)
-    for _ in range(robust.STEPS):
-        near = x[d2 <= low(d2, robust.SUBSET)]
-        cov = np.cov(near.T, bias=True) + np.diag(floor ** 2)
-        off = x - near.mean(0)
-        d2 = np.einsum("ij,ij->i", off @ np.linalg.inv(cov), off)
-    return d2 / max(1.0, low(d2, 0.5) / robust.MEDIAN_OF_CHI2)
+    z = (x - centre) / spread
+    length = np.linalg.norm(z, axis=1, keepdims=True)
+    drawn = [np.divide(z, length, out=np.zeros_like(z), where=length > 0), np.tanh(z)]
+    first = [(centre, np.diag(spread ** 2))] + [
+        ((centre + spread * d).mean(0), np.cov((centre + spread * d).T, bias=True) + np.diag(floor ** 2)) for d in drawn]
+    found = []
+    for mean, cov in first:
+        last = np.inf
+        while True:
+            off = x - mean
+            d2 = np.einsum("ij,ij->i", off @ np.linalg.inv(cov), off)
+            near = x[d2 <= low(d2, robust.SUBSET)]
+            new = np.cov(near.T, bias=True) + np.diag(floor ** 2)
+            det = np.linalg.slogdet(new)[1]
+            if not det < last - robust.FALL:
+                break
+            mean, cov, last = near.mean(0), new, det
+        found.append((last, len(found), mean, cov))
+    det, _, mean, cov = min(found, key=lambda f: f[:2])
+    off = x - mean
+    d2 = np.einsum("ij,ij->i", off @ np.linalg.inv(cov), off)
+    d = np.cbrt(d2)
+    half = max(low(d, 0.5) - low(d, 0.25), robust.LEAST_RANGE / 2)
+    inside = d[d <= low(d, 0.5) + half * (1 + 4 * robust.FENCE)]
+    reach = max(low(inside, 0.75) - low(inside, 0.25), robust.LEAST_RANGE)
+    return det, d2, (low(inside, 0.75) + robust.FENCE * reach) ** 3
 
 
 def test_distances(spark):
+    """Distances and verdicts of every group against numpy. Quantiles are approximate, so verdicts
+    may differ on the fence itself."""
     docs = table(spark, "/root/testdata/sf0.1", "documents")
     pdf = robust.judge(docs, ["doc_id", "lang", "source"]).toPandas()
     rows = robust.with_vectors(robust.text_statistics(docs, ["doc_id"]).withColumn("base_failed", robust.base_failed()))
     pdf = pdf.merge(rows.select("doc_id", *robust.COORDINATES).toPandas(), on="doc_id")
     use = pdf[~pdf["base_failed"]]
-    group = use[(use["lang"] == "en") & (use["source"] == "src0")]
-    want = plain_distances(group[list(robust.COORDINATES)].to_numpy())
-    assert len(group) > 100
-    assert np.corrcoef(want, group["distance2"])[0, 1] > 0.999
-    clear = np.abs(want / robust.CUTOFF - 1) > 0.1
-    assert ((want <= robust.CUTOFF) == group["kept"])[clear].all()
+    seen = 0
+    for _, group in use.groupby(["lang", "source"]):
+        if len(group) < robust.LEAST_ROWS:
+            continue
+        seen += 1
+        _, want, fence = plain_estimate(group[list(robust.COORDINATES)].to_numpy())
+        assert np.corrcoef(np.cbrt(want), np.cbrt(group["distance2"]))[0, 1] > 0.99
+        clear = np.abs(np.cbrt(want / fence) - 1) > 0.1
+        assert ((want <= fence) == group["kept"])[clear].all()
+    assert seen >= 20
     assert (pdf["kept"] <= ~pdf["base_failed"]).all()
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").toPandas()
+    both = use.merge(labels, on="doc_id")
+    assert both[both["quality"] == 1]["kept"].mean() > 0.99 and both[both["quality"] == 0]["kept"].mean() < 0.05
 
 
 def test_pipeline(spark, sf, edge_docs):
