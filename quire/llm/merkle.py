@@ -171,7 +171,7 @@ def outer_nodes(levels: list[DataFrame], top: DataFrame, name: str) -> DataFrame
 def manifest(docs: DataFrame) -> DataFrame:
     """doc_id, leaf, subroot, root, proof_sha256, folded_root and verified of every row."""
     prepare(docs.sparkSession)
-    leaves = placed(records(docs), "tree", ["doc_id", "digest"], "merkle-leaves")
+    leaves = placed(materialise(records(docs), "merkle-records"), "tree", ["doc_id", "digest"], "merkle-leaves")
     levels = climb(leaves, "merkle")
     forest = levels[-1].select(F.lit(FOREST).alias("forest"), F.col("tree").alias("source"), "digest")
     forest = materialise(placed(forest, "forest", ["source"], "merkle-sources").withColumnRenamed("forest", "tree"),
