@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import held_out, prepare
+from quire.llm.common import held_out, prepare, small_side
 
 LENGTH = 128
 WIDTHS = (2, 3, 4)
@@ -36,7 +36,7 @@ WINDOWS_OF_TEXT = 4
 EPOCHS = 6
 BATCH = 128
 RATE = 4e-3
-MAX_LANGUAGES = 500        # the commonest; what the driver gets of the counts is bounded
+LEAST_DOCUMENTS = 20       # of each language
 CHUNK = 256                # windows in one pass
 UNKNOWN = "und"
 
@@ -147,13 +147,12 @@ def training_windows(docs: DataFrame, total: int = SAMPLE_DOCUMENTS) -> list[tup
     """(language, window) of the bounded sample, in a fixed order."""
     known = docs.select("doc_id", "text", "lang").where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    counts = (known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-              .orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect())
-    if not counts:
+    counts = small_side(known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")
+    n_languages = counts.count()
+    if not n_languages:
         return []
-    each = max(20, total // len(counts))
-    spark = docs.sparkSession
-    share = F.broadcast(spark.createDataFrame([(r["lang"], each / r["n"]) for r in counts], "lang string, share double"))
+    each = max(LEAST_DOCUMENTS, total // n_languages)
+    share = counts.select("lang", (F.lit(float(each)) / F.col("n")).alias("share"))
     draw = F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(1 << 30))
     sample = (known.join(share, "lang").where(draw < F.col("share") * (1 << 30))
               .groupBy("doc_id", "lang").agg(F.min("text").alias("text")))

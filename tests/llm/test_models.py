@@ -91,6 +91,14 @@ def test_language_edges(spark, edge_docs, empty_docs):
     assert langid.with_language(empty_docs.select("doc_id", "text"), net).count() == 0
 
 
+def test_every_language_is_learnt(spark):
+    """No cap on the number of values: the rarest is a class beside six hundred others."""
+    rows = [(i, f"word{i} " * 20, f"l{i % 601}") for i in range(1300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    known = {lang for i, _, lang in rows if not fold(i)}
+    assert {lang for lang, _ in langid.training_windows(docs)} == known and len(known) > 500
+
+
 def test_network_gradient():
     """The analytic step lowers the loss on a separable toy problem to near nothing."""
     rng = np.random.default_rng(0)
