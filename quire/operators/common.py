@@ -19,9 +19,35 @@ def bounded_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> Da
     The side is written to the shared checkpoint folder (reliable checkpoint), so
     measuring it does not recompute it and executor loss does not lose it.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    side = df.checkpoint(eager=True)
-    return F.broadcast(side) if row_bytes(side) <= max_bytes else side
+    return bounded_side(df, max_bytes)[0]
+
+
+def bounded_side(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> tuple[DataFrame, bool]:
+    """As ``bounded_broadcast``, and whether the side is broadcast."""
+    side = persist(df)
+    few = row_bytes(side) <= max_bytes
+    return (F.broadcast(side) if few else side), few
+
+
+MAP_BITS = 32768               # bits of one bitmap row
+BITS_PER_KEY = 16
+
+
+def likely_in(rows: DataFrame, keys: DataFrame, column: str, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """``rows`` whose ``column`` is in stored ``keys``, and about one in sixteen of the others: a
+    Bloom filter of one hash. The keys' hashes become rows of bitmaps, built by an aggregate
+    and broadcast, two bytes a key; where even those are over ``max_bytes``, all rows stay."""
+    n_rows = max(1, -(-keys.count() * BITS_PER_KEY // MAP_BITS))
+    if n_rows * (MAP_BITS // 8 + ROW_OVERHEAD) > max_bytes:
+        return rows
+    place = F.pmod(F.xxhash64(column), F.lit(n_rows * MAP_BITS))
+    row, bit = F.floor(place / MAP_BITS), (place % MAP_BITS).cast("int")
+    maps = keys.select(row.alias("__map_row"), bit.cast("long").alias("bit")).groupBy("__map_row").agg(
+        F.bitmap_construct_agg("bit").alias("__map"))
+    byte = F.conv(F.hex(F.substring("__map", F.shiftright("__bit", 3) + 1, F.lit(1))), 16, 10).cast("int")
+    held = F.call_function("shiftright", byte, F.col("__bit") % 8).bitwiseAND(1) == 1
+    return (rows.withColumns({"__map_row": row, "__bit": bit}).join(F.broadcast(maps), "__map_row")
+            .where(held).drop("__map_row", "__bit", "__map"))
 
 
 def row_bytes(df: DataFrame) -> int:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.text import ustrip
-from quire.operators.common import bounded_broadcast, persist, top_k
+from quire.operators.common import BROADCAST_MAX_BYTES, bounded_side, likely_in, persist, top_k
 from quire.params import DEFAULT, Params
 
 DAY_KEYS = ["digest_date", "label"]
@@ -65,14 +65,18 @@ def daily_topk(listing: DataFrame, p: Params = DEFAULT) -> DataFrame:
                  salt_col="message_id")
 
 
-def fetch_bodies(keys: DataFrame, bodies: DataFrame) -> tuple[DataFrame, DataFrame]:
+def fetch_bodies(keys: DataFrame, bodies: DataFrame,
+                 max_bytes: int = BROADCAST_MAX_BYTES) -> tuple[DataFrame, DataFrame]:
     """Join listed ids to their bodies (A2/J1). Returns (fetched, failed): a listed id
     without a body row is a failed fetch and goes to quarantine with its day and label
     (C9). Bodies that carry their day are joined on it too, so a partitioned body table
-    is read for the listed days only."""
+    is read for the listed days only. The ids are broadcast while they have few bytes; beyond
+    that a bitmap of their hashes, far smaller, is, so only bodies that are likely listed are
+    shuffled."""
     on = ["message_id", "digest_date"] if "digest_date" in bodies.columns else ["message_id"]
-    small = bounded_broadcast(keys)
-    ok = bodies.filter(F.col("body").isNotNull()).join(small, on)
+    small, few = bounded_side(keys, max_bytes)
+    found = bodies.filter(F.col("body").isNotNull())
+    ok = (found if few else likely_in(found, small, "message_id", max_bytes)).join(small, on)
     failed = keys.join(ok.select(*on), on, "left_anti").select(
         *[c for c in DAY_KEYS if c in keys.columns], "message_id", F.lit("fetch").alias("stage"),
         F.lit("message body not found").alias("error"))
@@ -120,10 +124,16 @@ def selection(listing: DataFrame, message_labels: DataFrame, bodies: DataFrame,
     subjects are found among (day, label, id, position, subject) alone."""
     top = daily_topk(label_filter(listing, message_labels, labels), p)
     ok, failed = fetch_bodies(top, bodies)
+    fetched, kept = usable(ok, p)
+    return {"found": top, "fetched": fetched, "kept": kept, "failed": failed}
+
+
+def usable(ok: DataFrame, p: Params = DEFAULT) -> tuple[DataFrame, DataFrame]:
+    """(messages with a usable body, written once; of them, those without repeated subjects)."""
     fetched = persist(cap_body(drop_tiny(ok, p), p))
     first = dedup_subject(fetched.select(*DAY_KEYS, "message_id", "list_pos", "subject"))
     same = [fetched[c].eqNullSafe(first[c]) for c in (*DAY_KEYS, "message_id")]
-    return {"found": top, "fetched": fetched, "kept": fetched.join(first, same, "left_semi"), "failed": failed}
+    return fetched, fetched.join(first, same, "left_semi")
 
 
 def newsletters(listing: DataFrame, message_labels: DataFrame, bodies: DataFrame,

@@ -202,8 +202,10 @@ def publish_extractive(nl):
 
 
 @query("stream_dedup", f"""WITH {Q.MESSAGES}, {Q.MESSAGE_LABELS}
-SELECT DISTINCT {DD}, label, lower({Q.ustrip('subject')}) AS key FROM msg JOIN ml USING (message_id)""")
+SELECT {DD}, label, lower({Q.ustrip('subject')}) AS key, min_by(message_id, list_pos) AS message_id
+FROM msg JOIN ml USING (message_id) GROUP BY ALL""")
 def q_stream_dedup(spark, sf_dir):
-    """Streaming double-send removal under a watermark: one row per day, label and subject."""
-    path = R.dedup_stream(spark, sf_dir, scratch(spark, "stream-dedup"))
-    return spark.read.parquet(path).select("digest_date", "label", "key")
+    """Streaming double-send removal under a watermark: the first message of each day, label
+    and subject."""
+    return R.dedup_stream(spark, sf_dir, scratch(spark, "stream-dedup")).select(
+        "digest_date", "label", "key", "message_id")

@@ -1,36 +1,37 @@
 """Incremental ingestion (R1, R2) with Structured Streaming.
 
 R1: new message files are picked up by ``readStream`` (``trigger(availableNow)``,
-checkpointed). Each micro-batch appends its messages to a table partitioned by
-(digest_date, batch_id); the days it touched are then selected and published again, and
-overwrite just their (day, label) partitions. The touched days are a literal filter (a
-batch's days are few; beyond ``MAX_DAYS`` a range bounds them), so only their partitions
-are read, however long the history is. Re-running a batch after a failure rewrites the
-same partitions, so the sink is idempotent.
-
-R2: streaming double-send removal with a watermark: ``dropDuplicatesWithinWatermark`` on
-(digest_date, label, subject key). The survivor is not guaranteed to be the first in list
-order, so the batch dedup stays the authority for page content.
+checkpointed). Each micro-batch appends its messages to a table partitioned by (digest_date,
+batch_id), and keeps the daily selection up to date: a table of *versions* holds, for every
+(day, label), the best ``max_messages`` so far, with their bodies. A batch is cut to its own
+best (salted, so a day with most of its rows is no burden), merged with the last version
+of just those days and labels, and written as a version of its own. So a late message
+changes one entry, no message of an earlier batch is read again, and no day that the batch does
+not touch is published. A batch that is run again after a failure sees the versions before
+it and rewrites its own partitions, so every sink is idempotent.
+
+R2: streaming double-send removal that keeps the first message by list order: a streaming
+aggregate per (day, label, subject key), combined before its shuffle, whose state a watermark
+clears a day after its messages. Each batch writes the keys whose first message
+changed; ``survivors`` reads the last word on each.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions.text import first_line
 from quire.operators import select as S
+from quire.operators.common import bounded_broadcast
 from quire.params import Params
 from quire.sinks.tables import overwrite_days
 from quire.sources import catalog as C
 from quire.sources.fixtures import sent_at
 
 
-MAX_DAYS = 1000
-
-
 def _documents_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = C.table(spark, sf_dir, "documents").schema
     return (spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet")
@@ -38,13 +39,14 @@ def _documents_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _in_batches(spark: SparkSession, sf_dir: str, out: str, batches: int) -> DataFrame:
-    """The documents as a stream of ``batches`` file batches (for showing re-publication):
-    the table is split by id into folders, one of which is read per trigger."""
+    """The documents as a stream of about ``batches`` file batches (for showing
+    re-publication): every task writes a file for each arrival, and a trigger takes its
+    share of the files."""
     docs = C.table(spark, sf_dir, "documents")
     path = f"{out}/incoming"
-    (docs.withColumn("arrival", F.pmod("doc_id", F.lit(batches))).coalesce(1)
-         .write.partitionBy("arrival").parquet(path))
-    return (spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1)
+    docs.withColumn("arrival", F.pmod("doc_id", F.lit(batches))).write.partitionBy("arrival").parquet(path)
+    n_files = len(spark.read.parquet(path).inputFiles())
+    return (spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", max(1, n_files // batches))
             .option("recursiveFileLookup", "true").parquet(path))
 
 
@@ -57,52 +59,95 @@ def _as_messages(docs: DataFrame) -> DataFrame:
                        F.concat(C.day_of(doc).cast("string"), F.lit(C.DATE_SUFFIX)).alias("date"))
 
 
-def touched_days(msgs: DataFrame) -> Column:
-    """A literal condition on ``digest_date`` that holds for the days of a batch."""
-    days = [r[0] for r in msgs.select("digest_date").distinct().limit(MAX_DAYS + 1).collect()]
-    if len(days) <= MAX_DAYS:
-        return F.col("digest_date").isin(days)
-    low, high = msgs.agg(F.min("digest_date"), F.max("digest_date")).first()
-    return F.col("digest_date").between(low, high)
-
-
-def ingest(spark: SparkSession, sf_dir: str, out: str, p: Params,
-           publish: Callable[[DataFrame], DataFrame], batches: int = 1) -> str:
-    """Run R1 until the input is drained; ``publish`` turns selected newsletters into
-    pages. Returns the path of the pages table."""
+def _put(df: DataFrame, path: str, *partitions: str) -> None:
+    """Write ``df`` over the partitions it has rows of."""
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path))
+
+
+def last_versions(versions: DataFrame, groups: DataFrame, before: int) -> DataFrame:
+    """The rows of the newest version, older than batch ``before``, of each (day, label) in ``groups``."""
+    old = versions.where(F.col("batch_id") < before).join(groups, S.DAY_KEYS, "left_semi")
+    newest = old.groupBy(*S.DAY_KEYS).agg(F.max("batch_id").alias("batch_id"))
+    return old.join(newest, [*S.DAY_KEYS, "batch_id"], "left_semi").drop("batch_id")
+
+
+def merge_selection(messages: DataFrame, labels: DataFrame, path: str, batch_id: int, p: Params) -> DataFrame:
+    """The daily selection of the days and labels that ``messages`` (one batch, stored) touch, after
+    it; written to ``path`` as version ``batch_id``. A message that comes again counts once."""
+    spark = messages.sparkSession
+    narrow = messages.select("message_id", "digest_date", "list_pos")
+    best = S.daily_topk(S.label_filter(narrow, labels), p)
+    best, _ = S.fetch_bodies(best, messages.drop("list_pos"))
+    versions = best.select(*S.DAY_KEYS, "message_id", "list_pos", *[
+        c for c in messages.columns if c not in ("message_id", "digest_date", "list_pos")], F.lit(batch_id).alias("batch_id"))
+    # the table, before its first version
+    versions.limit(0).write.mode("append").partitionBy("batch_id", "digest_date").parquet(path)
+    stored = spark.read.schema(versions.schema)
+    new = versions.drop("batch_id")
+    groups = bounded_broadcast(new.select(*S.DAY_KEYS).distinct())
+    both = last_versions(stored.parquet(path), groups, batch_id).unionByName(new).dropDuplicates([*S.DAY_KEYS, "message_id"])
+    _put(S.daily_topk(both, p).withColumn("batch_id", F.lit(batch_id)), path, "batch_id", "digest_date")
+    return stored.parquet(path).where(F.col("batch_id") == batch_id).drop("batch_id")
+
+
+def ingest_messages(stream: DataFrame, labels: DataFrame, out: str, p: Params,
+                    publish: Callable[[DataFrame], DataFrame]) -> str:
+    """Run R1 on a stream of messages until it is drained; ``publish`` turns selected newsletters
+    into pages. Returns the path of the pages table."""
     messages_path, pages_path = f"{out}/messages", f"{out}/digest_pages"
-    labels = C.message_labels(spark, sf_dir)
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        msgs = _as_messages(df).withColumn("batch_id", F.lit(batch_id))
-        (msgs.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("digest_date", "batch_id").parquet(messages_path))
-        if msgs.isEmpty():
+        rows = df.withColumn("batch_id", F.lit(batch_id))
+        _put(rows, messages_path, "batch_id", "digest_date")
+        stored = df.sparkSession.read.schema(rows.schema).parquet(messages_path)
+        stored = stored.where(F.col("batch_id") == batch_id).drop("batch_id")
+        if stored.isEmpty():
             return
-        day = spark.read.schema(msgs.schema).parquet(messages_path).filter(touched_days(msgs)).drop("batch_id")
-        kept, _ = S.newsletters(day.select("message_id", "digest_date", "list_pos"), labels,
-                                day.drop("list_pos"), p)
-        overwrite_days(publish(kept), pages_path)
+        chosen = merge_selection(stored, labels, f"{out}/selection", batch_id, p)
+        overwrite_days(publish(S.usable(chosen, p)[1]), pages_path)
 
-    stream = _documents_stream(spark, sf_dir) if batches == 1 else _in_batches(spark, sf_dir, out, batches)
     q = (stream.writeStream.foreachBatch(batch)
          .option("checkpointLocation", f"{out}/_checkpoint_ingest").trigger(availableNow=True).start())
     q.awaitTermination()
     return pages_path
 
 
-def dedup_stream(spark: SparkSession, sf_dir: str, out: str, watermark: str = "1 day") -> str:
-    """Run R2 until drained; returns the path of the deduplicated output."""
-    m = _as_messages(_documents_stream(spark, sf_dir)).withColumn(
-        "ts", sent_at(F.col("message_id")).cast("timestamp"))   # watermarks need TIMESTAMP, not _NTZ
-    d = (m.join(C.message_labels(spark, sf_dir), "message_id")
-          .withColumn("key", S.subject_key(F.col("subject")))
-          .withWatermark("ts", watermark)
-          .dropDuplicatesWithinWatermark(["digest_date", "label", "key"])
-          .select("digest_date", "label", "key", "message_id", "ts"))
+def ingest(spark: SparkSession, sf_dir: str, out: str, p: Params,
+           publish: Callable[[DataFrame], DataFrame], batches: int = 1) -> str:
+    """R1 on the documents, as one batch or several."""
+    stream = _documents_stream(spark, sf_dir) if batches == 1 else _in_batches(spark, sf_dir, out, batches)
+    return ingest_messages(_as_messages(stream), C.message_labels(spark, sf_dir), out, p, publish)
+
+
+def dedup_messages(stream: DataFrame, labels: DataFrame, out: str, watermark: str = "1 day") -> str:
+    """Run R2 on a stream of messages with a time ``ts`` until it is drained; returns the path
+    of the changes. A message that comes more than ``watermark`` after its day is left out."""
+    first = F.struct("list_pos", "message_id")
+    changes = (stream.join(labels, "message_id")
+               .withColumn("key", S.subject_key(F.col("subject")))
+               .withWatermark("ts", watermark)
+               .groupBy(F.window("ts", "1 day"), "digest_date", "label", "key").agg(F.min(first).alias("first"))
+               .select("digest_date", "label", "key", "first.*"))
     path = f"{out}/dedup"
-    q = (d.writeStream.format("parquet").option("path", path)
-          .option("checkpointLocation", f"{out}/_checkpoint_dedup").outputMode("append")
-          .trigger(availableNow=True).start())
+
+    def batch(df: DataFrame, batch_id: int) -> None:
+        _put(df.withColumn("batch_id", F.lit(batch_id)), path, "batch_id")
+
+    q = (changes.writeStream.foreachBatch(batch).outputMode("update")
+         .option("checkpointLocation", f"{out}/_checkpoint_dedup").trigger(availableNow=True).start())
     q.awaitTermination()
     return path
+
+
+def survivors(spark: SparkSession, path: str) -> DataFrame:
+    """The first message by list order of each (day, label, key), from the changes at ``path``: a
+    later change of a key always has a smaller ``list_pos``."""
+    changes = spark.read.parquet(path)
+    return changes.groupBy(*S.DAY_KEYS, "key").agg(F.min_by("message_id", "list_pos").alias("message_id"))
+
+
+def dedup_stream(spark: SparkSession, sf_dir: str, out: str, watermark: str = "1 day") -> DataFrame:
+    """R2 on the documents: the survivors."""
+    messages = _as_messages(_documents_stream(spark, sf_dir)).withColumn(
+        "ts", sent_at(F.col("message_id")).cast("timestamp"))   # watermarks need TIMESTAMP, not _NTZ
+    return survivors(spark, dedup_messages(messages, C.message_labels(spark, sf_dir), out, watermark))

@@ -137,12 +137,73 @@ def test_stream_rerun_is_noop(spark):
         (r.digest_date, r.label, r.newsletter_count) for r in spark.read.parquet(path).collect())
 
 
-def test_touched_days_prune_partitions(spark):
+def _message_batches(spark, out, batches):
+    """A stream of the given batches of (id, day, position, subject): a file each, in order."""
     import datetime as dt
-    out = scratch_path(spark, f"t-prune-{uuid.uuid4().hex[:8]}")
-    df = spark.createDataFrame([(i, dt.date(2024, 1, 1 + i % 9)) for i in range(50)], "message_id long, digest_date date")
-    df.write.partitionBy("digest_date").parquet(out)
-    some = df.filter("message_id in (1, 2)")
-    read = spark.read.parquet(out).filter(R.touched_days(some))
-    plan = read._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: []" not in plan and read.select("digest_date").distinct().count() == 2
+    import time
+    schema = ("message_id long, digest_date date, list_pos long, sender string, subject string, body string, "
+              "date string, ts timestamp")
+    for k, rows in enumerate(batches):
+        full = [(i, d, pos, "s", subject, "body " * 20 + str(i), "", dt.datetime(d.year, d.month, d.day, 9))
+                for i, d, pos, subject in rows]
+        spark.createDataFrame(full, schema).coalesce(1).write.mode("append").parquet(f"{out}/in{k}")
+        time.sleep(1.1)              # files are taken in order of their times
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{out}/in*")
+
+
+def test_late_messages_change_the_selection(spark):
+    import datetime as dt
+    out = scratch_path(spark, f"t-late-{uuid.uuid4().hex[:8]}")
+    one, two = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    p = DEFAULT.with_(max_messages=3)
+    batches = [[(1, one, 10, "a"), (2, one, 20, "b"), (3, one, 30, "c"), (9, two, 1, "z")],
+               [(4, one, 15, "d"), (5, one, 40, "e")], [(6, one, 5, "A"), (1, one, 10, "a")]]
+    labels = spark.createDataFrame([(i, "L") for i in range(1, 10)], "message_id long, label string")
+    published = []
+
+    def publish(kept):
+        published.append(sorted((str(r.digest_date), r.message_id) for r in kept.collect()))
+        return kept.select("digest_date", "label", "message_id")
+
+    path = R.ingest_messages(_message_batches(spark, out, batches).drop("ts"), labels, out, p, publish)
+    days = ("2024-01-01", "2024-01-02")
+    assert published == [[(days[0], 1), (days[0], 2), (days[0], 3), (days[1], 9)],
+                         [(days[0], 1), (days[0], 2), (days[0], 4)],          # the second day is left alone
+                         [(days[0], 4), (days[0], 6)]]                        # best are 6, 1, 4; "A" and "a" are one subject
+    got = sorted((str(r.digest_date), r.message_id) for r in spark.read.parquet(path).collect())
+    assert got == [(days[0], 4), (days[0], 6), (days[1], 9)]
+    # a batch that runs again after a failure gives the same version
+    stored = spark.read.schema("message_id long, list_pos long, sender string, subject string, body string, date string, "
+                               "batch_id int, digest_date date").parquet(f"{out}/messages").where("batch_id = 1").drop("batch_id")
+    again = R.merge_selection(stored, labels, f"{out}/selection", 1, p)
+    assert sorted(r.message_id for r in again.collect()) == [1, 2, 4]
+
+
+def test_stream_dedup_keeps_the_first_by_position(spark):
+    import datetime as dt
+    out = scratch_path(spark, f"t-dedup-{uuid.uuid4().hex[:8]}")
+    one, two = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    batches = [[(1, one, 10, "a"), (2, one, 20, "A ")], [(3, one, 5, "a"), (4, two, 7, "a")], [(5, one, 9, "a"), (6, two, 3, "b")]]
+    labels = spark.createDataFrame([(i, "L") for i in range(1, 10)], "message_id long, label string")
+    path = R.dedup_messages(_message_batches(spark, out, batches), labels, out, "10 days")
+    got = {(str(r.digest_date), r.key): r.message_id for r in R.survivors(spark, path).collect()}
+    assert got == {("2024-01-01", "a"): 3, ("2024-01-02", "a"): 4, ("2024-01-02", "b"): 6}
+
+
+def test_many_ids_are_fetched_through_a_bitmap(spark):
+    """Beyond the byte bound: the same rows, and only likely bodies reach the shuffle."""
+    from pyspark.sql import functions as F
+
+    from quire.operators import common as OC
+    from quire.operators import select as S
+    bodies = spark.range(40000).select(F.col("id").alias("message_id"), F.concat(F.lit("b"), "id").alias("body"))
+    keys = spark.range(0, 80000, 40).select(F.col("id").alias("message_id"), F.lit("L").alias("label"),
+                                            F.to_date(F.lit("2024-01-01")).alias("digest_date"))
+    ok, failed = S.fetch_bodies(keys, bodies, max_bytes=1 << 14)
+    assert {r.message_id for r in ok.collect()} == set(range(0, 40000, 40))
+    assert {r.message_id for r in failed.collect()} == set(range(40000, 80000, 40))
+    likely = OC.likely_in(bodies, OC.persist(keys), "message_id")
+    assert likely.columns == bodies.columns and 1000 <= likely.count() <= 1000 + 40000 // 8
+    assert OC.likely_in(bodies, keys, "message_id", max_bytes=100).count() == 40000
+    plan = ok._jdf.queryExecution().optimizedPlan().toString()
+    assert "bitmap_construct_agg" in plan.lower() or "BitmapConstructAgg" in plan
