@@ -36,9 +36,11 @@ MARKUP = (
     r"|[a-z/!?](?:[^>\"'<]++|\"[^\"<]*+\"|'[^'<]*+')*+>|[a-z/!?][^>]*+(?:>|\z))"
 )
 # Character references at the start of a piece that follows an "&": the standard's names
-# with their semicolon, and numbers of any length.
+# with their semicolon, numbers of any length, and the old names that need no semicolon.
 NAMED_REF = r"^([A-Za-z][A-Za-z0-9]{1,31});"
-NUMERIC_REF = r"^#(?:[xX]0*+([0-9A-Fa-f]{1,6})|0*+([0-9]{1,7})|[xX]([0-9A-Fa-f]++)|([0-9]++));"
+NUMERIC_REF = (r"^#(?:[xX]0*+([0-9A-Fa-f]{1,6})(?![0-9A-Fa-f])|0*+([0-9]{1,7})(?![0-9])"
+               r"|[xX]([0-9A-Fa-f]++)|([0-9]++));?")
+OLD_REF = "^(" + "|".join(sorted((k for k in html.entities.html5 if not k.endswith(";")), key=lambda k: (-len(k), k))) + ")"
 # Code fence that may wrap a model's JSON answer.
 FENCE = "```"
 # ---------------------------------------------------------------------------
@@ -68,7 +70,8 @@ def entity_table() -> Column:
 def decode_entities(c: Column) -> Column:
     """Decode character references in one left-to-right pass, as an HTML parser
     does ("&amp;lt;" -> "&lt;", "&#38;lt;" -> "&lt;"): split on "&", decode the
-    reference a piece starts with, keep unknown or unterminated ones as text.
+    reference a piece starts with, keep unknown ones as text. Of a name that is not known
+    with its semicolon, the longest old name it starts with counts ("&notit;" -> "\u00acit;").
     Invalid code points give U+FFFD. Text without "&" is returned as is."""
     named = entity_table()
 
@@ -82,6 +85,8 @@ def decode_entities(c: Column) -> Column:
                  .when(~x.rlike("^[A-Za-z#]"), F.concat(F.lit("&"), x))      # cannot start a reference
                  .when(ch.isNotNull(), F.concat(ch, F.regexp_replace(x, NAMED_REF, "")))
                  .when(x.rlike(NUMERIC_REF), F.concat(num, F.regexp_replace(x, NUMERIC_REF, "")))
+                 .when(x.rlike(OLD_REF), F.concat(F.try_element_at(named, F.regexp_extract(x, OLD_REF, 1)),
+                                                  F.regexp_replace(x, OLD_REF, "")))
                  .otherwise(F.concat(F.lit("&"), x)))
 
     return let(c, lambda v: F.when(F.instr(v, "&") > 0, F.array_join(F.transform(F.split(v, "&"), piece), ""))
@@ -94,6 +99,20 @@ def decode_entities(c: Column) -> Column:
 REPEATED_LINE = r"(?md)^(.*+)(?:\n\1)+$"
 
 
+# Links of a page: the target of an anchor, quoted either way or not at all.
+LINK = r"(?i)<a(?:rea)?\b[^<>]*?\bhref\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s\"'<>]+)"
+BEFORE_TARGET = r"(?is)^.*?\bhref\s*=\s*"
+
+
+def link_targets(html_text: Column) -> Column:
+    """Distinct targets of a page's links, decoded, in first-seen order."""
+    def target(tag: Column) -> Column:
+        return ustrip(decode_entities(F.regexp_replace(F.regexp_replace(tag, BEFORE_TARGET, ""), "^[\"']|[\"']$", "")))
+
+    found = F.transform(F.regexp_extract_all(html_text, F.lit(LINK), 0), target)
+    return F.array_distinct(F.filter(found, lambda x: x != ""))
+
+
 def clean_lines(c: Column) -> Column:
     """Split into lines, strip each, drop empty ones, drop a line equal to the
     previous kept one, and join with a newline (W2 + T5). The input appears once

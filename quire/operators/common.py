@@ -78,3 +78,19 @@ def top_k(df: DataFrame, keys: list[str], order: list[Column], k: int,
         df = df.withColumn(rn, F.row_number().over(w1)).filter(F.col(rn) <= k).drop(rn)
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(rn, F.row_number().over(w)).filter(F.col(rn) <= k).drop(rn)
+
+
+def number_rows(df: DataFrame, keys: list[str], order: list[str], name: str) -> DataFrame:
+    """``df`` with ``name``, the number from 1 of each row within ``keys`` by ``order``. Rows are
+    sorted over all partitions by range, and written; a partition's rows of a key are counted, and
+    only those counts meet in a window, so no key has to fit one task."""
+    rows = persist(df.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
+                   .withColumn("__at", F.monotonically_increasing_id())
+                   .withColumn("__part", F.shiftright("__at", 33)))
+    counts = rows.groupBy("__part", *keys).agg(F.count(F.lit(1)).alias("__n"), F.min("__at").alias("__first"))
+    before = F.sum("__n").over(Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = bounded_broadcast(counts.select(
+        F.col("__part").alias("__of"), *[F.col(k).alias(f"__{k}") for k in keys],
+        (F.coalesce(before, F.lit(0)) - F.col("__first") + 1).alias("__add")))
+    same = [F.col("__part") == F.col("__of"), *[F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]]
+    return rows.join(offsets, same).withColumn(name, F.col("__at") + F.col("__add")).select(*df.columns, name)

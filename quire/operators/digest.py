@@ -82,7 +82,7 @@ def extractive_digests(nl: DataFrame, p: Params = DEFAULT, tx: TX.Taxonomy = TX.
     flags = (X.domain_flags(sent, tx).groupBy(*k)
              .agg(F.transform(F.array_sort(F.collect_list(F.struct("flag_pos", "text"))),
                               lambda x: x["text"]).alias("domain_flags")))
-    es = X.exec_summary(sent, tx)
+    es = X.exec_summary(nl, tx)
     d = per_source.join(es, k, "left").join(cats, k, "left").join(flags, k, "left")
     return d.select(*k, "executive_summary",
                     F.coalesce("categories", empty_categories()).alias("categories"),

@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions import taxonomy as TX
-from quire.functions.text import ustrip
+from quire.functions.text import link_targets, ustrip
+from quire.operators.common import bounded_side, number_rows
 from quire.operators.select import DAY_KEYS
 
 # Fixed values of the extractive analogue (ours; shared with the SQL oracle).
@@ -20,7 +21,6 @@ SENTENCE = r"[^.!?\n]+[.!?]*"
 TOKEN_SPLIT = r"[^\p{L}\p{N}$]+"
 FACT = r"[0-9$%\"]"
 TIME_SENSITIVE = r"(?i)(deadline|today|tomorrow|this week|register|apply by|due )"
-LINK = r"href=\"([^\"]+)\""
 LEAD_SENTENCES = 3
 BULLETS_PER_CATEGORY = 5
 EXEC_SENTENCES = 4
@@ -75,9 +75,8 @@ def key_facts(nl: DataFrame) -> DataFrame:
 
 
 def extract_links(df: DataFrame, id_col: str, html_col: str) -> DataFrame:
-    """Distinct href targets in first-seen order, taken before markup is removed."""
-    links = F.array_distinct(F.regexp_extract_all(F.col(html_col), F.lit(LINK), 1))
-    return (df.select(id_col, F.posexplode(links).alias("p", "link"))
+    """Distinct link targets in first-seen order, taken before markup is removed."""
+    return (df.select(id_col, F.posexplode(link_targets(F.col(html_col))).alias("p", "link"))
               .select(id_col, (F.col("p") + 1).cast("int").alias("link_pos"), "link"))
 
 
@@ -90,34 +89,74 @@ def categorize(sent: DataFrame, tx: TX.Taxonomy = TX.DEFAULT) -> DataFrame:
     return keyword_hits(sent, category_words(tx))
 
 
+def phrase_table(phrases: DataFrame) -> DataFrame:
+    """A taxonomy table (category, phrase) as (category, gram, n_words): a phrase's words, split
+    and lowered as those of sentences are."""
+    words = F.filter(tokens(F.col("phrase")), lambda t: t != "")
+    return phrases.select("category", F.array_join(words, " ").alias("gram"),
+                          F.size(words).alias("n_words")).filter("n_words > 0").distinct()
+
+
+def phrase_hits(sent: DataFrame, phrases: DataFrame) -> DataFrame:
+    """Categories of sentences by a taxonomy table of phrases (X4): one row per (sentence,
+    category) with how often its phrases occur. A sentence's runs of as many words as some
+    phrase has are looked up in the table, which is broadcast while it has few bytes; so the
+    table may hold any number of phrases, and plans do not grow with it."""
+    side, few = bounded_side(phrase_table(phrases))
+    lengths = [r[0] for r in side.select("n_words").distinct().sort("n_words").collect()]
+    words = F.filter(tokens(F.col("sentence")), lambda t: t != "")
+
+    def grams(toks: Column, n: int) -> Column:
+        places = F.when(F.size(toks) >= n, F.sequence(F.lit(1), F.size(toks) - (n - 1))).otherwise(F.array().cast("array<int>"))
+        return F.transform(places, lambda i: F.array_join(F.slice(toks, i, n), " "))
+
+    runs = F.flatten(F.array(*[grams(F.col("__toks"), n) for n in lengths])) if lengths else F.array().cast("array<string>")
+    key = [*DAY_KEYS, "message_id", "list_pos", "sender", "sent_pos"]
+    found = sent.select(*key, words.alias("__toks")).select(*key, F.explode(runs).alias("gram"))
+    side = side.select("category", "gram")
+    found = found.join(F.broadcast(side) if few else side, "gram")
+    return found.groupBy(*key, "category").agg(F.count(F.lit(1)).alias("hits"))
+
+
 def category_bullets(hits: DataFrame) -> DataFrame:
     """Top sentences per (day, label, category) by hits, then list order (X5), with
-    their source and a time-sensitivity flag (X9). Top-k is planned map-side."""
+    their source and a time-sensitivity flag (X9). A sentence that comes again stands once,
+    where it comes first. Top-k is planned map-side."""
+    first = hits.groupBy(*DAY_KEYS, "category", "cat_pos", "sentence").agg(
+        F.max("hits").alias("hits"), F.min(F.struct("list_pos", "sent_pos", "sender")).alias("at"))
+    first = first.select("*", "at.*").drop("at")
     w = Window.partitionBy(*DAY_KEYS, "category").orderBy(F.desc("hits"), "list_pos", "sent_pos")
-    top = hits.withColumn("bullet_pos", F.row_number().over(w)).filter(F.col("bullet_pos") <= BULLETS_PER_CATEGORY)
+    top = first.withColumn("bullet_pos", F.row_number().over(w)).filter(F.col("bullet_pos") <= BULLETS_PER_CATEGORY)
     return top.select(*DAY_KEYS, "category", "cat_pos", "bullet_pos",
                       F.format_string("%s (Source: %s)", F.col("sentence"), F.col("sender")).alias("text"),
                       F.col("sentence").rlike(TIME_SENSITIVE).alias("time_sensitive"))
 
 
-def exec_summary(sent: DataFrame, tx: TX.Taxonomy = TX.DEFAULT) -> DataFrame:
-    """Top sentences of the day by total keyword hits, ties by position (X6). A sentence's
-    score comes from its own row; each day is cut to its best map-side."""
-    toks = F.col("__toks")
-    score = sum((hits_of(toks, words) for _, _, words in category_words(tx)), F.lit(0).cast("bigint"))
-    scored = sent.withColumn("__toks", tokens(F.col("sentence"))).withColumn("score", score).drop("__toks")
-    w = Window.partitionBy(*DAY_KEYS).orderBy(F.desc("score"), "list_pos", "sent_pos")
-    top = scored.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= EXEC_SENTENCES)
+def exec_summary(nl: DataFrame, tx: TX.Taxonomy = TX.DEFAULT) -> DataFrame:
+    """The day's best different sentences by total keyword hits, ties by position (X6). A
+    message gives at most its own best few, chosen inside its row: what is behind them
+    there is behind them in the day. Only those are shuffled."""
+    def ranked(s: Column, i: Column) -> Column:
+        score = sum((hits_of(tokens(s), words) for _, _, words in category_words(tx)), F.lit(0).cast("bigint"))
+        return F.struct((-score).alias("worse"), i.alias("sent_pos"), s.alias("sentence"))
+
+    best = F.slice(F.array_sort(F.transform(F.array_distinct(sentence_list(F.col("body"))), ranked)), 1, EXEC_SENTENCES)
+    rows = nl.select(*DAY_KEYS, "list_pos", F.inline(best))
+    first = rows.groupBy(*DAY_KEYS, "sentence").agg(F.min(F.struct("worse", "list_pos", "sent_pos")).alias("at"))
+    w = Window.partitionBy(*DAY_KEYS).orderBy("at")
+    top = first.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= EXEC_SENTENCES)
     return (top.groupBy(*DAY_KEYS)
                .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("r", "sentence"))),
                                              lambda x: x["sentence"]), " ").alias("executive_summary")))
 
 
 def domain_flags(sent: DataFrame, tx: TX.Taxonomy = TX.DEFAULT) -> DataFrame:
-    """All sentences touching the domain-flag keywords, best first."""
-    h = keyword_hits(sent, [("flag", 0, list(tx.flag_keywords))])
-    w = Window.partitionBy(*DAY_KEYS).orderBy(F.desc("hits"), "list_pos", "sent_pos")
-    return h.select(*DAY_KEYS, F.row_number().over(w).alias("flag_pos"), F.col("sentence").alias("text"))
+    """All sentences touching the domain-flag keywords, best first (X7). They are numbered by
+    a range sort, so a day may have any number of them."""
+    h = keyword_hits(sent, [("flag", 0, list(tx.flag_keywords))]).withColumn("fewer", -F.col("hits"))
+    h = h.select(*DAY_KEYS, "fewer", "list_pos", "sent_pos", "message_id", "sentence")
+    numbered = number_rows(h, DAY_KEYS, ["fewer", "list_pos", "sent_pos", "message_id"], "flag_pos")
+    return numbered.select(*DAY_KEYS, "flag_pos", F.col("sentence").alias("text"))
 
 
 def active_categories(bullets: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from quire.functions import taxonomy as TX
 from quire.operators import extract as X
+from quire.operators import select as S
 from quire.params import DEFAULT
 from quire.plans import sql as Q
 from quire.plans.q_select import newsletters
@@ -54,10 +55,11 @@ BASE = base(PA)
 BULLETS = f"""bullets AS (
   SELECT digest_date, label, category, cat_pos,
          row_number() OVER (PARTITION BY digest_date, label, category
-                            ORDER BY h.hits DESC, s.list_pos, s.sent_pos) AS bullet_pos,
+                            ORDER BY s.hits DESC, s.list_pos, s.sent_pos) AS bullet_pos,
          s.sentence || ' (Source: ' || s.sender || ')' AS text,
          regexp_matches(s.sentence, {Q.lit(X.TIME_SENSITIVE)}) AS time_sensitive
-  FROM hits h JOIN sent s USING (digest_date, label, message_id, sent_pos)
+  FROM (SELECT *, row_number() OVER (PARTITION BY digest_date, label, category, sentence ORDER BY list_pos, sent_pos) AS nth
+        FROM hits JOIN sent USING (digest_date, label, message_id, sent_pos) QUALIFY nth = 1) s
   QUALIFY bullet_pos <= {X.BULLETS_PER_CATEGORY})"""
 
 
@@ -82,16 +84,47 @@ def q_key_facts(spark, sf_dir):
     return X.key_facts(newsletters(spark, sf_dir, PA))
 
 
+# The target within an opening tag: whichever of the three ways of quoting is used.
+HREF = "coalesce(" + ", ".join(f"nullif(regexp_extract(a, {Q.lit(r)}, 1), '')" for r in (
+    r'(?i)\shref\s*=\s*"([^"]*)"', r"(?i)\shref\s*=\s*'([^']*)'", r"(?i)\shref\s*=\s*([^\s\"'<>]+)")) + ", '')"
+
+
 @query("extract_links", f"""
 SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY first_pos) AS INTEGER) AS link_pos, link
 FROM (SELECT page_id, link, min(i) AS first_pos FROM (
         SELECT page_id, unnest(l) AS link, generate_subscripts(l, 1) AS i
-        FROM (SELECT page_id, regexp_extract_all(html, {Q.lit(X.LINK)}, 1) AS l FROM pages))
+        FROM (SELECT page_id, list_filter(list_transform(
+                       regexp_extract_all(html, '(?i)<a(?:rea)?\\s[^<>]*'), lambda a: {Q.ustrip(Q.decode_entities(HREF))}),
+                     lambda h: h <> '') AS l FROM pages))
       GROUP BY ALL)""")
 def q_extract_links(spark, sf_dir):
     return X.extract_links(C.pages(spark, sf_dir), "page_id", "html")
 
 
+# The first words of every document's text, one to three of them, as phrases of its source.
+PHRASES = f"""SELECT DISTINCT source AS category, array_to_string(w[1:n], ' ') AS gram FROM (
+  SELECT source, unnest([1, 2, 3]) AS n,
+         list_filter(string_split_regex(lower(coalesce(text, '')), {Q.lit(X.TOKEN_SPLIT)}), lambda t: t <> '') AS w
+  FROM documents WHERE source IS NOT NULL) WHERE len(w) >= n"""
+
+
+@query("categorize_phrases", f"""{BASE}, phrases AS ({PHRASES}),
+toks AS (SELECT digest_date, label, message_id, sent_pos,
+                list_filter(string_split_regex(lower(sentence), {Q.lit(X.TOKEN_SPLIT)}), lambda t: t <> '') AS w FROM sent),
+grams AS (SELECT digest_date, label, message_id, sent_pos, array_to_string(w[i:i + n - 1], ' ') AS gram
+          FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM toks, (VALUES (1), (2), (3)) s(n)))
+SELECT {DD}, label, message_id, sent_pos, category, count(*) AS hits FROM grams JOIN phrases USING (gram) GROUP BY ALL""")
+def q_categorize_phrases(spark, sf_dir):
+    """Sentences by a taxonomy that is a table of phrases: the beginnings of documents."""
+    words = F.filter(X.tokens(F.coalesce("text", F.lit(""))), lambda t: t != "")
+    docs = C.table(spark, sf_dir, "documents").filter("source is not null").select(
+        F.col("source").alias("category"), F.explode(F.array(*[F.struct(
+            F.lit(n).alias("n"), F.slice(words, 1, n).alias("w")) for n in (1, 2, 3)])).alias("p"))
+    phrases = docs.filter(F.size("p.w") == F.col("p.n")).select("category", F.array_join("p.w", " ").alias("phrase"))
+    sent = X.sentences(newsletters(spark, sf_dir, PA))
+    return X.phrase_hits(sent, phrases).select(*S.DAY_KEYS, "message_id", "sent_pos", "category", "hits")
+
+
 @query("categorize", f"""{BASE}
 SELECT {DD}, label, message_id, sent_pos, category, hits FROM hits""")
 def q_categorize(spark, sf_dir):
@@ -114,7 +147,9 @@ EXEC = f"""scored AS (
   USING (digest_date, label, message_id, sent_pos)),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY digest_date, label ORDER BY score DESC, list_pos, sent_pos) AS r
-  FROM scored QUALIFY r <= {X.EXEC_SENTENCES}),
+  FROM (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY digest_date, label, sentence
+                                                        ORDER BY list_pos, sent_pos) = 1)
+  QUALIFY r <= {X.EXEC_SENTENCES}),
 es AS (SELECT digest_date, label, string_agg(sentence, ' ' ORDER BY r) AS executive_summary
        FROM ranked GROUP BY ALL)"""
 
@@ -122,7 +157,7 @@ es AS (SELECT digest_date, label, string_agg(sentence, ' ' ORDER BY r) AS execut
 @query("exec_summary", f"""{BASE}, {EXEC}
 SELECT {DD}, label, executive_summary FROM es""")
 def q_exec_summary(spark, sf_dir):
-    return X.exec_summary(X.sentences(newsletters(spark, sf_dir, PA)))
+    return X.exec_summary(newsletters(spark, sf_dir, PA))
 
 
 FLAGS = f"""{hits_cte('fh', flags=True)},

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.functions.text import b64url_decode, html_to_text, let, utf8_lenient
+from quire.functions.text import b64url_decode, html_to_text, let, link_targets, utf8_lenient
 from quire.params import DEFAULT, Params
 from quire.session import ship_package
 
@@ -178,7 +178,7 @@ def mime_parts(msg: Column) -> Column:
     return msg["nodes"]
 
 
-LINK = r"(?i)<a\b[^>]*?\bhref\s*=\s*[\"']?(https?://[^\s\"'<>]+)"
+WEB_ADDRESS = "(?i)^https?://."
 
 
 def chosen_body(msg: Column) -> Column:
@@ -195,7 +195,7 @@ def chosen_body(msg: Column) -> Column:
 
         def tried(data: Column) -> Column:
             def read(parts: Column) -> Column:
-                links = F.when(node["mime"] == HTML, F.array_distinct(F.regexp_extract_all(parts, F.lit(LINK), 1)))
+                links = F.when(node["mime"] == HTML, F.filter(link_targets(parts), lambda x: x.rlike(WEB_ADDRESS)))
                 return F.struct(F.coalesce(text(parts), F.lit("")).alias("body"), links.alias("links"),
                                 (acc["undecodable"] | data.isNull()).alias("undecodable"))
             return F.get(F.transform(F.array(utf8_lenient(data)), read), 0)
