@@ -94,11 +94,13 @@ def infer_new(prompts: DataFrame, done: DataFrame | None, factory: ModelFactory,
     which rows are new calls."""
     if done is None:
         return infer(prompts, factory, p, **kw).withColumn("fresh", F.lit(True))
-    good = stored_answers(done)
-    h = prompts.withColumn("prompt_hash", F.sha2(F.col("prompt"), 256))
-    todo = h.join(good.select("prompt_hash"), "prompt_hash", "left_anti").drop("prompt_hash")
-    new = infer(todo, factory, p, **kw).withColumn("fresh", F.lit(True))
-    old = h.join(good, "prompt_hash").withColumns({"error": F.lit(None).cast("string"), "fresh": F.lit(False)})
+    asked = prompts.withColumn("prompt_hash", F.sha2(F.col("prompt"), 256)).join(
+        stored_answers(done), "prompt_hash", "left")
+    asked = persist(asked)                        # long prompts are selected, rendered and hashed once
+    todo = asked.filter(F.col("response").isNull()).drop("prompt_hash", "response")
+    new = infer(todo.select(prompts.columns), factory, p, **kw).withColumn("fresh", F.lit(True))
+    old = asked.filter(F.col("response").isNotNull()).withColumns(
+        {"error": F.lit(None).cast("string"), "fresh": F.lit(False)})
     return new.unionByName(old.select(*new.columns))
 
 

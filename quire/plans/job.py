@@ -20,10 +20,11 @@ from quire.operators import digest as D
 from quire.operators import inference as I
 from quire.operators import layout as L
 from quire.operators import select as S
+from quire.operators.common import bounded_broadcast
 from quire.operators.prompts import render_prompts
 from quire.params import DEFAULT, Params
 from quire.sinks.stats import run_stats
-from quire.sinks.tables import add_answers, overwrite_days, read_answers, write_digests_json, write_pages
+from quire.sinks.tables import add_answers, newest, overwrite_days, read_answers, write_digests_json, write_pages
 from quire.sources import mail as M
 
 
@@ -34,6 +35,19 @@ def on_day(df: DataFrame, day: _dt.date | None) -> DataFrame:
     return df.filter(F.col("digest_date") == F.lit(day))
 
 
+def decided(listing: DataFrame, out: str, day: _dt.date | None, p: Params) -> DataFrame:
+    """The published (day, label) pairs that a run decides on again: those of the run's label and
+    day, or of all days that the listing has. Where it finds nothing, their pages go."""
+    spark = listing.sparkSession
+    latest = newest(spark, out)
+    if latest is None:
+        return spark.createDataFrame([], "digest_date date, label string")
+    mine = latest.drop("version") if p.label is None else latest.drop("version").filter(F.col("label") == p.label)
+    if day is not None:
+        return on_day(mine, day)
+    return mine.join(I.persist(listing.select("digest_date").distinct()), "digest_date", "left_semi")
+
+
 def run_day(listing: DataFrame, labels: DataFrame, bodies: DataFrame, factory: I.ModelFactory,
             day: _dt.date | None = None, out: str | None = None, p: Params = DEFAULT,
             dry_run: bool = False, done: DataFrame | None = None, quarantine: DataFrame | None = None,
@@ -67,7 +81,7 @@ def run_day(listing: DataFrame, labels: DataFrame, bodies: DataFrame, factory: I
         if dry_run:
             write_digests_json(digests, f"{out}/digests")
         else:
-            write_pages(pages, blocks, out)
+            write_pages(pages, blocks, out, decided(listing, out, day, p))
         overwrite_days(stats, f"{out}/run_stats")
         overwrite_days(failed, f"{out}/quarantine")
     return {"newsletters": nl, "answers": answers.select(*I.ANSWER_COLS).unionByName(merges), "digests": digests,
@@ -82,7 +96,7 @@ def run_mail(raw: DataFrame, labels: DataFrame, factory: I.ModelFactory, day: _d
     raw = on_day(raw, day)
     listing = raw.select("message_id", "digest_date", "list_pos")
     keyed = S.daily_topk(S.label_filter(listing, labels, [p.label] if p.label else None), p)
-    wanted = S.bounded_broadcast(keyed.select("message_id", "digest_date").distinct())
+    wanted = bounded_broadcast(keyed.select("message_id", "digest_date").distinct())
     good, bad = M.decode_messages(raw.join(wanted, ["message_id", "digest_date"], "left_semi"), p)
     good = I.persist(good.drop("list_pos"))
     bad = keyed.select(*S.DAY_KEYS, "message_id").join(bad, "message_id")

@@ -22,7 +22,7 @@ from quire.plans.offline import failing_model, offline_model
 from quire.plans.q_mail import DOCS
 from quire.plans.registry import query
 from quire.session import scratch_path
-from quire.sinks.tables import write_digests_json, write_pages
+from quire.sinks.tables import read_published, write_digests_json, write_pages
 from quire.sources import catalog as C
 from quire.sources import fixtures as FX
 from quire.sources import mail as M
@@ -143,7 +143,7 @@ def q_page_sink(spark, sf_dir):
     for label in (C.LABEL_OF_QUALITY, C.LABEL_OF_TOXIC, C.LABEL_OF_QUALITY):
         only = F.col("label") == label
         write_pages(pages.filter(only), blocks.filter(only), out)
-    return spark.read.schema(pages.schema).parquet(f"{out}/digest_pages").select(
+    return read_published(spark, out, "digest_pages", pages.schema).select(
         "digest_date", "label", "newsletter_count", F.array_join("categories", ", ").alias("categories"), "status")
 
 
@@ -172,7 +172,7 @@ def q_mail_to_pages(spark, sf_dir):
     FX.stored_mail(spark, sf_dir).write.text(path)
     labels = C.message_labels(spark, sf_dir).withColumn("message_id", F.col("message_id").cast("string"))
     r = run_mail(M.read_raw(spark, path), labels, offline_model, out=out, p=P)
-    pages = spark.read.schema(r["pages"].schema).parquet(f"{out}/digest_pages")
+    pages = read_published(spark, out, "digest_pages", r["pages"].schema)
     stats = spark.read.schema(r["stats"].schema).parquet(f"{out}/run_stats")
     lost = (spark.read.schema(r["quarantine"].schema).parquet(f"{out}/quarantine").filter("stage = 'decode'")
             .groupBy(*S.DAY_KEYS).agg(F.count(F.lit(1)).alias("undecodable")))

@@ -1,20 +1,32 @@
 """Sinks (B1, B2, B3, C9): digests as JSON; pages, blocks, statistics, quarantine and
 model answers as Parquet tables.
 
-A run publishes some days of some labels, so tables are partitioned by ``digest_date``
-and ``label`` with dynamic partition overwrite: re-running a day of a label replaces
-exactly its files; other days and other labels are untouched. A day that a later run
-finds empty keeps its page: nothing is published for an empty day.
+A run publishes some days of some labels. What it publishes becomes visible in one step: its
+tables are written as a version of their own, then the (day, label) pairs that the run covers, and
+last a one-row file in ``commits``. Readers resolve, for each pair, the newest committed version
+that covers it; so a run that dies before its commit changes nothing, pages and their blocks
+never differ in age, and a day that a later run covers but finds empty has no page.
+
+Other tables are partitioned by ``digest_date`` and ``label`` with dynamic partition overwrite:
+writing a day of a label again replaces exactly its files.
 
 Model answers are only ever added: one row per call, keyed by the prompt's hash.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from quire.operators.common import bounded_broadcast
 
 PARTITION = ["digest_date", "label"]
+COVERED, COMMITS = "covered", "commits"
 
 
 def overwrite_days(df: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -28,10 +40,52 @@ def write_digests_json(digests: DataFrame, path: str) -> None:
     overwrite_days(digests, path, "json")
 
 
-def write_pages(pages: DataFrame, blocks: DataFrame, base: str) -> None:
-    """Publish: ``digest_pages`` (one row per day and label) and ``digest_blocks``."""
-    overwrite_days(pages, f"{base}/digest_pages")
-    overwrite_days(blocks, f"{base}/digest_blocks")
+def publish(tables: dict[str, DataFrame], covered: DataFrame, base: str) -> str:
+    """Publish ``tables`` (by name, each with digest_date and label) as one version, the newest of
+    the ``covered`` (day, label) pairs. Returns the version. Versions are ordered by their time,
+    so one writer at a time publishes a pair."""
+    version = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    pairs = covered.select(*PARTITION)
+    for df in tables.values():
+        pairs = pairs.unionByName(df.select(*PARTITION))
+    for name, df in {**tables, COVERED: pairs.distinct()}.items():
+        parts = [] if name == COVERED else PARTITION
+        df.withColumn("version", F.lit(version)).write.mode("append").partitionBy("version", *parts).parquet(f"{base}/{name}")
+    one = covered.sparkSession.range(1).select(F.lit(version).alias("version"))
+    one.coalesce(1).write.mode("append").parquet(f"{base}/{COMMITS}")
+    return version
+
+
+def newest(spark: SparkSession, base: str) -> DataFrame | None:
+    """(digest_date, label, version): the newest committed version of each pair ever published;
+    None before the first."""
+    try:
+        commits = spark.read.schema("version string").parquet(f"{base}/{COMMITS}")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    covered = spark.read.schema("digest_date date, label string, version string").parquet(f"{base}/{COVERED}")
+    return covered.join(F.broadcast(commits), "version", "left_semi").groupBy(*PARTITION).agg(
+        F.max("version").alias("version"))
+
+
+def read_published(spark: SparkSession, base: str, name: str, schema: T.StructType) -> DataFrame:
+    """The published rows of a table: of each (day, label), those of its newest version."""
+    latest = newest(spark, base)
+    if latest is None:
+        return spark.createDataFrame([], schema)
+    stored = spark.read.schema(T.StructType([*schema.fields, T.StructField("version", T.StringType())]))
+    return stored.parquet(f"{base}/{name}").join(
+        bounded_broadcast(latest), [*PARTITION, "version"], "left_semi").select(schema.fieldNames())
+
+
+def write_pages(pages: DataFrame, blocks: DataFrame, base: str, covered: DataFrame | None = None,
+                **others: DataFrame) -> None:
+    """Publish ``digest_pages`` (one row per day and label), ``digest_blocks`` and ``others`` in
+    one step. ``covered``: the days and labels that the run decides on, if more than have pages."""
+    covered = pages if covered is None else covered
+    publish({"digest_pages": pages, "digest_blocks": blocks, **others}, covered, base)
 
 
 def add_answers(answers: DataFrame, base: str) -> None:

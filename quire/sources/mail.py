@@ -12,7 +12,9 @@ Everything is row-local: one message is one row, so decoding never shuffles.
 from __future__ import annotations
 
 import json
+from email.utils import parsedate_to_datetime
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -150,13 +152,27 @@ def header(msg: Column, name: str) -> Column:
 
 
 DATE_RE = (r"^\s*(?:[A-Za-z]{3},\s*)?(\d{1,2})\s+([A-Za-z]{3})[a-z]*\s+(\d{2,4})\s+"
-           r"(\d{1,2}):(\d{2})(?::(\d{2}))?\s*([+-]\d{4}|[A-Za-z]{1,3})?\s*(?:\([^)]*\))?\s*$")
+           r"(\d{1,2}):(\d{2})(?::(\d{2}))?\s*([+-](?:[01]\d|2[0-3])[0-5]\d|[A-Za-z]{1,3})?\s*(?:\([^)]*\))?\s*$")
+
+
+def other_dates(text: Column) -> Column:
+    """Dates of unusual form, null where there is none to read."""
+    @F.pandas_udf("string")
+    def read(values: pd.Series) -> pd.Series:
+        def one(value: str | None) -> str | None:
+            try:
+                return parsedate_to_datetime(value).isoformat() if value else None
+            except (ValueError, TypeError, IndexError, OverflowError):
+                return None
+        return values.map(one, na_action="ignore")
+    return read(text)
 
 
 def parse_mail_date(s: Column) -> Column:
     """RFC 2822 date header -> ISO 8601 text with the header's own offset, NULL on
     any failure (T9). ``-0000``, no zone or an unknown zone name give a naive time;
-    two-digit years follow the mail convention (<= 68 -> 20xx, else 19xx)."""
+    two-digit years follow the mail convention (<= 68 -> 20xx, else 19xx). The common form
+    is read by a pattern; whatever has another is left to the standard library's parser."""
     g = [F.regexp_extract(s, DATE_RE, i) for i in range(8)]
     ok = F.coalesce(s.rlike(DATE_RE), F.lit(False))
     mon = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.lower(g[2])).cast("int")
@@ -169,7 +185,8 @@ def parse_mail_date(s: Column) -> Column:
     num = F.when(zone.rlike(r"^[+-]\d{4}$"), zone).otherwise(F.try_element_at(named, zone))
     off = (F.when(F.isnull(num) | (num == "-0000"), F.lit(""))
             .otherwise(F.concat(F.substring(num, 1, 3), F.lit(":"), F.substring(num, 4, 2))))
-    return F.when(ok & ts.isNotNull(), F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), off))
+    usual = F.when(ts.isNotNull(), F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), off))
+    return F.when(ok, usual).otherwise(other_dates(F.when(~ok & (s != ""), s)))
 
 
 # --------------------------------------------------------------------------- MIME

@@ -107,6 +107,25 @@ def test_headers_and_dates(spark):
     assert got == cases
 
 
+def test_mail_dates_as_the_standard_parser_reads_them(spark):
+    from email.utils import parsedate_to_datetime
+
+    def standard(text):
+        try:
+            return parsedate_to_datetime(text).isoformat()
+        except Exception:
+            return None
+
+    values = ["Mon 5 Feb 2024 10:00:00 +0000", "Mon, 5-Feb-2024 10:00:00 +0000", "5 Feb 2024 10:00:00 +02:00",
+              "Mon, 05 Feb 2024 10:00:00 +0000 (a (nested) comment)", "Mon Feb  5 10:00:00 2024", "5 February 2024 10:00",
+              "Mon, 5 Feb 2024 10.30.15 -0330", "Feb 5, 2024 10:00:00", "Mon,5 Feb 2024 10:00:00 PST", "5 Feb 24 10:00 CEST",
+              "Mon, 5 Feb 2024", "", "   ", "Mon, 5 Foo 2024 10:00:00 +0000", "2024-02-05T10:00:00Z", "Mon, 5 Feb 2024 25:00:00 +0000",
+              "Mon, 5 Feb 2024 10:00:00 +9999", "Mon, 5 Feb 2024 10:00:00 Z", "\u00e9", "5 Feb 2024 10:00:00 -0000"]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    got = {r["v"]: r["d"] for r in df.select("v", M.parse_mail_date(F.col("v")).alias("d")).collect()}
+    assert got == {v: standard(v) for v in values}
+
+
 def test_size_bounds(spark):
     rows = [(1, "x" * 49 + "   "), (2, " " + "y" * 50), (3, "z" * 15001)]
     df = spark.createDataFrame(rows, "message_id long, body string")

@@ -17,6 +17,8 @@ from quire.params import DEFAULT, target_day
 from quire.plans.job import on_day, run_day
 from quire.plans.offline import offline_model
 from quire.session import scratch_path
+from quire.sinks import tables as ST
+from quire.sinks.tables import read_published
 from quire.sources import catalog as C
 
 
@@ -33,8 +35,8 @@ def tables(spark, sf=SF_SMALL):
     return C.message_keys(spark, sf), C.message_labels(spark, sf), C.bodies(spark, sf)
 
 
-def rows(spark, path):
-    return sorted(map(repr, spark.read.parquet(path).collect()))
+def published(spark, out, run):
+    return sorted(map(repr, read_published(spark, out, "digest_pages", run["pages"].schema).collect()))
 
 
 def test_run_day_end_to_end(spark):
@@ -54,16 +56,16 @@ def test_run_day_end_to_end(spark):
     assert r["observed"].get["newsletters"] == r["newsletters"].count()
     assert pages and all(x.status == "Generated" for x in pages)
     assert {x.label for x in pages} == {DEFAULT.label}
-    first, n = rows(spark, f"{out}/digest_pages"), len(os.listdir(calls))
+    first, n = published(spark, out, r), len(os.listdir(calls))
     assert n == spark.read.parquet(f"{out}/answers").count() > len(pages)
     run_day(*args, counted, out=out, p=p)             # re-run: same tables, no model call, merges included
-    assert rows(spark, f"{out}/digest_pages") == first and len(os.listdir(calls)) == n
+    assert published(spark, out, r) == first and len(os.listdir(calls)) == n
     day = dt.date(2024, 1, 2)
     one = run_day(*args, offline_model, day=day, p=p)["pages"].collect()
     assert [x.digest_date for x in one] == [day]
     # another label goes to the same tables and leaves these pages alone
     run_day(*args, counted, out=out, p=p.with_(label=C.LABEL_OF_TOXIC))
-    now = spark.read.parquet(f"{out}/digest_pages")
+    now = read_published(spark, out, "digest_pages", r["pages"].schema)
     assert sorted(map(repr, now.filter(F.col("label") == DEFAULT.label).collect())) == first
     assert now.filter(F.col("label") == C.LABEL_OF_TOXIC).count() > 0
     stats = spark.read.parquet(f"{out}/run_stats").filter(F.col("label") == DEFAULT.label).collect()
@@ -117,3 +119,48 @@ def test_run_day_without_message_limit(spark):
     pages = r["pages"].collect()
     assert pages and all(x.status == "Generated" for x in pages)
     assert r["digests"].count() == len(pages)
+
+
+PAGE = "digest_date date, label string, title string"
+BLOCK = "digest_date date, label string, pos int"
+ONE, TWO = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+
+
+def _publish(spark, out, pages, blocks, covered=()):
+    ST.write_pages(spark.createDataFrame(pages, PAGE), spark.createDataFrame(blocks, BLOCK), out,
+                   spark.createDataFrame(list(covered), "digest_date date, label string"))
+
+
+def _visible(spark, out):
+    get = lambda name, schema: sorted(map(tuple, read_published(
+        spark, out, name, spark.createDataFrame([], schema).schema).collect()))
+    return get("digest_pages", PAGE), get("digest_blocks", BLOCK)
+
+
+def test_run_killed_before_its_commit_changes_nothing(spark, monkeypatch):
+    out = scratch_path(spark, f"t-commit-{uuid.uuid4().hex[:8]}")
+    assert _visible(spark, out) == ([], [])
+    _publish(spark, out, [(ONE, "L", "a"), (TWO, "L", "b")], [(ONE, "L", 1), (ONE, "L", 2), (TWO, "L", 1)])
+    before = _visible(spark, out)
+    assert before == ([(ONE, "L", "a"), (TWO, "L", "b")], [(ONE, "L", 1), (ONE, "L", 2), (TWO, "L", 1)])
+    monkeypatch.setattr(ST, "COMMITS", "\x00")           # the last write fails: tables are there, the commit is not
+    with pytest.raises(Exception):
+        _publish(spark, out, [(ONE, "L", "new")], [(ONE, "L", 9)])
+    monkeypatch.undo()
+    assert spark.read.parquet(f"{out}/digest_pages").count() == 3 and _visible(spark, out) == before
+    _publish(spark, out, [(ONE, "L", "new")], [(ONE, "L", 9)])
+    assert _visible(spark, out) == ([(ONE, "L", "new"), (TWO, "L", "b")], [(ONE, "L", 9), (TWO, "L", 1)])
+    # a day that is covered and empty has no page any more; other labels are left alone
+    _publish(spark, out, [(TWO, "M", "m")], [], [(ONE, "L")])
+    assert _visible(spark, out) == ([(TWO, "L", "b"), (TWO, "M", "m")], [(TWO, "L", 1)])
+
+
+def test_emptied_day_loses_its_page(spark):
+    out = scratch_path(spark, f"t-empty-{uuid.uuid4().hex[:8]}")
+    listing, labels, bodies = tables(spark)
+    r = run_day(listing, labels, bodies, offline_model, out=out)
+    days = sorted(x.digest_date for x in r["pages"].collect())
+    gone = listing.filter(F.col("digest_date") == days[0]).select("message_id")
+    r = run_day(listing, labels.join(gone, "message_id", "left_anti"), bodies, offline_model, day=days[0], out=out)
+    pages = read_published(spark, out, "digest_pages", r["pages"].schema)
+    assert sorted(x.digest_date for x in pages.collect()) == days[1:]
