@@ -79,9 +79,9 @@ def extractive_digests(nl: DataFrame, p: Params = DEFAULT, tx: TX.Taxonomy = TX.
             .select(*k, F.map_from_entries(F.transform("c", lambda x: F.struct(x["category"], x["items"])))
                     .alias("categories"),
                     F.transform("c", lambda x: x["category"]).alias("active_categories")))
-    flags = (X.domain_flags(sent, tx).groupBy(*k)
-             .agg(F.transform(F.array_sort(F.collect_list(F.struct("flag_pos", "text"))),
-                              lambda x: x["text"]).alias("domain_flags")))
+    flags = (X.flag_hits(sent, tx).groupBy(*k)      # of at most max_messages messages
+             .agg(F.transform(F.array_sort(F.collect_list(F.struct(*X.FLAG_ORDER, "sentence"))),
+                              lambda x: x["sentence"]).alias("domain_flags")))
     es = X.exec_summary(nl, tx)
     d = per_source.join(es, k, "left").join(cats, k, "left").join(flags, k, "left")
     return d.select(*k, "executive_summary",

@@ -8,11 +8,13 @@ row; only what ranks or merges within a day is shuffled.
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions import taxonomy as TX
-from quire.functions.text import link_targets, ustrip
+from quire.functions.text import let, link_targets, ustrip
 from quire.operators.common import bounded_side, number_rows
 from quire.operators.select import DAY_KEYS
 
@@ -136,8 +138,12 @@ def exec_summary(nl: DataFrame, tx: TX.Taxonomy = TX.DEFAULT) -> DataFrame:
     """The day's best different sentences by total keyword hits, ties by position (X6). A
     message gives at most its own best few, chosen inside its row: what is behind them
     there is behind them in the day. Only those are shuffled."""
+    times = Counter(w for _, _, words in category_words(tx) for w in words)    # a word of two categories counts twice
+    equal = {n: [w for w, k in times.items() if k == n] for n in sorted(set(times.values()))}
+
     def ranked(s: Column, i: Column) -> Column:
-        score = sum((hits_of(tokens(s), words) for _, _, words in category_words(tx)), F.lit(0).cast("bigint"))
+        score = let(tokens(s), lambda toks: sum((hits_of(toks, words) * n for n, words in equal.items()),
+                                                F.lit(0).cast("bigint")))
         return F.struct((-score).alias("worse"), i.alias("sent_pos"), s.alias("sentence"))
 
     best = F.slice(F.array_sort(F.transform(F.array_distinct(sentence_list(F.col("body"))), ranked)), 1, EXEC_SENTENCES)
@@ -150,12 +156,19 @@ def exec_summary(nl: DataFrame, tx: TX.Taxonomy = TX.DEFAULT) -> DataFrame:
                                              lambda x: x["sentence"]), " ").alias("executive_summary")))
 
 
+FLAG_ORDER = ["fewer", "list_pos", "sent_pos", "message_id"]
+
+
+def flag_hits(sent: DataFrame, tx: TX.Taxonomy = TX.DEFAULT) -> DataFrame:
+    """Sentences touching the domain-flag keywords, with the columns of their order."""
+    h = keyword_hits(sent, [("flag", 0, list(tx.flag_keywords))]).withColumn("fewer", -F.col("hits"))
+    return h.select(*DAY_KEYS, *FLAG_ORDER, "sentence")
+
+
 def domain_flags(sent: DataFrame, tx: TX.Taxonomy = TX.DEFAULT) -> DataFrame:
     """All sentences touching the domain-flag keywords, best first (X7). They are numbered by
     a range sort, so a day may have any number of them."""
-    h = keyword_hits(sent, [("flag", 0, list(tx.flag_keywords))]).withColumn("fewer", -F.col("hits"))
-    h = h.select(*DAY_KEYS, "fewer", "list_pos", "sent_pos", "message_id", "sentence")
-    numbered = number_rows(h, DAY_KEYS, ["fewer", "list_pos", "sent_pos", "message_id"], "flag_pos")
+    numbered = number_rows(flag_hits(sent, tx), DAY_KEYS, FLAG_ORDER, "flag_pos")
     return numbered.select(*DAY_KEYS, "flag_pos", F.col("sentence").alias("text"))
 
 
