@@ -124,16 +124,33 @@ m AS (SELECT DISTINCT doc_id, p, n, item_id
 hit AS (SELECT doc_id, count(DISTINCT q) AS n_hit
         FROM (SELECT doc_id, unnest(range(p, p + n)) AS q FROM m) GROUP BY 1),
 items AS (SELECT doc_id, count(*) AS n_items, string_agg(v, ',' ORDER BY v) AS ids
-          FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS v FROM m) GROUP BY 1)
+          FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS v FROM m) GROUP BY 1),
+tokens AS (SELECT doc_id, unnest(w) AS word, unnest(range(0, len(w))) AS pos FROM d),
+counts AS (SELECT word, count(*) AS c FROM tokens GROUP BY 1),
+places AS (SELECT g, item_id, n, unnest(gw) AS word, unnest(range(0, n)) AS place
+           FROM (SELECT DISTINCT item_id, n, w[s + 1:s + n] AS gw, array_to_string(w[s + 1:s + n], ' ') AS g FROM iw)),
+ranked AS (SELECT places.*, row_number() OVER (PARTITION BY item_id, n, g ORDER BY coalesce(c, 0), word, place) AS r
+           FROM places LEFT JOIN counts USING (word)),
+one AS (SELECT item_id, n, g, doc_id, pos - place AS at FROM ranked JOIN tokens USING (word) WHERE r = 1),
+two AS (SELECT DISTINCT one.* FROM one LEFT JOIN ranked b ON b.r = 2 AND b.n = one.n AND b.g = one.g
+            AND b.item_id IS NOT DISTINCT FROM one.item_id
+        LEFT JOIN tokens t ON t.doc_id = one.doc_id AND t.word = b.word AND abs(t.pos - b.place - one.at) <= 3
+        WHERE b.word IS NULL OR t.word IS NOT NULL),
+near AS (SELECT two.doc_id, two.item_id, two.n, two.g, two.at
+         FROM two JOIN places p ON p.n = two.n AND p.g = two.g AND p.item_id IS NOT DISTINCT FROM two.item_id
+         JOIN tokens t ON t.doc_id = two.doc_id AND t.word = p.word AND abs(t.pos - p.place - two.at) <= 3
+         GROUP BY ALL HAVING 4 * count(DISTINCT p.place) >= 3 * two.n),
+near_items AS (SELECT doc_id, count(DISTINCT item_id) AS n_near FROM near GROUP BY 1)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
        coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
-       (coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w)) AS contaminated
-FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)""")
+       (coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w)) AS contaminated,
+       coalesce(n_near, 0)::BIGINT AS n_near
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id) LEFT JOIN near_items USING (doc_id)""")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Benchmark phrases in every document."""
+    """Benchmark phrases in every document; ``n_near``: items with a proximity match."""
     found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items",
-                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated", "n_near")
 
 
 @query("op9_quality_rules")

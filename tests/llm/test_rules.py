@@ -69,26 +69,51 @@ def test_decontamination_edges(spark, edge_docs, empty_docs):
     assert len(none) == len(have) and not any(r["n_hit"] for r in none)
 
 
+def plain_near(texts, items, slop=3):
+    """Items with a proximity match of each text."""
+    all_words = [item_words(t) for t in texts]
+    counts = Counter(x for w in all_words for x in w)
+    out = [set() for _ in texts]
+    for item_id, t in items:
+        v = item_words(t)
+        n = min(13, len(v))
+        for s in range(len(v) - n + 1 if v else 0):
+            g = v[s:s + n]
+            first, *rest = sorted(range(n), key=lambda i: (counts[g[i]], g[i].encode(), i))[:2]
+            for ids, w in zip(out, all_words):
+                for at in (p - first for p, x in enumerate(w) if x == g[first]):
+                    there = [g[i] in w[max(0, at + i - slop):max(0, at + i + slop + 1)] for i in range(n)]
+                    if all(there[i] for i in rest) and 4 * sum(there) >= 3 * n:
+                        ids.add(item_id)
+    return [sorted(str(i) for i in ids if i is not None) for ids in out]
+
+
 def test_proximity(spark):
-    bench = spark.createDataFrame([(1, "alpha beta gamma delta epsilon")], "item_id long, text string")
-    docs = spark.createDataFrame([(1, "alpha beta gamma delta epsilon"), (2, "alpha x beta gamma delta epsilon"),
-                                  (3, "alpha " + "x " * 30 + "beta gamma delta epsilon"), (4, "beta beta")],
-                                 "doc_id long, text string")
-    items = materialise(decontam.benchmark_items(bench), "i")
+    fox = "the quick brown fox jumps over the lazy dog and then runs far away into woods"
+    texts = DOCS + [None, "", fox.replace("lazy", "tired old"), "so " + fox.replace("then ", ""),
+                    fox.replace("brown", "x x x x x x"), " ".join(reversed(fox.split())), "fox woods",
+                    "jumps over the lazy dog and then runs far away into", "short x x one", "short x x x x one"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame(ITEMS, "item_id long, text string")
+    rows = {r["doc_id"]: r for r in decontam.contamination(docs, bench).collect()}
+    want = plain_near(texts, ITEMS)
+    assert [rows[i]["near_items"] for i in range(len(texts))] == want
+    assert all(r["n_near"] == len(r["near_items"]) and set(r["items"]) <= set(r["near_items"]) for r in rows.values())
+    assert sum(len(r["near_items"]) > len(r["items"]) for r in rows.values()) >= 3
+    strict = {r["doc_id"]: r for r in decontam.contamination(docs, bench, slop=0).collect()}
+    assert all(strict[i]["items"] == rows[i]["items"] and strict[i]["n_hit"] == rows[i]["n_hit"] for i in rows)
+
+
+def test_texts_are_shuffled_by_either_way(spark):
+    """The join with the texts gives the same spans with the bitmap and, over its bound, without."""
+    docs = spark.createDataFrame(list(enumerate(DOCS)), "doc_id long, text string")
+    items = materialise(decontam.benchmark_items(spark.createDataFrame(ITEMS, "item_id long, text string")), "i")
     terms = materialise(decontam.vocabulary(items), "t")
     index = decontam.build_index(docs, terms)
-    anchors = decontam.window_anchors(items, terms, index)
-    names = {r["k1"] for r in decontam.proximity_matches(index, anchors, slop=3).collect()}
-    a = sorted((r["rank"], r["place"]) for r in anchors.collect())
-    assert [r for r, _ in a] == [1, 2]
-    at = {d["doc_id"]: item_words(d["text"]) for d in docs.collect()}
-    v = item_words("alpha beta gamma delta epsilon")
-    want = set()
-    for d, w in at.items():
-        one, two = ([i - p for i, x in enumerate(w) if x == v[p]] for _, p in a)
-        if any(abs(x - y) <= 3 for x in one for y in two):
-            want.add(d)
-    assert names == want
+    found = decontam.candidates(index, decontam.window_anchors(items, terms, index))
+    few, all_rows = ({(r["k1"], r["k2"], repr(r["spans"])) for r in decontam.text_matches(
+        docs, items, found, max_bytes=n).collect()} for n in (64 << 20, 0))
+    assert few == all_rows and few
 
 
 def plain_statistics(text):
