@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import fresh_path, prepare
+from quire.llm.common import HOT_SHARE, fresh_path, materialise, prepare
 
 # Fixed values of the archive and frame formats.
 DICTIONARY_MAGIC = 0x184D2A5D
@@ -151,19 +151,31 @@ def archive_records(raw: bytes) -> Iterator[bytes]:
 def with_first_copies(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     """``pages`` with its payload, digest and, for later copies, ``refers_to``. The page
     ids of equal payloads are reduced to their largest before anything is joined; short
-    payloads get join keys of their own, so that they neither match nor pile up."""
+    payloads get join keys of their own, so that they neither match nor pile up. A share of
+    rows is a thousandth of all, or half a shuffle partition's where that is less. Payloads with
+    more rows than a share, which are fewer than the shares, are broadcast as keys and dealt to
+    as many parts as they hold shares."""
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     rows = pages.select(
         F.col("page_id").cast("long"), F.col("url").cast("string"), payload.alias("payload"),
         F.octet_length(payload).cast("long").alias("n_bytes"), F.sha1(payload).alias("sha1"))
     rows = rows.withColumn("same", F.when(F.col("n_bytes") >= min_bytes, F.concat_ws(
         "-", "sha1", F.xxhash64("payload").cast("string"), F.col("n_bytes").cast("string"))))
-    first = (rows.where(F.col("same").isNotNull()).groupBy("same")
-             .agg(F.max("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
-             .where("n > 1").select("same", "first"))
+    first = materialise(rows.where(F.col("same").isNotNull()).groupBy("same")
+                        .agg(F.max("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
+                        .where("n > 1"), "first-copies")
+    total = pages.count()
+    share = max(HOT_SHARE, 2 * int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    hot = F.broadcast(first.where(F.col("n") * share > total).select(
+        "same", F.ceil(F.col("n") * share / F.lit(max(total, 1))).alias("parts")))
+    first = (first.drop("n").join(hot, "same", "left")
+             .withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("parts", F.lit(1)) - 1)))
+             .drop("parts"))
     rows = rows.withColumn("same", F.coalesce(
         "same", F.concat(F.lit("own-"), F.xxhash64("page_id", "url", "sha1").cast("string"))))
-    return (rows.join(first, "same", "left")
+    rows = rows.join(hot, "same", "left").withColumn(
+        "part", F.coalesce(F.monotonically_increasing_id() % F.col("parts"), F.lit(0)))
+    return (rows.join(first, ["same", "part"], "left")
             .withColumn("refers_to", F.when(F.col("page_id").isNull() | (F.col("page_id") != F.col("first")),
                                             F.col("first")))
             .select("page_id", "url", F.when(F.col("refers_to").isNull(), F.col("payload")).alias("payload"),
