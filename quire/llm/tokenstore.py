@@ -185,7 +185,7 @@ def write_token_files(tokens: DataFrame, path: str, vocabulary: str, file_ids: i
     def block(raw: bytes) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([raw], pa.binary())], ["block"])
 
-    (docs.repartitionByRange(n_files, "doc_id", "row")
+    (docs.repartitionByRange(n_files, "doc_id", "n_tokens", "ids_crc32", "row")
      .sortWithinPartitions("doc_id", "n_tokens", "ids_crc32", "row").select("doc_id", "ids")
      .mapInArrow(run, "block binary").select(F.col("block").cast("string"))
      .write.option("lineSep", "\n").text(path))

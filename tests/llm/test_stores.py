@@ -4,13 +4,14 @@ import hashlib
 import math
 import struct
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import xxhash
 from harness import compare, duck
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from quire.llm import packing, sharding, tokenstore, warc
@@ -70,6 +71,26 @@ def test_warc_round_trip(spark, tmp_path):
     assert warc.read_archives(spark, empty).count() == 0
 
 
+def test_copies_of_one_page_are_dealt_to_many_tasks(spark):
+    """A third of the pages have one payload: no task of the join has twice the median's rows."""
+    hot, n = "<p>copied page</p>" * 200, 9000
+    pages = spark.range(n).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.when(
+        F.col("id") % 3 == 0, F.lit(hot)).otherwise(F.concat(F.lit(hot), F.col("id").cast("string"))).alias("html"))
+    keep = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false",
+            "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in keep}
+    try:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+        rows = warc.with_first_copies(pages).select("page_id", "refers_to", F.spark_partition_id().alias("task")).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    sizes = sorted(Counter(r["task"] for r in rows).values())
+    assert len(rows) == n and len(sizes) == 16 and sizes[-1] < 2 * sizes[8]
+    assert all(r["refers_to"] == (n - 3 if r["page_id"] % 3 == 0 and r["page_id"] != n - 3 else None) for r in rows)
+
+
 def test_archive_has_a_dictionary_in_front():
     page = [warc.record(i, "u", (b"<html><body>shared head %d</body>" % i) * 20, 640, "00" * 20, None)
             for i in range(400)]
@@ -196,6 +217,16 @@ def test_token_files_edges(spark, edge_docs, empty_docs, tmp_path):
     assert tokenstore.store_documents(empty_docs, vocabulary_path()).count() == 0
 
 
+def test_a_repeated_id_over_many_files(spark, tmp_path):
+    """Rows of one id lie in order of length and checksum, whichever files hold them."""
+    docs = spark.createDataFrame([(7, "word " * (i * 37 % 600)) for i in range(600)], "doc_id long, text string").repartition(5)
+    path = str(tmp_path / "files")
+    tokenstore.write_token_files(tokenstore.tokenise(docs, vocabulary_path()), path, vocabulary_path(), file_ids=25_000)
+    got = tokenstore.read_token_files(spark, path).orderBy("start").collect()
+    assert len(got) == 600 and got == sorted(got, key=lambda r: (r["n_tokens"], r["ids_crc32"], r["start"]))
+    assert spark.read.format("binaryFile").load(path).count() > 1
+
+
 def test_variable_length_coding():
     rng = np.random.default_rng(3)
     for n in (0, 1, 3, 4, 5, 1000):
