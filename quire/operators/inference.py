@@ -5,10 +5,17 @@ The model is a plug-in: a factory that gets the output token limit and returns
 (clients do not serialise), and prompts go to it in small batches. A failed call becomes
 an ``error`` value on its row instead of failing the job; task retries make calls
 at-least-once, so callers persist responses (keyed by prompt hash) before use.
+
+A busy model (``Busy``, a timeout or a lost connection) is asked again after a wait that
+doubles up to a bound, with a random part so that tasks do not return together. Repeats are
+limited per call and per task (``Params.busy_*``); beyond that the prompts are errors, and a
+later run asks them again. ``partitions`` of ``infer`` bounds the calls in flight.
 """
 
 from __future__ import annotations
 
+import random
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -28,11 +35,42 @@ ANSWER_COLS = ["prompt_hash", "response", "error"]
 NO_FIT = "partial answers do not fit a merge prompt within the token budget"
 
 
-def ask(model: Model, prompts: list[str], batch_size: int) -> tuple[list[str | None], list[str | None]]:
-    """(answers, errors) of the prompts, in batches; a batch that fails is asked again
-    prompt by prompt, so that one bad prompt costs no other its answer."""
+class Busy(Exception):
+    """Raised by a model that refuses a call for now; ``after``: seconds it asks to wait."""
+
+    def __init__(self, message: str = "the model is busy", after: float | None = None):
+        super().__init__(message)
+        self.after = after
+
+
+class Patience:
+    """Repeats calls to a busy model, within the limits of ``p`` for one task."""
+
+    def __init__(self, p: Params = DEFAULT, sleep: Callable[[float], None] = time.sleep):
+        self.p, self.sleep, self.left = p, sleep, p.busy_budget
+
+    def call(self, fn: Callable[[], list[str]]) -> list[str]:
+        for tries in range(self.p.busy_tries + 1):
+            try:
+                return fn()
+            except (Busy, TimeoutError, ConnectionError) as e:
+                if tries == self.p.busy_tries or self.left <= 0:
+                    raise
+                self.left -= 1
+                wait = min(self.p.busy_wait * 2 ** tries, self.p.busy_wait_most) * random.uniform(0.5, 1)
+                self.sleep(max(wait, getattr(e, "after", None) or 0))
+        raise AssertionError("not reached")
+
+
+def ask(model: Model, prompts: list[str], batch_size: int,
+        patience: Patience | None = None) -> tuple[list[str | None], list[str | None]]:
+    """(answers, errors) of the prompts, in batches. A busy model is asked again; a batch that
+    fails is asked again prompt by prompt, so that one bad prompt costs no other its answer. A
+    batch whose repeats were used up by a busy model is not taken apart."""
+    patience = patience or Patience()
+
     def call(chunk: list[str]) -> list[str]:
-        got = model(chunk)
+        got = patience.call(lambda: model(chunk))
         if len(got) != len(chunk):
             raise ValueError(f"model returned {len(got)} answers for {len(chunk)} prompts")
         return got
@@ -44,6 +82,9 @@ def ask(model: Model, prompts: list[str], batch_size: int) -> tuple[list[str | N
         try:
             answers += call(chunk)
             errors += [None] * len(chunk)
+        except (Busy, TimeoutError, ConnectionError) as e:
+            answers += [None] * len(chunk)
+            errors += [f"{type(e).__name__}: {e}"] * len(chunk)
         except Exception as e:  # noqa: BLE001 - recorded per row, the job goes on
             for one in chunk:
                 try:
@@ -74,9 +115,9 @@ def infer(prompts: DataFrame, factory: ModelFactory, p: Params = DEFAULT, batch_
     limit = p.output_tokens
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = factory(limit)
+        model, patience = factory(limit), Patience(p)
         for pdf in batches:
-            resp, err = ask(model, pdf[prompt_col].tolist(), batch_size)
+            resp, err = ask(model, pdf[prompt_col].tolist(), batch_size, patience)
             yield pdf.assign(response=resp, error=err)
 
     return df.mapInPandas(run, schema)

@@ -20,6 +20,11 @@ class Params:
     output_tokens: int = 4096          # model output limit per call
     block_limit: int = 100             # top-level blocks per page
     text_limit: int = 2000             # characters per text item on a page
+    # Our own: what happens when the model is busy.
+    busy_tries: int = 8                # repeats of one call before its prompts are errors
+    busy_budget: int = 1000            # repeats of all calls of one task
+    busy_wait: float = 1.0             # seconds before the first repeat; doubled each time
+    busy_wait_most: float = 60.0       # longest wait
 
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)

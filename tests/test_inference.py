@@ -52,6 +52,66 @@ def test_model_failure_is_a_row(spark):
     assert [x.s for x in s] == ["Failed"]
 
 
+class Refusing:
+    """Refuses every third call."""
+
+    def __init__(self, error=I.Busy):
+        self.calls, self.error = 0, error
+
+    def __call__(self, batch):
+        self.calls += 1
+        if self.calls % 3 == 0:
+            raise self.error("later")
+        return [f"answer to {p}" for p in batch]
+
+
+def test_busy_model_is_asked_again():
+    prompts = [f"prompt {i}" for i in range(40)]
+    for error in (I.Busy, TimeoutError, ConnectionError):
+        model, waits = Refusing(error), []
+        answers, errors = I.ask(model, prompts, 4, I.Patience(DEFAULT, waits.append))
+        assert answers == [f"answer to {p}" for p in prompts] and errors == [None] * 40
+        assert model.calls == 10 + len(waits) and len(waits) == 4      # ten batches, calls 3, 6, 9 and 12 refused
+        assert all(0.5 <= w <= 1 for w in waits)
+
+
+def test_waits_grow_and_are_limited():
+    waits, calls = [], []
+
+    def never(batch):
+        calls.append(batch)
+        raise I.Busy("no", after=5 if len(calls) == 1 else None)
+    p = DEFAULT.with_(busy_tries=6, busy_wait_most=8.0, busy_budget=8)
+    answers, errors = I.ask(never, list("abcdef"), 3, I.Patience(p, waits.append))
+    assert answers == [None] * 6 and errors == ["Busy: no"] * 6
+    assert len(calls) == 7 + 3                     # six repeats of the first batch, the budget's last two of the other
+    assert waits[0] == 5 and all(min(2 ** i, 8) / 2 <= w <= min(2 ** i, 8) for i, w in enumerate(waits[1:6], 1))
+
+
+def test_other_failures_are_not_repeated():
+    waits, calls = [], []
+
+    def bad(batch):
+        calls.append(len(batch))
+        raise RuntimeError("bad prompt")
+    assert I.ask(bad, ["a", "b"], 2, I.Patience(DEFAULT, waits.append))[0] == [None, None]
+    assert calls == [2, 1, 1] and not waits
+
+
+def test_busy_model_in_a_job(spark):
+    def factory(limit):
+        calls = []
+
+        def run(batch):
+            calls.append(batch)
+            if len(calls) % 3 == 0:
+                raise I.Busy()
+            return [f"answer to {p}" for p in batch]
+        return run
+    rows = I.infer(_prompts(spark, 60), factory, DEFAULT.with_(busy_wait=0.01), batch_size=1, partitions=2).collect()
+    assert len(rows) == 60 and all(r.response == f"answer to {r.prompt}" and r.error is None for r in rows)
+
+
 def test_one_bad_prompt_costs_no_other(spark):
     def factory(limit):
         assert limit == DEFAULT.output_tokens
