@@ -203,9 +203,10 @@ def with_scores(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of ``docs`` that the classifier does not reject, columns as they were."""
+    """The rows of ``docs`` that the classifier does not reject, columns as they were. Where all
+    labels are of one class, there is nothing to tell documents apart by, and none is rejected."""
     prepare(docs.sparkSession)
     if model.constant is not None:
-        return docs if model.constant >= 0.5 else docs.limit(0)
+        return docs
     sized = docs.withColumn("__sizes", sizes_udf(model.dictionaries)("text"))
     return sized.where(score_column(model, F.col("__sizes")) >= 0.5).drop("__sizes")

@@ -34,15 +34,16 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import materialise, prepare
+from quire.llm.common import join_unique, materialise, prepare
 
 SHINGLE = 3
 SEED = 42
 DISTANCE = 3
 BUCKET_BYTES = 4 << 20
+TASK_BUCKETS = 4         # buckets of one task, whatever their number
 TASK_FINGERPRINTS = 20_000
 CHUNK = 4096             # fingerprints expanded at once
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -191,23 +192,22 @@ def ball_links(fps: DataFrame, n_rows: int) -> DataFrame:
     # each fingerprint becomes thousands of bytes: many tasks, however few bytes come in
     spread = fps.select("fp").repartition(max(1, math.ceil(n_rows / TASK_FINGERPRINTS)))
     return (spread.mapInArrow(emit, "bucket long, words binary, codes binary")
-            .groupBy("bucket").applyInPandas(collide, "a long, b long"))
+            .repartition(n_buckets // TASK_BUCKETS, "bucket").groupBy("bucket").applyInPandas(collide, "a long, b long"))
 
 
 def components(links: DataFrame) -> DataFrame:
     """(node, root): for each node of the links (a, b), the smallest node connected to it.
     Alternating large-star and small-star steps; each step's table is written, and the
-    steps end when one changes nothing."""
+    steps end when one changes nothing. A node may have any number of links: those of a node
+    with a large share of them are not gathered in one task."""
     edges = materialise(links.where("a <> b").select(
         F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
     while True:
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = (both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .where("u <> v").distinct())
+        large = (_with_least(both, F.least(F.min("v"), F.col("u"))).where("v > u")
+                 .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct())
         large = materialise(large, "links-large")
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(
+        small = _with_least(large, F.min("v")).select(
             F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
         small = materialise(small.where("u <> v").distinct(), "links-small")
         if not _changed(edges, small):
@@ -216,6 +216,13 @@ def components(links: DataFrame) -> DataFrame:
         edges = small
 
 
+def _with_least(edges: DataFrame, least: Column) -> DataFrame:
+    """Stored links (u, v) with ``m``, the aggregate ``least`` of all links of u."""
+    low = materialise(edges.groupBy("u").agg(least.alias("m"), F.count(F.lit(1)).alias("n")), "links-least")
+    total = low.agg(F.sum("n")).first()[0] or 0
+    return join_unique(edges, low.select("u", "m"), ["u"], low.select("u", "n"), total)
+
+
 def _changed(before: DataFrame, after: DataFrame) -> bool:
     """Whether two sets of links differ, by count and by sums of two hashes of each link."""
     def digest(df: DataFrame):
@@ -228,14 +235,19 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, text_hash, fp, component_id) of every row: component_id is the smallest
     doc_id among all rows connected to it."""
     rows = materialise(fingerprints(docs, shingle), "fingerprints")
-    nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("first"))
+    nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"))
     nodes = materialise(nodes, "distinct-fingerprints")
-    roots = components(ball_links(nodes, nodes.count()))
-    placed = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
-        "root", F.coalesce("root", "fp"))
-    low = placed.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = placed.join(low, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select("doc_id", "text_hash", "fp", "component_id")
+    n_nodes, n_rows = nodes.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    roots = components(ball_links(nodes, n_nodes))
+    placed = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", "first", F.coalesce("root", "fp").alias("root"))
+    placed = materialise(placed, "placed-fingerprints")
+    low = materialise(placed.groupBy("root").agg(
+        F.min("first").alias("component_id"), F.count(F.lit(1)).alias("n")), "component-ids")
+    named = materialise(join_unique(placed, low.select("root", "component_id"), ["root"], low.select("root", "n"), n_nodes)
+                        .select("fp", "component_id"), "named-fingerprints")
+    return join_unique(rows, named, ["fp"], nodes.select("fp", "n"), n_rows).select(
+        "doc_id", "text_hash", "fp", "component_id")
 
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:

@@ -45,6 +45,7 @@ def test_quality_edges(spark, edge_docs, empty_docs):
     assert {r["predicted"] for r in quality.with_scores(edge_docs.select("doc_id", "text"), none).collect()} == {1}
     only_bad = quality.train(edge_docs, labels.where("quality = 0 and doc_id = 6"))
     assert only_bad.constant in (0.0, 0.5)
+    assert quality.keep_good(edge_docs, quality.Model(constant=0.0)).count() == edge_docs.count()
     assert quality.with_scores(empty_docs.select("doc_id", "text"), model).count() == 0
     # a fold that is held out teaches nothing
     out = next(i for i in range(1, 500) if fold(i))

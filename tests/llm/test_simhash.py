@@ -75,6 +75,32 @@ def test_links_connect_what_brute_force_connects(spark):
     assert ours == want
 
 
+def test_nodes_of_very_many_links(spark):
+    """One node is the smallest of 20,000 links, one the largest of as many; both are one component."""
+    low, high = -(1 << 40), 1 << 40
+    links = [(low, i) for i in range(20_000)] + [(i, high) for i in range(19_999, 40_000)] + [(-7, -6), (-6, -5), (-9, -9)]
+    got = {r["node"]: r["root"] for r in simhash.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {low: low, high: low, -7: -7, -6: -7, -5: -7, **{i: low for i in range(40_000)}}
+    assert simhash.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_many_rows_of_one_fingerprint(spark):
+    """A third of the rows has no word, so fingerprint zero; the others differ."""
+    docs = spark.range(6000).selectExpr("id + 1 as doc_id", "if(id % 3 = 0, ' ', concat('w', id, ' x', id * 7, ' y', id)) as text")
+    got = simhash.near_duplicates(docs.repartition(8)).collect()
+    fps = {r["doc_id"]: r["fp"] for r in got}
+    assert len(got) == len(fps) == 6000
+    assert {r["component_id"] for r in got if r["fp"] == 0} == {1} and sum(f == 0 for f in fps.values()) == 2000
+    ids = sorted(fps)
+    want = plain_components([fps[i] % (1 << 64) for i in ids], ids)
+    assert {r["doc_id"]: r["component_id"] for r in got} == dict(zip(ids, want))
+
+
+def test_a_task_holds_few_buckets(spark):
+    fps = spark.range(40_000).selectExpr("xxhash64(id) as fp")
+    assert simhash.ball_links(fps, 40_000).rdd.getNumPartitions() == 64 // simhash.TASK_BUCKETS
+
+
 def test_edges(spark, edge_docs, empty_docs):
     rows = simhash.near_duplicates(edge_docs).collect()
     docs = edge_docs.collect()
