@@ -40,6 +40,7 @@ from quire.llm.tokens import tokenizer
 WINDOW = 2048
 END_ID = 1
 BLOCK_TOKENS = 1 << 20
+CACHE_WORDS = 300_000      # words kept by a worker: a third of the memory, within 2 % of the time, of a million
 SENTENCE_PENALTY = 8.0     # for a window that ends inside a document, after a sentence
 TRUNCATE_PENALTY = 64.0    # for one that ends inside a sentence
 LONG_GAP = 256             # ids without a boundary after which steps may be cut
@@ -159,7 +160,7 @@ class Packer:
 @functools.cache
 def sentence_end_table(vocabulary: str) -> np.ndarray:
     """For each id, whether its text ends a sentence or a line; once a worker."""
-    tok = tokenizer(vocabulary).tok
+    tok = tokenizer(vocabulary, CACHE_WORDS).tok
     table = np.zeros(max(tok.get_vocab_size(), END_ID + 1), dtype=bool)
     for i in range(tok.get_vocab_size()):
         text = tok.decode([i], skip_special_tokens=False)
@@ -181,7 +182,7 @@ def pack_documents(docs: DataFrame, vocabulary: str, window: int = WINDOW, end_i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        words = tokenizer(vocabulary)
+        words = tokenizer(vocabulary, CACHE_WORDS)
         packer = Packer(sentence_end_table(vocabulary), TaskContext.get().partitionId() << 32, window)
         tail = np.array([end_id], np.uint32)
         for b in batches:

@@ -104,11 +104,11 @@ class WordCachedTokenizer:
         return out
 
 
-_LOADED: dict[str, WordCachedTokenizer] = {}
+_LOADED: dict[tuple[str, int], WordCachedTokenizer] = {}
 
 
-def tokenizer(path: str) -> WordCachedTokenizer:
-    """One tokenizer a Python worker."""
-    if path not in _LOADED:
-        _LOADED[path] = WordCachedTokenizer(path)
-    return _LOADED[path]
+def tokenizer(path: str, cache_words: int = CACHE_WORDS) -> WordCachedTokenizer:
+    """One tokenizer a Python worker, for each size of its cache that is asked for."""
+    if (path, cache_words) not in _LOADED:
+        _LOADED[path, cache_words] = WordCachedTokenizer(path, cache_words)
+    return _LOADED[path, cache_words]
