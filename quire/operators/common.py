@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.session import ensure_checkpoint_dir
+from quire.session import ensure_checkpoint_dir, scratch_path
 
 # Bytes a side may hold to be broadcast; beyond it the join shuffles.
 BROADCAST_MAX_BYTES = 64 << 20
@@ -62,6 +64,14 @@ def persist(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Write a table in the shared folder and read it back. Unlike a checkpoint, whose estimated size
+    is that of its plan, it has the size of its files, so steps of a loop may build on one another."""
+    path = scratch_path(df.sparkSession, f"step-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def top_k(df: DataFrame, keys: list[str], order: list[Column], k: int,
           salt_col: str | None = None, salt_buckets: int = 64) -> DataFrame:
     """First ``k`` rows per ``keys`` by ``order`` (row_number <= k).

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from quire.functions import taxonomy as TX
 from quire.functions.text import let, link_targets, ustrip
-from quire.operators.common import bounded_side, number_rows
+from quire.operators import near as NEAR
+from quire.operators.common import bounded_side, number_rows, stored
 from quire.operators.select import DAY_KEYS
 
 # Fixed values of the extractive analogue (ours; shared with the SQL oracle).
@@ -180,16 +181,41 @@ def active_categories(bullets: DataFrame) -> DataFrame:
                               lambda x: x["category"]).alias("active_categories")))
 
 
+INSIGHT = [*DAY_KEYS, "category", "norm"]
+
+
+def said_by(hits: DataFrame) -> DataFrame:
+    """(day, label, category, normalised text, sender, first wording with its place, n): one row a source."""
+    said = F.struct("list_pos", "sent_pos", F.col("sentence").alias("text"))
+    return (hits.withColumn("norm", F.lower(F.regexp_replace(F.col("sentence"), r"[\t ]+", " ")))
+            .groupBy(*INSIGHT, "sender").agg(F.min(said).alias("first"), F.count(F.lit(1)).alias("n")))
+
+
+def merged(per_source: DataFrame, keys: list[str], *more: Column) -> DataFrame:
+    return per_source.groupBy(*keys).agg(
+        F.min("first")["text"].alias("text"), F.sum("n").alias("n_mentions"),
+        F.count(F.lit(1)).alias("n_sources"),
+        F.array_join(F.array_sort(F.collect_list("sender")), ", ").alias("sources"), *more)
+
+
 def insight_merge(hits: DataFrame) -> DataFrame:
     """Combine and deduplicate insights of a day across messages/chunks (G8): one row per
     (day, label, category, normalised text) with the first wording, how often it comes, and
     its sources in alphabetical order. One row a source first, combined map-side, so no
     group gathers all mentions."""
-    g = [*DAY_KEYS, "category", "norm"]
-    said = F.struct("list_pos", "sent_pos", F.col("sentence").alias("text"))
-    per_source = (hits.withColumn("norm", F.lower(F.regexp_replace(F.col("sentence"), r"[\t ]+", " ")))
-                  .groupBy(*g, "sender").agg(F.min(said).alias("first"), F.count(F.lit(1)).alias("n")))
-    return per_source.groupBy(*g).agg(
-        F.min("first")["text"].alias("text"), F.sum("n").alias("n_mentions"),
-        F.count(F.lit(1)).alias("n_sources"),
-        F.array_join(F.array_sort(F.collect_list("sender")), ", ").alias("sources"))
+    return merged(said_by(hits), INSIGHT)
+
+
+def insight_groups(hits: DataFrame, percent: int = NEAR.PERCENT, shingle: int = NEAR.SHINGLE) -> DataFrame:
+    """As ``insight_merge``, but insights of nearly equal wording are one, too (G8): those whose runs of
+    ``shingle`` words overlap by at least ``percent``, directly or through others. ``n_wordings`` is the
+    number of different normalised texts. The first wording is the text."""
+    keys = [*DAY_KEYS, "category"]
+    per_source = stored(said_by(hits))
+    norms = per_source.select(*INSIGHT).distinct()
+    words = F.filter(tokens(F.col("norm")), lambda t: t != "")
+    near = stored(NEAR.near_groups(norms, keys, words, percent, shingle))
+    wordings = near.groupBy(*keys, "near_id").agg(F.count(F.lit(1)).alias("n_wordings"))
+    once = (per_source.join(near, INSIGHT).groupBy(*keys, "near_id", "sender")
+            .agg(F.min("first").alias("first"), F.sum("n").alias("n")))
+    return merged(once, [*keys, "near_id"]).join(wordings, [*keys, "near_id"]).drop("near_id")

@@ -200,3 +200,31 @@ def q_insight_merge(spark, sf_dir):
     s, h = sent_hits(spark, sf_dir)
     return X.insight_merge(h).select("digest_date", "label", "category", "norm", "text",
                                         "n_mentions", "n_sources", "sources")
+
+
+@query("insight_groups", f"""{BASE},
+h AS (SELECT h.*, s.sentence, s.sender, s.list_pos,
+             lower(regexp_replace(s.sentence, '[\\t ]+', ' ', 'g')) AS norm
+      FROM hits h JOIN sent s USING (digest_date, label, message_id, sent_pos)),
+w AS (SELECT DISTINCT digest_date, label, category, norm,
+             list_filter(string_split_regex(lower(norm), {Q.lit(X.TOKEN_SPLIT)}), lambda t: t <> '') AS w FROM h),
+sh AS (SELECT DISTINCT digest_date, label, category, norm, array_to_string(w[i:i + 4], ' ') AS s
+       FROM (SELECT *, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM w)),
+sz AS (SELECT digest_date, label, category, norm, count(*) AS n FROM sh GROUP BY ALL),
+common AS (SELECT a.digest_date, a.label, a.category, a.norm AS x, b.norm AS y, count(*) AS c
+           FROM sh a JOIN sh b USING (digest_date, label, category, s) GROUP BY ALL),
+pr AS (SELECT digest_date, label, category, x, y FROM common
+       JOIN (SELECT digest_date, label, category, norm AS x, n AS nx FROM sz) USING (digest_date, label, category, x)
+       JOIN (SELECT digest_date, label, category, norm AS y, n AS ny FROM sz) USING (digest_date, label, category, y)
+       WHERE 100 * c >= 80 * (nx + ny - c)),
+reach AS (SELECT digest_date, label, category, x, y FROM pr
+          UNION SELECT r.digest_date, r.label, r.category, r.x, p.y FROM reach r
+          JOIN pr p ON p.digest_date = r.digest_date AND p.label = r.label AND p.category = r.category AND p.x = r.y),
+grp AS (SELECT digest_date, label, category, x AS norm, min(y) AS root FROM reach GROUP BY ALL)
+SELECT {DD}, label, category, first(sentence ORDER BY list_pos, sent_pos) AS text, count(*) AS n_mentions,
+       count(DISTINCT sender) AS n_sources, string_agg(DISTINCT sender, ', ' ORDER BY sender) AS sources,
+       count(DISTINCT norm) AS n_wordings
+FROM h JOIN grp USING (digest_date, label, category, norm) GROUP BY digest_date, label, category, root""")
+def q_insight_groups(spark, sf_dir):
+    s, h = sent_hits(spark, sf_dir)
+    return X.insight_groups(h)
