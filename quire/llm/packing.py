@@ -35,12 +35,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from quire.llm.common import prepare
-from quire.llm.tokens import tokenizer
+from quire.llm.tokens import CACHE_WORDS, tokenizer
 
 WINDOW = 2048
 END_ID = 1
 BLOCK_TOKENS = 1 << 20
-CACHE_WORDS = 300_000      # words kept by a worker: a third of the memory, within 2 % of the time, of a million
 SENTENCE_PENALTY = 8.0     # for a window that ends inside a document, after a sentence
 TRUNCATE_PENALTY = 64.0    # for one that ends inside a sentence
 LONG_GAP = 256             # ids without a boundary after which steps may be cut
@@ -158,9 +157,9 @@ class Packer:
 
 
 @functools.cache
-def sentence_end_table(vocabulary: str) -> np.ndarray:
+def sentence_end_table(vocabulary: str, cache_words: int = CACHE_WORDS) -> np.ndarray:
     """For each id, whether its text ends a sentence or a line; once a worker."""
-    tok = tokenizer(vocabulary, CACHE_WORDS).tok
+    tok = tokenizer(vocabulary, cache_words).tok
     table = np.zeros(max(tok.get_vocab_size(), END_ID + 1), dtype=bool)
     for i in range(tok.get_vocab_size()):
         text = tok.decode([i], skip_special_tokens=False)
@@ -169,9 +168,10 @@ def sentence_end_table(vocabulary: str) -> np.ndarray:
 
 
 def pack_documents(docs: DataFrame, vocabulary: str, window: int = WINDOW, end_id: int = END_ID,
-                   with_ids: bool = False) -> DataFrame:
+                   with_ids: bool = False, cache_words: int = CACHE_WORDS) -> DataFrame:
     """Pieces of all documents: which ids of which document lie where in which
-    sequence; ``with_ids`` adds the ids themselves."""
+    sequence; ``with_ids`` adds the ids themselves. A worker keeps the ids of at most
+    ``cache_words`` words; the result does not depend on it."""
     prepare(docs.sparkSession)
     names = [c.split()[0] for c in SCHEMA.split(", ")] + (["ids"] if with_ids else [])
     kinds = [pa.int64()] * 7 + ([pa.list_(pa.int32())] if with_ids else [])
@@ -182,8 +182,8 @@ def pack_documents(docs: DataFrame, vocabulary: str, window: int = WINDOW, end_i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        words = tokenizer(vocabulary, CACHE_WORDS)
-        packer = Packer(sentence_end_table(vocabulary), TaskContext.get().partitionId() << 32, window)
+        words = tokenizer(vocabulary, cache_words)
+        packer = Packer(sentence_end_table(vocabulary, cache_words), TaskContext.get().partitionId() << 32, window)
         tail = np.array([end_id], np.uint32)
         for b in batches:
             keys = b.column(0).to_pylist()
