@@ -15,6 +15,7 @@ from quire.llm.tokens import vocabulary_path
 
 
 PII_KEY = "corpus"         # a run on real data passes its own
+CACHE_WORDS = 300_000      # of a packing worker: it shares its executor with what other stages left there
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +41,7 @@ def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of packed sequences."""
-    return packing.pack_documents(docs, vocabulary_path())
+    return packing.pack_documents(docs, vocabulary_path(), cache_words=CACHE_WORDS)
 
 
 STAGES = [
