@@ -4,8 +4,9 @@ Texts whose sets of shingles have a Jaccard similarity of at least a given perce
 and what is connected by links is one group. The search is exact: of two such sets, the rarest
 shingles (as many as may be missing from the other, and one more) have one in common. Texts with
 equal sets are one before that, so only different sets are paired; every pair is verified. Sets hold 64-bit
-hashes. Nothing is collected; what a hot shingle or a node of many links is joined with is
-broadcast for fewer than ``HOT_SHARE`` such keys, so their rows stay where they are.
+hashes. Nothing is collected; the count of a hot shingle and the least neighbour of a node of many
+links are broadcast, for fewer than ``HOT_SHARE`` such keys, so their rows stay where they are. Sets that
+share one of their rarest shingles are paired one by one: k near copies that differ make k * k / 2 pairs.
 """
 
 from __future__ import annotations
