@@ -267,3 +267,31 @@ def test_many_ids_are_fetched_through_a_bitmap(spark):
     assert OC.likely_in(bodies, keys, "message_id", max_bytes=100).count() == 40000
     plan = ok._jdf.queryExecution().optimizedPlan().toString()
     assert "bitmap_construct_agg" in plan.lower() or "BitmapConstructAgg" in plan
+
+
+def _documents(spark, path, files, first=0, n=40):
+    """A documents table of ``files`` files, and its labels; every third subject comes twice a day."""
+    from pyspark.sql import functions as F
+    docs = spark.range(first, first + n, 1, max(files, 1)).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("subject "), F.col("id") % 13, F.lit("\nbody")).alias("text"),
+        F.lit("s").alias("source"))
+    docs.write.parquet(f"{path}/documents.parquet")
+    docs.select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic")).write.parquet(f"{path}/labels.parquet")
+
+
+def test_stream_dedup_reads_a_table_of_many_files(spark):
+    """A documents table that is a folder of files, and one without rows."""
+    import glob
+    import os
+    path, empty = (scratch_path(spark, f"t-folder-{uuid.uuid4().hex[:8]}") for _ in range(2))
+    _documents(spark, path, 3)
+    got = sorted(r.message_id for r in R.dedup_stream(spark, path, f"{path}/out").collect())
+    assert got == list(range(13))
+    one = scratch_path(spark, f"t-file-{uuid.uuid4().hex[:8]}").removeprefix("file:")
+    os.makedirs(one)
+    for name in ("documents", "labels"):
+        spark.read.parquet(f"{path}/{name}.parquet").coalesce(1).write.parquet(f"{one}/{name}")
+        os.link(glob.glob(f"{one}/{name}/part-*")[0], f"{one}/{name}.parquet")
+    assert sorted(r.message_id for r in R.dedup_stream(spark, one, f"{one}/out").collect()) == got
+    _documents(spark, empty, 1, n=0)
+    assert R.dedup_stream(spark, empty, f"{empty}/out").collect() == []
