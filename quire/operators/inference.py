@@ -1,7 +1,7 @@
 """Batch model inference.
 
 The model is a plug-in: a factory that gets the output token limit and returns
-``fn(list[str]) -> list[str]``. It is built once per partition inside ``mapInPandas``
+``fn(list[str]) -> list[str]``. It is built once per partition inside ``mapInArrow``
 (clients do not serialise), and prompts go to it in small batches. A failed call becomes
 an ``error`` value on its row instead of failing the job; task retries make calls
 at-least-once, so callers persist responses (keyed by prompt hash) before use.
@@ -18,7 +18,7 @@ import random
 import time
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from quire.operators.common import persist
 from quire.operators.prompts import MERGE_TEMPLATE, PARTIAL_SEP, long_date
 from quire.params import DEFAULT, Params
-from quire.session import ship_package
+from quire.session import ship_package, small_batches
 
 Model = Callable[[list[str]], list[str]]
 ModelFactory = Callable[[int], Model]          # called with the output token limit
@@ -104,8 +104,10 @@ def infer(prompts: DataFrame, factory: ModelFactory, p: Params = DEFAULT, batch_
 
     Model calls, not bytes, dominate this stage, and a few thousand prompts would
     otherwise sit in the few partitions AQE coalesces them into; so prompts are spread
-    by hash over ``partitions`` (default: the cluster's default parallelism)."""
+    by hash over ``partitions`` (default: the cluster's default parallelism). A worker holds one
+    Arrow batch of few rows, and of its prompts only those of one call as text."""
     ship_package(prompts.sparkSession)
+    small_batches(prompts.sparkSession)
     df = prompts.withColumn("prompt_hash", F.sha2(F.col(prompt_col), 256))
     n = partitions or prompts.sparkSession.sparkContext.defaultParallelism
     if n and n > 1:
@@ -114,13 +116,18 @@ def infer(prompts: DataFrame, factory: ModelFactory, p: Params = DEFAULT, batch_
                                               T.StructField("error", T.StringType())])
     limit = p.output_tokens
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, patience = factory(limit), Patience(p)
-        for pdf in batches:
-            resp, err = ask(model, pdf[prompt_col].tolist(), batch_size, patience)
-            yield pdf.assign(response=resp, error=err)
-
-    return df.mapInPandas(run, schema)
+        for batch in batches:
+            for i in range(0, batch.num_rows, batch_size):
+                part = batch.slice(i, batch_size)
+                asked = part.column(prompt_col)
+                resp, err = ask(model, asked.to_pylist(), batch_size, patience)
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(resp, asked.type), pa.array(err, asked.type)],
+                    names=[*part.schema.names, "response", "error"])
+
+    return df.mapInArrow(run, schema)
 
 
 def stored_answers(done: DataFrame) -> DataFrame:
