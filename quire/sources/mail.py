@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from quire.functions.text import b64url_decode, html_to_text, let, link_targets, utf8_lenient
 from quire.params import DEFAULT, Params
-from quire.session import ship_package
+from quire.session import ship_package, small_batches
 
 HEADER_T = T.ArrayType(T.StructType([T.StructField("name", T.StringType()),
                                      T.StructField("value", T.StringType())]))
@@ -134,6 +134,7 @@ def body_order(nodes: list[dict], children: dict[str, list[int]]) -> list[int]:
 def parse_message(raw: DataFrame) -> DataFrame:
     """Add ``msg``: the message's tree, NULL on malformed JSON."""
     ship_package(raw.sparkSession)
+    small_batches(raw.sparkSession)
 
     @F.arrow_udf(MESSAGE_SCHEMA)
     def parse(texts: pa.Array) -> pa.Array:
