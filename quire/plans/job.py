@@ -24,7 +24,7 @@ from quire.operators.common import bounded_broadcast
 from quire.operators.prompts import render_prompts
 from quire.params import DEFAULT, Params
 from quire.sinks.stats import run_stats
-from quire.sinks.tables import add_answers, newest, overwrite_days, read_answers, write_digests_json, write_pages
+from quire.sinks.tables import add_answers, newest, read_answers, write_digests_json, write_pages, write_run
 from quire.sources import mail as M
 
 
@@ -82,8 +82,7 @@ def run_day(listing: DataFrame, labels: DataFrame, bodies: DataFrame, factory: I
             write_digests_json(digests, f"{out}/digests")
         else:
             write_pages(pages, blocks, out, decided(listing, out, day, p))
-        overwrite_days(stats, f"{out}/run_stats")
-        overwrite_days(failed, f"{out}/quarantine")
+        write_run(stats, failed, out)
     return {"newsletters": nl, "answers": answers.select(*I.ANSWER_COLS).unionByName(merges), "digests": digests,
             "pages": pages, "blocks": blocks, "quarantine": failed, "stats": stats, "observed": seen}
 

@@ -7,6 +7,7 @@ import uuid
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from conftest import SF_SMALL
 from quire.functions import taxonomy as TX
@@ -164,3 +165,23 @@ def test_emptied_day_loses_its_page(spark):
     r = run_day(listing, labels.join(gone, "message_id", "left_anti"), bodies, offline_model, day=days[0], out=out)
     pages = read_published(spark, out, "digest_pages", r["pages"].schema)
     assert sorted(x.digest_date for x in pages.collect()) == days[1:]
+
+
+def test_versions_are_few_files_for_many_days(spark):
+    """Pages, statistics and quarantine of many days are not written as a folder for each day."""
+    import glob
+    out = scratch_path(spark, f"t-files-{uuid.uuid4().hex[:8]}")
+    days = [dt.date(2024, 1, 1) + dt.timedelta(days=i) for i in range(120)]
+    _publish(spark, out, [(d, "L", "a") for d in days], [(d, "L", i) for d in days for i in range(3)])
+    ST.write_run(spark.createDataFrame([(d, "L", 1) for d in days] + [(None, "L", 7)], "digest_date date, label string, found long"),
+                 spark.createDataFrame([(d, "L", "x") for d in days[:9]], "digest_date date, label string, stage string"), out)
+    files = glob.glob(out.removeprefix("file:") + "/**/*.parquet", recursive=True)
+    assert 0 < len(files) < len(days) // 2
+    schema = T.StructType.fromDDL("digest_date date, label string, found long")
+    get = lambda: sorted(tuple(r) for r in read_published(spark, out, "run_stats", schema, ST.RUN_LOG).collect() if r.digest_date)
+    assert get() == [(d, "L", 1) for d in days]
+    assert read_published(spark, out, "run_stats", schema, ST.RUN_LOG).count() == len(days) + 1
+    ST.write_run(spark.createDataFrame([(days[3], "L", 5)], "digest_date date, label string, found long"),
+                 spark.createDataFrame([], "digest_date date, label string, stage string"), out)
+    assert get() == [(d, "L", 5 if d == days[3] else 1) for d in days]
+    assert len(_visible(spark, out)[0]) == len(days)      # statistics alone hide no page
