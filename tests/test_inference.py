@@ -295,3 +295,48 @@ def test_stream_dedup_reads_a_table_of_many_files(spark):
     assert sorted(r.message_id for r in R.dedup_stream(spark, one, f"{one}/out").collect()) == got
     _documents(spark, empty, 1, n=0)
     assert R.dedup_stream(spark, empty, f"{empty}/out").collect() == []
+
+
+def test_a_worker_holds_few_prompts_at_a_time(spark):
+    """In a session of any origin: model calls and message parsing get small Arrow batches, and the
+    answers come out a call at a time."""
+    from pyspark.sql import functions as F
+
+    from quire.sources import mail as M
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    try:
+        for use in (lambda df: I.infer(df, offline_model, partitions=1),
+                    lambda df: M.parse_message(df.withColumnRenamed("prompt", "raw"))):
+            spark.conf.set(key, "10000")
+            use(spark.createDataFrame([("p",)], "prompt string"))
+            assert 0 < int(spark.conf.get(key)) <= 256
+            spark.conf.set(key, "0")                      # no limit at all
+            use(spark.createDataFrame([("p",)], "prompt string"))
+            assert 0 < int(spark.conf.get(key)) <= 256
+            spark.conf.set(key, "64")                     # smaller ones stay
+            use(spark.createDataFrame([("p",)], "prompt string"))
+            assert spark.conf.get(key) == "64"
+        asked = spark.range(0, 600, 1, 1).select("id", F.concat(F.lit("=== NEWSLETTER 1 === "), "id").alias("prompt"))
+        got = I.infer(asked, offline_model, partitions=1).collect()
+        assert sorted(r.id for r in got) == list(range(600)) and all("1 item" in r.response and r.error is None for r in got)
+        assert all(r.prompt.endswith(f" {r.id}") for r in got)
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_stream_of_many_days_writes_few_files(spark):
+    """Two batches over 120 days: messages, versions and pages are not a folder for each day."""
+    import datetime as dt
+    import glob
+    out = scratch_path(spark, f"t-days-{uuid.uuid4().hex[:8]}")
+    days = [dt.date(2024, 1, 1) + dt.timedelta(days=i) for i in range(120)]
+    batches = [[(i, d, 10, "a") for i, d in enumerate(days)], [(1000 + i, d, 5, "b") for i, d in enumerate(days[::2])]]
+    labels = spark.range(2000).selectExpr("id as message_id", "'L' as label")
+    path = R.ingest_messages(_message_batches(spark, out, batches).drop("ts"), labels, out, DEFAULT,
+                             lambda nl: nl.groupBy("digest_date", "label").count())
+    assert {r.digest_date: r["count"] for r in spark.read.parquet(path).collect()} == {
+        d: 2 - i % 2 for i, d in enumerate(days)}
+    for name in ("messages", "selection", "published", "digest_pages"):
+        files = glob.glob(f"{out.removeprefix('file:')}/{name}/**/*.parquet", recursive=True)
+        assert 0 < len(files) < 60, (name, len(files))
