@@ -64,3 +64,47 @@ def test_numbers_of_a_hot_key(spark):
     for _, part in got.groupby("k", dropna=False):
         part = part.sort_values("o")
         assert part["n"].tolist() == list(range(1, len(part) + 1))
+
+
+def test_phrases_beyond_the_broadcast_bound(spark):
+    """A table too large to broadcast gives the same counts, and its most used phrases are broadcast."""
+    texts = [" ".join(["the"] * (1 + i % 3) + [f"word{i % 50}", "of", str(i % 7), f"rare{i}"]) + "." for i in range(1500)]
+    sent = X.sentences(_sentences(spark, texts)).persist()
+    rows = ([("a", "the"), ("b", "the"), (None, "of"), ("a", "the word3"), ("c", "Of 5")]
+            + [(f"k{i % 4}", f"word{i} of") for i in range(50)] + [("r", f"rare{i}") for i in range(0, 1500, 3)]
+            + [("x", f"none{i} is here") for i in range(2000)])
+    phrases = spark.createDataFrame(rows, "category string, phrase string")
+    get = lambda max_bytes: sorted(map(tuple, X.phrase_hits(sent, phrases, max_bytes).collect()), key=repr)
+    few = get(1 << 26)
+    assert few and get(1 << 14) == few == get(1)
+    assert sum(r[-1] for r in few if r[-2] == "a") == sum(1 + i % 3 for i in range(1500)) + 30
+    often, seldom = X.sides_by_use(X.phrase_table(phrases).select("category", "gram"),
+                                   sent.selectExpr("explode(split(lower(sentence), '[^a-z0-9]+')) gram"), 1 << 14)
+    assert {("a", "the"), ("b", "the")} <= {(r.category, r.gram) for r in often.collect()}
+    assert often.count() + seldom.count() == X.phrase_table(phrases).count() and often.count() < 300
+
+
+def test_counts_of_phrases_are_not_shuffled(spark):
+    """While the table is broadcast, sentences are dealt once, and neither their runs nor their counts are."""
+    sent = X.sentences(_sentences(spark, ["New York city, york."]))
+    phrases = spark.createDataFrame([("x", "york")], "category string, phrase string")
+    plan = X.phrase_hits(sent, phrases)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_digest_reads_sentences_and_answers_once(spark):
+    """Words of two groups count for both; a digest's sentences are looked up in one pass, an answer's JSON is
+    parsed once, not once a field."""
+    from quire.functions import taxonomy as TX
+    from quire.operators import digest as D
+    tx = TX.Taxonomy((("A", "a"), ("B", "b")), (("A", ("one", "two")), ("B", ("two",))), ("two", "flag"), "B", "?")
+    nl = _sentences(spark, ["One two. Two two flag. Flag. None."])
+    hits, flags = X.categories_and_flags(X.sentences(nl), tx)
+    assert sorted((r.sentence, r.category, r.cat_pos, r.hits) for r in hits.collect()) == sorted(
+        (r.sentence, r.category, r.cat_pos, r.hits) for r in X.categorize(X.sentences(nl), tx).collect()) == [
+        ("One two.", "A", 1, 2), ("One two.", "B", 2, 1), ("Two two flag.", "A", 1, 2), ("Two two flag.", "B", 2, 2)]
+    assert sorted(map(tuple, flags.collect())) == sorted(map(tuple, X.flag_hits(X.sentences(nl), tx).collect()))
+    assert len(flags.collect()) == 3
+    answers = spark.createDataFrame([(DAY, "L", '{"executive_summary": "x"}')], "digest_date date, label string, response string")
+    plan = D.parse_responses(answers.repartition(1))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 2
