@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quire.functions.text import decode_entities, link_targets
 from quire.operators import extract as X
-from quire.operators.common import number_rows
+from quire.operators.common import likely_in, number_rows, persist
 
 DAY = dt.date(2024, 1, 1)
 
@@ -93,6 +93,40 @@ def test_counts_of_phrases_are_not_shuffled(spark):
     assert len(dealt) == 1 and "category" not in dealt[0]
 
 
+def test_a_run_found_is_one_row_for_many_categories(spark):
+    """Categories of several blocks, none at all among them, are counted side by side, within and beyond the
+    bound; sentences of equal keys count together, and a long one has many runs."""
+    texts = ["the cat The", "of the cat and of the dog", "---", "", "the " * 70_000, "no such", "the cat The"]
+    rows = [(DAY, "L", min(i, 5), min(i, 5), None if i % 2 else "s", 1, t) for i, t in enumerate(texts)]
+    sent = spark.createDataFrame(rows, "digest_date date, label string, message_id long, list_pos long, sender string, sent_pos int, sentence string")
+    table = {"the": [None, *(f"c{i:02}" for i in range(75))], "the cat": [None, "c03", "c74"], "of the dog": ["c40", "d"], "cat": ["d"],
+             "the the the": ["c74"], "nowhere": ["e"]}
+    phrases = spark.createDataFrame([(c, g) for g, cs in table.items() for c in cs], "category string, phrase string")
+    want = {}
+    for day, label, message_id, pos, sender, sent_pos, text in rows:
+        words = text.lower().split()
+        for n in (1, 2, 3):
+            for i in range(len(words) - n + 1):
+                for c in table.get(" ".join(words[i:i + n]), ()):
+                    k = (day, label, message_id, pos, sender, sent_pos, c)
+                    want[k] = want.get(k, 0) + 1
+    got = {max_bytes: X.phrase_hits(sent, phrases, max_bytes) for max_bytes in (1 << 26, 1 << 12, 1)}
+    for hits in got.values():
+        found = [tuple(r) for r in hits.collect()]
+        assert len(found) == len(want) and {r[:-1]: r[-1] for r in found} == want
+    plan = got[1 << 26]._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.splitlines() if "Aggregate(keys=[digest_date" in line]
+    assert dealt and not any("category" in line for line in dealt)
+
+
+def test_a_bitmap_lets_few_others_through(spark):
+    rows = spark.range(40000).select("id", F.concat(F.lit("k"), "id").alias("k")).unionByName(
+        spark.createDataFrame([(-1, None)], "id long, k string"))
+    keys = persist(rows.filter("id % 4 = 0 or k is null").select("k"))
+    likely = {r.id for r in likely_in(rows, keys, "k").collect()}
+    assert {-1, *range(0, 40000, 4)} <= likely and len(likely) - 10001 < 30000 // 50
+
+
 def test_digest_reads_sentences_and_answers_once(spark):
     """Words of two groups count for both; a digest's sentences are looked up in one pass, an answer's JSON is
     parsed once, not once a field."""
